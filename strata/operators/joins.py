@@ -1,0 +1,49 @@
+"""Join helpers: size-checked broadcast and collision-free lookups.
+
+Rule: a side is broadcast only after a check proves it has at most ``max_rows``
+rows; beyond that the join is left to the planner (sort-merge, with AQE free to
+switch to a broadcast from runtime sizes or to split skewed partitions).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimension-sized: 200k narrow rows stay well below executor memory.
+DEFAULT_BROADCAST_ROWS = 200_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    The check reads at most ``max_rows + 1`` rows per partition (``limit``), so it
+    stays cheap even when the side turns out to be large. Project the side to
+    the columns the join needs before calling this.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def join_on(
+    left: DataFrame,
+    right: DataFrame,
+    left_keys: Sequence[str],
+    right_keys: Sequence[str],
+    how: str = "inner",
+) -> DataFrame:
+    """Equi-join on differently named keys, written with unambiguous column names.
+
+    The caller names right-side columns so they do not collide with the left side
+    (Spark resolves names case-insensitively, so ``NOC`` and ``noc`` collide).
+    """
+    clash = {c.lower() for c in left.columns} & {c.lower() for c in right.columns}
+    if clash:
+        raise ValueError(f"rename before joining; shared columns: {sorted(clash)}")
+    cond = None
+    for lk, rk in zip(left_keys, right_keys, strict=True):
+        c = F.col(lk) == F.col(rk)
+        cond = c if cond is None else cond & c
+    return left.join(right, cond, how)
