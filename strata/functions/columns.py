@@ -36,7 +36,10 @@ def to_int_lenient(c: ColumnOrName) -> Column:
     """
     c = _col(c)
     digits = F.nullif(F.regexp_extract(c, INT_TEXT, 1), F.lit(""))
-    return F.when(c.rlike(FRACTION_ONLY_TEXT), F.lit(0)).otherwise(digits.try_cast("int"))
+    slow = F.when(c.rlike(FRACTION_ONLY_TEXT), F.lit(0)).otherwise(digits.try_cast("int"))
+    # Fast path: plain integer text needs no regex; ``coalesce`` evaluates the
+    # regex branch only for the rows the plain cast rejects.
+    return F.coalesce(c.try_cast("int"), slow)
 
 
 def to_bool(c: ColumnOrName) -> Column:

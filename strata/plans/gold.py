@@ -63,42 +63,56 @@ def medals_per_key(fact: DataFrame) -> DataFrame:
     return summed.withColumn("TotalMedals", F.col("TotalGold") + F.col("TotalSilver") + F.col("TotalBronze"))
 
 
+_MEDALS = ("GoldMedals", "SilverMedals", "BronzeMedals")
+_SUMS = ("__athletes", "__h_sum", "__h_n", "__w_sum", "__w_n", "__male", "__female")
+
+
 def participation_stats(fact: DataFrame, athlete: DataFrame) -> DataFrame:
-    """Per (CountryNOC, EditionID): athlete and medal figures, NULL keys dropped."""
-    per_athlete = fact.groupBy("AthleteID", "CountryNOC", "EditionID").agg(
-        F.count(F.lit(1)).alias(_ROWS),
-        F.min(F.struct("GoldMedals", "SilverMedals", "BronzeMedals")).alias(_TALLY),
-    )
+    """Per (CountryNOC, EditionID): athlete and medal figures, NULL keys dropped.
+
+    The medal triple rides along as a grouping key (it is constant per country
+    and edition, so this adds no groups) and every aggregate over the big inputs
+    is a hash aggregate of sums. Only the last, country × edition sized step
+    picks the smallest triple per key.
+    """
+    keys = ["CountryNOC", "EditionID", *_MEDALS]
+    per_athlete = fact.groupBy("AthleteID", *keys).agg(F.count(F.lit(1)).alias(_ROWS))
     bio = athlete.select(F.col("AthleteID").alias("__bio_id"), "Sex", "Height", "Weight")
     joined = per_athlete.join(bio, F.col("AthleteID") == F.col("__bio_id"), "left")
 
     rows = F.col(_ROWS)
 
-    def weighted(cond):
-        return F.coalesce(F.sum(F.when(cond, rows)), F.lit(0).cast("long"))
+    def rows_where(cond):
+        return F.sum(F.when(cond, rows))
+
+    per_tally = joined.groupBy(*keys).agg(
+        rows_where(F.col("AthleteID").isNotNull()).alias("__athletes"),
+        F.sum(F.col("Height") * rows).alias("__h_sum"),
+        rows_where(F.col("Height").isNotNull()).alias("__h_n"),
+        F.sum(F.col("Weight") * rows).alias("__w_sum"),
+        rows_where(F.col("Weight").isNotNull()).alias("__w_n"),
+        rows_where(F.col("Sex") == 1).alias("__male"),
+        rows_where(F.col("Sex") == 0).alias("__female"),
+    )
+    stats = per_tally.groupBy("CountryNOC", "EditionID").agg(
+        *[F.sum(c).alias(c) for c in _SUMS],
+        F.min(F.struct(*_MEDALS)).alias(_TALLY),
+    )
 
-    def weighted_mean(c: str):
-        return F.sum(F.col(c) * rows) / F.sum(F.when(F.col(c).isNotNull(), rows))
+    def count_of(c: str):
+        return F.coalesce(F.col(c), F.lit(0).cast("long"))
 
-    stats = joined.groupBy("CountryNOC", "EditionID").agg(
-        weighted(F.col("AthleteID").isNotNull()).alias("TotalAthletes"),
-        weighted_mean("Height").alias("AverageHeight"),
-        weighted_mean("Weight").alias("AverageWeight"),
-        weighted(F.col("Sex") == 1).alias("MaleAthletes"),
-        weighted(F.col("Sex") == 0).alias("FemaleAthletes"),
-        F.min(_TALLY).alias(_TALLY),
-    )
     gold = F.col(f"{_TALLY}.GoldMedals").cast("long")
     silver = F.col(f"{_TALLY}.SilverMedals").cast("long")
     bronze = F.col(f"{_TALLY}.BronzeMedals").cast("long")
     return stats.filter(F.col("CountryNOC").isNotNull() & F.col("EditionID").isNotNull()).select(
         "CountryNOC",
         "EditionID",
-        "TotalAthletes",
-        "AverageHeight",
-        "AverageWeight",
-        "MaleAthletes",
-        "FemaleAthletes",
+        count_of("__athletes").alias("TotalAthletes"),
+        (F.col("__h_sum") / F.col("__h_n")).alias("AverageHeight"),
+        (F.col("__w_sum") / F.col("__w_n")).alias("AverageWeight"),
+        count_of("__male").alias("MaleAthletes"),
+        count_of("__female").alias("FemaleAthletes"),
         gold.alias("TotalGold"),
         silver.alias("TotalSilver"),
         bronze.alias("TotalBronze"),

@@ -23,41 +23,58 @@ Query = Callable[[SparkSession, str], DataFrame]
 # --- layers -------------------------------------------------------------------
 
 
+def _tables(spark: SparkSession, d: str) -> roles.Tables:
+    return roles.Tables(spark, d)
+
+
+def athlete_dim_of(t: roles.Tables) -> DataFrame:
+    return silver.athlete_dim(roles.athlete_bio(t))
+
+
+def fact_of(t: roles.Tables) -> DataFrame:
+    return silver.fact_table(roles.event_results(t), roles.medal_tally(t))
+
+
 def silver_athlete_dim(spark: SparkSession, d: str) -> DataFrame:
-    return silver.athlete_dim(roles.athlete_bio(spark, d))
+    return athlete_dim_of(_tables(spark, d))
 
 
 def silver_games_dim(spark: SparkSession, d: str) -> DataFrame:
-    return silver.games_dim(roles.games(spark, d), roles.country(spark, d))
+    t = _tables(spark, d)
+    return silver.games_dim(roles.games(t), roles.country(t))
 
 
 def silver_results_dim(spark: SparkSession, d: str) -> DataFrame:
-    return silver.results_dim(roles.results(spark, d), roles.event_results(spark, d))
+    t = _tables(spark, d)
+    return silver.results_dim(roles.results(t), roles.event_results(t))
 
 
 def silver_country_dim(spark: SparkSession, d: str) -> DataFrame:
-    return silver.country_dim(roles.country(spark, d))
+    return silver.country_dim(roles.country(_tables(spark, d)))
 
 
 def silver_date_dim(spark: SparkSession, d: str) -> DataFrame:
-    return silver.date_dim(roles.games(spark, d))
+    return silver.date_dim(roles.games(_tables(spark, d)))
 
 
 def silver_fact(spark: SparkSession, d: str) -> DataFrame:
-    return silver.fact_table(roles.event_results(spark, d), roles.medal_tally(spark, d))
+    return fact_of(_tables(spark, d))
 
 
 def gold_fact_with_date(spark: SparkSession, d: str) -> DataFrame:
-    return gold.fact_with_date(silver_fact(spark, d), silver_date_dim(spark, d))
+    t = _tables(spark, d)
+    return gold.fact_with_date(fact_of(t), silver.date_dim(roles.games(t)))
 
 
 def participation_mart(spark: SparkSession, d: str) -> DataFrame:
+    t = _tables(spark, d)
+    games, country = roles.games(t), roles.country(t)
     return gold.participation_mart(
-        silver_fact(spark, d),
-        silver_athlete_dim(spark, d),
-        silver_country_dim(spark, d),
-        silver_games_dim(spark, d),
-        silver_date_dim(spark, d),
+        fact_of(t),
+        athlete_dim_of(t),
+        silver.country_dim(country),
+        silver.games_dim(games, country),
+        silver.date_dim(games),
     )
 
 

@@ -27,8 +27,22 @@ MISSING_TALLY = ("1", "NATION_0")  # (edition_id, country_noc) without a medal t
 # -----------------------------------------------------------------------------
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+class Tables:
+    """The test tables of one scale-factor folder, each opened once.
+
+    Opening a Parquet table lists its files and reads a footer; a query that
+    uses ``orders`` for four roles should do that once, not four times.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir.rstrip("/")
+        self._open: dict[str, DataFrame] = {}
+
+    def __call__(self, name: str) -> DataFrame:
+        if name not in self._open:
+            self._open[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._open[name]
 
 
 def _s(c: Column) -> Column:
@@ -47,9 +61,9 @@ def _edition_id(year: Column) -> Column:
     return _s(year - FIRST_YEAR_BEFORE)
 
 
-def country(spark: SparkSession, sf_dir: str) -> DataFrame:
+def country(t: Tables) -> DataFrame:
     """Olympics_Country(noc, country): one row per nation but one, one nation twice."""
-    n = table(spark, sf_dir, "nation")
+    n = t("nation")
     listed = n.filter(F.col("n_nationkey") != MISSING_NATION).select(
         F.col("n_name").alias("noc"), _cat("Country ", F.col("n_nationkey")).alias("country")
     )
@@ -59,7 +73,7 @@ def country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.unionByName(twin)
 
 
-def games(spark: SparkSession, sf_dir: str) -> DataFrame:
+def games(t: Tables) -> DataFrame:
     """Olympics_Games: one edition per order year; dates as ``d Month`` text."""
     yr = F.col("yr")
     host = yr % NATIONS
@@ -73,7 +87,7 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(yr == YEAR_TAIL_YEAR, F.lit(" 8 August 2001"))
         .otherwise(_cat(10 + yr % 9, " May"))
     )
-    years = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("yr")).distinct()
+    years = t("orders").select(F.year("o_orderdate").alias("yr")).distinct()
     return years.select(
         _cat(yr, " Summer Games").alias("edition"),
         _edition_id(yr).alias("edition_id"),
@@ -89,12 +103,12 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def athlete_bio(spark: SparkSession, sf_dir: str) -> DataFrame:
+def athlete_bio(t: Tables) -> DataFrame:
     """Olympic_Athlete_Bio: one athlete per customer, with bad and missing values."""
     k = F.col("c_custkey")
     born_day = F.date_add(F.lit("1950-01-01").cast("date"), (k % 15000).cast("int"))
     null = F.lit(None).cast("string")
-    return table(spark, sf_dir, "customer").select(
+    return t("customer").select(
         F.when(k % 23 == 0, _cat("-", k)).otherwise(_s(k)).alias("athlete_id"),
         F.col("c_name").alias("name"),
         F.when(k % 5 == 0, null).when(k % 2 == 0, F.lit("Male")).otherwise(F.lit("Female")).alias("sex"),
@@ -111,10 +125,10 @@ def athlete_bio(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_results(t: Tables) -> DataFrame:
     """Olympic_Athlete_Event_Results: one row per line item (athlete = the order's customer)."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_partkey")
-    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    li = t("lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_partkey")
+    od = t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     lo = li.join(od, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
     flag = F.col("l_returnflag")
     return lo.select(
@@ -129,12 +143,12 @@ def event_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def medal_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+def medal_tally(t: Tables) -> DataFrame:
     """Olympic_Games_Medal_Tally: per (edition, country) counts of orders by status.
 
     Bounded by editions × nations; one (edition, country) pair is left out.
     """
-    o = table(spark, sf_dir, "orders")
+    o = t("orders")
     status = F.col("o_orderstatus")
     counts = o.groupBy(
         _edition_id(F.year("o_orderdate")).alias("edition_id"),
@@ -151,12 +165,12 @@ def medal_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def results(spark: SparkSession, sf_dir: str) -> DataFrame:
+def results(t: Tables) -> DataFrame:
     """Olympic_Results: one result per order; the date sits inside free text."""
     k = F.col("o_orderkey")
     day_text = F.date_format("o_orderdate", "d MMMM yyyy")
     yr = F.year("o_orderdate")
-    return table(spark, sf_dir, "orders").select(
+    return t("orders").select(
         F.when(k % 19 == 0, _cat("r", k)).otherwise(_s(k)).alias("result_id"),
         _cat("Final ", F.col("o_orderpriority")).alias("event_title"),
         _cat(yr, " Summer Games").alias("edition"),
@@ -186,5 +200,5 @@ BUILDERS = {
 }
 
 
-def all_roles(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: build(spark, sf_dir) for name, build in BUILDERS.items()}
+def all_roles(t: Tables) -> dict[str, DataFrame]:
+    return {name: build(t) for name, build in BUILDERS.items()}
