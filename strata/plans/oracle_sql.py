@@ -283,3 +283,172 @@ oracle(
     "s_fact",
     "s_date",
 )
+
+# --- single operators -----------------------------------------------------------
+oracle(
+    "cast_int_lenient",
+    f"""SELECT athlete_id, height, weight, {to_int('athlete_id')} AS athlete_id_int,
+        {to_int('height')} AS height_int, {to_int('weight')} AS weight_int FROM r_bio""",
+    "r_bio",
+)
+oracle(
+    "cast_boolean",
+    "SELECT result_id, pos, isTeamSport, TRY_CAST(isTeamSport AS BOOLEAN) AS is_team_sport FROM r_events",
+    "r_events",
+)
+oracle(
+    "parse_text_date",
+    f"""SELECT result_id, result_date, regexp_extract(result_date, '(\\d{{1,2}} \\w+ \\d{{4}})', 1) AS date_text,
+        {parse_text_date('result_date')} AS result_day FROM r_results""",
+    "r_results",
+)
+oracle(
+    "year_less_day_month",
+    f"""SELECT edition_id, start_date, end_date, trim(start_date) AS start_trimmed,
+        {parse_day_month('start_date')} AS start_day, {parse_day_month('end_date')} AS end_day,
+        CAST(day({parse_day_month('start_date')}) AS INTEGER) AS start_dom,
+        CAST(month({parse_day_month('start_date')}) AS INTEGER) AS start_month,
+        CAST(day({parse_day_month('end_date')}) AS INTEGER) AS end_dom,
+        CAST(month({parse_day_month('end_date')}) AS INTEGER) AS end_month
+    FROM r_games""",
+    "r_games",
+)
+oracle(
+    "sex_flag",
+    "SELECT athlete_id, sex, CASE WHEN sex = 'Male' THEN 1 ELSE 0 END AS sex_flag FROM r_bio",
+    "r_bio",
+)
+oracle(
+    "filter_numeric_id",
+    "SELECT result_id, edition_id, sport FROM r_results WHERE regexp_matches(result_id, '^[0-9]+$')",
+    "r_results",
+)
+oracle("drop_null_subset", "SELECT athlete_id, born FROM r_bio WHERE born IS NOT NULL", "r_bio")
+oracle(
+    "select_is_null",
+    "SELECT athlete_id, name, CAST(born IS NULL AS INTEGER) AS born_missing FROM r_bio WHERE born IS NULL",
+    "r_bio",
+)
+oracle(
+    "drop_and_rename",
+    f"""SELECT {to_int('athlete_id')} AS athlete_id, name, CASE WHEN sex = 'Male' THEN 1 ELSE 0 END AS sex,
+        born, height, weight, country AS Nationality FROM r_bio""",
+    "r_bio",
+)
+oracle("distinct_projection", "SELECT DISTINCT result_id, isTeamSport, event FROM r_events", "r_events")
+oracle("keep_one_per_key", "SELECT df_result_id, isTeamSport, event FROM ev_one", "ev_one")
+oracle(
+    "keep_one_per_composite",
+    """SELECT CountryNOC, EditionID, GoldMedals, SilverMedals, BronzeMedals FROM (
+        SELECT CountryNOC, EditionID, GoldMedals, SilverMedals, BronzeMedals,
+               row_number() OVER (PARTITION BY CountryNOC, EditionID
+                   ORDER BY GoldMedals NULLS FIRST, SilverMedals NULLS FIRST, BronzeMedals NULLS FIRST) AS rn
+        FROM s_fact) x WHERE rn = 1""",
+    "s_fact",
+)
+oracle(
+    "duplicate_keys",
+    """SELECT result_id, count(*) AS count
+    FROM (SELECT DISTINCT result_id, isTeamSport, event FROM r_events) d
+    GROUP BY result_id HAVING count(*) > 1""",
+    "r_events",
+)
+oracle(
+    "null_profile",
+    """SELECT count(*) FILTER (WHERE athlete_id IS NULL) AS athlete_id,
+        count(*) FILTER (WHERE name IS NULL) AS name,
+        count(*) FILTER (WHERE sex IS NULL) AS sex,
+        count(*) FILTER (WHERE born IS NULL) AS born,
+        count(*) FILTER (WHERE height IS NULL) AS height,
+        count(*) FILTER (WHERE weight IS NULL) AS weight,
+        count(*) FILTER (WHERE country IS NULL) AS country,
+        count(*) FILTER (WHERE country_noc IS NULL) AS country_noc,
+        count(*) FILTER (WHERE description IS NULL) AS description,
+        count(*) FILTER (WHERE special_notes IS NULL) AS special_notes
+    FROM r_bio""",
+    "r_bio",
+)
+oracle(
+    "row_counts",
+    """SELECT 'Olympics_Country' AS dataset, count(*) AS rows FROM r_country
+    UNION ALL SELECT 'Olympics_Games', count(*) FROM r_games
+    UNION ALL SELECT 'Olympic_Athlete_Bio', count(*) FROM r_bio
+    UNION ALL SELECT 'Olympic_Athlete_Event_Results', count(*) FROM r_events
+    UNION ALL SELECT 'Olympic_Games_Medal_Tally', count(*) FROM r_tally
+    UNION ALL SELECT 'Olympic_Results', count(*) FROM r_results""",
+    "r_country",
+    "r_games",
+    "r_bio",
+    "r_events",
+    "r_tally",
+    "r_results",
+)
+cte(
+    "m_typed",
+    f"SELECT {to_int('athlete_id')} AS athlete_id, {to_int('height')} AS height, {to_int('weight')} AS weight FROM r_bio",
+    "r_bio",
+)
+oracle(
+    "mean_impute",
+    """SELECT athlete_id,
+        COALESCE(height, (SELECT CAST(trunc(avg(height)) AS INTEGER) FROM m_typed)) AS height,
+        COALESCE(weight, (SELECT CAST(trunc(avg(weight)) AS INTEGER) FROM m_typed)) AS weight
+    FROM m_typed""",
+    "m_typed",
+)
+oracle(
+    "fill_constant",
+    "SELECT result_id, athlete_id, pos, COALESCE(medal, 'NoMedal') AS medal FROM r_events",
+    "r_events",
+)
+oracle(
+    "grouped_sum",
+    """SELECT CountryNOC, EditionID, total_gold AS TotalGold, total_silver AS TotalSilver,
+        total_bronze AS TotalBronze, total_gold + total_silver + total_bronze AS TotalMedals
+    FROM g_medals""",
+    "g_medals",
+)
+oracle(
+    "grouped_count_nonnull",
+    """SELECT f.CountryNOC, f.EditionID, count(f.AthleteID) AS athlete_rows, count(a.AthleteID) AS known_athlete_rows
+    FROM s_fact f LEFT JOIN s_athlete a ON f.AthleteID = a.AthleteID
+    GROUP BY f.CountryNOC, f.EditionID""",
+    "s_fact",
+    "s_athlete",
+)
+oracle(
+    "grouped_avg",
+    "SELECT Nationality, avg(Height) AS avg_height, avg(Weight) AS avg_weight FROM s_athlete GROUP BY Nationality",
+    "s_athlete",
+)
+oracle(
+    "conditional_count",
+    """SELECT Nationality,
+        CAST(sum(CASE WHEN Sex = 1 THEN 1 ELSE 0 END) AS BIGINT) AS male_athletes,
+        CAST(sum(CASE WHEN Sex = 0 THEN 1 ELSE 0 END) AS BIGINT) AS female_athletes
+    FROM s_athlete GROUP BY Nationality""",
+    "s_athlete",
+)
+oracle(
+    "results_event_join",
+    """SELECT r.result_id, r.result_location, e.df_result_id, e.isTeamSport, e.event
+    FROM r_results r LEFT JOIN ev_one e ON r.result_id = e.df_result_id
+    WHERE regexp_matches(r.result_id, '^[0-9]+$')""",
+    "r_results",
+    "ev_one",
+)
+oracle(
+    "unmatched_keys",
+    """SELECT 'fact_without_tally' AS "join", count(*) AS dropped_rows
+    FROM r_events e WHERE NOT EXISTS (
+        SELECT 1 FROM r_tally t WHERE t.country_noc = e.country_noc AND t.edition_id = e.edition_id)
+    UNION ALL
+    SELECT 'mart_without_country', count(*)
+    FROM (SELECT DISTINCT CountryNOC, EditionID FROM s_fact
+          WHERE CountryNOC IS NOT NULL AND EditionID IS NOT NULL) s
+    WHERE NOT EXISTS (SELECT 1 FROM r_country c WHERE c.noc = s.CountryNOC)""",
+    "r_events",
+    "r_tally",
+    "s_fact",
+    "r_country",
+)

@@ -78,6 +78,196 @@ def participation_mart(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+# --- single operators ----------------------------------------------------------
+
+
+def cast_int_lenient(spark: SparkSession, d: str) -> DataFrame:
+    """Bronze text → int with the non-ANSI cast result."""
+    bio = roles.athlete_bio(_tables(spark, d))
+    return bio.select(
+        "athlete_id",
+        "height",
+        "weight",
+        X.to_int_lenient("athlete_id").alias("athlete_id_int"),
+        X.to_int_lenient("height").alias("height_int"),
+        X.to_int_lenient("weight").alias("weight_int"),
+    )
+
+
+def cast_boolean(spark: SparkSession, d: str) -> DataFrame:
+    """Text → boolean."""
+    ev = roles.event_results(_tables(spark, d))
+    return ev.select("result_id", "pos", "isTeamSport", X.to_bool("isTeamSport").alias("is_team_sport"))
+
+
+def parse_text_date(spark: SparkSession, d: str) -> DataFrame:
+    """First ``d Month yyyy`` inside free text, parsed; NULL when absent or invalid."""
+    res = roles.results(_tables(spark, d))
+    return res.select(
+        "result_id",
+        "result_date",
+        X.extract_date_text("result_date").alias("date_text"),
+        X.parse_text_date("result_date").alias("result_day"),
+    )
+
+
+def year_less_day_month(spark: SparkSession, d: str) -> DataFrame:
+    """Trimmed year-less dates, day and month."""
+    games = roles.games(_tables(spark, d))
+    start, end = X.parse_day_month("start_date"), X.parse_day_month("end_date")
+    return games.select(
+        "edition_id",
+        "start_date",
+        "end_date",
+        F.trim("start_date").alias("start_trimmed"),
+        start.alias("start_day"),
+        end.alias("end_day"),
+        F.dayofmonth(start).alias("start_dom"),
+        F.month(start).alias("start_month"),
+        F.dayofmonth(end).alias("end_dom"),
+        F.month(end).alias("end_month"),
+    )
+
+
+def sex_flag(spark: SparkSession, d: str) -> DataFrame:
+    """1 for 'Male', 0 for anything else including NULL."""
+    bio = roles.athlete_bio(_tables(spark, d))
+    return bio.select("athlete_id", "sex", X.male_flag("sex").alias("sex_flag"))
+
+
+def filter_numeric_id(spark: SparkSession, d: str) -> DataFrame:
+    """Keep rows whose id is all digits (NULL ids are dropped)."""
+    res = roles.results(_tables(spark, d))
+    return res.filter(F.col("result_id").rlike(silver.NUMERIC_ID)).select("result_id", "edition_id", "sport")
+
+
+def drop_null_subset(spark: SparkSession, d: str) -> DataFrame:
+    """drop rows with a NULL birth text."""
+    bio = roles.athlete_bio(_tables(spark, d))
+    return quality.drop_null(bio, ["born"]).select("athlete_id", "born")
+
+
+def select_is_null(spark: SparkSession, d: str) -> DataFrame:
+    """Rows whose birth text is NULL."""
+    bio = roles.athlete_bio(_tables(spark, d))
+    return quality.filter_null(bio, "born").select("athlete_id", "name", X.is_null_flag("born").alias("born_missing"))
+
+
+def drop_and_rename(spark: SparkSession, d: str) -> DataFrame:
+    """Replace columns in place, drop three, rename one."""
+    bio = roles.athlete_bio(_tables(spark, d))
+    typed = bio.withColumns({"athlete_id": X.to_int_lenient("athlete_id"), "sex": X.male_flag("sex")})
+    dropped = typed.drop("country_noc", "description", "special_notes")
+    return dropped.withColumnRenamed("country", "Nationality")
+
+
+def distinct_projection(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct (result, team flag, event) rows."""
+    ev = roles.event_results(_tables(spark, d))
+    return dedupe.distinct_rows(ev, ["result_id", "isTeamSport", "event"])
+
+
+def keep_one_per_key(spark: SparkSession, d: str) -> DataFrame:
+    """One (team flag, event) per result id, smallest first."""
+    return silver.event_per_result(roles.event_results(_tables(spark, d)))
+
+
+def keep_one_per_composite(spark: SparkSession, d: str) -> DataFrame:
+    """D3: one medal tally per (country, edition) out of the repeated fact rows."""
+    fact = fact_of(_tables(spark, d))
+    return dedupe.keep_one(
+        fact.select("CountryNOC", "EditionID", "GoldMedals", "SilverMedals", "BronzeMedals"),
+        ["CountryNOC", "EditionID"],
+    )
+
+
+def duplicate_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Result ids with more than one distinct (team flag, event) row."""
+    ev = roles.event_results(_tables(spark, d))
+    distinct = dedupe.distinct_rows(ev, ["result_id", "isTeamSport", "event"])
+    return quality.duplicate_keys(distinct, ["result_id"])
+
+
+def null_profile(spark: SparkSession, d: str) -> DataFrame:
+    """NULL count of every bronze athlete column, one pass."""
+    return quality.null_profile(roles.athlete_bio(_tables(spark, d)))
+
+
+def row_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows per bronze dataset."""
+    return quality.row_counts(roles.all_roles(_tables(spark, d)))
+
+
+def mean_impute(spark: SparkSession, d: str) -> DataFrame:
+    """NULL height/weight ← truncated column mean (one lazy scalar subquery)."""
+    bio = roles.athlete_bio(_tables(spark, d))
+    typed = bio.select(
+        X.to_int_lenient("athlete_id").alias("athlete_id"),
+        X.to_int_lenient("height").alias("height"),
+        X.to_int_lenient("weight").alias("weight"),
+    )
+    return impute.fill_mean(typed, ["height", "weight"])
+
+
+def fill_constant(spark: SparkSession, d: str) -> DataFrame:
+    """NULL medal ← 'NoMedal'."""
+    ev = roles.event_results(_tables(spark, d)).select("result_id", "athlete_id", "pos", "medal")
+    return impute.fill_constant(ev, {"medal": X.NO_MEDAL})
+
+
+def grouped_sum(spark: SparkSession, d: str) -> DataFrame:
+    """Medal totals per (country, edition), one tally per key."""
+    return gold.medals_per_key(fact_of(_tables(spark, d)))
+
+
+def grouped_count_nonnull(spark: SparkSession, d: str) -> DataFrame:
+    """Athlete-event rows and rows with a known athlete, per (country, edition)."""
+    t = _tables(spark, d)
+    fact = fact_of(t).select("CountryNOC", "EditionID", "AthleteID")
+    bio = athlete_dim_of(t).select(F.col("AthleteID").alias("__bio_id"))
+    joined = fact.join(bio, F.col("AthleteID") == F.col("__bio_id"), "left")
+    return joined.groupBy("CountryNOC", "EditionID").agg(
+        F.count("AthleteID").alias("athlete_rows"), F.count("__bio_id").alias("known_athlete_rows")
+    )
+
+
+def grouped_avg(spark: SparkSession, d: str) -> DataFrame:
+    """A4: average height and weight per nationality (NULLs ignored)."""
+    athlete = athlete_dim_of(_tables(spark, d))
+    return athlete.groupBy("Nationality").agg(
+        F.avg("Height").alias("avg_height"), F.avg("Weight").alias("avg_weight")
+    )
+
+
+def conditional_count(spark: SparkSession, d: str) -> DataFrame:
+    """Male and female athletes per nationality; 0, not NULL, when none."""
+    athlete = athlete_dim_of(_tables(spark, d))
+    return athlete.groupBy("Nationality").agg(
+        X.count_where(F.col("Sex") == 1).alias("male_athletes"),
+        X.count_where(F.col("Sex") == 0).alias("female_athletes"),
+    )
+
+
+def results_event_join(spark: SparkSession, d: str) -> DataFrame:
+    """Numeric results ⟕ one event row per result id (raw string keys)."""
+    t = _tables(spark, d)
+    res = roles.results(t).filter(F.col("result_id").rlike(silver.NUMERIC_ID))
+    joined = res.join(silver.event_per_result(roles.event_results(t)), F.col("result_id") == F.col("df_result_id"), "left")
+    return joined.select("result_id", "result_location", "df_result_id", "isTeamSport", "event")
+
+
+def unmatched_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Rows each inner join of the pipeline drops, as (join, dropped_rows)."""
+    t = _tables(spark, d)
+    events, tally = roles.event_results(t), roles.medal_tally(t)
+    no_tally = quality.unmatched(events, tally, ["country_noc", "edition_id"], ["country_noc", "edition_id"])
+    stats = gold.participation_stats(fact_of(t), athlete_dim_of(t))
+    no_country = quality.unmatched(stats, roles.country(t), ["CountryNOC"], ["noc"])
+    return quality.row_count(no_tally, "fact_without_tally").unionByName(
+        quality.row_count(no_country, "mart_without_country")
+    ).withColumnRenamed("dataset", "join").withColumnRenamed("rows", "dropped_rows")
+
+
 QUERIES: dict[str, Query] = {
     "participation_mart": participation_mart,
     "silver_athlete_dim": silver_athlete_dim,
@@ -87,4 +277,27 @@ QUERIES: dict[str, Query] = {
     "silver_date_dim": silver_date_dim,
     "silver_fact": silver_fact,
     "gold_fact_with_date": gold_fact_with_date,
+    "cast_int_lenient": cast_int_lenient,
+    "cast_boolean": cast_boolean,
+    "parse_text_date": parse_text_date,
+    "year_less_day_month": year_less_day_month,
+    "sex_flag": sex_flag,
+    "filter_numeric_id": filter_numeric_id,
+    "drop_null_subset": drop_null_subset,
+    "select_is_null": select_is_null,
+    "drop_and_rename": drop_and_rename,
+    "distinct_projection": distinct_projection,
+    "keep_one_per_key": keep_one_per_key,
+    "keep_one_per_composite": keep_one_per_composite,
+    "duplicate_keys": duplicate_keys,
+    "null_profile": null_profile,
+    "row_counts": row_counts,
+    "mean_impute": mean_impute,
+    "fill_constant": fill_constant,
+    "grouped_sum": grouped_sum,
+    "grouped_count_nonnull": grouped_count_nonnull,
+    "grouped_avg": grouped_avg,
+    "conditional_count": conditional_count,
+    "results_event_join": results_event_join,
+    "unmatched_keys": unmatched_keys,
 }
