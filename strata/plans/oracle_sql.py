@@ -452,3 +452,9 @@ oracle(
     "s_fact",
     "r_country",
 )
+
+# --- sources, sinks and the whole lake --------------------------------------------
+oracle("bronze_round_trip", "SELECT * FROM r_results", "r_results")
+oracle("stream_bronze_landing", "SELECT * FROM r_events", "r_events")
+oracle("publish_round_trip", "SELECT * FROM s_athlete", "s_athlete")
+ORACLE["lake_end_to_end"] = ORACLE["participation_mart"]

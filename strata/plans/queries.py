@@ -12,10 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata import sinks, streaming
+from strata.config import DATASETS, GOLD, GOLD_DATABASE, LakePaths
 from strata.functions import columns as X
 from strata.operators import dedupe, impute, quality
-from strata.plans import gold, silver
+from strata.plans import gold, silver, stages
+from strata.session import scratch_path
 from strata.sources import roles
+from strata.sources.files import load_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -268,6 +272,47 @@ def unmatched_keys(spark: SparkSession, d: str) -> DataFrame:
     ).withColumnRenamed("dataset", "join").withColumnRenamed("rows", "dropped_rows")
 
 
+# --- sources, sinks and the whole lake (they write to a fresh scratch folder) -------
+
+
+def _write_role_csvs(spark: SparkSession, t: roles.Tables, csv_root: str, names) -> None:
+    for name in names:
+        sinks.save_csv(roles.BUILDERS[name](t), f"{csv_root}/{name}.csv")
+
+
+def bronze_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Results as CSV → discovered, landed as all-string Parquet, read back."""
+    paths = LakePaths.under(scratch_path(spark, "bronze"))
+    _write_role_csvs(spark, _tables(spark, d), paths.csv_root, ["Olympic_Results"])
+    landed = stages.land_bronze(spark, paths)
+    return load_parquet(spark, landed["Olympic_Results"])
+
+
+def stream_bronze_landing(spark: SparkSession, d: str) -> DataFrame:
+    """P10 as a stream: event-result CSV files landed once each through a checkpointed stream."""
+    root = scratch_path(spark, "stream")
+    name = "Olympic_Athlete_Event_Results"
+    sinks.save_csv(roles.event_results(_tables(spark, d)), f"{root}/incoming")
+    landed = streaming.land_available(spark, f"{root}/incoming", f"{root}/bronze", f"{root}/_checkpoint", DATASETS[name])
+    return load_parquet(spark, landed)
+
+
+def publish_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Athlete dim published once as Parquet + catalog table, read via the catalog."""
+    root = scratch_path(spark, "publish")
+    sinks.ensure_database(spark, GOLD_DATABASE)
+    table = f"{GOLD_DATABASE}.{GOLD['athlete'][0]}"
+    sinks.publish(spark, athlete_dim_of(_tables(spark, d)), table, f"{root}/{GOLD['athlete'][1]}")
+    return spark.table(table)
+
+
+def lake_end_to_end(spark: SparkSession, d: str) -> DataFrame:
+    """All six roles as CSV → bronze → silver → gold; the published mart, read back."""
+    paths = LakePaths.under(scratch_path(spark, "lake"))
+    _write_role_csvs(spark, _tables(spark, d), paths.csv_root, list(roles.BUILDERS))
+    return stages.run_stages(spark, paths)
+
+
 QUERIES: dict[str, Query] = {
     "participation_mart": participation_mart,
     "silver_athlete_dim": silver_athlete_dim,
@@ -300,4 +345,8 @@ QUERIES: dict[str, Query] = {
     "conditional_count": conditional_count,
     "results_event_join": results_event_join,
     "unmatched_keys": unmatched_keys,
+    "bronze_round_trip": bronze_round_trip,
+    "stream_bronze_landing": stream_bronze_landing,
+    "publish_round_trip": publish_round_trip,
+    "lake_end_to_end": lake_end_to_end,
 }

@@ -29,6 +29,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        # local runs only: catalog databases go to a fresh folder, not the working directory
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="strata-warehouse-"))
     )
     for key, value in SCALE_CONF.items():
         builder = builder.config(key, value)

@@ -22,3 +22,19 @@ def save_parquet(
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return path
+
+
+def save_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """Header CSV, values kept verbatim.
+
+    Spark's CSV writer trims leading and trailing blanks unless told otherwise;
+    bronze text such as ``' 6 April'`` must survive a round trip unchanged.
+    """
+    (
+        df.write.mode(mode)
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+    return path

@@ -31,14 +31,17 @@ def require_folder(spark: SparkSession, folder: str) -> None:
     list_files(spark, folder, "*")
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list[str]:
-    """Files directly in ``folder`` matching ``pattern``, via Spark's file index.
+def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv", recursive: bool = False) -> list[str]:
+    """Files in ``folder`` (and below, if ``recursive``) matching ``pattern``, via Spark's file index.
 
     Uses the Hadoop file system of the URI (HDFS, object stores, local), reads no
     file content and runs no job.
     """
     try:
-        listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+        reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+        if recursive:
+            reader = reader.option("recursiveFileLookup", "true")
+        listing = reader.load(folder)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             raise FileNotFoundError(f"input folder not found: {folder}") from exc

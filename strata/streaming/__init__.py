@@ -1,0 +1,3 @@
+from strata.streaming.landing import land_available, start_landing
+
+__all__ = ["land_available", "start_landing"]
