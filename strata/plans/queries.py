@@ -227,11 +227,15 @@ def grouped_sum(spark: SparkSession, d: str) -> DataFrame:
 def grouped_count_nonnull(spark: SparkSession, d: str) -> DataFrame:
     """Athlete-event rows and rows with a known athlete, per (country, edition)."""
     t = _tables(spark, d)
-    fact = fact_of(t).select("CountryNOC", "EditionID", "AthleteID")
+    # count(AthleteID) per athlete first (combined map-side, so a hot athlete id is
+    # collapsed before any shuffle), then the lookup, then the per-key sums
+    per_athlete = fact_of(t).groupBy("CountryNOC", "EditionID", "AthleteID").agg(F.count("AthleteID").alias("__n"))
     bio = athlete_dim_of(t).select(F.col("AthleteID").alias("__bio_id"))
-    joined = fact.join(bio, F.col("AthleteID") == F.col("__bio_id"), "left")
+    joined = per_athlete.join(bio, F.col("AthleteID") == F.col("__bio_id"), "left")
+    zero = F.lit(0).cast("long")
     return joined.groupBy("CountryNOC", "EditionID").agg(
-        F.count("AthleteID").alias("athlete_rows"), F.count("__bio_id").alias("known_athlete_rows")
+        F.coalesce(F.sum("__n"), zero).alias("athlete_rows"),
+        F.coalesce(F.sum(F.when(F.col("__bio_id").isNotNull(), F.col("__n"))), zero).alias("known_athlete_rows"),
     )
 
 

@@ -205,3 +205,52 @@ def test_mart_invariants_and_partition_count_independence(spark, sf_small):
             assert sorted(map(tuple, QUERIES["participation_mart"](spark, sf_small).collect())) == base
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_mart_hot_key_equals_row_level_brute_force(spark):
+    # one athlete (and NULL athlete ids) hold a third of all fact rows each
+    import random
+
+    rnd = random.Random(7)
+    rows = []
+    for i in range(3000):
+        ath = 1 if i % 3 == 0 else (None if i % 3 == 1 and i % 2 else rnd.randint(2, 60))
+        noc = rnd.choice(["GRE", "ROC", "FRA"])
+        medals = {"GRE": (2, 0, 1), "ROC": (1, None, 4), "FRA": (0, 0, 0)}[noc]
+        rows.append((1, noc, i, ath, str(i % 5), "NoMedal", *medals, None))
+    fact = fact_rows(spark, rows)
+    ath_rows = [(a, f"n{a}", a % 2, None, (150 + a) if a % 7 else None, 50 + a, "x") for a in range(1, 50)]
+    ath = athletes(spark, ath_rows)
+    country, games, date = dims(spark, countries=(("GRE", "Greece"), ("ROC", "a"), ("ROC", "b"), ("FRA", "France")))
+    got = {(r.ParticipateCountry,): r for r in gold.participation_mart(fact, ath, country, games, date).collect()}
+
+    # brute force: join row by row, then aggregate exactly as the published definition says
+    bio = {a[0]: a for a in ath_rows}
+    names = {"GRE": ["Greece"], "ROC": ["a", "b"], "FRA": ["France"]}
+    for noc in ("GRE", "ROC", "FRA"):
+        part = [r for r in rows if r[1] == noc]
+        heights = [bio[r[3]][4] for r in part if r[3] in bio and bio[r[3]][4] is not None]
+        weights = [bio[r[3]][5] for r in part if r[3] in bio]
+        exp = (
+            sum(r[3] is not None for r in part),
+            sum(1 for r in part if r[3] in bio and bio[r[3]][2] == 1),
+            sum(1 for r in part if r[3] in bio and bio[r[3]][2] == 0),
+            sum(heights) / len(heights),
+            sum(weights) / len(weights),
+        )
+        for name in names[noc]:
+            r = got[(name,)]
+            assert (r.TotalAthletes, r.MaleAthletes, r.FemaleAthletes) == exp[:3]
+            assert abs(r.AverageHeight - exp[3]) < 1e-9 and abs(r.AverageWeight - exp[4]) < 1e-9
+            assert (r.TotalGold, r.TotalSilver, r.TotalBronze) == part[0][6:9]
+
+
+def test_fact_is_combined_map_side_before_its_first_shuffle(spark):
+    fact = fact_rows(spark, [(1, "GRE", i, 1, "1", "Gold", 1, 1, 1, 3) for i in range(100)])
+    ath = athletes(spark, [(1, "a", 1, None, 180, 80, "x")])
+    country, games, date = dims(spark)
+    plan = gold.participation_mart(fact, ath, country, games, date)._jdf.queryExecution().executedPlan().toString()
+    # the exchange keyed on AthleteID sits on top of a partial aggregate, never on raw rows
+    assert "partial_count" in plan
+    first = plan.index("Exchange hashpartitioning(AthleteID")
+    assert "HashAggregate(keys=[AthleteID" in plan[first:]
