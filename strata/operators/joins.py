@@ -12,19 +12,32 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import ensure_checkpoint_dir
+
 # Dimension-sized: 200k narrow rows stay well below executor memory.
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
+def bounded_broadcast(
+    df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, materialize: bool = False
+) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unhinted.
+
+    The check is a plain ``count()``: partial counts per partition, so nothing
+    funnels into one task, and on Parquet files it reads no column data. (A
+    ``limit(n + 1).count()`` would move up to partitions × (n + 1) rows into a
+    single task when the side turns out to be large.)
 
-    The check reads at most ``max_rows + 1`` rows per partition (``limit``), so it
-    stays cheap even when the side turns out to be large. Project the side to
-    the columns the join needs before calling this.
+    ``materialize=True`` suits a side that is itself a computation (an aggregate
+    over a big table): it is written once to the shared checkpoint folder, and
+    the count and the join both read that copy instead of computing it twice.
+    Project the side to the columns the join needs before calling this.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    side = df
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        side = df.checkpoint(eager=True)
+    return F.broadcast(side) if side.count() <= max_rows else side
 
 
 def join_on(

@@ -36,12 +36,14 @@ _TALLY = "__tally"
 _ROWS = "__rows"
 
 
-def fact_with_date(fact: DataFrame, date: DataFrame, date_max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def fact_with_date(
+    fact: DataFrame, date: DataFrame, date_max_rows: int = DEFAULT_BROADCAST_ROWS, materialize_date: bool = False
+) -> DataFrame:
     """Olympics_Fact: the fact plus ``Date_id`` (NULL when the edition has no date row).
 
     A key-only left lookup: the date side is one column, broadcast after a size check.
     """
-    keys = bounded_broadcast(date.select("Date_id"), date_max_rows)
+    keys = bounded_broadcast(date.select("Date_id"), date_max_rows, materialize=materialize_date)
     return fact.join(keys, F.col("EditionID") == F.col("Date_id"), "left")
 
 

@@ -137,14 +137,20 @@ def date_dim(games: DataFrame) -> DataFrame:
     )
 
 
-def fact_table(events: DataFrame, tally: DataFrame, tally_max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def fact_table(
+    events: DataFrame,
+    tally: DataFrame,
+    tally_max_rows: int = DEFAULT_BROADCAST_ROWS,
+    materialize_tally: bool = False,
+) -> DataFrame:
     """Fact_Table(EditionID, CountryNOC, ResultID, AthleteID, Position, MedalAthlete,
     GoldMedals, SilverMedals, BronzeMedals, TotalMedals).
 
     Inner join of athlete-event rows to the medal tally on (country, edition):
     rows without a tally are dropped, and the tally repeats on every row. The
     tally has one row per (country, edition), so it is broadcast once its size
-    is checked; the event rows are never shuffled for this join.
+    is checked; the event rows are never shuffled for this join. Set
+    ``materialize_tally`` when the tally is computed rather than read from files.
     """
     t = tally.select(
         F.col("edition_id").alias("__ed_id"),
@@ -156,7 +162,7 @@ def fact_table(events: DataFrame, tally: DataFrame, tally_max_rows: int = DEFAUL
     )
     e = events.select("edition_id", "country_noc", "result_id", "athlete_id", "pos", "medal")
     joined = e.join(
-        bounded_broadcast(t, tally_max_rows),
+        bounded_broadcast(t, tally_max_rows, materialize=materialize_tally),
         (F.col("country_noc") == F.col("__noc")) & (F.col("edition_id") == F.col("__ed_id")),
         "inner",
     )
