@@ -70,30 +70,43 @@ def build_silver(spark: SparkSession, paths: LakePaths) -> dict[str, str]:
 
 
 def build_gold(
-    spark: SparkSession, paths: LakePaths, database: str = GOLD_DATABASE, managed: bool = False
+    spark: SparkSession,
+    paths: LakePaths,
+    database: str = GOLD_DATABASE,
+    managed: bool = False,
+    fact_partition_by: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Gold: publish the dimensions, the dated fact and the mart (table + Parquet each).
 
-    Returns the published mart, read back from its Parquet files.
+    ``fact_partition_by=("EditionID",)`` lays the published fact out by edition
+    (a few dozen folders) so per-edition readers prune partitions; off by default
+    to keep the published layout flat. Returns the published mart, read back
+    from its Parquet files.
     """
     ensure_database(spark, database)
 
     def s(k: str) -> DataFrame:
         return load_parquet(spark, paths.silver(k))
 
-    def pub(k: str, df: DataFrame) -> DataFrame:
-        return publish(spark, df, f"{database}.{GOLD[k][0]}", paths.gold(k), managed=managed)
+    def pub(k: str, df: DataFrame, partition_by=None) -> DataFrame:
+        return publish(
+            spark, df, f"{database}.{GOLD[k][0]}", paths.gold(k), managed=managed, partition_by=partition_by
+        )
 
     for k in ("athlete", "games", "results", "country", "date"):
         pub(k, s(k))
-    pub("fact", gold.fact_with_date(s("fact"), s("date")))
+    pub("fact", gold.fact_with_date(s("fact"), s("date")), fact_partition_by)
     return pub("mart", gold.participation_mart(s("fact"), s("athlete"), s("country"), s("games"), s("date")))
 
 
 def run_stages(
-    spark: SparkSession, paths: LakePaths, database: str = GOLD_DATABASE, managed: bool = False
+    spark: SparkSession,
+    paths: LakePaths,
+    database: str = GOLD_DATABASE,
+    managed: bool = False,
+    fact_partition_by: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Bronze, then silver, then gold; returns the published mart."""
     land_bronze(spark, paths)
     build_silver(spark, paths)
-    return build_gold(spark, paths, database, managed)
+    return build_gold(spark, paths, database, managed, fact_partition_by)

@@ -6,6 +6,8 @@ native ``parquet`` provider, never ``format("hive")``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -38,25 +40,32 @@ def publish(
     path: str,
     mode: str = "overwrite",
     managed: bool = False,
+    partition_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Publish one frame both as Parquet files and as a catalog table.
 
     The plan runs once: the Parquet write is the only computation. The table is
     then either an external table over those files (default, no copy) or a
     managed copy made from the written files (``managed=True``), never a second
-    run of the lineage. Returns the published data read back from ``path``.
+    run of the lineage. ``partition_by`` lays the files out by those columns so
+    readers filtering on them skip whole folders. Returns the published data,
+    read back from ``path``.
     """
-    save_parquet(df, path, mode=mode)
+    save_parquet(df, path, mode=mode, partition_by=partition_by)
     written = spark.read.parquet(path)
     if managed:
-        save_table(written, table, mode=mode)
-    else:
-        if mode == "overwrite":
-            spark.sql(f"DROP TABLE IF EXISTS {_q(table)}")
-        if not spark.catalog.tableExists(table):
-            spark.sql(f"CREATE TABLE {_q(table)} USING PARQUET LOCATION {_path_literal(path)}")
-        else:
-            spark.sql(f"REFRESH TABLE {_q(table)}")
+        writer = written.write.format("parquet").mode(mode)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.saveAsTable(table)
+        return written
+    if mode == "overwrite":
+        spark.sql(f"DROP TABLE IF EXISTS {_q(table)}")
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"CREATE TABLE {_q(table)} USING PARQUET LOCATION {_path_literal(path)}")
+    if partition_by:
+        spark.sql(f"ALTER TABLE {_q(table)} RECOVER PARTITIONS")
+    spark.sql(f"REFRESH TABLE {_q(table)}")
     return written
 
 

@@ -93,3 +93,18 @@ def test_stream_lands_each_file_once(spark, sf_small):
     land_available(spark, f"{root}/in", f"{root}/bronze", f"{root}/ckpt", cols)
     extra = tally.filter("country_noc = 'NATION_3'").count()
     assert extra > 0 and spark.read.parquet(landed).count() == n + extra
+
+
+def test_rerun_is_idempotent_and_partitioned_fact_prunes(spark, sf_small):
+    paths = LakePaths.under(scratch_path(spark, "rerun"))
+    t = roles.Tables(spark, sf_small)
+    for name, build in roles.BUILDERS.items():
+        save_csv(build(t), f"{paths.csv_root}/{name}.csv")
+    first = sorted(map(tuple, stages.run_stages(spark, paths, database="gold_rerun").collect()))
+    again = stages.run_stages(spark, paths, database="gold_rerun", fact_partition_by=("EditionID",))
+    assert sorted(map(tuple, again.collect())) == first
+    fact = spark.table("gold_rerun.Olympics_Fact")
+    one = fact.filter("EditionID = 3")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(EditionID" in plan and "(EditionID" in plan
+    assert one.count() == spark.read.parquet(paths.gold("fact")).filter("EditionID = 3").count() > 0
