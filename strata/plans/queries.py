@@ -281,8 +281,9 @@ def unmatched_keys(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _write_role_csvs(spark: SparkSession, t: roles.Tables, csv_root: str, names) -> None:
-    for name in names:
-        sinks.save_csv(roles.BUILDERS[name](t), f"{csv_root}/{name}.csv")
+    stages.run_together(
+        {name: (lambda name=name: sinks.save_csv(roles.BUILDERS[name](t), f"{csv_root}/{name}.csv")) for name in names}
+    )
 
 
 def bronze_round_trip(spark: SparkSession, d: str) -> DataFrame:

@@ -2,11 +2,16 @@
 
 Written Parquet is the hand-off between stages, which also cuts the lineage:
 a lost executor recomputes at most one stage's tasks, never the whole chain.
-Every stage raises on the first error, so a failed stage stops the later ones.
+Within a stage the outputs are independent, so their jobs are submitted
+together and Spark runs them side by side (small dimension writes overlap the
+big fact write instead of queueing behind it). A stage raises if any of its
+jobs failed, so a failed stage stops the later ones.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +23,19 @@ from strata.sinks.files import save_parquet
 from strata.sources.files import list_files, load_parquet, read_csv_strings
 
 
+# Jobs of one stage submitted at once (Spark schedules their tasks together).
+MAX_CONCURRENT_JOBS = 8
+
+
+def run_together(jobs: dict[str, Callable[[], object]]) -> dict[str, object]:
+    """Run independent Spark actions concurrently; re-raise the first failure."""
+    if not jobs:
+        return {}
+    with ThreadPoolExecutor(max_workers=min(MAX_CONCURRENT_JOBS, len(jobs))) as pool:
+        futures = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def _path(uri: str) -> str:
     return urlparse(uri).path.rstrip("/")
 
@@ -41,10 +59,11 @@ def csv_datasets(spark: SparkSession, csv_root: str) -> dict[str, str]:
 
 def land_bronze(spark: SparkSession, paths: LakePaths) -> dict[str, str]:
     """Bronze: each CSV dataset → ``X_parquet``, every column a string. One map-only job each."""
-    landed = {}
-    for name, location in sorted(csv_datasets(spark, paths.csv_root).items()):
-        landed[name] = save_parquet(read_csv_strings(spark, location), paths.bronze(name))
-    return landed
+    jobs = {
+        name: (lambda name=name, location=location: save_parquet(read_csv_strings(spark, location), paths.bronze(name)))
+        for name, location in sorted(csv_datasets(spark, paths.csv_root).items())
+    }
+    return run_together(jobs)
 
 
 def silver_frames(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
@@ -66,7 +85,8 @@ def silver_frames(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]
 
 
 def build_silver(spark: SparkSession, paths: LakePaths) -> dict[str, str]:
-    return {k: save_parquet(df, paths.silver(k)) for k, df in silver_frames(spark, paths).items()}
+    frames = silver_frames(spark, paths)
+    return run_together({k: (lambda k=k, df=df: save_parquet(df, paths.silver(k))) for k, df in frames.items()})
 
 
 def build_gold(
@@ -93,10 +113,14 @@ def build_gold(
             spark, df, f"{database}.{GOLD[k][0]}", paths.gold(k), managed=managed, partition_by=partition_by
         )
 
-    for k in ("athlete", "games", "results", "country", "date"):
-        pub(k, s(k))
-    pub("fact", gold.fact_with_date(s("fact"), s("date")), fact_partition_by)
-    return pub("mart", gold.participation_mart(s("fact"), s("athlete"), s("country"), s("games"), s("date")))
+    jobs: dict[str, Callable[[], DataFrame]] = {
+        k: (lambda k=k: pub(k, s(k))) for k in ("athlete", "games", "results", "country", "date")
+    }
+    jobs["fact"] = lambda: pub("fact", gold.fact_with_date(s("fact"), s("date")), fact_partition_by)
+    jobs["mart"] = lambda: pub(
+        "mart", gold.participation_mart(s("fact"), s("athlete"), s("country"), s("games"), s("date"))
+    )
+    return run_together(jobs)["mart"]
 
 
 def run_stages(
