@@ -108,3 +108,19 @@ def test_rerun_is_idempotent_and_partitioned_fact_prunes(spark, sf_small):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(EditionID" in plan and "(EditionID" in plan
     assert one.count() == spark.read.parquet(paths.gold("fact")).filter("EditionID = 3").count() > 0
+
+
+def test_cli_runs_each_stage_and_fails_cleanly(spark, sf_small, capsys):
+    from strata.__main__ import main
+
+    lake = scratch_path(spark, "cli")
+    csv_root = f"{lake}/csv"
+    t = roles.Tables(spark, sf_small)
+    for name, build in roles.BUILDERS.items():
+        save_csv(build(t), f"{csv_root}/{name}.csv")
+    for stage in ("bronze", "silver", "gold"):
+        assert main([stage, "--lake", lake, "--csv", csv_root, "--database", "gold_cli"], spark=spark) == 0
+    assert spark.table("gold_cli.BusinessLogic").count() > 0
+    missing = scratch_path(spark, "cli-missing")
+    assert main(["bronze", "--lake", missing, "--csv", f"{missing}/nothing"], spark=spark) == 1
+    assert "FileNotFoundError" in capsys.readouterr().err
