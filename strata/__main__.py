@@ -1,6 +1,6 @@
 """Command line: run one stage (or all) as its own Spark application.
 
-    spark-submit --py-files strata.zip -m strata bronze|silver|gold|all [--lake URI] [--csv URI]
+    spark-submit --py-files strata.zip strata/__main__.py bronze|silver|gold|all [--lake URI] [--csv URI]
     python -m strata all --lake file:/data/lake --csv file:/Input_Data
 
 Roots default to ``STRATA_LAKE_ROOT`` / ``STRATA_CSV_ROOT``. Master, memory and
