@@ -79,8 +79,8 @@ def participation_stats(fact: DataFrame, athlete: DataFrame) -> DataFrame:
     """
     keys = ["CountryNOC", "EditionID", *_MEDALS]
     per_athlete = fact.groupBy("AthleteID", *keys).agg(F.count(F.lit(1)).alias(_ROWS))
-    bio = athlete.select(F.col("AthleteID").alias("__bio_id"), "Sex", "Height", "Weight")
-    joined = per_athlete.join(bio, F.col("AthleteID") == F.col("__bio_id"), "left")
+    bio = athlete.select(F.col("AthleteID").alias("__athlete_key"), "Sex", "Height", "Weight")
+    joined = per_athlete.join(bio, F.col("AthleteID") == F.col("__athlete_key"), "left")
 
     rows = F.col(_ROWS)
 
@@ -136,15 +136,15 @@ def participation_mart(
     listed twice yields two rows (one per country name) unless ``dedupe_country``.
     """
     stats = participation_stats(fact, athlete)
-    countries = country.select(F.col("noc").alias("__noc"), F.col("country").alias("ParticipateCountry"))
+    countries = country.select(F.col("noc").alias("__country_code"), F.col("country").alias("ParticipateCountry"))
     if dedupe_country:
-        countries = keep_one(countries, ["__noc"])
+        countries = keep_one(countries, ["__country_code"])
     editions = games.select(
         F.col("EditionID").alias("__edition"), "EditionName", "FlagURL", "HostCountry", "HostCity"
     )
     years = date.select(F.col("Date_id").alias("__date_id"), F.col("year").alias("Year"))
     out = (
-        stats.join(countries, F.col("CountryNOC") == F.col("__noc"), "inner")
+        stats.join(countries, F.col("CountryNOC") == F.col("__country_code"), "inner")
         .join(editions, F.col("EditionID") == F.col("__edition"), "inner")
         .join(years, F.col("EditionID") == F.col("__date_id"), "inner")
     )

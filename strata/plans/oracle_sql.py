@@ -158,8 +158,8 @@ cte(
 )
 cte(
     "ev_one",
-    """SELECT df_result_id, isTeamSport, event FROM (
-        SELECT result_id AS df_result_id, isTeamSport, event,
+    """SELECT event_result_id, isTeamSport, event FROM (
+        SELECT result_id AS event_result_id, isTeamSport, event,
                row_number() OVER (PARTITION BY result_id
                                   ORDER BY isTeamSport NULLS FIRST, event NULLS FIRST) AS rn
         FROM (SELECT DISTINCT result_id, isTeamSport, event FROM r_events) d) x
@@ -172,7 +172,7 @@ cte(
         r.sport AS Sport, r.sport_url AS SportURL, {parse_text_date('r.result_date')} AS ResultDate,
         r.result_location AS ResultLocation, r.result_participants AS ResultParticipants,
         TRY_CAST(e.isTeamSport AS BOOLEAN) AS IsTeamSport
-    FROM r_results r LEFT JOIN ev_one e ON r.result_id = e.df_result_id
+    FROM r_results r LEFT JOIN ev_one e ON r.result_id = e.event_result_id
     WHERE regexp_matches(r.result_id, '^[0-9]+$') AND r.result_location IS NOT NULL
       AND {parse_text_date('r.result_date')} IS NOT NULL""",
     "r_results",
@@ -204,8 +204,8 @@ cte(
 cte(
     "g_medals",
     """SELECT CountryNOC, EditionID,
-        CAST(GoldMedals AS BIGINT) AS total_gold, CAST(SilverMedals AS BIGINT) AS total_silver,
-        CAST(BronzeMedals AS BIGINT) AS total_bronze
+        CAST(GoldMedals AS BIGINT) AS g, CAST(SilverMedals AS BIGINT) AS s,
+        CAST(BronzeMedals AS BIGINT) AS b
     FROM (SELECT *, row_number() OVER (PARTITION BY CountryNOC, EditionID
                    ORDER BY GoldMedals NULLS FIRST, SilverMedals NULLS FIRST, BronzeMedals NULLS FIRST) AS rn
           FROM s_fact) f
@@ -214,10 +214,10 @@ cte(
 )
 cte(
     "g_stats",
-    """SELECT f.CountryNOC AS NOC, f.EditionID AS edition_id,
-        count(f.AthleteID) AS total_athletes, avg(a.Height) AS avg_height, avg(a.Weight) AS avg_weight,
-        sum(CASE WHEN a.Sex = 1 THEN 1 ELSE 0 END) AS male_athletes,
-        sum(CASE WHEN a.Sex = 0 THEN 1 ELSE 0 END) AS female_athletes
+    """SELECT f.CountryNOC AS country_code, f.EditionID AS edition,
+        count(f.AthleteID) AS rows_with_athlete, avg(a.Height) AS mean_h, avg(a.Weight) AS mean_w,
+        sum(CASE WHEN a.Sex = 1 THEN 1 ELSE 0 END) AS men,
+        sum(CASE WHEN a.Sex = 0 THEN 1 ELSE 0 END) AS women
     FROM s_fact f LEFT JOIN s_athlete a ON f.AthleteID = a.AthleteID
     GROUP BY f.CountryNOC, f.EditionID""",
     "s_fact",
@@ -253,18 +253,17 @@ def oracle(key: str, body: str, *names: str) -> None:
 
 oracle(
     "participation_mart",
-    """SELECT s.edition_id AS EditionID, g.EditionName, g.FlagURL, g.HostCountry, g.HostCity,
+    """SELECT s.edition AS EditionID, g.EditionName, g.FlagURL, g.HostCountry, g.HostCity,
         c.country AS ParticipateCountry, d.year AS Year,
-        s.avg_height AS AverageHeight, s.avg_weight AS AverageWeight,
-        CAST(s.male_athletes AS BIGINT) AS MaleAthletes, CAST(s.female_athletes AS BIGINT) AS FemaleAthletes,
-        CAST(s.total_athletes AS BIGINT) AS TotalAthletes,
-        m.total_gold AS TotalGold, m.total_silver AS TotalSilver, m.total_bronze AS TotalBronze,
-        m.total_gold + m.total_silver + m.total_bronze AS TotalMedals
+        s.mean_h AS AverageHeight, s.mean_w AS AverageWeight,
+        CAST(s.men AS BIGINT) AS MaleAthletes, CAST(s.women AS BIGINT) AS FemaleAthletes,
+        CAST(s.rows_with_athlete AS BIGINT) AS TotalAthletes,
+        m.g AS TotalGold, m.s AS TotalSilver, m.b AS TotalBronze, m.g + m.s + m.b AS TotalMedals
     FROM g_stats s
-    JOIN g_medals m ON s.edition_id = m.EditionID AND s.NOC = m.CountryNOC
-    JOIN s_country c ON s.NOC = c.noc
-    JOIN s_games g ON s.edition_id = g.EditionID
-    JOIN s_date d ON s.edition_id = d.Date_id""",
+    JOIN g_medals m ON s.edition = m.EditionID AND s.country_code = m.CountryNOC
+    JOIN s_country c ON s.country_code = c.noc
+    JOIN s_games g ON s.edition = g.EditionID
+    JOIN s_date d ON s.edition = d.Date_id""",
     "g_stats",
     "g_medals",
     "s_country",
@@ -336,7 +335,7 @@ oracle(
     "r_bio",
 )
 oracle("distinct_projection", "SELECT DISTINCT result_id, isTeamSport, event FROM r_events", "r_events")
-oracle("keep_one_per_key", "SELECT df_result_id, isTeamSport, event FROM ev_one", "ev_one")
+oracle("keep_one_per_key", "SELECT event_result_id, isTeamSport, event FROM ev_one", "ev_one")
 oracle(
     "keep_one_per_composite",
     """SELECT CountryNOC, EditionID, GoldMedals, SilverMedals, BronzeMedals FROM (
@@ -403,8 +402,7 @@ oracle(
 )
 oracle(
     "grouped_sum",
-    """SELECT CountryNOC, EditionID, total_gold AS TotalGold, total_silver AS TotalSilver,
-        total_bronze AS TotalBronze, total_gold + total_silver + total_bronze AS TotalMedals
+    """SELECT CountryNOC, EditionID, g AS TotalGold, s AS TotalSilver, b AS TotalBronze, g + s + b AS TotalMedals
     FROM g_medals""",
     "g_medals",
 )
@@ -418,21 +416,21 @@ oracle(
 )
 oracle(
     "grouped_avg",
-    "SELECT Nationality, avg(Height) AS avg_height, avg(Weight) AS avg_weight FROM s_athlete GROUP BY Nationality",
+    "SELECT Nationality, avg(Height) AS mean_height, avg(Weight) AS mean_weight FROM s_athlete GROUP BY Nationality",
     "s_athlete",
 )
 oracle(
     "conditional_count",
     """SELECT Nationality,
-        CAST(sum(CASE WHEN Sex = 1 THEN 1 ELSE 0 END) AS BIGINT) AS male_athletes,
-        CAST(sum(CASE WHEN Sex = 0 THEN 1 ELSE 0 END) AS BIGINT) AS female_athletes
+        CAST(sum(CASE WHEN Sex = 1 THEN 1 ELSE 0 END) AS BIGINT) AS men,
+        CAST(sum(CASE WHEN Sex = 0 THEN 1 ELSE 0 END) AS BIGINT) AS women
     FROM s_athlete GROUP BY Nationality""",
     "s_athlete",
 )
 oracle(
     "results_event_join",
-    """SELECT r.result_id, r.result_location, e.df_result_id, e.isTeamSport, e.event
-    FROM r_results r LEFT JOIN ev_one e ON r.result_id = e.df_result_id
+    """SELECT r.result_id, r.result_location, e.event_result_id, e.isTeamSport, e.event
+    FROM r_results r LEFT JOIN ev_one e ON r.result_id = e.event_result_id
     WHERE regexp_matches(r.result_id, '^[0-9]+$')""",
     "r_results",
     "ev_one",

@@ -231,12 +231,12 @@ def grouped_count_nonnull(spark: SparkSession, d: str) -> DataFrame:
     # count(AthleteID) per athlete first (combined map-side, so a hot athlete id is
     # collapsed before any shuffle), then the lookup, then the per-key sums
     per_athlete = fact_of(t).groupBy("CountryNOC", "EditionID", "AthleteID").agg(F.count("AthleteID").alias("__n"))
-    bio = athlete_dim_of(t).select(F.col("AthleteID").alias("__bio_id"))
-    joined = per_athlete.join(bio, F.col("AthleteID") == F.col("__bio_id"), "left")
+    bio = athlete_dim_of(t).select(F.col("AthleteID").alias("__athlete_key"))
+    joined = per_athlete.join(bio, F.col("AthleteID") == F.col("__athlete_key"), "left")
     zero = F.lit(0).cast("long")
     return joined.groupBy("CountryNOC", "EditionID").agg(
         F.coalesce(F.sum("__n"), zero).alias("athlete_rows"),
-        F.coalesce(F.sum(F.when(F.col("__bio_id").isNotNull(), F.col("__n"))), zero).alias("known_athlete_rows"),
+        F.coalesce(F.sum(F.when(F.col("__athlete_key").isNotNull(), F.col("__n"))), zero).alias("known_athlete_rows"),
     )
 
 
@@ -244,7 +244,7 @@ def grouped_avg(spark: SparkSession, d: str) -> DataFrame:
     """A4: average height and weight per nationality (NULLs ignored)."""
     athlete = athlete_dim_of(_tables(spark, d))
     return athlete.groupBy("Nationality").agg(
-        F.avg("Height").alias("avg_height"), F.avg("Weight").alias("avg_weight")
+        F.avg("Height").alias("mean_height"), F.avg("Weight").alias("mean_weight")
     )
 
 
@@ -252,8 +252,8 @@ def conditional_count(spark: SparkSession, d: str) -> DataFrame:
     """Male and female athletes per nationality; 0, not NULL, when none."""
     athlete = athlete_dim_of(_tables(spark, d))
     return athlete.groupBy("Nationality").agg(
-        X.count_where(F.col("Sex") == 1).alias("male_athletes"),
-        X.count_where(F.col("Sex") == 0).alias("female_athletes"),
+        X.count_where(F.col("Sex") == 1).alias("men"),
+        X.count_where(F.col("Sex") == 0).alias("women"),
     )
 
 
@@ -261,8 +261,8 @@ def results_event_join(spark: SparkSession, d: str) -> DataFrame:
     """Numeric results ⟕ one event row per result id (raw string keys)."""
     t = _tables(spark, d)
     res = roles.results(t).filter(F.col("result_id").rlike(silver.NUMERIC_ID))
-    joined = res.join(silver.event_per_result(roles.event_results(t)), F.col("result_id") == F.col("df_result_id"), "left")
-    return joined.select("result_id", "result_location", "df_result_id", "isTeamSport", "event")
+    joined = res.join(silver.event_per_result(roles.event_results(t)), F.col("result_id") == F.col("event_result_id"), "left")
+    return joined.select("result_id", "result_location", "event_result_id", "isTeamSport", "event")
 
 
 def unmatched_keys(spark: SparkSession, d: str) -> DataFrame:

@@ -66,8 +66,8 @@ def games_dim(games: DataFrame, country: DataFrame) -> DataFrame:
     Left join on the host code: an unknown host keeps its row with a NULL
     ``HostCountry``; a duplicated code repeats the edition.
     """
-    hosts = country.select(F.col("noc").alias("__noc"), F.col("country").alias("__host_country"))
-    joined = games.join(hosts, F.col("country_noc") == F.col("__noc"), "left")
+    hosts = country.select(F.col("noc").alias("__host_code"), F.col("country").alias("__host_country"))
+    joined = games.join(hosts, F.col("country_noc") == F.col("__host_code"), "left")
     return joined.select(
         to_int_lenient("edition_id").alias("EditionID"),
         F.col("edition").alias("EditionName"),
@@ -79,12 +79,12 @@ def games_dim(games: DataFrame, country: DataFrame) -> DataFrame:
 
 
 def event_per_result(events: DataFrame) -> DataFrame:
-    """(df_result_id, isTeamSport, event): one row per result id.
+    """(event_result_id, isTeamSport, event): one row per result id.
 
     Distinct rows, then one survivor per id — done as a single aggregation, as
     ``min`` does not change under duplicate rows.
     """
-    return keep_one(events.select(F.col("result_id").alias("df_result_id"), "isTeamSport", "event"), ["df_result_id"])
+    return keep_one(events.select(F.col("result_id").alias("event_result_id"), "isTeamSport", "event"), ["event_result_id"])
 
 
 def results_dim(results: DataFrame, events: DataFrame) -> DataFrame:
@@ -95,7 +95,7 @@ def results_dim(results: DataFrame, events: DataFrame) -> DataFrame:
     location or without a parseable date inside the date text are dropped.
     """
     numeric = results.filter(F.col("result_id").rlike(NUMERIC_ID))
-    joined = numeric.join(event_per_result(events), F.col("result_id") == F.col("df_result_id"), "left")
+    joined = numeric.join(event_per_result(events), F.col("result_id") == F.col("event_result_id"), "left")
     kept = drop_null(joined, ["result_location"]).withColumn("result_date", parse_text_date("result_date"))
     return drop_null(kept, ["result_date"]).select(
         to_int_lenient("result_id").alias("ResultID"),
@@ -153,8 +153,8 @@ def fact_table(
     ``materialize_tally`` when the tally is computed rather than read from files.
     """
     t = tally.select(
-        F.col("edition_id").alias("__ed_id"),
-        F.col("country_noc").alias("__noc"),
+        F.col("edition_id").alias("__tally_edition"),
+        F.col("country_noc").alias("__tally_country"),
         "gold",
         "silver",
         "bronze",
@@ -163,7 +163,7 @@ def fact_table(
     e = events.select("edition_id", "country_noc", "result_id", "athlete_id", "pos", "medal")
     joined = e.join(
         bounded_broadcast(t, tally_max_rows, materialize=materialize_tally),
-        (F.col("country_noc") == F.col("__noc")) & (F.col("edition_id") == F.col("__ed_id")),
+        (F.col("country_noc") == F.col("__tally_country")) & (F.col("edition_id") == F.col("__tally_edition")),
         "inner",
     )
     typed = joined.select(
