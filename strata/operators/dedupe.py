@@ -22,13 +22,20 @@ def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
     return (df.select(*cols) if cols else df).distinct()
 
 
-def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+def keep_one(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None, dedupe_first: bool = False
+) -> DataFrame:
     """One row per ``keys``: the row whose ``order`` columns (default: all others) are smallest.
 
-    Columns come back in the input order. A ``distinct()`` in front is not needed:
-    ``min`` is unchanged by duplicate rows, so one aggregation does both.
+    Columns come back in the input order. A ``distinct()`` in front is not needed
+    for the result (``min`` is unchanged by duplicate rows). ``dedupe_first``
+    adds one for speed when rows repeat a lot (a value copied onto every row of
+    its key): the hash ``distinct`` collapses the copies map-side and the
+    struct ``min`` — a sort-based aggregate — then sees only distinct rows.
     """
     keys = list(keys)
+    if dedupe_first:
+        df = df.distinct()
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()

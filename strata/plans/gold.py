@@ -56,6 +56,7 @@ def medals_per_key(fact: DataFrame) -> DataFrame:
     one = keep_one(
         fact.select("CountryNOC", "EditionID", "GoldMedals", "SilverMedals", "BronzeMedals"),
         ["CountryNOC", "EditionID"],
+        dedupe_first=True,
     )
     summed = one.groupBy("CountryNOC", "EditionID").agg(
         F.sum("GoldMedals").alias("TotalGold"),

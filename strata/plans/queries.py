@@ -183,6 +183,7 @@ def keep_one_per_composite(spark: SparkSession, d: str) -> DataFrame:
     return dedupe.keep_one(
         fact.select("CountryNOC", "EditionID", "GoldMedals", "SilverMedals", "BronzeMedals"),
         ["CountryNOC", "EditionID"],
+        dedupe_first=True,
     )
 
 
