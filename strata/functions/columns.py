@@ -14,7 +14,7 @@ ColumnOrName = Column | str
 
 # --- Fixed values: patterns and formats of the source data -------------------
 INT_TEXT = r"^\s*([+-]?\d+)(\.\d*)?\s*$"  # '171', ' 171 ', '171.5' (fraction truncated)
-FRACTION_ONLY_TEXT = r"^\s*[+-]?\.\d+\s*$"  # '.5', '-.5' → 0 under the non-ANSI cast
+FRACTION_ONLY_TEXT = r"^\s*[+-]?\.\d*\s*$"  # '.5', '-.5', '.' → 0 under the non-ANSI cast
 DATE_IN_TEXT = r"(\d{1,2} \w+ \d{4})"  # first 'd Month yyyy' inside free text
 DAY_MONTH_PREFIX = r"^(\d{1,2} \w+)"  # 'd Month' at the start, anything after is ignored
 DATE_FORMAT = "d MMMM yyyy"
@@ -31,8 +31,8 @@ def _col(c: ColumnOrName) -> Column:
 def to_int_lenient(c: ColumnOrName) -> Column:
     """String → int with the non-ANSI cast result: NULL (never an error) on bad text.
 
-    ``'171'``/``' 171 '``/``'171.5'`` → 171, ``'.5'`` → 0, ``'62-64'``/``'1e2'``/
-    ``''``/out-of-range → NULL.
+    ``'171'``/``' 171 '``/``'171.5'`` → 171, ``'.5'``/``'.'`` → 0, ``'62-64'``/``'1e2'``/
+    ``''``/out-of-range → NULL. Checked against Spark's own non-ANSI cast in the tests.
     """
     c = _col(c)
     digits = F.nullif(F.regexp_extract(c, INT_TEXT, 1), F.lit(""))

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 def to_int(x: str) -> str:
     return (
-        f"(CASE WHEN regexp_matches({x}, '^\\s*[+-]?\\.\\d+\\s*$') THEN 0 "
+        f"(CASE WHEN regexp_matches({x}, '^\\s*[+-]?\\.\\d*\\s*$') THEN 0 "
         f"ELSE TRY_CAST(NULLIF(regexp_extract({x}, '^\\s*([+-]?\\d+)(\\.\\d*)?\\s*$', 1), '') AS INTEGER) END)"
     )
 

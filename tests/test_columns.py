@@ -53,3 +53,27 @@ def test_count_where_is_zero_not_null(spark):
 def test_total_is_null_when_a_part_is_null(spark):
     df = spark.createDataFrame([(1, None, 1), (1, 2, 3)], "g int, s int, b int")
     assert [r[0] for r in df.select(X.total_of("g", "s", "b")).collect()] == [None, 6]
+
+
+def test_to_int_lenient_equals_spark_non_ansi_cast_on_random_text(spark):
+    # ground truth: Spark's own cast with ANSI off (the semantics the pipeline was written for)
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    text = st.text(alphabet=list("0123456789+-. e\t"), max_size=8) | st.sampled_from(
+        ["2147483647", "2147483648", "-2147483648", "-2147483649", "99999999999", ".", " . ", "5.", "-.5"]
+    )
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(text, min_size=50, max_size=200))
+    def check(values):
+        df = spark.createDataFrame([(v,) for v in values], "s string")
+        lenient = [r[0] for r in df.select(X.to_int_lenient("s")).collect()]
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        try:
+            legacy = [r[0] for r in df.select(F.col("s").cast("int")).collect()]
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", "true")
+        assert lenient == legacy, [(v, a, b) for v, a, b in zip(values, lenient, legacy) if a != b][:5]
+
+    check()
