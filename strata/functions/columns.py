@@ -16,9 +16,10 @@ ColumnOrName = Column | str
 INT_TEXT = r"^\s*([+-]?\d+)(\.\d*)?\s*$"  # '171', ' 171 ', '171.5' (fraction truncated)
 FRACTION_ONLY_TEXT = r"^\s*[+-]?\.\d*\s*$"  # '.5', '-.5', '.' → 0 under the non-ANSI cast
 DATE_IN_TEXT = r"(\d{1,2} \w+ \d{4})"  # first 'd Month yyyy' inside free text
-DAY_MONTH_PREFIX = r"^(\d{1,2} \w+)"  # 'd Month' at the start, anything after is ignored
-DATE_FORMAT = "d MMMM yyyy"
-DAY_MONTH_FORMAT = "d MMMM"
+MONTHS = (
+    "January", "February", "March", "April", "May", "June",
+    "July", "August", "September", "October", "November", "December",
+)
 MALE = "Male"
 NO_MEDAL = "NoMedal"
 # -----------------------------------------------------------------------------
@@ -52,9 +53,37 @@ def extract_date_text(c: ColumnOrName) -> Column:
     return F.regexp_extract(_col(c), DATE_IN_TEXT, 1)
 
 
-def parse_date(c: ColumnOrName, fmt: str = DATE_FORMAT) -> Column:
-    """Date from text; NULL (not an error) for empty or impossible dates."""
-    return F.try_to_date(_col(c), fmt)
+# The legacy ``d MMMM yyyy`` / ``d MMMM`` parser (SimpleDateFormat, not lenient):
+# leading blanks skipped, day and year any number of digits, the month a full or
+# three-letter English name in any case (longest name wins), anything after the
+# last field ignored, impossible dates (31 November) rejected.
+_MONTH_NAME = "(?i:" + "|".join(MONTHS) + "|" + "|".join(m[:3] for m in MONTHS) + ")"
+_DAY_MONTH_YEAR = rf"^\s*(\d+) ({_MONTH_NAME}) (\d+)"
+_DAY_MONTH = rf"^\s*(\d+) ({_MONTH_NAME})"
+_NO_YEAR = 1970  # the year a year-less date gets
+
+
+def _month_number(name: Column) -> Column:
+    short = F.lower(F.substring(name, 1, 3))
+    out = None
+    for i, month in enumerate(MONTHS, start=1):
+        hit = short == F.lit(month[:3].lower())
+        out = F.when(hit, F.lit(i)) if out is None else out.when(hit, F.lit(i))
+    return out
+
+
+def _make_date(year: Column, month: Column, day: Column) -> Column:
+    """Date from parts; NULL for impossible dates (no error under ANSI)."""
+    iso = F.format_string("%04d-%02d-%02d", year, month, day)
+    ok = year.isNotNull() & month.isNotNull() & day.isNotNull() & (year >= 1)
+    return F.when(ok, iso.try_cast("date"))
+
+
+def parse_date(c: ColumnOrName) -> Column:
+    """``d MMMM yyyy`` text → date as the legacy parser reads it; NULL when it cannot."""
+    c = _col(c)
+    part = lambda i: F.regexp_extract(c, _DAY_MONTH_YEAR, i)
+    return _make_date(part(3).try_cast("int"), _month_number(part(2)), part(1).try_cast("int"))
 
 
 def parse_text_date(c: ColumnOrName) -> Column:
@@ -67,8 +96,9 @@ def parse_day_month(c: ColumnOrName) -> Column:
 
     ``' 6 April'`` → 1970-04-06, ``'23 July 2021'`` → 1970-07-23, ``'29 February'`` → NULL.
     """
-    head = F.regexp_extract(F.trim(_col(c)), DAY_MONTH_PREFIX, 1)
-    return parse_date(head, DAY_MONTH_FORMAT)
+    c = _col(c)
+    part = lambda i: F.regexp_extract(c, _DAY_MONTH, i)
+    return _make_date(F.lit(_NO_YEAR), _month_number(part(2)), part(1).try_cast("int"))
 
 
 def male_flag(c: ColumnOrName) -> Column:

@@ -19,8 +19,34 @@ def to_int(x: str) -> str:
     )
 
 
+_MONTHS = (
+    "January", "February", "March", "April", "May", "June",
+    "July", "August", "September", "October", "November", "December",
+)
+_MONTH_RE = "(?i:" + "|".join(_MONTHS) + "|" + "|".join(m[:3] for m in _MONTHS) + ")"
+
+
+def _month_number(name: str) -> str:
+    whens = " ".join(f"WHEN '{m[:3].lower()}' THEN {i}" for i, m in enumerate(_MONTHS, start=1))
+    return f"(CASE lower(substr({name}, 1, 3)) {whens} END)"
+
+
+def _make_date(y: str, m: str, d: str) -> str:
+    return (
+        f"(CASE WHEN {y} >= 1 AND {m} IS NOT NULL AND {d} IS NOT NULL "
+        f"THEN TRY_CAST(printf('%04d-%02d-%02d', {y}, {m}, {d}) AS DATE) END)"
+    )
+
+
+def _part(x: str, pattern: str, i: int) -> str:
+    return f"regexp_extract({x}, '{pattern}', {i})"
+
+
 def parse_date(x: str) -> str:
-    return f"CAST(try_strptime({x}, '%d %B %Y') AS DATE)"
+    """Legacy ``d MMMM yyyy`` reading: leading blanks, short or full month, tail ignored."""
+    pat = f"^\\s*(\\d+) ({_MONTH_RE}) (\\d+)"
+    num = lambda i: f"TRY_CAST(NULLIF({_part(x, pat, i)}, '') AS INTEGER)"
+    return _make_date(num(3), _month_number(_part(x, pat, 2)), num(1))
 
 
 def parse_text_date(x: str) -> str:
@@ -28,8 +54,9 @@ def parse_text_date(x: str) -> str:
 
 
 def parse_day_month(x: str) -> str:
-    head = f"NULLIF(regexp_extract(trim({x}), '^(\\d{{1,2}} \\w+)', 1), '')"
-    return f"CAST(try_strptime({head} || ' 1970', '%d %B %Y') AS DATE)"
+    pat = f"^\\s*(\\d+) ({_MONTH_RE})"
+    day = f"TRY_CAST(NULLIF({_part(x, pat, 1)}, '') AS INTEGER)"
+    return _make_date("1970", _month_number(_part(x, pat, 2)), day)
 
 
 def s(x: str) -> str:

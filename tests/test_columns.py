@@ -77,3 +77,45 @@ def test_to_int_lenient_equals_spark_non_ansi_cast_on_random_text(spark):
         assert lenient == legacy, [(v, a, b) for v, a, b in zip(values, lenient, legacy) if a != b][:5]
 
     check()
+
+
+def test_date_parsers_equal_spark_legacy_parser_on_random_text(spark):
+    # ground truth: Spark's LEGACY (SimpleDateFormat) parser, which the pipeline's dates were read with
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    month = st.sampled_from(["April", "april", "APRIL", "Apr", "apr", "May", "Sept", "Sep", "Aprilx", "Mai", "Feb",
+                             "February", "Nov", "November", "Dec"])
+    day = st.sampled_from(["1", "6", "06", "006", "0", "29", "30", "31", "32"])
+    year = st.sampled_from(["1950", "1900", "2000", "50", "0001", "0", "1996"])
+    lead = st.sampled_from(["", " ", "  "])
+    tail = st.sampled_from(["", " x", ",", "x", " 2021"])
+    sep = st.sampled_from([" ", "  "])
+
+    @st.composite
+    def text(draw):
+        return draw(lead) + draw(day) + draw(sep) + draw(month) + " " + draw(year) + draw(tail)
+
+    @st.composite
+    def day_month(draw):
+        return draw(lead) + draw(day) + draw(sep) + draw(month) + draw(tail)
+
+    @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(text(), min_size=80, max_size=150), st.lists(day_month(), min_size=80, max_size=150))
+    def check(full, short):
+        a = spark.createDataFrame([(v,) for v in full], "s string")
+        b = spark.createDataFrame([(v,) for v in short], "s string")
+        mine = [r[0] for r in a.select(X.parse_date("s")).collect()]
+        mine_dm = [r[0] for r in b.select(X.parse_day_month("s")).collect()]
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        spark.conf.set("spark.sql.legacy.timeParserPolicy", "LEGACY")
+        try:
+            legacy = [r[0] for r in a.select(F.to_date("s", "d MMMM yyyy")).collect()]
+            legacy_dm = [r[0] for r in b.select(F.to_date(F.trim("s"), "d MMMM")).collect()]
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", "true")
+            spark.conf.unset("spark.sql.legacy.timeParserPolicy")
+        assert mine == legacy, [(v, x, y) for v, x, y in zip(full, mine, legacy) if x != y][:5]
+        assert mine_dm == legacy_dm, [(v, x, y) for v, x, y in zip(short, mine_dm, legacy_dm) if x != y][:5]
+
+    check()
