@@ -5,15 +5,20 @@ rows in total and by sex, average height and weight, and the medal tally.
 
 Plan (one scan of the fact, one shuffle of it, already combined map-side):
 
-1. fact → group by (AthleteID, CountryNOC, EditionID): row count and the
-   smallest medal struct. Partial aggregation collapses a hot key inside each
-   map task, so no key — not even a third of all rows — reaches one reducer whole.
-2. ⟕ athlete on AthleteID (sort-merge; AQE may broadcast or split skew).
-3. group by (CountryNOC, EditionID): counts and height/weight sums weighted by
-   the row count of step 1, which gives exactly the per-row ``count``/``avg``
-   (integer sums are exact, the division happens once).
-4. join the small aggregate to country (fan-out on a duplicated code, kept),
-   games and dates; these sides are dimension-sized.
+1. fact → group by (AthleteID, CountryNOC, EditionID, medal triple): row count.
+   The triple is constant per (country, edition) — it was joined on from the
+   tally — so it adds no groups, and keeps every big aggregate a hash aggregate.
+   Partial aggregation collapses a hot key inside each map task, so no key — not
+   even one holding a third of all rows — reaches one reducer whole.
+2. ⟕ athlete on AthleteID, on the pre-aggregate (sort-merge at scale; AQE may
+   broadcast it or split skewed partitions).
+3. group by (CountryNOC, EditionID, medal triple): counts and height/weight
+   sums weighted by the row counts of step 1. Integer sums are exact, so the
+   one division at the end equals the per-row ``count``/``avg``.
+4. group by (CountryNOC, EditionID): add up, and keep the smallest triple (the
+   deterministic survivor); this step sees country × edition rows only.
+5. join that small result to country (fan-out on a duplicated code, kept),
+   games and dates.
 """
 
 from __future__ import annotations

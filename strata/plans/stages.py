@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+import posixpath
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,11 +48,21 @@ def csv_datasets(spark: SparkSession, csv_root: str) -> dict[str, str]:
     either way it is read as one dataset. Raises ``FileNotFoundError`` when the
     folder is missing.
     """
-    root = _path(csv_root)
+    # The file index returns qualified URIs while the root may be relative, so
+    # match the root's normalised tail and keep what follows it: X.csv or X.csv/part.
+    tail = posixpath.normpath(_path(csv_root)).lstrip("/")
+    while tail.startswith("../"):
+        tail = tail[3:]
+    root = "/" + tail + "/" if tail not in ("", ".") else "/"
     found: dict[str, str] = {}
     for f in list_files(spark, csv_root, "*.csv", recursive=True):
-        rel = _path(f)[len(root) :].lstrip("/")
-        entry = rel.split("/", 1)[0]
+        full = _path(f)
+        at = full.rfind(root)
+        while at >= 0 and full[at + len(root) :].count("/") > 1:
+            at = full.rfind(root, 0, at)
+        if at < 0:
+            continue
+        entry = full[at + len(root) :].split("/", 1)[0]
         if entry.endswith(".csv"):
             found.setdefault(entry[: -len(".csv")], f"{csv_root.rstrip('/')}/{entry}")
     return found

@@ -124,3 +124,14 @@ def test_cli_runs_each_stage_and_fails_cleanly(spark, sf_small, capsys):
     missing = scratch_path(spark, "cli-missing")
     assert main(["bronze", "--lake", missing, "--csv", f"{missing}/nothing"], spark=spark) == 1
     assert "FileNotFoundError" in capsys.readouterr().err
+
+
+def test_csv_datasets_with_relative_root(spark, tmp_path):
+    (tmp_path / "in" / "B.csv").mkdir(parents=True)
+    (tmp_path / "in" / "A.csv").write_text("a\n1\n")
+    (tmp_path / "in" / "B.csv" / "part-0.csv").write_text("b\n2\n")
+    (tmp_path / "in" / "notes.txt").write_text("x")
+    # relative to the working directory the JVM was started in (the test process's)
+    found = stages.csv_datasets(spark, os.path.relpath(tmp_path / "in"))
+    assert sorted(found) == ["A", "B"]
+    assert read_csv_strings(spark, found["B"]).collect()[0].b == "2"
