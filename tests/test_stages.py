@@ -135,3 +135,14 @@ def test_csv_datasets_with_relative_root(spark, tmp_path):
     found = stages.csv_datasets(spark, os.path.relpath(tmp_path / "in"))
     assert sorted(found) == ["A", "B"]
     assert read_csv_strings(spark, found["B"]).collect()[0].b == "2"
+
+
+def test_external_table_from_ddl_text(spark):
+    root = scratch_path(spark, "ddl")
+    df = spark.createDataFrame([(1, 5)], "EditionID int, TotalAthletes bigint")
+    from strata.sinks import save_parquet
+
+    save_parquet(df, root)
+    spark.sql("CREATE DATABASE IF NOT EXISTS gold_test")
+    t = external_table(spark, "gold_test.ddl_typed", root, "EditionID INT, TotalAthletes BIGINT")
+    assert [tuple(r) for r in t.collect()] == [(1, 5)]
