@@ -481,5 +481,6 @@ oracle(
 # --- sources, sinks and the whole lake --------------------------------------------
 oracle("bronze_round_trip", "SELECT * FROM r_results", "r_results")
 oracle("stream_bronze_landing", "SELECT * FROM r_events", "r_events")
+oracle("stream_silver_fact", "SELECT * FROM s_fact", "s_fact")
 oracle("publish_round_trip", "SELECT * FROM s_athlete", "s_athlete")
 ORACLE["lake_end_to_end"] = ORACLE["participation_mart"]

@@ -304,6 +304,18 @@ def stream_bronze_landing(spark: SparkSession, d: str) -> DataFrame:
     return load_parquet(spark, landed)
 
 
+def stream_silver_fact(spark: SparkSession, d: str) -> DataFrame:
+    """P11f incrementally: event CSV → landing stream → bronze → fact stream (⋈ tally) → silver fact."""
+    root = scratch_path(spark, "stream-fact")
+    t = _tables(spark, d)
+    name = "Olympic_Athlete_Event_Results"
+    sinks.save_csv(roles.event_results(t), f"{root}/incoming")
+    bronze = streaming.land_available(spark, f"{root}/incoming", f"{root}/bronze", f"{root}/_ckpt_land", DATASETS[name])
+    tally = roles.medal_tally(t)
+    fact = streaming.update_fact(spark, bronze, tally, f"{root}/silver_fact", f"{root}/_ckpt_fact")
+    return load_parquet(spark, fact)
+
+
 def publish_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """Athlete dim published once as Parquet + catalog table, read via the catalog."""
     root = scratch_path(spark, "publish")
@@ -354,6 +366,7 @@ QUERIES: dict[str, Query] = {
     "unmatched_keys": unmatched_keys,
     "bronze_round_trip": bronze_round_trip,
     "stream_bronze_landing": stream_bronze_landing,
+    "stream_silver_fact": stream_silver_fact,
     "publish_round_trip": publish_round_trip,
     "lake_end_to_end": lake_end_to_end,
 }

@@ -146,3 +146,25 @@ def test_external_table_from_ddl_text(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS gold_test")
     t = external_table(spark, "gold_test.ddl_typed", root, "EditionID INT, TotalAthletes BIGINT")
     assert [tuple(r) for r in t.collect()] == [(1, 5)]
+
+
+def test_fact_stream_appends_only_new_bronze_files(spark, sf_small):
+    from strata.plans import silver
+    from strata.sinks import save_parquet
+    from strata.streaming import update_fact
+
+    root = scratch_path(spark, "fact-stream-test")
+    t = roles.Tables(spark, sf_small)
+    events, tally = roles.event_results(t), roles.medal_tally(t)
+    early = events.filter("edition_id IN ('1', '2', '3')")
+    late = events.filter("edition_id NOT IN ('1', '2', '3')")
+    save_parquet(early, f"{root}/bronze")
+    fact = update_fact(spark, f"{root}/bronze", tally, f"{root}/fact", f"{root}/ckpt")
+    n_early = spark.read.parquet(fact).count()
+    assert n_early == silver.fact_table(early, tally).count() > 0
+    save_parquet(late, f"{root}/bronze", mode="append")
+    update_fact(spark, f"{root}/bronze", tally, f"{root}/fact", f"{root}/ckpt")
+    update_fact(spark, f"{root}/bronze", tally, f"{root}/fact", f"{root}/ckpt")  # nothing new: no change
+    got = sorted(map(tuple, spark.read.parquet(fact).collect()), key=repr)
+    want = sorted(map(tuple, silver.fact_table(events, tally).collect()), key=repr)
+    assert got == want
