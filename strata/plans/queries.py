@@ -329,7 +329,8 @@ def lake_end_to_end(spark: SparkSession, d: str) -> DataFrame:
     """All six roles as CSV → bronze → silver → gold; the published mart, read back."""
     paths = LakePaths.under(scratch_path(spark, "lake"))
     _write_role_csvs(spark, _tables(spark, d), paths.csv_root, list(roles.BUILDERS))
-    return stages.run_stages(spark, paths)
+    # its own database, so it never touches tables another key published in the same session
+    return stages.run_stages(spark, paths, database=f"{GOLD_DATABASE}_lake")
 
 
 QUERIES: dict[str, Query] = {
