@@ -2,6 +2,8 @@
 
 import re
 
+import pytest
+
 from strata.plans.queries import QUERIES
 
 
@@ -43,3 +45,14 @@ def test_keep_one_is_one_aggregation_per_key(spark, sf_small):
     plan = executed(QUERIES["keep_one_per_key"](spark, sf_small))
     # distinct + survivor pick fused: one exchange keyed on the result id, combined map-side
     assert plan.count("partial_min") == 1
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+             "FlatMapGroupsInPandas", "MapInPandas", "GlobalLimit", "CollectLimit", "LocalLimit", "Sample")
+
+
+@pytest.mark.parametrize("key", sorted(QUERIES))
+def test_no_query_plan_cross_joins_udfs_or_caps_rows(spark, sf_small, key):
+    plan = executed(QUERIES[key](spark, sf_small))
+    found = [op for op in FORBIDDEN if op in plan]
+    assert not found, (key, found)
