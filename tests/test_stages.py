@@ -168,3 +168,41 @@ def test_fact_stream_appends_only_new_bronze_files(spark, sf_small):
     got = sorted(map(tuple, spark.read.parquet(fact).collect()), key=repr)
     want = sorted(map(tuple, silver.fact_table(events, tally).collect()), key=repr)
     assert got == want
+
+
+GAMES_CSV = (
+    "edition,edition_id,edition_url,year,city,country_flag_url,country_noc,start_date,end_date,competition_date,isHeld\r\n"
+    "1896 Summer Olympics,1,/editions/1,1896,Athina,GRE.png,GRE, 6 April,15 April,6 – 13 April,\r\n"
+    "1900 Summer Olympics,2,/editions/2,1900,Paris,FRA.png,FRA,,,14 May – 28 October,\r\n"
+    "1904 Summer Olympics,3,/editions/3,1904,St. Louis,USA.png,USA,14 May,, 1 July – 26 November,\r\n"
+    "1906 Intercalated,4,/editions/4,1906,Athina,GRE.png,GRE,22 April, 2 May,22 April –  2 May,\r\n"
+    "1956 Equestrian,48,/editions/48,1956,Stockholm,SWE.png,SWE,10 June,17 June,11 – 17 June,\r\n"
+    "2020 Summer Olympics,61,/editions/61,2020,Tokyo,JPN.png,JPN,23 July 2021, 8 August 2021,21 July –  8 August 2021,\r\n"
+)
+COUNTRY_CSV = 'noc,country\r\nGRE,Greece\r\nROC,ROC\r\nKOR,"Korea, South"\r\nROC,Russian Olympic Committee\r\n'
+
+
+def test_shipped_shapes_through_bronze_and_silver(spark):
+    # a re-typed sample of the two shipped CSV shapes (CRLF, quoted comma, leading blanks, empty dates)
+    paths = LakePaths.under(scratch_path(spark, "shipped"))
+    os.makedirs(local(paths.csv_root))
+    with open(f"{local(paths.csv_root)}/Olympics_Games.csv", "w", encoding="utf-8", newline="") as f:
+        f.write(GAMES_CSV)
+    with open(f"{local(paths.csv_root)}/Olympics_Country.csv", "w", encoding="utf-8", newline="") as f:
+        f.write(COUNTRY_CSV)
+    stages.land_bronze(spark, paths)
+    games = spark.read.parquet(paths.bronze("Olympics_Games"))
+    country = spark.read.parquet(paths.bronze("Olympics_Country"))
+    from strata.operators import duplicate_keys
+    from strata.plans import silver
+
+    dates = {r.Date_id: tuple(r)[1:] for r in silver.date_dim(games).collect()}
+    assert dates[1] == (1896, 6, 4, 15, 4)
+    assert dates[2] == (1900, None, None, None, None)
+    assert dates[3] == (1904, 14, 5, None, None)
+    assert dates[4] == (1906, 22, 4, 2, 5)
+    assert dates[61] == (2020, 23, 7, 8, 8)
+    hosts = {r.EditionID: r.HostCountry for r in silver.games_dim(games, country).collect()}
+    assert hosts == {1: "Greece", 2: None, 3: None, 4: "Greece", 48: None, 61: None}
+    assert [(r.noc, r["count"]) for r in duplicate_keys(country, ["noc"]).collect()] == [("ROC", 2)]
+    assert country.filter("noc = 'KOR'").collect()[0].country == "Korea, South"
