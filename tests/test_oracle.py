@@ -22,3 +22,16 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, sf_small, con, key):
     res = compare(spark, QUERIES[key], ORACLE[key], sf_small, con)
     assert res["values_match"], res
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_column_types_match_oracle(spark, sf_small, con, key):
+    got = {f.name.lower(): SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+           for f in QUERIES[key](spark, sf_small).schema.fields}
+    rel = con.sql(ORACLE[key])
+    want = {n.lower(): str(t) for n, t in zip(rel.columns, rel.types)}
+    assert got == want
