@@ -21,6 +21,14 @@ from strata.plans import stages
 
 STAGES = ("bronze", "silver", "gold", "all")
 
+# Target bytes per shuffle partition; AQE coalesces smaller ones at runtime.
+TARGET_PARTITION_BYTES = 200 * 1024 * 1024
+
+
+def shuffle_partitions_for(shuffle_bytes: int, target: int = TARGET_PARTITION_BYTES) -> int:
+    """Partitions so that each holds about ``target`` bytes of the largest shuffle."""
+    return max(1, -(-shuffle_bytes // target))
+
 
 def run(spark: SparkSession, stage: str, paths: LakePaths, database: str = GOLD_DATABASE) -> None:
     if stage in ("bronze", "all"):
@@ -38,6 +46,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ap.add_argument("--csv", help="CSV input folder (default $STRATA_CSV_ROOT)")
     ap.add_argument("--database", default=GOLD_DATABASE)
     ap.add_argument("--hive", action="store_true", help="use the Hive metastore for the gold tables")
+    ap.add_argument(
+        "--shuffle-gb",
+        type=float,
+        help="expected size of the largest shuffle (the fact pre-aggregate) in GB; sizes the initial "
+        "shuffle partition count at ~200 MB each (AQE coalesces from there)",
+    )
     args = ap.parse_args(argv)
 
     paths = LakePaths.from_env()
@@ -49,6 +63,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     own = spark is None
     if own:
         builder = SparkSession.builder.appName(f"strata-{args.stage}")
+        if args.shuffle_gb:
+            n = shuffle_partitions_for(int(args.shuffle_gb * 1024**3))
+            builder = builder.config("spark.sql.shuffle.partitions", str(n)).config(
+                "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n)
+            )
         spark = (builder.enableHiveSupport() if args.hive else builder).getOrCreate()
     try:
         run(spark, args.stage, paths, args.database)
