@@ -16,6 +16,7 @@ from strata import sinks, streaming
 from strata.config import DATASETS, GOLD, GOLD_DATABASE, LakePaths
 from strata.functions import columns as X
 from strata.operators import dedupe, impute, quality
+from strata.operators.joins import DEFAULT_BROADCAST_ROWS
 from strata.plans import gold, silver, stages
 from strata.session import scratch_path
 from strata.sources import roles
@@ -270,7 +271,11 @@ def unmatched_keys(spark: SparkSession, d: str) -> DataFrame:
     """Rows each inner join of the pipeline drops, as (join, dropped_rows)."""
     t = _tables(spark, d)
     events, tally = roles.event_results(t), roles.medal_tally(t)
-    no_tally = quality.unmatched(events, tally, ["country_noc", "edition_id"], ["country_noc", "edition_id"])
+    # the tally is small by construction: broadcast its keys (checked), never shuffle the events by key
+    no_tally = quality.unmatched(
+        events, tally, ["country_noc", "edition_id"], ["country_noc", "edition_id"],
+        right_max_rows=DEFAULT_BROADCAST_ROWS, materialize_right=True,
+    )
     stats = gold.participation_stats(fact_of(t), athlete_dim_of(t))
     no_country = quality.unmatched(stats, roles.country(t), ["CountryNOC"], ["noc"])
     return quality.row_count(no_tally, "fact_without_tally").unionByName(
