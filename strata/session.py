@@ -6,7 +6,6 @@ caller's ``SparkSession``. These helpers exist for entry points only.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -63,7 +62,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint dir (never machine-local on a cluster)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/strata-{name}-{uuid.uuid4().hex[:12]}"
-
-
-def bench_cpus() -> str:
-    return os.environ.get("BENCH_CPUS", "8")
