@@ -74,9 +74,11 @@ def cte(name: str, sql: str, *deps: str) -> None:
 
 cte(
     "r_country",
-    f"""SELECT n_name AS noc, 'Country ' || {s('n_nationkey')} AS country FROM nation WHERE n_nationkey <> 24
+    f"""SELECT n_name AS noc, 'Country ' || {s('n_nationkey')} AS country FROM nation
+    WHERE n_nationkey <> 24 AND n_nationkey IN (SELECT DISTINCT CAST(c_custkey % 25 AS INTEGER) FROM customer)
     UNION ALL
-    SELECT n_name AS noc, 'Country ' || {s('n_nationkey')} || ' (bis)' AS country FROM nation WHERE n_nationkey = 3""",
+    SELECT n_name AS noc, 'Country ' || {s('n_nationkey')} || ' (bis)' AS country FROM nation
+    WHERE n_nationkey = 3 AND n_nationkey IN (SELECT DISTINCT CAST(c_custkey % 25 AS INTEGER) FROM customer)""",
 )
 
 cte(

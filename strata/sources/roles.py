@@ -8,7 +8,8 @@ duplicate country code) is injected deterministically from the keys so that the
 SQL oracle builds the very same rows; no row is sampled away.
 
 Mapping: athlete ← customer, result ← order, athlete-event row ← line item,
-edition ← order year, country ← nation (``NATION_k``), medal tally ← order counts.
+edition ← order year, country ← nations of the athletes (``NATION_k``), medal
+tally ← order counts.
 """
 
 from __future__ import annotations
@@ -62,8 +63,12 @@ def _edition_id(year: Column) -> Column:
 
 
 def country(t: Tables) -> DataFrame:
-    """Olympics_Country(noc, country): one row per nation but one, one nation twice."""
-    n = t("nation")
+    """Olympics_Country(noc, country): the nations of the athlete register, one left out, one twice.
+
+    The codes come from the athletes (``customer``), the names from ``nation``.
+    """
+    codes = t("customer").select((F.col("c_custkey") % NATIONS).cast("int").alias("__code")).distinct()
+    n = t("nation").join(codes, F.col("n_nationkey") == F.col("__code"), "inner")
     listed = n.filter(F.col("n_nationkey") != MISSING_NATION).select(
         F.col("n_name").alias("noc"), _cat("Country ", F.col("n_nationkey")).alias("country")
     )
