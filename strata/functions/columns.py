@@ -54,36 +54,33 @@ def extract_date_text(c: ColumnOrName) -> Column:
 
 
 # The legacy ``d MMMM yyyy`` / ``d MMMM`` parser (SimpleDateFormat, not lenient):
-# leading blanks skipped, day and year any number of digits, the month a full or
-# three-letter English name in any case (longest name wins), anything after the
-# last field ignored, impossible dates (31 November) rejected.
+# leading blanks skipped, day and year any number of digits (year ≥ 1), the month a
+# full or three-letter English name in any case (longest name wins), anything
+# after the last field ignored, impossible dates (31 November) rejected.
+# The pattern runs once per value; the match is split on its single blanks.
 _MONTH_NAME = "(?i:" + "|".join(MONTHS) + "|" + "|".join(m[:3] for m in MONTHS) + ")"
-_DAY_MONTH_YEAR = rf"^\s*(\d+) ({_MONTH_NAME}) (\d+)"
-_DAY_MONTH = rf"^\s*(\d+) ({_MONTH_NAME})"
+_DAY_MONTH_YEAR = rf"^\s*\d+ {_MONTH_NAME} \d*[1-9]\d*"
+_DAY_MONTH = rf"^\s*\d+ {_MONTH_NAME}"
 _NO_YEAR = 1970  # the year a year-less date gets
 
 
 def _month_number(name: Column) -> Column:
-    short = F.lower(F.substring(name, 1, 3))
-    out = None
-    for i, month in enumerate(MONTHS, start=1):
-        hit = short == F.lit(month[:3].lower())
-        out = F.when(hit, F.lit(i)) if out is None else out.when(hit, F.lit(i))
-    return out
+    months = F.create_map(*[x for i, m in enumerate(MONTHS, start=1) for x in (F.lit(m[:3].lower()), F.lit(i))])
+    return F.try_element_at(months, F.lower(F.substring(name, 1, 3)))
 
 
-def _make_date(year: Column, month: Column, day: Column) -> Column:
-    """Date from parts; NULL for impossible dates (no error under ANSI)."""
-    iso = F.format_string("%04d-%02d-%02d", year, month, day)
-    ok = year.isNotNull() & month.isNotNull() & day.isNotNull() & (year >= 1)
-    return F.when(ok, iso.try_cast("date"))
+def _date_from(parts: Column, year: Column) -> Column:
+    """``parts`` = [day, month name, ...]; NULL parts or impossible dates give NULL."""
+    iso = F.format_string(
+        "%04d-%02d-%02d", year, _month_number(F.get(parts, 1)), F.get(parts, 0).try_cast("int")
+    )
+    return iso.try_cast("date")
 
 
 def parse_date(c: ColumnOrName) -> Column:
     """``d MMMM yyyy`` text → date as the legacy parser reads it; NULL when it cannot."""
-    c = _col(c)
-    part = lambda i: F.regexp_extract(c, _DAY_MONTH_YEAR, i)
-    return _make_date(part(3).try_cast("int"), _month_number(part(2)), part(1).try_cast("int"))
+    parts = F.split(F.trim(F.regexp_extract(_col(c), _DAY_MONTH_YEAR, 0)), " ")
+    return _date_from(parts, F.get(parts, 2).try_cast("int"))
 
 
 def parse_text_date(c: ColumnOrName) -> Column:
@@ -96,9 +93,8 @@ def parse_day_month(c: ColumnOrName) -> Column:
 
     ``' 6 April'`` → 1970-04-06, ``'23 July 2021'`` → 1970-07-23, ``'29 February'`` → NULL.
     """
-    c = _col(c)
-    part = lambda i: F.regexp_extract(c, _DAY_MONTH, i)
-    return _make_date(F.lit(_NO_YEAR), _month_number(part(2)), part(1).try_cast("int"))
+    parts = F.split(F.trim(F.regexp_extract(_col(c), _DAY_MONTH, 0)), " ")
+    return _date_from(parts, F.lit(_NO_YEAR))
 
 
 def male_flag(c: ColumnOrName) -> Column:
