@@ -22,7 +22,10 @@ SCALE_CONF: dict[str, str] = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "strata") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "strata", event_log_dir: str | None = None
+) -> SparkSession:
+    """A local session for tests and the bench; ``event_log_dir`` keeps a plain-text event log there."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -33,6 +36,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     for key, value in SCALE_CONF.items():
         builder = builder.config(key, value)
+    if event_log_dir:
+        builder = (
+            builder.config("spark.eventLog.enabled", "true")
+            .config("spark.eventLog.dir", event_log_dir)
+            .config("spark.eventLog.compress", "false")
+            .config("spark.eventLog.rolling.enabled", "false")
+        )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -10,9 +11,17 @@ from strata.session import local_session  # noqa: E402
 SF_SMALL = "/root/testdata/sf0.001"
 
 
+EVENT_LOG_DIR = tempfile.mkdtemp(prefix="strata-eventlog-")
+
+
 @pytest.fixture(scope="session")
 def spark():
-    return local_session("*", 8, app="strata-tests")
+    return local_session("*", 8, app="strata-tests", event_log_dir=EVENT_LOG_DIR)
+
+
+@pytest.fixture(scope="session")
+def event_log_dir():
+    return EVENT_LOG_DIR
 
 
 @pytest.fixture(scope="session")
