@@ -72,3 +72,16 @@ def test_hot_athlete_is_combined_before_any_shuffle(spark, event_log_dir):
     naive_most = shuffle_records_per_task(spark, event_log_dir, "skew-naive")
     print(f"most shuffle records read by one task of the naive join {naive_most}")
     assert naive_most >= hot
+
+
+def test_hot_result_id_is_collapsed_before_the_results_join(spark, event_log_dir):
+    t = roles.Tables(spark, SF)
+    events = roles.event_results(t).withColumn(
+        "result_id", F.when(F.col("pos").cast("int") % 3 == 0, F.lit("7")).otherwise(F.col("result_id"))
+    )
+    hot = events.filter("result_id = '7'").count()
+    assert hot > events.count() / 5
+    run_in_group(spark, "skew-results", silver.results_dim(roles.results(t), events))
+    most = shuffle_records_per_task(spark, event_log_dir, "skew-results")
+    print(f"hot result rows {hot}, most shuffle records read by one results-dim task {most}")
+    assert 0 < most < hot / 2, (most, hot)
