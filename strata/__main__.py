@@ -1,7 +1,7 @@
 """Command line: run one stage (or all) as its own Spark application.
 
     spark-submit --py-files strata.zip strata/__main__.py bronze|silver|gold|all [--lake URI] [--csv URI]
-    python -m strata all --lake file:/data/lake --csv file:/Input_Data
+    python -m strata all --master "local[*]" --lake file:/data/lake --csv file:/Input_Data
 
 Roots default to ``STRATA_LAKE_ROOT`` / ``STRATA_CSV_ROOT``. Master, memory and
 shuffle settings come from ``spark-submit`` / ``spark-defaults.conf``; nothing
@@ -45,6 +45,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ap.add_argument("--lake", help="lake root (default $STRATA_LAKE_ROOT)")
     ap.add_argument("--csv", help="CSV input folder (default $STRATA_CSV_ROOT)")
     ap.add_argument("--database", default=GOLD_DATABASE)
+    ap.add_argument("--master", help="only outside spark-submit, e.g. local[*]")
     ap.add_argument("--hive", action="store_true", help="use the Hive metastore for the gold tables")
     ap.add_argument(
         "--shuffle-gb",
@@ -63,6 +64,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     own = spark is None
     if own:
         builder = SparkSession.builder.appName(f"strata-{args.stage}")
+        if args.master:
+            builder = builder.master(args.master)
         if args.shuffle_gb:
             n = shuffle_partitions_for(int(args.shuffle_gb * 1024**3))
             builder = builder.config("spark.sql.shuffle.partitions", str(n)).config(
