@@ -1,7 +1,7 @@
 """Command line: run one stage (or all) as its own Spark application.
 
     spark-submit --py-files strata.zip strata/__main__.py bronze|silver|gold|all [--lake URI] [--csv URI]
-    python -m strata all --master "local[*]" --lake file:/data/lake --csv file:/Input_Data
+    python -m strata all --master "local[*]" --lake file:/data/lake --csv file:/data/incoming
 
 Roots default to ``STRATA_LAKE_ROOT`` / ``STRATA_CSV_ROOT``. Master, memory and
 shuffle settings come from ``spark-submit`` / ``spark-defaults.conf``; nothing

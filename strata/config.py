@@ -80,7 +80,7 @@ class LakePaths:
         """``STRATA_CSV_ROOT`` / ``STRATA_LAKE_ROOT`` with local defaults."""
         env = os.environ if environ is None else environ
         lake = env.get("STRATA_LAKE_ROOT", "file:/data/lake")
-        return cls.under(lake, env.get("STRATA_CSV_ROOT", "file:/Input_Data"))
+        return cls.under(lake, env.get("STRATA_CSV_ROOT", "file:/data/incoming"))
 
     def csv(self, dataset: str) -> str:
         return _join(self.csv_root, f"{dataset}.csv")
