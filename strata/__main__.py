@@ -30,13 +30,15 @@ def shuffle_partitions_for(shuffle_bytes: int, target: int = TARGET_PARTITION_BY
     return max(1, -(-shuffle_bytes // target))
 
 
-def run(spark: SparkSession, stage: str, paths: LakePaths, database: str = GOLD_DATABASE) -> None:
+def run(
+    spark: SparkSession, stage: str, paths: LakePaths, database: str = GOLD_DATABASE, dedupe_country: bool = False
+) -> None:
     if stage in ("bronze", "all"):
         stages.land_bronze(spark, paths)
     if stage in ("silver", "all"):
         stages.build_silver(spark, paths)
     if stage in ("gold", "all"):
-        stages.build_gold(spark, paths, database)
+        stages.build_gold(spark, paths, database, dedupe_country=dedupe_country)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -46,6 +48,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ap.add_argument("--csv", help="CSV input folder (default $STRATA_CSV_ROOT)")
     ap.add_argument("--database", default=GOLD_DATABASE)
     ap.add_argument("--master", help="only outside spark-submit, e.g. local[*]")
+    ap.add_argument(
+        "--dedupe-country",
+        action="store_true",
+        help="one mart row per country code even when the country list repeats a code",
+    )
     ap.add_argument("--hive", action="store_true", help="use the Hive metastore for the gold tables")
     ap.add_argument(
         "--shuffle-gb",
@@ -73,7 +80,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             )
         spark = (builder.enableHiveSupport() if args.hive else builder).getOrCreate()
     try:
-        run(spark, args.stage, paths, args.database)
+        run(spark, args.stage, paths, args.database, args.dedupe_country)
         return 0
     except Exception as exc:  # report like a batch job: one line on stderr, non-zero exit
         print(f"strata {args.stage} failed: {type(exc).__name__}: {exc}", file=sys.stderr)

@@ -106,6 +106,7 @@ def build_gold(
     database: str = GOLD_DATABASE,
     managed: bool = False,
     fact_partition_by: tuple[str, ...] | None = None,
+    dedupe_country: bool = False,
 ) -> DataFrame:
     """Gold: publish the dimensions, the dated fact and the mart (table + Parquet each).
 
@@ -129,7 +130,8 @@ def build_gold(
     }
     jobs["fact"] = lambda: pub("fact", gold.fact_with_date(s("fact"), s("date")), fact_partition_by)
     jobs["mart"] = lambda: pub(
-        "mart", gold.participation_mart(s("fact"), s("athlete"), s("country"), s("games"), s("date"))
+        "mart",
+        gold.participation_mart(s("fact"), s("athlete"), s("country"), s("games"), s("date"), dedupe_country),
     )
     return run_together(jobs)["mart"]
 
@@ -140,8 +142,9 @@ def run_stages(
     database: str = GOLD_DATABASE,
     managed: bool = False,
     fact_partition_by: tuple[str, ...] | None = None,
+    dedupe_country: bool = False,
 ) -> DataFrame:
     """Bronze, then silver, then gold; returns the published mart."""
     land_bronze(spark, paths)
     build_silver(spark, paths)
-    return build_gold(spark, paths, database, managed, fact_partition_by)
+    return build_gold(spark, paths, database, managed, fact_partition_by, dedupe_country)
