@@ -206,3 +206,17 @@ def test_shipped_shapes_through_bronze_and_silver(spark):
     assert hosts == {1: "Greece", 2: None, 3: None, 4: "Greece", 48: None, 61: None}
     assert [(r.noc, r["count"]) for r in duplicate_keys(country, ["noc"]).collect()] == [("ROC", 2)]
     assert country.filter("noc = 'KOR'").collect()[0].country == "Korea, South"
+
+
+def test_external_table_declared_narrower_than_the_files_fails(spark):
+    # Counts are BIGINT in the files; declaring INT is a read error, not a silent cast
+    import pyspark.errors
+
+    root = scratch_path(spark, "t12")
+    from strata.sinks import save_parquet
+
+    save_parquet(spark.createDataFrame([(1, 5)], "EditionID int, TotalAthletes bigint"), root)
+    spark.sql("CREATE DATABASE IF NOT EXISTS gold_test")
+    t = external_table(spark, "gold_test.t12_narrow", root, "EditionID INT, TotalAthletes INT")
+    with pytest.raises((pyspark.errors.PySparkException, Exception)):
+        t.collect()
