@@ -41,6 +41,27 @@ def _path(uri: str) -> str:
     return urlparse(uri).path.rstrip("/")
 
 
+def dataset_entry(file_uri: str, csv_root: str) -> str | None:
+    """The ``X.csv`` entry of ``csv_root`` that a listed file belongs to, or None.
+
+    The file index returns qualified URIs while the root may be relative or
+    unqualified, so the root's normalised tail is matched; what follows it must
+    be ``X.csv`` or ``X.csv/part``.
+    """
+    tail = posixpath.normpath(_path(csv_root)).lstrip("/")
+    while tail.startswith("../"):
+        tail = tail[3:]
+    root = "/" + tail + "/" if tail not in ("", ".") else "/"
+    full = _path(file_uri)
+    at = full.rfind(root)
+    while at >= 0 and full[at + len(root) :].count("/") > 1:
+        at = full.rfind(root, 0, at)
+    if at < 0:
+        return None
+    entry = full[at + len(root) :].split("/", 1)[0]
+    return entry if entry.endswith(".csv") else None
+
+
 def csv_datasets(spark: SparkSession, csv_root: str) -> dict[str, str]:
     """Dataset name → location, for each ``X.csv`` entry of ``csv_root``.
 
@@ -48,22 +69,10 @@ def csv_datasets(spark: SparkSession, csv_root: str) -> dict[str, str]:
     either way it is read as one dataset. Raises ``FileNotFoundError`` when the
     folder is missing.
     """
-    # The file index returns qualified URIs while the root may be relative, so
-    # match the root's normalised tail and keep what follows it: X.csv or X.csv/part.
-    tail = posixpath.normpath(_path(csv_root)).lstrip("/")
-    while tail.startswith("../"):
-        tail = tail[3:]
-    root = "/" + tail + "/" if tail not in ("", ".") else "/"
     found: dict[str, str] = {}
     for f in list_files(spark, csv_root, "*.csv", recursive=True):
-        full = _path(f)
-        at = full.rfind(root)
-        while at >= 0 and full[at + len(root) :].count("/") > 1:
-            at = full.rfind(root, 0, at)
-        if at < 0:
-            continue
-        entry = full[at + len(root) :].split("/", 1)[0]
-        if entry.endswith(".csv"):
+        entry = dataset_entry(f, csv_root)
+        if entry:
             found.setdefault(entry[: -len(".csv")], f"{csv_root.rstrip('/')}/{entry}")
     return found
 

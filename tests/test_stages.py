@@ -220,3 +220,14 @@ def test_external_table_declared_narrower_than_the_files_fails(spark):
     t = external_table(spark, "gold_test.t12_narrow", root, "EditionID INT, TotalAthletes INT")
     with pytest.raises((pyspark.errors.PySparkException, Exception)):
         t.collect()
+
+
+def test_dataset_entry_on_qualified_and_relative_roots():
+    e = stages.dataset_entry
+    assert e("hdfs://nn:8020/data/in/Olympics_Games.csv", "hdfs://nn:8020/data/in") == "Olympics_Games.csv"
+    assert e("hdfs://nn:8020/data/in/Olympic_Results.csv/part-00000-x.csv", "/data/in/") == "Olympic_Results.csv"
+    assert e("s3a://bucket/lake/csv/A.csv/part-1.csv", "s3a://bucket/lake/csv") == "A.csv"
+    assert e("file:/home/u/work/in/A.csv", "../work/in") == "A.csv"
+    assert e("file:/x/in/y/in/A.csv", "in") == "A.csv"  # the match closest to the file wins
+    assert e("file:/x/in/notes.csv.bak/part.csv", "/x/in") is None  # entry must be X.csv
+    assert e("file:/other/A.csv", "/x/in") is None
