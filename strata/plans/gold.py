@@ -3,7 +3,9 @@
 The mart answers, per (participating country, games edition): athlete-event
 rows in total and by sex, average height and weight, and the medal tally.
 
-Plan (one scan of the fact, one shuffle of it, already combined map-side):
+Plan (one scan of the fact). The athlete table decides the join: when a size
+check allows, it is broadcast and fact rows are joined in place (nothing is
+shuffled by athlete). Beyond the bound:
 
 1. fact → group by (AthleteID, CountryNOC, EditionID, medal triple): row count.
    The triple is constant per (country, edition) — it was joined on from the
@@ -13,8 +15,9 @@ Plan (one scan of the fact, one shuffle of it, already combined map-side):
 2. ⟕ athlete on AthleteID, on the pre-aggregate (sort-merge at scale; AQE may
    broadcast it or split skewed partitions).
 3. group by (CountryNOC, EditionID, medal triple): counts and height/weight
-   sums weighted by the row counts of step 1. Integer sums are exact, so the
-   one division at the end equals the per-row ``count``/``avg``.
+   sums weighted by the row counts of step 1 (each row weighs 1 on the broadcast
+   path). Integer sums are exact, so the one division at the end equals the
+   per-row ``count``/``avg``.
 4. group by (CountryNOC, EditionID): add up, and keep the smallest triple (the
    deterministic survivor); this step sees country × edition rows only.
 5. join that small result to country (fan-out on a duplicated code, kept),
@@ -75,18 +78,31 @@ _MEDALS = ("GoldMedals", "SilverMedals", "BronzeMedals")
 _SUMS = ("__athletes", "__h_sum", "__h_n", "__w_sum", "__w_n", "__male", "__female")
 
 
-def participation_stats(fact: DataFrame, athlete: DataFrame) -> DataFrame:
+def participation_stats(
+    fact: DataFrame, athlete: DataFrame, athlete_max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+) -> DataFrame:
     """Per (CountryNOC, EditionID): athlete and medal figures, NULL keys dropped.
 
+    The athlete table is broadcast when a size check allows it; beyond that bound
+    the fact is pre-aggregated per athlete and sort-merge joined.
+
     The medal triple rides along as a grouping key (it is constant per country
     and edition, so this adds no groups) and every aggregate over the big inputs
     is a hash aggregate of sums. Only the last, country × edition sized step
     picks the smallest triple per key.
     """
     keys = ["CountryNOC", "EditionID", *_MEDALS]
-    per_athlete = fact.groupBy("AthleteID", *keys).agg(F.count(F.lit(1)).alias(_ROWS))
     bio = athlete.select(F.col("AthleteID").alias("__athlete_key"), "Sex", "Height", "Weight")
-    joined = per_athlete.join(bio, F.col("AthleteID") == F.col("__athlete_key"), "left")
+    side = bounded_broadcast(bio, athlete_max_broadcast_rows)
+    if side is not bio:
+        # small athlete table, broadcast: fact rows are joined where they are, each weighing 1;
+        # nothing is shuffled by athlete, so no athlete key can skew a task
+        per_athlete = fact.select("AthleteID", *keys, F.lit(1).cast("long").alias(_ROWS))
+    else:
+        # large athlete table, sort-merge join: combine fact rows per athlete map-side first,
+        # so the join shuffles one row per (athlete, key) and a hot athlete is collapsed
+        per_athlete = fact.groupBy("AthleteID", *keys).agg(F.count(F.lit(1)).alias(_ROWS))
+    joined = per_athlete.join(side, F.col("AthleteID") == F.col("__athlete_key"), "left")
 
     rows = F.col(_ROWS)
 
@@ -135,13 +151,14 @@ def participation_mart(
     games: DataFrame,
     date: DataFrame,
     dedupe_country: bool = False,
+    athlete_max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """BusinessLogic: one row per (country row, edition) with participation and medals.
 
     Inner joins drop keys missing from country, games or dates. A country code
     listed twice yields two rows (one per country name) unless ``dedupe_country``.
     """
-    stats = participation_stats(fact, athlete)
+    stats = participation_stats(fact, athlete, athlete_max_broadcast_rows)
     countries = country.select(F.col("noc").alias("__country_code"), F.col("country").alias("ParticipateCountry"))
     if dedupe_country:
         countries = keep_one(countries, ["__country_code"])

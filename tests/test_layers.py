@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -207,7 +208,8 @@ def test_mart_invariants_and_partition_count_independence(spark, sf_small):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-def test_mart_hot_key_equals_row_level_brute_force(spark):
+@pytest.mark.parametrize("bound", [0, 10**6], ids=["pre-aggregate", "broadcast"])
+def test_mart_hot_key_equals_row_level_brute_force(spark, bound):
     # one athlete (and NULL athlete ids) hold a third of all fact rows each
     import random
 
@@ -222,7 +224,8 @@ def test_mart_hot_key_equals_row_level_brute_force(spark):
     ath_rows = [(a, f"n{a}", a % 2, None, (150 + a) if a % 7 else None, 50 + a, "x") for a in range(1, 50)]
     ath = athletes(spark, ath_rows)
     country, games, date = dims(spark, countries=(("GRE", "Greece"), ("ROC", "a"), ("ROC", "b"), ("FRA", "France")))
-    got = {(r.ParticipateCountry,): r for r in gold.participation_mart(fact, ath, country, games, date).collect()}
+    mart = gold.participation_mart(fact, ath, country, games, date, athlete_max_broadcast_rows=bound)
+    got = {(r.ParticipateCountry,): r for r in mart.collect()}
 
     # brute force: join row by row, then aggregate exactly as the published definition says
     bio = {a[0]: a for a in ath_rows}
@@ -249,7 +252,8 @@ def test_fact_is_combined_map_side_before_its_first_shuffle(spark):
     fact = fact_rows(spark, [(1, "GRE", i, 1, "1", "Gold", 1, 1, 1, 3) for i in range(100)])
     ath = athletes(spark, [(1, "a", 1, None, 180, 80, "x")])
     country, games, date = dims(spark)
-    plan = gold.participation_mart(fact, ath, country, games, date)._jdf.queryExecution().executedPlan().toString()
+    mart = gold.participation_mart(fact, ath, country, games, date, athlete_max_broadcast_rows=0)
+    plan = mart._jdf.queryExecution().executedPlan().toString()
     # the exchange keyed on AthleteID sits on top of a partial aggregate, never on raw rows
     assert "partial_count" in plan
     first = plan.index("Exchange hashpartitioning(AthleteID")

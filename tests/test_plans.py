@@ -11,15 +11,39 @@ def executed(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_mart_aggregates_big_inputs_by_hash(spark, sf_small):
+def mart_with(spark, sf, athlete_max_broadcast_rows):
+    from strata.plans import gold, queries, silver
+    from strata.sources import roles
+
+    t = roles.Tables(spark, sf)
+    games, country = roles.games(t), roles.country(t)
+    return gold.participation_mart(
+        queries.fact_of(t), queries.athlete_dim_of(t), silver.country_dim(country), silver.games_dim(games, country),
+        silver.date_dim(games), athlete_max_broadcast_rows=athlete_max_broadcast_rows,
+    )
+
+
+def test_mart_small_athlete_table_is_broadcast_and_fact_not_shuffled_by_athlete(spark, sf_small):
     plan = executed(QUERIES["participation_mart"](spark, sf_small))
-    # only the country × edition step may sort-aggregate (struct min); never the fact-sized ones
+    assert "Exchange hashpartitioning(AthleteID" not in plan
+    assert re.search(r"BroadcastHashJoin \[AthleteID#\d+\], \[__athlete_key#\d+\], LeftOuter", plan)
+
+
+def test_mart_large_athlete_table_path_aggregates_big_inputs_by_hash(spark, sf_small):
+    # the path taken beyond the broadcast bound (forced here with a bound of 0)
+    plan = executed(mart_with(spark, sf_small, 0))
     sort_aggs = re.findall(r"SortAggregate\(key=\[([^\]]*)\]", plan)
     assert all("AthleteID" not in keys and "GoldMedals" not in keys for keys in sort_aggs), sort_aggs
     assert "HashAggregate(keys=[AthleteID" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_both_mart_paths_give_the_same_rows(spark, sf_small):
+    small = sorted(map(tuple, mart_with(spark, sf_small, 10**6).collect()))
+    large = sorted(map(tuple, mart_with(spark, sf_small, 0).collect()))
+    assert small == large and small
+
+
 def test_scans_read_only_needed_columns(spark, sf_small):
     plan = executed(QUERIES["participation_mart"](spark, sf_small))
     for schema in re.findall(r"ReadSchema: (struct<[^>]*>)", plan):

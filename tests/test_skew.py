@@ -6,6 +6,7 @@ Shuffle records read per task come from Spark's event log of this test session.
 import glob
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.plans import gold, queries, silver
@@ -42,7 +43,8 @@ def run_in_group(spark, group, df):
         sc.setJobGroup("", "")
 
 
-def test_hot_athlete_is_combined_before_any_shuffle(spark, event_log_dir):
+@pytest.mark.parametrize("bound", [0, 10**6], ids=["pre-aggregate", "broadcast"])
+def test_hot_athlete_never_lands_whole_in_one_task(spark, event_log_dir, bound):
     t = roles.Tables(spark, SF)
     fact = queries.fact_of(t).withColumn(
         "AthleteID", F.when(F.col("ResultID") % 3 == 0, F.lit(1)).otherwise(F.col("AthleteID"))
@@ -53,10 +55,10 @@ def test_hot_athlete_is_combined_before_any_shuffle(spark, event_log_dir):
     games, country = roles.games(t), roles.country(t)
     mart = gold.participation_mart(
         fact, queries.athlete_dim_of(t), silver.country_dim(country), silver.games_dim(games, country),
-        silver.date_dim(games),
+        silver.date_dim(games), athlete_max_broadcast_rows=bound,
     )
-    run_in_group(spark, "skew-mart", mart)
-    most = shuffle_records_per_task(spark, event_log_dir, "skew-mart")
+    run_in_group(spark, f"skew-mart-{bound}", mart)
+    most = shuffle_records_per_task(spark, event_log_dir, f"skew-mart-{bound}")
     print(f"fact rows {n}, hot athlete rows {hot}, most shuffle records read by one mart task {most}")
     assert 0 < most < hot / 2, (most, hot, n)
 
@@ -66,10 +68,10 @@ def test_hot_athlete_is_combined_before_any_shuffle(spark, event_log_dir):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         naive = fact.join(bio, F.col("AthleteID") == F.col("k"), "left").groupBy("CountryNOC").agg(F.avg("Height"))
-        run_in_group(spark, "skew-naive", naive)
+        run_in_group(spark, f"skew-naive-{bound}", naive)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    naive_most = shuffle_records_per_task(spark, event_log_dir, "skew-naive")
+    naive_most = shuffle_records_per_task(spark, event_log_dir, f"skew-naive-{bound}")
     print(f"most shuffle records read by one task of the naive join {naive_most}")
     assert naive_most >= hot
 
