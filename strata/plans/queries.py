@@ -16,7 +16,7 @@ from strata import sinks, streaming
 from strata.config import DATASETS, GOLD, GOLD_DATABASE, LakePaths
 from strata.functions import columns as X
 from strata.operators import dedupe, impute, quality
-from strata.operators.joins import DEFAULT_BROADCAST_ROWS
+from strata.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from strata.plans import gold, silver, stages
 from strata.session import scratch_path
 from strata.sources import roles
@@ -230,11 +230,15 @@ def grouped_sum(spark: SparkSession, d: str) -> DataFrame:
 def grouped_count_nonnull(spark: SparkSession, d: str) -> DataFrame:
     """Athlete-event rows and rows with a known athlete, per (country, edition)."""
     t = _tables(spark, d)
-    # count(AthleteID) per athlete first (combined map-side, so a hot athlete id is
-    # collapsed before any shuffle), then the lookup, then the per-key sums
-    per_athlete = fact_of(t).groupBy("CountryNOC", "EditionID", "AthleteID").agg(F.count("AthleteID").alias("__n"))
+    fact = fact_of(t)
     bio = athlete_dim_of(t).select(F.col("AthleteID").alias("__athlete_key"))
-    joined = per_athlete.join(bio, F.col("AthleteID") == F.col("__athlete_key"), "left")
+    side = bounded_broadcast(bio)
+    if side is not bio:  # small athlete table: broadcast, nothing shuffled by athlete
+        has_id = F.col("AthleteID").isNotNull().cast("long")
+        per_athlete = fact.select("CountryNOC", "EditionID", "AthleteID", has_id.alias("__n"))
+    else:  # large: count(AthleteID) per athlete first, combined map-side (a hot id collapses)
+        per_athlete = fact.groupBy("CountryNOC", "EditionID", "AthleteID").agg(F.count("AthleteID").alias("__n"))
+    joined = per_athlete.join(side, F.col("AthleteID") == F.col("__athlete_key"), "left")
     zero = F.lit(0).cast("long")
     return joined.groupBy("CountryNOC", "EditionID").agg(
         F.coalesce(F.sum("__n"), zero).alias("athlete_rows"),
