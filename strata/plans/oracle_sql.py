@@ -413,7 +413,8 @@ oracle(
 )
 cte(
     "m_typed",
-    f"SELECT {to_int('athlete_id')} AS athlete_id, {to_int('height')} AS height, {to_int('weight')} AS weight FROM r_bio",
+    f"""SELECT {to_int('athlete_id')} AS athlete_id, {to_int('height')} AS height,
+        {to_int('weight')} AS weight FROM r_bio""",
     "r_bio",
 )
 oracle(

@@ -267,7 +267,8 @@ def results_event_join(spark: SparkSession, d: str) -> DataFrame:
     """Numeric results ⟕ one event row per result id (raw string keys)."""
     t = _tables(spark, d)
     res = roles.results(t).filter(F.col("result_id").rlike(silver.NUMERIC_ID))
-    joined = res.join(silver.event_per_result(roles.event_results(t)), F.col("result_id") == F.col("event_result_id"), "left")
+    events = silver.event_per_result(roles.event_results(t))
+    joined = res.join(events, F.col("result_id") == F.col("event_result_id"), "left")
     return joined.select("result_id", "result_location", "event_result_id", "isTeamSport", "event")
 
 
@@ -309,7 +310,9 @@ def stream_bronze_landing(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "stream")
     name = "Olympic_Athlete_Event_Results"
     sinks.save_csv(roles.event_results(_tables(spark, d)), f"{root}/incoming")
-    landed = streaming.land_available(spark, f"{root}/incoming", f"{root}/bronze", f"{root}/_checkpoint", DATASETS[name])
+    landed = streaming.land_available(
+        spark, f"{root}/incoming", f"{root}/bronze", f"{root}/_checkpoint", DATASETS[name]
+    )
     return load_parquet(spark, landed)
 
 

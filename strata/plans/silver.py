@@ -84,7 +84,8 @@ def event_per_result(events: DataFrame) -> DataFrame:
     Distinct rows, then one survivor per id — done as a single aggregation, as
     ``min`` does not change under duplicate rows.
     """
-    return keep_one(events.select(F.col("result_id").alias("event_result_id"), "isTeamSport", "event"), ["event_result_id"])
+    per_row = events.select(F.col("result_id").alias("event_result_id"), "isTeamSport", "event")
+    return keep_one(per_row, ["event_result_id"])
 
 
 def results_dim(results: DataFrame, events: DataFrame) -> DataFrame:

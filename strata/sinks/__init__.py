@@ -1,4 +1,13 @@
 from strata.sinks.catalog import ensure_database, external_table, list_tables, publish, read_back, save_table
 from strata.sinks.files import save_csv, save_parquet
 
-__all__ = ["ensure_database", "external_table", "list_tables", "publish", "read_back", "save_csv", "save_parquet", "save_table"]
+__all__ = [
+    "ensure_database",
+    "external_table",
+    "list_tables",
+    "publish",
+    "read_back",
+    "save_csv",
+    "save_parquet",
+    "save_table",
+]
