@@ -231,3 +231,13 @@ def test_dataset_entry_on_qualified_and_relative_roots():
     assert e("file:/x/in/y/in/A.csv", "in") == "A.csv"  # the match closest to the file wins
     assert e("file:/x/in/notes.csv.bak/part.csv", "/x/in") is None  # entry must be X.csv
     assert e("file:/other/A.csv", "/x/in") is None
+
+
+def test_publish_managed_and_partitioned(spark):
+    root = scratch_path(spark, "pub-part")
+    spark.sql("CREATE DATABASE IF NOT EXISTS gold_test")
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "EditionID int, v string")
+    publish(spark, df, "gold_test.managed_parts", f"{root}/p", managed=True, partition_by=("EditionID",))
+    t = spark.table("gold_test.managed_parts")
+    assert sorted((r.EditionID, r.v) for r in t.collect()) == [(1, "a"), (2, "b"), (2, "c")]
+    assert "EditionID" in [c.name for c in spark.catalog.listColumns("gold_test.managed_parts") if c.isPartition]
