@@ -84,6 +84,20 @@ def participation_mart(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def participation_mart_unique_country(spark: SparkSession, d: str) -> DataFrame:
+    """P14 with T3's option: one row per country code (the smallest name) instead of the fan-out."""
+    t = _tables(spark, d)
+    games, country = roles.games(t), roles.country(t)
+    return gold.participation_mart(
+        fact_of(t),
+        athlete_dim_of(t),
+        silver.country_dim(country),
+        silver.games_dim(games, country),
+        silver.date_dim(games),
+        dedupe_country=True,
+    )
+
+
 # --- single operators ----------------------------------------------------------
 
 
@@ -347,6 +361,7 @@ def lake_end_to_end(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "participation_mart": participation_mart,
+    "participation_mart_unique_country": participation_mart_unique_country,
     "silver_athlete_dim": silver_athlete_dim,
     "silver_games_dim": silver_games_dim,
     "silver_results_dim": silver_results_dim,
