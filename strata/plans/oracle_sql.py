@@ -280,9 +280,8 @@ def oracle(key: str, body: str, *names: str) -> None:
     ORACLE[key] = with_ctes(body, *names)
 
 
-oracle(
-    "participation_mart",
-    """SELECT s.edition AS EditionID, g.EditionName, g.FlagURL, g.HostCountry, g.HostCity,
+def _mart_sql(countries: str) -> str:
+    return f"""SELECT s.edition AS EditionID, g.EditionName, g.FlagURL, g.HostCountry, g.HostCity,
         c.country AS ParticipateCountry, d.year AS Year,
         s.mean_h AS AverageHeight, s.mean_w AS AverageWeight,
         CAST(s.men AS BIGINT) AS MaleAthletes, CAST(s.women AS BIGINT) AS FemaleAthletes,
@@ -290,33 +289,18 @@ oracle(
         m.g AS TotalGold, m.s AS TotalSilver, m.b AS TotalBronze, m.g + m.s + m.b AS TotalMedals
     FROM g_stats s
     JOIN g_medals m ON s.edition = m.EditionID AND s.country_code = m.CountryNOC
-    JOIN s_country c ON s.country_code = c.noc
+    JOIN {countries} c ON s.country_code = c.noc
     JOIN s_games g ON s.edition = g.EditionID
-    JOIN s_date d ON s.edition = d.Date_id""",
-    "g_stats",
-    "g_medals",
-    "s_country",
-    "s_games",
-    "s_date",
-)
+    JOIN s_date d ON s.edition = d.Date_id"""
+
+
+_MART_CTES = ("g_stats", "g_medals", "s_country", "s_games", "s_date")
+oracle("participation_mart", _mart_sql("s_country"), *_MART_CTES)
+# T3 option: one row per country code, the smallest name
 oracle(
     "participation_mart_unique_country",
-    """SELECT s.edition AS EditionID, g.EditionName, g.FlagURL, g.HostCountry, g.HostCity,
-        c.country AS ParticipateCountry, d.year AS Year,
-        s.mean_h AS AverageHeight, s.mean_w AS AverageWeight,
-        CAST(s.men AS BIGINT) AS MaleAthletes, CAST(s.women AS BIGINT) AS FemaleAthletes,
-        CAST(s.rows_with_athlete AS BIGINT) AS TotalAthletes,
-        m.g AS TotalGold, m.s AS TotalSilver, m.b AS TotalBronze, m.g + m.s + m.b AS TotalMedals
-    FROM g_stats s
-    JOIN g_medals m ON s.edition = m.EditionID AND s.country_code = m.CountryNOC
-    JOIN (SELECT noc, min(country) AS country FROM s_country GROUP BY noc) c ON s.country_code = c.noc
-    JOIN s_games g ON s.edition = g.EditionID
-    JOIN s_date d ON s.edition = d.Date_id""",
-    "g_stats",
-    "g_medals",
-    "s_country",
-    "s_games",
-    "s_date",
+    _mart_sql("(SELECT noc, min(country) AS country FROM s_country GROUP BY noc)"),
+    *_MART_CTES,
 )
 oracle("silver_athlete_dim", "SELECT * FROM s_athlete", "s_athlete")
 oracle("silver_games_dim", "SELECT * FROM s_games", "s_games")
