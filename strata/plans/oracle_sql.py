@@ -490,3 +490,29 @@ oracle("stream_bronze_landing", "SELECT * FROM r_events", "r_events")
 oracle("stream_silver_fact", "SELECT * FROM s_fact", "s_fact")
 oracle("publish_round_trip", "SELECT * FROM s_athlete", "s_athlete")
 ORACLE["lake_end_to_end"] = ORACLE["participation_mart"]
+oracle(
+    "lake_row_counts",
+    """SELECT 'bronze' AS layer, 'Olympics_Country' AS dataset, count(*) AS rows FROM r_country
+    UNION ALL SELECT 'bronze', 'Olympics_Games', count(*) FROM r_games
+    UNION ALL SELECT 'bronze', 'Olympic_Athlete_Bio', count(*) FROM r_bio
+    UNION ALL SELECT 'bronze', 'Olympic_Athlete_Event_Results', count(*) FROM r_events
+    UNION ALL SELECT 'bronze', 'Olympic_Games_Medal_Tally', count(*) FROM r_tally
+    UNION ALL SELECT 'bronze', 'Olympic_Results', count(*) FROM r_results
+    UNION ALL SELECT 'silver', 'Athlete_parquet', count(*) FROM s_athlete
+    UNION ALL SELECT 'silver', 'OlympicsGames_parquet', count(*) FROM s_games
+    UNION ALL SELECT 'silver', 'OlympicResults_parquet', count(*) FROM s_results
+    UNION ALL SELECT 'silver', 'OlympicsCountry_parquet', count(*) FROM s_country
+    UNION ALL SELECT 'silver', 'Date_parquet', count(*) FROM s_date
+    UNION ALL SELECT 'silver', 'Fact_Table_parquet', count(*) FROM s_fact
+    UNION ALL SELECT 'gold', 'Athlete_parquet', count(*) FROM s_athlete
+    UNION ALL SELECT 'gold', 'OlympicsGames_parquet', count(*) FROM s_games
+    UNION ALL SELECT 'gold', 'OlympicResults_parquet', count(*) FROM s_results
+    UNION ALL SELECT 'gold', 'Country_parquet', count(*) FROM s_country
+    UNION ALL SELECT 'gold', 'Date_parquet', count(*) FROM s_date
+    UNION ALL SELECT 'gold', 'Olympics_Fact_parquet', count(*) FROM s_fact
+    UNION ALL SELECT 'gold', 'BusinessLogic_Parquet', (SELECT count(*) FROM ({mart}) m)""".format(
+        mart=_mart_sql("s_country")
+    ),
+    "r_country", "r_games", "r_bio", "r_events", "r_tally", "r_results",
+    "s_athlete", "s_games", "s_results", "s_country", "s_date", "s_fact", *_MART_CTES,
+)

@@ -351,6 +351,14 @@ def publish_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return spark.table(table)
 
 
+def lake_row_counts(spark: SparkSession, d: str) -> DataFrame:
+    """A7 over a whole run: rows of every bronze, silver and gold output, read back from the lake."""
+    paths = LakePaths.under(scratch_path(spark, "lake-counts"))
+    _write_role_csvs(spark, _tables(spark, d), paths.csv_root, list(roles.BUILDERS))
+    stages.run_stages(spark, paths, database=f"{GOLD_DATABASE}_counts")
+    return stages.layer_counts(spark, paths)
+
+
 def lake_end_to_end(spark: SparkSession, d: str) -> DataFrame:
     """All six roles as CSV → bronze → silver → gold; the published mart, read back."""
     paths = LakePaths.under(scratch_path(spark, "lake"))
@@ -397,4 +405,5 @@ QUERIES: dict[str, Query] = {
     "stream_silver_fact": stream_silver_fact,
     "publish_round_trip": publish_round_trip,
     "lake_end_to_end": lake_end_to_end,
+    "lake_row_counts": lake_row_counts,
 }

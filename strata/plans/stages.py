@@ -16,8 +16,10 @@ import posixpath
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.config import GOLD, GOLD_DATABASE, LakePaths
+from strata.config import DATASETS, GOLD, GOLD_DATABASE, SILVER, LakePaths
+from strata.operators.quality import row_count
 from strata.plans import gold, silver
 from strata.sinks.catalog import ensure_database, publish
 from strata.sinks.files import save_parquet
@@ -157,3 +159,23 @@ def run_stages(
     land_bronze(spark, paths)
     build_silver(spark, paths)
     return build_gold(spark, paths, database, managed, fact_partition_by, dedupe_country)
+
+
+def layer_counts(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    """(layer, dataset, rows) for every bronze, silver and gold output of a run, in one plan.
+
+    Each count is a partial count per file split; nothing but the counts moves.
+    """
+    outputs = (
+        [("bronze", name, paths.bronze(name)) for name in DATASETS]
+        + [("silver", folder, paths.silver(k)) for k, folder in SILVER.items()]
+        + [("gold", folder, paths.gold(k)) for k, (_, folder) in GOLD.items()]
+    )
+    parts = [
+        row_count(load_parquet(spark, path), name).select(F.lit(layer).alias("layer"), "dataset", "rows")
+        for layer, name, path in outputs
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
