@@ -49,7 +49,9 @@ def _rows(columns, records):
     return [columns[i].lower() for i in order], sorted(rows, key=_key)
 
 
-def _same(a, b) -> bool:
+def _same(a, b, exact: bool = False) -> bool:
+    if exact:
+        return a == b
     if isinstance(a, float) or isinstance(b, float):
         if a is None or b is None:
             return a is b
@@ -57,7 +59,7 @@ def _same(a, b) -> bool:
     return a == b
 
 
-def compare(spark, query, sql: str, sf_dir: str, con=None) -> dict:
+def compare(spark, query, sql: str, sf_dir: str, con=None, exact: bool = False) -> dict:
     sdf = query(spark, sf_dir)
     s_cols = sdf.columns
     s_rows = [tuple(r) for r in sdf.collect()]
@@ -74,7 +76,7 @@ def compare(spark, query, sql: str, sf_dir: str, con=None) -> dict:
     if len(sr) == len(dr) and sc == dc:
         # floats may differ in the last bits; sort keys use repr, so pair rows by non-float fields
         for a, b in zip(sr, dr):
-            if not all(_same(x, y) for x, y in zip(a, b)):
+            if not all(_same(x, y, exact) for x, y in zip(a, b)):
                 mismatch = (a, b)
                 break
     out["values_match"] = out["columns_match"] and len(sr) == len(dr) and mismatch is None

@@ -22,6 +22,7 @@ from tests.oracle import compare, duck  # noqa: E402
 def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--exact", action="store_true", help="floats must be equal, not just close")
     ap.add_argument("keys", nargs="*")
     args = ap.parse_args()
     spark = local_session(8, 8)
@@ -33,7 +34,7 @@ def main() -> int:
             continue
         t = time.time()
         try:
-            res = compare(spark, QUERIES[key], ORACLE[key], args.sf, con)
+            res = compare(spark, QUERIES[key], ORACLE[key], args.sf, con, exact=args.exact)
         except Exception as exc:  # report and go on with the next key
             res = {"error": f"{type(exc).__name__}: {str(exc)[:600]}", "values_match": False}
         res["key"] = key
