@@ -24,7 +24,7 @@ from strata.operators.impute import fill_constant, fill_mean
 from strata.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from strata.operators.quality import drop_null
 
-# --- Fixed values: bronze → silver renames ------------------------------------
+# --- Fixed values: the numeric result-id pattern ----------------------------------
 NUMERIC_ID = "^[0-9]+$"
 # -----------------------------------------------------------------------------
 
