@@ -6,6 +6,7 @@ caller's ``SparkSession``. These helpers exist for entry points only.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -52,17 +53,18 @@ def local_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (a local test run) do we set one of our own.
+    Where the setting is absent, a local-mode session (``local[...]``: driver and executors are
+    one process on one machine) gets a temp folder of its own; any other session raises, since
+    executors would write to disks that the others cannot read.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: no context on the client; the server owns the setting
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
