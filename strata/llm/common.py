@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
+import strata
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +35,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors' Python workers this package (``--py-files`` does the same), once a session."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(strata.__file__).parent
+    if root.is_dir():  # not when the package itself came as a zip
+        path = os.path.join(tempfile.mkdtemp(prefix="strata-py-"), "strata.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, every other character as it is."""
     return F.translate(text, UPPER, LOWER)
@@ -53,26 +76,41 @@ def free_name(taken: Sequence[str], name: str) -> str:
     return name
 
 
-def prefix_sums(df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[str], value: str, out: str) -> DataFrame:
+def prefix_sums(
+    df: DataFrame,
+    group: Sequence[str],
+    bucket: str,
+    order: Sequence[str],
+    value: str,
+    out: str,
+    per_group: DataFrame | None = None,
+) -> DataFrame:
     """Adds ``out``: the sum of ``value`` over the rows of the same ``group`` that stand before.
 
-    Rows stand in order of (``bucket``, ``order``). The running sum is taken inside each
-    (group, bucket), in parallel; what earlier buckets of the group hold is added from the table of
-    bucket totals. ``bucket`` must be a function of the row, so that reruns deal rows alike, and must
-    split every group that may be large; the second window then sees one row for each bucket.
+    Rows stand in order of (``bucket``, ``order``); the keys must not be NULL. The running sum is taken
+    inside each (group, bucket), in parallel; what earlier buckets of the group hold is added from the
+    table of bucket totals. ``bucket`` must be a function of the row, so that reruns deal rows alike,
+    and must split every group that may be large: the second window then sees one row for each bucket.
+    Columns of ``per_group`` (one row for each group) come along with the totals, so the rows
+    themselves are never dealt out by a hot group alone.
     """
     keys = [*group, bucket]
-    # one job reads ``df`` twice otherwise: both sides come from the same written rows
-    totals = df.groupBy(*keys).agg(F.sum(value).alias("_total"))
     before = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(
-        *[F.col(k).alias(f"_{k}_key") for k in keys], F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before")
-    )
+    totals = df.groupBy(*keys).agg(F.sum(value).alias("_total"))
+    totals = totals.withColumn("_before", F.coalesce(F.sum("_total").over(before), F.lit(0))).drop("_total")
+    if per_group is not None:
+        totals = totals.join(per_group, list(group))
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     rows = df.withColumn(out, F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    same = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_{k}_key"))
-        same = c if same is None else same & c
-    joined = rows.join(totals, same, "inner")
-    return joined.withColumn(out, F.col(out) + F.col("_before")).select(*df.columns, out)
+    return rows.join(totals, keys).withColumn(out, F.col(out) + F.col("_before")).drop("_before")
+
+
+def ranked(df: DataFrame, *order: Column) -> DataFrame:
+    """``df`` (written) with ``_rank``: 0, 1, ... in the given order, without one task that sorts it all.
+
+    Rows are dealt out by range and written, so the part a row lies in is fixed; ranks are prefix
+    counts over the parts.
+    """
+    parts = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    fixed = written(parts.withColumn("_one", F.lit(1).cast("bigint")), "ranked")
+    return prefix_sums(fixed, [], "_part", list(order), "_one", "_rank").drop("_part", "_one")

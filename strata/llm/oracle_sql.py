@@ -49,6 +49,42 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+OP9 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS key
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+  FROM d GROUP BY source
+), fill AS (
+  SELECT 0 AS step, (SELECT 1.5::DOUBLE * sum(source_size)::DOUBLE / sum(weight)::DOUBLE FROM s) AS level, -1::BIGINT AS capped
+  UNION ALL
+  SELECT f.step + 1,
+         (1.5::DOUBLE * a.total - coalesce(a.words, 0))::DOUBLE / a.rest::DOUBLE, a.n
+  FROM fill f, LATERAL (
+    SELECT count(*) FILTER (source_size * 2 <= f.level * weight) AS n,
+           sum(source_size * 2) FILTER (source_size * 2 <= f.level * weight)::DOUBLE AS words,
+           sum(weight) FILTER (source_size * 2 > f.level * weight) AS rest, sum(source_size)::DOUBLE AS total
+    FROM s) a
+  WHERE a.n <> f.capped AND a.rest > 0
+), t AS (
+  SELECT source, source_size, least(source_size::DOUBLE * 2, weight * (SELECT arg_max(level, step) FROM fill)) AS target
+  FROM s
+), p AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, floor(t.target)::BIGINT AS budget,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       (CASE WHEN source_size = 0 THEN 0 ELSE
+         (budget // source_size) * size + greatest(0, least(size, budget % source_size - start)) END)::BIGINT AS taken
+FROM p
+"""
+
 ORACLE: dict[str, str] = {
     "op5_quality_rules": OP5,
+    "op9_mixing": OP9,
 }

@@ -5,17 +5,32 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.llm.common import table
+from strata.llm.langid import held_out, language_id
+from strata.llm.mixing import document_sizes, mix
 from strata.llm.quality import quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_language_id(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    return language_id(docs).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "_language.*")
+
+
 def op5_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules(table(spark, d, "documents"))
 
 
+def op9_mixing(spark: SparkSession, d: str) -> DataFrame:
+    mixed = mix(document_sizes(table(spark, d, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Query] = {
+    "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
+    "op9_mixing": op9_mixing,
 }
