@@ -49,6 +49,34 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+OP8 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(words[i:i + 4], ' ')) AS h
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both
+  FROM sh x JOIN sh y ON x.h = y.h AND x.doc_id <> y.doc_id
+  GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * n_both >= 75 * (x.n + y.n - n_both)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM w
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), c AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, w.doc_id = c.component_id AS kept
+FROM w JOIN c ON w.doc_id = c.doc_id LEFT JOIN n ON w.doc_id = n.doc_id
+"""
+
 OP9 = rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
@@ -86,5 +114,6 @@ FROM p
 
 ORACLE: dict[str, str] = {
     "op5_quality_rules": OP5,
+    "op8_minhash_near_dedup": OP8,
     "op9_mixing": OP9,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import table
 from strata.llm.langid import held_out, language_id
+from strata.llm.minhash import near_duplicates
 from strata.llm.mixing import document_sizes, mix
 from strata.llm.quality import quality_rules
 
@@ -24,6 +25,10 @@ def op5_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules(table(spark, d, "documents"))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates(table(spark, d, "documents"))
+
+
 def op9_mixing(spark: SparkSession, d: str) -> DataFrame:
     mixed = mix(document_sizes(table(spark, d, "documents")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -32,5 +37,6 @@ def op9_mixing(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_mixing": op9_mixing,
 }
