@@ -11,6 +11,7 @@ from strata.llm.common import table
 from strata.llm.langid import held_out, language_id
 from strata.llm.minhash import near_duplicates
 from strata.llm.mixing import document_sizes, mix
+from strata.llm.packing import pack_documents
 from strata.llm.quality import quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,10 @@ def op5_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules(table(spark, d, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
+    return pack_documents(table(spark, d, "documents"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates(table(spark, d, "documents"))
 
@@ -37,6 +42,7 @@ def op9_mixing(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_mixing": op9_mixing,
 }
