@@ -13,10 +13,15 @@ from strata.llm.minhash import near_duplicates
 from strata.llm.mixing import document_sizes, mix
 from strata.llm.packing import pack_documents
 from strata.llm.quality import quality_rules
+from strata.llm.secret_scan import scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_secret_scan(spark: SparkSession, d: str) -> DataFrame:
+    return scan(table(spark, d, "documents"))
+
+
 def op4_language_id(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text", "lang")
     return language_id(docs).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "_language.*")
@@ -40,6 +45,7 @@ def op9_mixing(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_secret_scan": op3_secret_scan,
     "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
