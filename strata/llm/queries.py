@@ -14,6 +14,7 @@ from strata.llm.mixing import document_sizes, mix
 from strata.llm.packing import pack_documents
 from strata.llm.quality import quality_rules
 from strata.llm.secret_scan import scan
+from strata.llm.substring import repeated_units
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +45,10 @@ def op9_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return repeated_units(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_language_id": op4_language_id,
@@ -51,4 +56,5 @@ QUERIES: dict[str, Query] = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_mixing": op9_mixing,
+    "op10_substring_dedup": op10_substring_dedup,
 }
