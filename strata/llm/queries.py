@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm import license_scan
 from strata.llm.common import table
 from strata.llm.langid import held_out, language_id
 from strata.llm.minhash import near_duplicates
@@ -19,6 +20,10 @@ from strata.llm.substring import repeated_units
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return license_scan.scan(table(spark, d, "documents"))
+
+
 def op3_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     return scan(table(spark, d, "documents"))
 
@@ -50,6 +55,7 @@ def op10_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
     "op3_secret_scan": op3_secret_scan,
     "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
