@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from strata.llm import license_scan
 from strata.llm.common import table
+from strata.llm.fingerprints import fingerprints
+from strata.llm.html_extract import main_texts
 from strata.llm.langid import held_out, language_id
 from strata.llm.minhash import near_duplicates
 from strata.llm.mixing import document_sizes, mix
@@ -24,6 +26,10 @@ def op1_license_scan(spark: SparkSession, d: str) -> DataFrame:
     return license_scan.scan(table(spark, d, "documents"))
 
 
+def op2_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    return fingerprints(table(spark, d, "documents"))
+
+
 def op3_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     return scan(table(spark, d, "documents"))
 
@@ -41,6 +47,10 @@ def op6_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return pack_documents(table(spark, d, "documents"))
 
 
+def op7_html_extraction(spark: SparkSession, d: str) -> DataFrame:
+    return main_texts(table(spark, d, "pages"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates(table(spark, d, "documents"))
 
@@ -56,10 +66,12 @@ def op10_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
+    "op2_fingerprints": op2_fingerprints,
     "op3_secret_scan": op3_secret_scan,
     "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_html_extraction": op7_html_extraction,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_mixing": op9_mixing,
     "op10_substring_dedup": op10_substring_dedup,
