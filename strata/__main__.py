@@ -31,14 +31,20 @@ def shuffle_partitions_for(shuffle_bytes: int, target: int = TARGET_PARTITION_BY
 
 
 def run(
-    spark: SparkSession, stage: str, paths: LakePaths, database: str = GOLD_DATABASE, dedupe_country: bool = False
+    spark: SparkSession,
+    stage: str,
+    paths: LakePaths,
+    database: str = GOLD_DATABASE,
+    dedupe_country: bool = False,
+    managed: bool = False,
+    fact_partition_by: tuple[str, ...] | None = None,
 ) -> None:
     if stage in ("bronze", "all"):
         stages.land_bronze(spark, paths)
     if stage in ("silver", "all"):
         stages.build_silver(spark, paths)
     if stage in ("gold", "all"):
-        stages.build_gold(spark, paths, database, dedupe_country=dedupe_country)
+        stages.build_gold(spark, paths, database, managed, fact_partition_by, dedupe_country)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -53,6 +59,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         action="store_true",
         help="one mart row per country code even when the country list repeats a code",
     )
+    ap.add_argument("--managed", action="store_true", help="publish managed tables (a copy in the warehouse)")
+    ap.add_argument(
+        "--partition-fact", metavar="COLUMNS", help="comma-separated columns to lay the published fact out by"
+    )
     ap.add_argument("--hive", action="store_true", help="use the Hive metastore for the gold tables")
     ap.add_argument(
         "--shuffle-gb",
@@ -80,7 +90,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             )
         spark = (builder.enableHiveSupport() if args.hive else builder).getOrCreate()
     try:
-        run(spark, args.stage, paths, args.database, args.dedupe_country)
+        by = tuple(args.partition_fact.split(",")) if args.partition_fact else None
+        run(spark, args.stage, paths, args.database, args.dedupe_country, args.managed, by)
         return 0
     except Exception as exc:  # report like a batch job: one line on stderr, non-zero exit
         print(f"strata {args.stage} failed: {type(exc).__name__}: {exc}", file=sys.stderr)

@@ -54,13 +54,14 @@ def extract_date_text(c: ColumnOrName) -> Column:
 
 
 # The legacy ``d MMMM yyyy`` / ``d MMMM`` parser (SimpleDateFormat, not lenient):
-# leading blanks skipped, day and year any number of digits (year ≥ 1), the month a
-# full or three-letter English name in any case (longest name wins), anything
-# after the last field ignored, impossible dates (31 November) rejected.
-# The pattern runs once per value; the match is split on its single blanks.
+# one blank between fields; further blanks and tabs skipped before a number (day, year) but
+# not before the month; day and year any number of digits (year ≥ 1), the month a full or
+# three-letter English name in any case (longest name wins), anything after the last field
+# ignored, impossible dates (31 November) rejected. Other white space is not skipped.
+# The pattern runs once per value; the match is split on its blanks and tabs.
 _MONTH_NAME = "(?i:" + "|".join(MONTHS) + "|" + "|".join(m[:3] for m in MONTHS) + ")"
-_DAY_MONTH_YEAR = rf"^\s*\d+ {_MONTH_NAME} \d*[1-9]\d*"
-_DAY_MONTH = rf"^\s*\d+ {_MONTH_NAME}"
+_DAY_MONTH = rf"^[ \t]*\d+ {_MONTH_NAME}"
+_DAY_MONTH_YEAR = rf"{_DAY_MONTH} [ \t]*\d*[1-9]\d*"
 _NO_YEAR = 1970  # the year a year-less date gets
 
 
@@ -71,15 +72,20 @@ def _month_number(name: Column) -> Column:
 
 def _date_from(parts: Column, year: Column) -> Column:
     """``parts`` = [day, month name, ...]; NULL parts or impossible dates give NULL."""
-    iso = F.format_string(
-        "%04d-%02d-%02d", year, _month_number(F.get(parts, 1)), F.get(parts, 0).try_cast("int")
-    )
-    return iso.try_cast("date")
+    day, month = F.get(parts, 0).try_cast("int"), _month_number(F.get(parts, 1))
+    padded = lambda n, width: F.lpad(n.cast("string"), width, "0")
+    iso = F.concat_ws("-", F.when(year > 9999, year.cast("string")).otherwise(padded(year, 4)), padded(month, 2), padded(day, 2))
+    # concat_ws skips NULLs, and lpad cuts: both only after the parts are known to fit
+    return F.when((day <= 31) & month.isNotNull() & year.isNotNull(), iso.try_cast("date"))
+
+
+def _fields(c: ColumnOrName, pattern: str) -> Column:
+    return F.split(F.trim(F.regexp_extract(_col(c), pattern, 0), F.lit(" \t")), "[ \t]+")
 
 
 def parse_date(c: ColumnOrName) -> Column:
     """``d MMMM yyyy`` text → date as the legacy parser reads it; NULL when it cannot."""
-    parts = F.split(F.trim(F.regexp_extract(_col(c), _DAY_MONTH_YEAR, 0)), " ")
+    parts = _fields(c, _DAY_MONTH_YEAR)
     return _date_from(parts, F.get(parts, 2).try_cast("int"))
 
 
@@ -93,7 +99,7 @@ def parse_day_month(c: ColumnOrName) -> Column:
 
     ``' 6 April'`` → 1970-04-06, ``'23 July 2021'`` → 1970-07-23, ``'29 February'`` → NULL.
     """
-    parts = F.split(F.trim(F.regexp_extract(_col(c), _DAY_MONTH, 0)), " ")
+    parts = _fields(c, _DAY_MONTH)
     return _date_from(parts, F.lit(_NO_YEAR))
 
 

@@ -1,6 +1,5 @@
 from strata.operators.dedupe import distinct_rows, keep_one
 from strata.operators.impute import column_means, fill_constant, fill_mean
-from strata.operators.joins import bounded_broadcast, join_on
 from strata.operators.quality import (
     drop_null,
     duplicate_keys,
@@ -13,7 +12,6 @@ from strata.operators.quality import (
 )
 
 __all__ = [
-    "bounded_broadcast",
     "column_means",
     "distinct_rows",
     "drop_null",
@@ -21,7 +19,6 @@ __all__ = [
     "fill_constant",
     "fill_mean",
     "filter_null",
-    "join_on",
     "keep_one",
     "null_profile",
     "row_count",

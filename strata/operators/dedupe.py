@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_KEPT = "__kept"
+_KEPT, _COPIES = "__kept", "__copies"
 
 
 def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -35,7 +35,9 @@ def keep_one(
     """
     keys = list(keys)
     if dedupe_first:
-        df = df.distinct()
+        # a plain distinct() below a min would be optimised away as redundant; the filter keeps it
+        counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(_COPIES))
+        df = counted.filter(F.col(_COPIES) > 0).drop(_COPIES)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()

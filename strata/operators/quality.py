@@ -7,8 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.joins import bounded_broadcast
-
 
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """One row: number of NULLs per column, all columns in one pass."""
@@ -58,19 +56,14 @@ def unmatched(
     right: DataFrame,
     left_keys: Sequence[str],
     right_keys: Sequence[str],
-    right_max_rows: int | None = None,
-    materialize_right: bool = False,
 ) -> DataFrame:
     """Rows of ``left`` that an inner join on these keys would drop (NULL keys included).
 
-    With ``right_max_rows`` the right-side keys are broadcast once a size check
-    passes, so a left key holding a large share of the rows is never gathered
-    into one task by a shuffle.
+    A plain anti join: AQE broadcasts the keys when they are small, and splits a hot left key
+    when they are not.
     """
     pairs = list(zip(left_keys, right_keys, strict=True))
     keys = right.select(*[F.col(rk).alias(f"__rk{i}") for i, (_, rk) in enumerate(pairs)])
-    if right_max_rows is not None:
-        keys = bounded_broadcast(keys, right_max_rows, materialize=materialize_right)
     cond = None
     for i, (lk, _) in enumerate(pairs):
         c = F.col(lk) == F.col(f"__rk{i}")

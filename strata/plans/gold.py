@@ -3,21 +3,18 @@
 The mart answers, per (participating country, games edition): athlete-event
 rows in total and by sex, average height and weight, and the medal tally.
 
-Plan (one scan of the fact). The athlete table decides the join: when a size
-check allows, it is broadcast and fact rows are joined in place (nothing is
-shuffled by athlete). Beyond the bound:
+Plan (one scan of the fact, one shape at every size):
 
 1. fact → group by (AthleteID, CountryNOC, EditionID, medal triple): row count.
    The triple is constant per (country, edition) — it was joined on from the
    tally — so it adds no groups, and keeps every big aggregate a hash aggregate.
    Partial aggregation collapses a hot key inside each map task, so no key — not
    even one holding a third of all rows — reaches one reducer whole.
-2. ⟕ athlete on AthleteID, on the pre-aggregate (sort-merge at scale; AQE may
-   broadcast it or split skewed partitions).
+2. ⟕ athlete on AthleteID, on the pre-aggregate; broadcast or sort-merge is the
+   planner's and AQE's choice, from measured sizes.
 3. group by (CountryNOC, EditionID, medal triple): counts and height/weight
-   sums weighted by the row counts of step 1 (each row weighs 1 on the broadcast
-   path). Integer sums are exact, so the one division at the end equals the
-   per-row ``count``/``avg``.
+   sums weighted by the row counts of step 1. Integer sums are exact, so the one
+   division at the end equals the per-row ``count``/``avg``.
 4. group by (CountryNOC, EditionID): add up, and keep the smallest triple (the
    deterministic survivor); this step sees country × edition rows only.
 5. join that small result to country (fan-out on a duplicated code, kept),
@@ -29,8 +26,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.columns import total_of
 from strata.operators.dedupe import keep_one
-from strata.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 
 # --- Fixed values: published mart columns, in order ----------------------------
 MART_COLUMNS = (
@@ -44,15 +41,12 @@ _TALLY = "__tally"
 _ROWS = "__rows"
 
 
-def fact_with_date(
-    fact: DataFrame, date: DataFrame, date_max_rows: int = DEFAULT_BROADCAST_ROWS, materialize_date: bool = False
-) -> DataFrame:
+def fact_with_date(fact: DataFrame, date: DataFrame) -> DataFrame:
     """Olympics_Fact: the fact plus ``Date_id`` (NULL when the edition has no date row).
 
-    A key-only left lookup: the date side is one column, broadcast after a size check.
+    A key-only left lookup: the date side is one column of a few dozen rows.
     """
-    keys = bounded_broadcast(date.select("Date_id"), date_max_rows, materialize=materialize_date)
-    return fact.join(keys, F.col("EditionID") == F.col("Date_id"), "left")
+    return fact.join(date.select("Date_id"), F.col("EditionID") == F.col("Date_id"), "left")
 
 
 def medals_per_key(fact: DataFrame) -> DataFrame:
@@ -71,20 +65,18 @@ def medals_per_key(fact: DataFrame) -> DataFrame:
         F.sum("SilverMedals").alias("TotalSilver"),
         F.sum("BronzeMedals").alias("TotalBronze"),
     )
-    return summed.withColumn("TotalMedals", F.col("TotalGold") + F.col("TotalSilver") + F.col("TotalBronze"))
+    return summed.withColumn("TotalMedals", total_of("TotalGold", "TotalSilver", "TotalBronze"))
 
 
 _MEDALS = ("GoldMedals", "SilverMedals", "BronzeMedals")
 _SUMS = ("__athletes", "__h_sum", "__h_n", "__w_sum", "__w_n", "__male", "__female")
 
 
-def participation_stats(
-    fact: DataFrame, athlete: DataFrame, athlete_max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
-) -> DataFrame:
+def participation_stats(fact: DataFrame, athlete: DataFrame) -> DataFrame:
     """Per (CountryNOC, EditionID): athlete and medal figures, NULL keys dropped.
 
-    The athlete table is broadcast when a size check allows it; beyond that bound
-    the fact is pre-aggregated per athlete and sort-merge joined.
+    The fact is combined per athlete map-side before the join, so the join sees one
+    row for each (athlete, key) and a hot athlete is collapsed inside every map task.
 
     The medal triple rides along as a grouping key (it is constant per country
     and edition, so this adds no groups) and every aggregate over the big inputs
@@ -93,16 +85,8 @@ def participation_stats(
     """
     keys = ["CountryNOC", "EditionID", *_MEDALS]
     bio = athlete.select(F.col("AthleteID").alias("__athlete_key"), "Sex", "Height", "Weight")
-    side = bounded_broadcast(bio, athlete_max_broadcast_rows)
-    if side is not bio:
-        # small athlete table, broadcast: fact rows are joined where they are, each weighing 1;
-        # nothing is shuffled by athlete, so no athlete key can skew a task
-        per_athlete = fact.select("AthleteID", *keys, F.lit(1).cast("long").alias(_ROWS))
-    else:
-        # large athlete table, sort-merge join: combine fact rows per athlete map-side first,
-        # so the join shuffles one row per (athlete, key) and a hot athlete is collapsed
-        per_athlete = fact.groupBy("AthleteID", *keys).agg(F.count(F.lit(1)).alias(_ROWS))
-    joined = per_athlete.join(side, F.col("AthleteID") == F.col("__athlete_key"), "left")
+    per_athlete = fact.groupBy("AthleteID", *keys).agg(F.count(F.lit(1)).alias(_ROWS))
+    joined = per_athlete.join(bio, F.col("AthleteID") == F.col("__athlete_key"), "left")
 
     rows = F.col(_ROWS)
 
@@ -140,7 +124,7 @@ def participation_stats(
         gold.alias("TotalGold"),
         silver.alias("TotalSilver"),
         bronze.alias("TotalBronze"),
-        (gold + silver + bronze).alias("TotalMedals"),
+        total_of(gold, silver, bronze).alias("TotalMedals"),
     )
 
 
@@ -151,14 +135,13 @@ def participation_mart(
     games: DataFrame,
     date: DataFrame,
     dedupe_country: bool = False,
-    athlete_max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """BusinessLogic: one row per (country row, edition) with participation and medals.
 
     Inner joins drop keys missing from country, games or dates. A country code
     listed twice yields two rows (one per country name) unless ``dedupe_country``.
     """
-    stats = participation_stats(fact, athlete, athlete_max_broadcast_rows)
+    stats = participation_stats(fact, athlete)
     countries = country.select(F.col("noc").alias("__country_code"), F.col("country").alias("ParticipateCountry"))
     if dedupe_country:
         countries = keep_one(countries, ["__country_code"])

@@ -23,30 +23,35 @@ _MONTHS = (
     "January", "February", "March", "April", "May", "June",
     "July", "August", "September", "October", "November", "December",
 )
-_MONTH_RE = "(?i:" + "|".join(_MONTHS) + "|" + "|".join(m[:3] for m in _MONTHS) + ")"
 
 
-def _month_number(name: str) -> str:
-    whens = " ".join(f"WHEN '{m[:3].lower()}' THEN {i}" for i, m in enumerate(_MONTHS, start=1))
-    return f"(CASE lower(substr({name}, 1, 3)) {whens} END)"
+def _tokens(x: str) -> str:
+    """The fields of a date text, cut at blanks and tabs."""
+    return f"regexp_split_to_array(ltrim({x}, ' ' || chr(9)), '[ ' || chr(9) || ']+')"
 
 
-def _make_date(y: str, m: str, d: str) -> str:
-    return (
-        f"(CASE WHEN {y} >= 1 AND {m} IS NOT NULL AND {d} IS NOT NULL "
-        f"THEN TRY_CAST(printf('%04d-%02d-%02d', {y}, {m}, {d}) AS DATE) END)"
-    )
+def _month_list(cut: int | None) -> str:
+    return "[" + ", ".join(f"'{m[:cut].lower()}'" for m in _MONTHS) + "]"
 
 
-def _part(x: str, pattern: str, i: int) -> str:
-    return f"regexp_extract({x}, '{pattern}', {i})"
+def _is_number(x: str) -> str:
+    return f"({x} <> '' AND translate({x}, '0123456789', '') = '')"
 
 
 def parse_date(x: str) -> str:
-    """Legacy ``d MMMM yyyy`` reading: leading blanks, short or full month, tail ignored."""
-    pat = f"^\\s*(\\d+) ({_MONTH_RE}) (\\d+)"
-    num = lambda i: f"TRY_CAST(NULLIF({_part(x, pat, i)}, '') AS INTEGER)"
-    return _make_date(num(3), _month_number(_part(x, pat, 2)), num(1))
+    """Legacy ``d MMMM yyyy`` reading, token by token: a number, a month's full or short name, a number.
+
+    One blank stands before the month, a blank right after it; what follows the year's digits is ignored.
+    """
+    t = _tokens(x)
+    day, name, tail = f"{t}[1]", f"lower({t}[2])", f"{t}[3]"
+    month = f"coalesce(list_position({_month_list(None)}, {name}), list_position({_month_list(3)}, {name}))"
+    year = f"TRY_CAST(NULLIF(regexp_extract({tail}, '^[0-9]+'), '') AS INTEGER)"
+    blank = f"position({day} || ' ' || {t}[2] || ' ' IN {x}) > 0"
+    return (
+        f"(CASE WHEN {_is_number(day)} AND {month} > 0 AND {year} >= 1 AND {blank} "
+        f"THEN TRY_CAST(printf('%04d-%02d-%02d', {year}, {month}, TRY_CAST({day} AS INTEGER)) AS DATE) END)"
+    )
 
 
 def parse_text_date(x: str) -> str:
@@ -54,9 +59,13 @@ def parse_text_date(x: str) -> str:
 
 
 def parse_day_month(x: str) -> str:
-    pat = f"^\\s*(\\d+) ({_MONTH_RE})"
-    day = f"TRY_CAST(NULLIF({_part(x, pat, 1)}, '') AS INTEGER)"
-    return _make_date("1970", _month_number(_part(x, pat, 2)), day)
+    t = _tokens(x)
+    day = f"{t}[1]"
+    month = f"list_position({_month_list(3)}, lower(left({t}[2], 3)))"
+    return (
+        f"(CASE WHEN {_is_number(day)} AND {month} > 0 AND position({day} || ' ' || {t}[2] IN {x}) > 0 "
+        f"THEN TRY_CAST(printf('1970-%02d-%02d', {month}, TRY_CAST({day} AS INTEGER)) AS DATE) END)"
+    )
 
 
 def s(x: str) -> str:
@@ -78,7 +87,7 @@ cte(
     WHERE n_nationkey <> 24 AND n_nationkey IN (SELECT DISTINCT CAST(c_custkey % 25 AS INTEGER) FROM customer)
     UNION ALL
     SELECT n_name AS noc, 'Country ' || {s('n_nationkey')} || ' (bis)' AS country FROM nation
-    WHERE n_nationkey = 3 AND n_nationkey IN (SELECT DISTINCT CAST(c_custkey % 25 AS INTEGER) FROM customer)""",
+    WHERE n_nationkey = 20 AND n_nationkey IN (SELECT DISTINCT CAST(c_custkey % 25 AS INTEGER) FROM customer)""",
 )
 
 cte(
@@ -96,7 +105,7 @@ cte(
              ELSE {s('10 + yr % 9')} || ' May' END AS end_date,
         CAST(NULL AS VARCHAR) AS competition_date,
         CAST(NULL AS VARCHAR) AS isHeld
-    FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS yr FROM orders)""",
+    FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS yr FROM orders) WHERE yr <> 1997""",
 )
 
 cte(
@@ -105,6 +114,12 @@ cte(
         c_name AS name,
         CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS sex,
         CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 13 = 0 THEN 'unknown'
+             WHEN c_custkey % 31 = 0
+             THEN strftime(DATE '1950-01-01' + CAST(c_custkey % 15000 AS INTEGER), '%-d %B  ') || chr(9)
+                  || strftime(DATE '1950-01-01' + CAST(c_custkey % 15000 AS INTEGER), '%Y')
+             WHEN c_custkey % 37 = 0
+             THEN strftime(DATE '1950-01-01' + CAST(c_custkey % 15000 AS INTEGER), '%-d') || chr(9)
+                  || strftime(DATE '1950-01-01' + CAST(c_custkey % 15000 AS INTEGER), '%B %Y')
              ELSE strftime(DATE '1950-01-01' + CAST(c_custkey % 15000 AS INTEGER), '%-d %B %Y') END AS born,
         CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 19 = 0 THEN '171.5'
              ELSE {s('150 + c_custkey % 60')} END AS height,
@@ -207,7 +222,7 @@ cte(
     "r_results",
     "ev_one",
 )
-cte("s_country", "SELECT noc, country FROM r_country", "r_country")
+cte("s_country", "SELECT * FROM r_country", "r_country")
 cte(
     "s_date",
     f"""SELECT {to_int('edition_id')} AS Date_id, {to_int('year')} AS year,
@@ -489,6 +504,44 @@ oracle("bronze_round_trip", "SELECT * FROM r_results", "r_results")
 oracle("stream_bronze_landing", "SELECT * FROM r_events", "r_events")
 oracle("stream_silver_fact", "SELECT * FROM s_fact", "s_fact")
 oracle("publish_round_trip", "SELECT * FROM s_athlete", "s_athlete")
+oracle(
+    "bronze_part_folders",
+    """SELECT result_id, sport, result_date, CAST(2020 + ascii(right(result_id, 1)) % 4 AS VARCHAR) AS year,
+        CASE WHEN ascii(right(result_id, 1)) % 4 = 3 THEN 'extra' END AS venue FROM r_results""",
+    "r_results",
+)
+for _key in ("publish_managed", "external_typed_table", "read_back_check"):
+    oracle(_key, "SELECT * FROM s_athlete", "s_athlete")
+oracle(
+    "list_gold_tables",
+    "SELECT unnest(['athlete_dim', 'athlete_dim_typed']) AS table_name, false AS isTemporary",
+)
+oracle(
+    "schema_of_results",
+    """SELECT * FROM (VALUES (0, 'ResultID', 'int'), (1, 'EventTitle', 'string'), (2, 'EventName', 'string'),
+        (3, 'Sport', 'string'), (4, 'SportURL', 'string'), (5, 'ResultDate', 'date'), (6, 'ResultLocation', 'string'),
+        (7, 'ResultParticipants', 'string'), (8, 'IsTeamSport', 'boolean')) v(position, "column", type)""",
+)
+oracle("written_codecs", "SELECT 'snappy' AS codec, count(*) AS n_rows FROM s_athlete", "s_athlete")
+_DIMENSIONS = {
+    "athlete": ("s_athlete", "AthleteID Name Sex Born Height Weight Nationality"),
+    "games": ("s_games", "EditionID EditionName EditionURL FlagURL HostCity HostCountry"),
+    "results": (
+        "s_results",
+        "ResultID EventTitle EventName Sport SportURL ResultDate ResultLocation ResultParticipants IsTeamSport",
+    ),
+    "country": ("s_country", "noc country"),
+    "date": ("s_date", "Date_id year start_day_date start_month_date end_day_date end_month_date"),
+}
+oracle(
+    "gold_dimension_rows",
+    " UNION ALL ".join(
+        f"SELECT '{k}' AS dimension, concat_ws('|', {', '.join(f'coalesce({s(c)}, chr(45))' for c in cols.split())})"
+        f" AS row_text FROM {t}"
+        for k, (t, cols) in _DIMENSIONS.items()
+    ),
+    *[t for t, _ in _DIMENSIONS.values()],
+)
 ORACLE["lake_end_to_end"] = ORACLE["participation_mart"]
 oracle(
     "lake_row_counts",

@@ -7,6 +7,7 @@ The SQL twin of each key is in ``strata.plans.oracle_sql``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,6 @@ from strata import sinks, streaming
 from strata.config import DATASETS, GOLD, GOLD_DATABASE, LakePaths
 from strata.functions import columns as X
 from strata.operators import dedupe, impute, quality
-from strata.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from strata.plans import gold, silver, stages
 from strata.session import scratch_path
 from strata.sources import roles
@@ -37,8 +37,7 @@ def athlete_dim_of(t: roles.Tables) -> DataFrame:
 
 
 def fact_of(t: roles.Tables) -> DataFrame:
-    # the tally role is an aggregate over orders, not a file: materialize it once
-    return silver.fact_table(roles.event_results(t), roles.medal_tally(t), materialize_tally=True)
+    return silver.fact_table(roles.event_results(t), roles.medal_tally(t))
 
 
 def silver_athlete_dim(spark: SparkSession, d: str) -> DataFrame:
@@ -69,7 +68,7 @@ def silver_fact(spark: SparkSession, d: str) -> DataFrame:
 
 def gold_fact_with_date(spark: SparkSession, d: str) -> DataFrame:
     t = _tables(spark, d)
-    return gold.fact_with_date(fact_of(t), silver.date_dim(roles.games(t)), materialize_date=True)
+    return gold.fact_with_date(fact_of(t), silver.date_dim(roles.games(t)))
 
 
 def participation_mart(spark: SparkSession, d: str) -> DataFrame:
@@ -246,13 +245,9 @@ def grouped_count_nonnull(spark: SparkSession, d: str) -> DataFrame:
     t = _tables(spark, d)
     fact = fact_of(t)
     bio = athlete_dim_of(t).select(F.col("AthleteID").alias("__athlete_key"))
-    side = bounded_broadcast(bio)
-    if side is not bio:  # small athlete table: broadcast, nothing shuffled by athlete
-        has_id = F.col("AthleteID").isNotNull().cast("long")
-        per_athlete = fact.select("CountryNOC", "EditionID", "AthleteID", has_id.alias("__n"))
-    else:  # large: count(AthleteID) per athlete first, combined map-side (a hot id collapses)
-        per_athlete = fact.groupBy("CountryNOC", "EditionID", "AthleteID").agg(F.count("AthleteID").alias("__n"))
-    joined = per_athlete.join(side, F.col("AthleteID") == F.col("__athlete_key"), "left")
+    # count(AthleteID) per athlete first, combined map-side: a hot id collapses before the join
+    per_athlete = fact.groupBy("CountryNOC", "EditionID", "AthleteID").agg(F.count("AthleteID").alias("__n"))
+    joined = per_athlete.join(bio, F.col("AthleteID") == F.col("__athlete_key"), "left")
     zero = F.lit(0).cast("long")
     return joined.groupBy("CountryNOC", "EditionID").agg(
         F.coalesce(F.sum("__n"), zero).alias("athlete_rows"),
@@ -290,11 +285,7 @@ def unmatched_keys(spark: SparkSession, d: str) -> DataFrame:
     """Rows each inner join of the pipeline drops, as (join, dropped_rows)."""
     t = _tables(spark, d)
     events, tally = roles.event_results(t), roles.medal_tally(t)
-    # the tally is small by construction: broadcast its keys (checked), never shuffle the events by key
-    no_tally = quality.unmatched(
-        events, tally, ["country_noc", "edition_id"], ["country_noc", "edition_id"],
-        right_max_rows=DEFAULT_BROADCAST_ROWS, materialize_right=True,
-    )
+    no_tally = quality.unmatched(events, tally, ["country_noc", "edition_id"], ["country_noc", "edition_id"])
     stats = gold.participation_stats(fact_of(t), athlete_dim_of(t))
     no_country = quality.unmatched(stats, roles.country(t), ["CountryNOC"], ["noc"])
     return quality.row_count(no_tally, "fact_without_tally").unionByName(
@@ -331,31 +322,116 @@ def stream_bronze_landing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_silver_fact(spark: SparkSession, d: str) -> DataFrame:
-    """P11f incrementally: event CSV → landing stream → bronze → fact stream (⋈ tally) → silver fact."""
+    """P11f incrementally: event CSV → landing stream → bronze → fact stream (⋈ tally) → silver fact.
+
+    The tally of half the editions is there when the events come, the whole one only afterwards.
+    """
     root = scratch_path(spark, "stream-fact")
     t = _tables(spark, d)
     name = "Olympic_Athlete_Event_Results"
     sinks.save_csv(roles.event_results(t), f"{root}/incoming")
     bronze = streaming.land_available(spark, f"{root}/incoming", f"{root}/bronze", f"{root}/_ckpt_land", DATASETS[name])
     tally = roles.medal_tally(t)
-    fact = streaming.update_fact(spark, bronze, tally, f"{root}/silver_fact", f"{root}/_ckpt_fact")
-    return load_parquet(spark, fact)
+    early = sinks.save_parquet(tally.filter("edition_id <= '3'"), f"{root}/tally_early")
+    late = sinks.save_parquet(tally, f"{root}/tally")
+    for path in (early, late):
+        streaming.update_fact(
+            spark, bronze, lambda path=path: load_parquet(spark, path), f"{root}/silver_fact", f"{root}/_ckpt_fact"
+        )
+    return streaming.read_fact(spark, f"{root}/silver_fact", f"{root}/_ckpt_fact")
+
+
+def bronze_part_folders(spark: SparkSession, d: str) -> DataFrame:
+    """A dataset in ``key=value`` folders: gzip parts, other suffixes, a swapped header, a column more."""
+    paths = LakePaths.under(scratch_path(spark, "parts"))
+    res = roles.results(_tables(spark, d)).select("result_id", "sport", "result_date")
+    part = F.ascii(F.right("result_id", F.lit(1))) % 4
+    folder = f"{paths.csv_root}/Parts.csv"
+    plain = lambda k: res.filter(part == k)
+    writer = lambda df: df.write.mode("overwrite").option("header", True)
+    writer(plain(0)).option("compression", "gzip").csv(f"{folder}/year=2020")
+    writer(plain(1).select("sport", "result_id", "result_date")).csv(f"{folder}/year=2021")
+    writer(plain(2)).option("extension", "dat").csv(f"{folder}/year=2022")
+    writer(plain(3).withColumn("venue", F.lit("extra"))).csv(f"{folder}/year=2023")
+    landed = stages.land_bronze(spark, paths)
+    return load_parquet(spark, landed["Parts"]).select("result_id", "sport", "result_date", "year", "venue")
+
+
+def _own_database(purpose: str) -> str:
+    """A database of this call alone: a key never touches tables that others published."""
+    return f"{GOLD_DATABASE}_{purpose}_{uuid.uuid4().hex[:12]}"
+
+
+def _published(spark: SparkSession, d: str, purpose: str, managed: bool = False) -> tuple[str, str]:
+    """The athlete dim published in a database of its own: (table, path)."""
+    database = sinks.ensure_database(spark, _own_database(purpose))
+    table, path = f"{database}.{GOLD['athlete'][0]}", f"{scratch_path(spark, purpose)}/{GOLD['athlete'][1]}"
+    sinks.publish(spark, athlete_dim_of(_tables(spark, d)), table, path, managed=managed)
+    return table, path
 
 
 def publish_round_trip(spark: SparkSession, d: str) -> DataFrame:
-    """Athlete dim published once as Parquet + catalog table, read via the catalog."""
-    root = scratch_path(spark, "publish")
-    sinks.ensure_database(spark, GOLD_DATABASE)
-    table = f"{GOLD_DATABASE}.{GOLD['athlete'][0]}"
-    sinks.publish(spark, athlete_dim_of(_tables(spark, d)), table, f"{root}/{GOLD['athlete'][1]}")
-    return spark.table(table)
+    """Athlete dim published once as Parquet + external catalog table, read via the catalog."""
+    return spark.table(_published(spark, d, "publish")[0])
+
+
+def publish_managed(spark: SparkSession, d: str) -> DataFrame:
+    """K5: the same as a managed table, read via the catalog."""
+    return spark.table(_published(spark, d, "managed", managed=True)[0])
+
+
+def external_typed_table(spark: SparkSession, d: str) -> DataFrame:
+    """K7: a table with a declared column list over written files."""
+    table, path = _published(spark, d, "typed")
+    schema = spark.read.parquet(path).schema
+    return sinks.external_table(spark, f"{table}_typed", path, schema)
+
+
+def read_back_check(spark: SparkSession, d: str) -> DataFrame:
+    """K8: the published files opened again, their schema checked against the frame's."""
+    expected = athlete_dim_of(_tables(spark, d)).schema
+    return sinks.read_back(spark, _published(spark, d, "check")[1], expected)
+
+
+def list_gold_tables(spark: SparkSession, d: str) -> DataFrame:
+    """The tables of a database, after publishing into it."""
+    table, path = _published(spark, d, "list")
+    sinks.external_table(spark, f"{table}_typed", path, spark.read.parquet(path).schema)
+    return sinks.list_tables(spark, table.split(".")[0]).select(F.lower("tableName").alias("table_name"), "isTemporary")
+
+
+def schema_of_results(spark: SparkSession, d: str) -> DataFrame:
+    """Column names and types of the results dimension, as data."""
+    report = quality.schema_report(spark, silver_results_dim(spark, d))
+    return report.select("position", "column", "type")
+
+
+def written_codecs(spark: SparkSession, d: str) -> DataFrame:
+    """K3: rows by the codec of the Parquet files they were written to."""
+    path = sinks.save_parquet(athlete_dim_of(_tables(spark, d)), scratch_path(spark, "codec"))
+    codec = F.regexp_extract("_metadata.file_name", r"\.([a-z0-9]+)\.parquet$", 1)
+    return load_parquet(spark, path).groupBy(codec.alias("codec")).agg(F.count("*").alias("n_rows"))
+
+
+def gold_dimension_rows(spark: SparkSession, d: str) -> DataFrame:
+    """P12a-e: every row of the five published dimensions, as text."""
+    paths = LakePaths.under(scratch_path(spark, "dims"))
+    _write_role_csvs(spark, _tables(spark, d), paths.csv_root, list(roles.BUILDERS))
+    stages.run_stages(spark, paths, database=_own_database("dims"))
+    out = None
+    for k in ("athlete", "games", "results", "country", "date"):
+        df = load_parquet(spark, paths.gold(k))
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in df.columns])
+        part = df.select(F.lit(k).alias("dimension"), text.alias("row_text"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def lake_row_counts(spark: SparkSession, d: str) -> DataFrame:
     """A7 over a whole run: rows of every bronze, silver and gold output, read back from the lake."""
     paths = LakePaths.under(scratch_path(spark, "lake-counts"))
     _write_role_csvs(spark, _tables(spark, d), paths.csv_root, list(roles.BUILDERS))
-    stages.run_stages(spark, paths, database=f"{GOLD_DATABASE}_counts")
+    stages.run_stages(spark, paths, database=_own_database("counts"))
     return stages.layer_counts(spark, paths)
 
 
@@ -363,8 +439,7 @@ def lake_end_to_end(spark: SparkSession, d: str) -> DataFrame:
     """All six roles as CSV → bronze → silver → gold; the published mart, read back."""
     paths = LakePaths.under(scratch_path(spark, "lake"))
     _write_role_csvs(spark, _tables(spark, d), paths.csv_root, list(roles.BUILDERS))
-    # its own database, so it never touches tables another key published in the same session
-    return stages.run_stages(spark, paths, database=f"{GOLD_DATABASE}_lake")
+    return stages.run_stages(spark, paths, database=_own_database("lake"))
 
 
 QUERIES: dict[str, Query] = {
@@ -404,6 +479,14 @@ QUERIES: dict[str, Query] = {
     "stream_bronze_landing": stream_bronze_landing,
     "stream_silver_fact": stream_silver_fact,
     "publish_round_trip": publish_round_trip,
+    "bronze_part_folders": bronze_part_folders,
+    "publish_managed": publish_managed,
+    "external_typed_table": external_typed_table,
+    "read_back_check": read_back_check,
+    "list_gold_tables": list_gold_tables,
+    "schema_of_results": schema_of_results,
+    "written_codecs": written_codecs,
+    "gold_dimension_rows": gold_dimension_rows,
     "lake_end_to_end": lake_end_to_end,
     "lake_row_counts": lake_row_counts,
 }

@@ -21,7 +21,6 @@ from strata.functions.columns import (
 )
 from strata.operators.dedupe import keep_one
 from strata.operators.impute import fill_constant, fill_mean
-from strata.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from strata.operators.quality import drop_null
 
 # --- Fixed values: the numeric result-id pattern ----------------------------------
@@ -81,11 +80,11 @@ def games_dim(games: DataFrame, country: DataFrame) -> DataFrame:
 def event_per_result(events: DataFrame) -> DataFrame:
     """(event_result_id, isTeamSport, event): one row per result id.
 
-    Distinct rows, then one survivor per id — done as a single aggregation, as
-    ``min`` does not change under duplicate rows.
+    A result repeats its flag and event on every athlete's row: a hash distinct collapses
+    those in each map task, and the sort-based pick of the survivor sees distinct rows only.
     """
     per_row = events.select(F.col("result_id").alias("event_result_id"), "isTeamSport", "event")
-    return keep_one(per_row, ["event_result_id"])
+    return keep_one(per_row, ["event_result_id"], dedupe_first=True)
 
 
 def results_dim(results: DataFrame, events: DataFrame) -> DataFrame:
@@ -97,14 +96,16 @@ def results_dim(results: DataFrame, events: DataFrame) -> DataFrame:
     """
     numeric = results.filter(F.col("result_id").rlike(NUMERIC_ID))
     joined = numeric.join(event_per_result(events), F.col("result_id") == F.col("event_result_id"), "left")
-    kept = drop_null(joined, ["result_location"]).withColumn("result_date", parse_text_date("result_date"))
-    return drop_null(kept, ["result_date"]).select(
+    located = drop_null(joined, ["result_location"])
+    # one row for a parsed date, none for NULL: unlike a filter, this parses each text once
+    day = F.explode(F.array_compact(F.array(parse_text_date("result_date")))).alias("__day")
+    return located.select("*", day).select(
         to_int_lenient("result_id").alias("ResultID"),
         F.col("event_title").alias("EventTitle"),
         F.col("event").alias("EventName"),
         F.col("sport").alias("Sport"),
         F.col("sport_url").alias("SportURL"),
-        F.col("result_date").alias("ResultDate"),
+        F.col("__day").alias("ResultDate"),
         F.col("result_location").alias("ResultLocation"),
         F.col("result_participants").alias("ResultParticipants"),
         to_bool("isTeamSport").alias("IsTeamSport"),
@@ -112,8 +113,8 @@ def results_dim(results: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def country_dim(country: DataFrame) -> DataFrame:
-    """OlympicsCountry(noc, country): a typed pass-through (``noc`` is not unique)."""
-    return country.select("noc", "country")
+    """OlympicsCountry(noc, country, any others): passed through (``noc`` is not unique)."""
+    return country
 
 
 def date_dim(games: DataFrame) -> DataFrame:
@@ -138,20 +139,14 @@ def date_dim(games: DataFrame) -> DataFrame:
     )
 
 
-def fact_table(
-    events: DataFrame,
-    tally: DataFrame,
-    tally_max_rows: int = DEFAULT_BROADCAST_ROWS,
-    materialize_tally: bool = False,
-) -> DataFrame:
+def fact_table(events: DataFrame, tally: DataFrame) -> DataFrame:
     """Fact_Table(EditionID, CountryNOC, ResultID, AthleteID, Position, MedalAthlete,
     GoldMedals, SilverMedals, BronzeMedals, TotalMedals).
 
     Inner join of athlete-event rows to the medal tally on (country, edition):
     rows without a tally are dropped, and the tally repeats on every row. The
-    tally has one row per (country, edition), so it is broadcast once its size
-    is checked; the event rows are never shuffled for this join. Set
-    ``materialize_tally`` when the tally is computed rather than read from files.
+    tally has one row per (country, edition): the planner broadcasts it from its
+    size, and AQE splits a hot key should it ever be too large for that.
     """
     t = tally.select(
         F.col("edition_id").alias("__tally_edition"),
@@ -163,7 +158,7 @@ def fact_table(
     )
     e = events.select("edition_id", "country_noc", "result_id", "athlete_id", "pos", "medal")
     joined = e.join(
-        bounded_broadcast(t, tally_max_rows, materialize=materialize_tally),
+        t,
         (F.col("country_noc") == F.col("__tally_country")) & (F.col("edition_id") == F.col("__tally_edition")),
         "inner",
     )

@@ -12,8 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-import posixpath
-from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +21,7 @@ from strata.operators.quality import row_count
 from strata.plans import gold, silver
 from strata.sinks.catalog import ensure_database, publish
 from strata.sinks.files import save_parquet
-from strata.sources.files import list_files, load_parquet, read_csv_strings
+from strata.sources.files import headers_differ, list_entries, load_parquet, read_csv_by_name, read_csv_strings
 
 
 # Jobs of one stage submitted at once (Spark schedules their tasks together).
@@ -39,50 +37,34 @@ def run_together(jobs: dict[str, Callable[[], object]]) -> dict[str, object]:
         return {name: f.result() for name, f in futures.items()}
 
 
-def _path(uri: str) -> str:
-    return urlparse(uri).path.rstrip("/")
-
-
-def dataset_entry(file_uri: str, csv_root: str) -> str | None:
-    """The ``X.csv`` entry of ``csv_root`` that a listed file belongs to, or None.
+def csv_datasets(spark: SparkSession, csv_root: str) -> dict[str, str]:
+    """Dataset name → location, for each ``X.csv`` entry of ``csv_root``, a file or a folder.
 
-    The file index returns qualified URIs while the root may be relative or
-    unqualified, so the root's normalised tail is matched; what follows it must
-    be ``X.csv`` or ``X.csv/part``.
+    The entry's name alone decides; what its part files are called is Spark's matter. Raises
+    ``FileNotFoundError`` when the folder is missing.
     """
-    tail = posixpath.normpath(_path(csv_root)).lstrip("/")
-    while tail.startswith("../"):
-        tail = tail[3:]
-    root = "/" + tail + "/" if tail not in ("", ".") else "/"
-    full = _path(file_uri)
-    at = full.rfind(root)
-    while at >= 0 and full[at + len(root) :].count("/") > 1:
-        at = full.rfind(root, 0, at)
-    if at < 0:
-        return None
-    entry = full[at + len(root) :].split("/", 1)[0]
-    return entry if entry.endswith(".csv") else None
+    root = csv_root.rstrip("/")
+    return {n[: -len(".csv")]: f"{root}/{n}" for n in sorted(list_entries(spark, csv_root)) if n.endswith(".csv")}
 
 
-def csv_datasets(spark: SparkSession, csv_root: str) -> dict[str, str]:
-    """Dataset name → location, for each ``X.csv`` entry of ``csv_root``.
+def land_dataset(spark: SparkSession, location: str, target: str) -> str:
+    """One CSV dataset → Parquet, every column a string.
 
-    An entry is a single file or a folder of part files (as Spark writes CSV);
-    either way it is read as one dataset. Raises ``FileNotFoundError`` when the
-    folder is missing.
+    Part files are first read as having one header, which costs no extra pass; where a header
+    differs that job fails, and the files are landed by column name instead.
     """
-    found: dict[str, str] = {}
-    for f in list_files(spark, csv_root, "*.csv", recursive=True):
-        entry = dataset_entry(f, csv_root)
-        if entry:
-            found.setdefault(entry[: -len(".csv")], f"{csv_root.rstrip('/')}/{entry}")
-    return found
+    try:
+        return save_parquet(read_csv_strings(spark, location), target)
+    except Exception as error:
+        if not headers_differ(error):
+            raise
+    return save_parquet(read_csv_by_name(spark, location), target)
 
 
 def land_bronze(spark: SparkSession, paths: LakePaths) -> dict[str, str]:
     """Bronze: each CSV dataset → ``X_parquet``, every column a string. One map-only job each."""
     jobs = {
-        name: (lambda name=name, location=location: save_parquet(read_csv_strings(spark, location), paths.bronze(name)))
+        name: (lambda name=name, location=location: land_dataset(spark, location, paths.bronze(name)))
         for name, location in sorted(csv_datasets(spark, paths.csv_root).items())
     }
     return run_together(jobs)

@@ -27,9 +27,24 @@ def ensure_database(spark: SparkSession, name: str) -> str:
     return name
 
 
-def save_table(df: DataFrame, table: str, mode: str = "overwrite") -> str:
+def _table_type(spark: SparkSession, table: str) -> str | None:
+    """``MANAGED``, ``EXTERNAL`` or None when there is no such table."""
+    return spark.catalog.getTable(table).tableType if spark.catalog.tableExists(table) else None
+
+
+def _same_columns(spark: SparkSession, table: str, df: DataFrame) -> bool:
+    have = [(f.name, f.dataType) for f in spark.table(table).schema]
+    return have == [(f.name, f.dataType) for f in df.schema]
+
+
+def save_table(
+    df: DataFrame, table: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None
+) -> str:
     """Managed catalog table (data copied into the warehouse)."""
-    df.write.format("parquet").mode(mode).saveAsTable(table)
+    writer = df.write.format("parquet").mode(mode)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(table)
     return table
 
 
@@ -50,17 +65,25 @@ def publish(
     run of the lineage. ``partition_by`` lays the files out by those columns so
     readers filtering on them skip whole folders. Returns the published data,
     read back from ``path``.
+
+    An existing table's own data is never dropped: publishing externally over a
+    managed table raises. An external table with the same columns is pointed at
+    the new files, so readers always find a table; with other columns its entry
+    is dropped and made anew (its files stay).
     """
+    kind = _table_type(spark, table)
+    if kind == "MANAGED" and not managed:
+        raise ValueError(f"{table} is a managed table: drop it first, or publish with managed=True")
     save_parquet(df, path, mode=mode, partition_by=partition_by)
     written = spark.read.parquet(path)
     if managed:
-        writer = written.write.format("parquet").mode(mode)
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.saveAsTable(table)
+        save_table(written, table, mode, partition_by)
         return written
-    if mode == "overwrite":
-        spark.sql(f"DROP TABLE IF EXISTS {_q(table)}")
+    if kind is not None and mode == "overwrite":
+        if _same_columns(spark, table, written) and not partition_by:
+            spark.sql(f"ALTER TABLE {_q(table)} SET LOCATION {_path_literal(path)}")
+        else:
+            spark.sql(f"DROP TABLE {_q(table)}")
     if not spark.catalog.tableExists(table):
         spark.sql(f"CREATE TABLE {_q(table)} USING PARQUET LOCATION {_path_literal(path)}")
     if partition_by:

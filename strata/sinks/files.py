@@ -16,7 +16,13 @@ def save_parquet(
     compression: str = DEFAULT_CODEC,
     partition_by: Sequence[str] | None = None,
 ) -> str:
-    """Write ``df`` as Parquet (codec set on the writer, the session is not touched)."""
+    """Write ``df`` as Parquet (codec set on the writer, the session is not touched).
+
+    A partitioned write is rebalanced on its columns first: otherwise every task writes a file
+    into every folder. AQE splits the rebalanced parts that would be too large.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -1,3 +1,10 @@
-from strata.sources.files import list_files, load_parquet, read_csv_strings, require_folder, string_schema
+from strata.sources.files import (
+    delete_folder,
+    list_entries,
+    load_parquet,
+    read_csv_by_name,
+    read_csv_strings,
+    string_schema,
+)
 
-__all__ = ["list_files", "load_parquet", "read_csv_strings", "require_folder", "string_schema"]
+__all__ = ["delete_folder", "list_entries", "load_parquet", "read_csv_by_name", "read_csv_strings", "string_schema"]

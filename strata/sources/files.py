@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
@@ -13,40 +14,86 @@ def string_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
+def _csv_reader(spark: SparkSession, schema: StructType | None = None):
+    reader = spark.read.option("header", True)
+    # with a schema given, every file's header must show just those names, in that order
+    return reader if schema is None else reader.schema(schema).option("enforceSchema", False)
+
+
+def _all_strings(df: DataFrame) -> DataFrame:
+    """Folder columns (``year=2020``) come typed; bronze is strings throughout."""
+    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+
+
 def read_csv_strings(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Header CSV with every column typed ``string`` (no inference pass over the data).
 
     Defaults: ``,`` delimiter, ``"`` quote, empty field → NULL, leading blanks kept
-    (trimming is a silver decision). Without ``columns`` the names come from the
-    header line only; with ``columns`` the header is checked against them.
+    (trimming is a silver decision). ``path`` is a file, or a folder of part files under any name,
+    compressed or in ``key=value`` folders. Without ``columns`` the names are those of one file's
+    header. A file whose header differs makes the job fail, as its columns would be taken by
+    position; ``read_csv_by_name`` reads such folders.
     """
-    reader = spark.read.option("header", True)
-    if columns is not None:
-        reader = reader.schema(string_schema(columns)).option("enforceSchema", False)
-    return reader.csv(path)
+    if columns is None:
+        names = _csv_reader(spark).csv(path)
+        folders = _folder_columns(spark, path)
+        columns = [c for c in names.columns if c not in folders]
+    return _all_strings(_csv_reader(spark, string_schema(columns)).csv(path))
 
 
-def require_folder(spark: SparkSession, folder: str) -> None:
-    """Fail fast (``FileNotFoundError``) when the input folder does not exist."""
-    list_files(spark, folder, "*")
+def _folder_columns(spark: SparkSession, path: str) -> list[str]:
+    """Columns that ``key=value`` folders below ``path`` add."""
+    return [c for c in spark.read.text(path).columns if c != "value"]
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv", recursive: bool = False) -> list[str]:
-    """Files in ``folder`` (and below, if ``recursive``) matching ``pattern``, via Spark's file index.
+def read_csv_by_name(spark: SparkSession, path: str) -> DataFrame:
+    """The part files of one dataset, their columns matched by header name; missing ones are NULL.
 
-    Uses the Hadoop file system of the URI (HDFS, object stores, local), reads no
-    file content and runs no job.
+    One pass over the files' first blocks finds each file's header; files of one header are read
+    together, and the few different headers are united by name. Columns stand in the order of the
+    header that most files have, others after them.
     """
-    try:
-        reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-        if recursive:
-            reader = reader.option("recursiveFileLookup", "true")
-        listing = reader.load(folder)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            raise FileNotFoundError(f"input folder not found: {folder}") from exc
-        raise
-    return sorted(listing.inputFiles())
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
+    headers = lines.filter("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    groups = headers.groupBy("header").agg(F.count("*").alias("n"), F.collect_list("file").alias("files"))
+    out = None
+    # a reader is given its files by the driver in any case
+    for row in groups.orderBy(F.desc("n"), "header").collect():
+        one = _csv_reader(spark).option("basePath", path).csv(sorted(row["files"]))
+        part = _all_strings(one)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return _csv_reader(spark).csv(path) if out is None else out
+
+
+def headers_differ(error: Exception) -> bool:
+    """Whether a read failed because a file's header is not the one expected."""
+    return "CSV header" in str(error)
+
+
+def _hadoop_path(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def list_entries(spark: SparkSession, folder: str) -> dict[str, bool]:
+    """Entry name → whether it is a folder, for one level of ``folder`` on any Hadoop file system.
+
+    One listing of that level: nothing below it is visited, however many files there are.
+    Raises ``FileNotFoundError`` when the folder is missing.
+    """
+    path, fs = _hadoop_path(spark, folder)
+    if not fs.exists(path):
+        raise FileNotFoundError(f"input folder not found: {folder}")
+    return {s.getPath().getName(): bool(s.isDirectory()) for s in fs.listStatus(path)}
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder this library wrote (scratch output), on any Hadoop file system."""
+    path, fs = _hadoop_path(spark, folder)
+    fs.delete(path, True)
 
 
 def load_parquet(spark: SparkSession, path: str) -> DataFrame:

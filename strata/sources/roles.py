@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 FIRST_YEAR_BEFORE = 1994  # edition_id = year - 1994
 NATIONS = 25  # country of an athlete = custkey % 25
 MISSING_NATION = 24  # left out of the country list (unknown country)
-TWIN_NATION = 3  # listed twice (duplicate country code)
+TWIN_NATION = 20  # listed twice (duplicate country code); hosts the edition of 1995
+NO_GAMES_YEAR = 1997  # edition of events and tally that the games and dates lack
 NO_DATE_YEAR = 1999  # edition without start/end dates
 YEAR_TAIL_YEAR = 2000  # edition whose dates carry a trailing year
 MISSING_TALLY = ("1", "NATION_0")  # (edition_id, country_noc) without a medal tally
@@ -92,7 +93,7 @@ def games(t: Tables) -> DataFrame:
         .when(yr == YEAR_TAIL_YEAR, F.lit(" 8 August 2001"))
         .otherwise(_cat(10 + yr % 9, " May"))
     )
-    years = t("orders").select(F.year("o_orderdate").alias("yr")).distinct()
+    years = t("orders").select(F.year("o_orderdate").alias("yr")).distinct().filter(yr != NO_GAMES_YEAR)
     return years.select(
         _cat(yr, " Summer Games").alias("edition"),
         _edition_id(yr).alias("edition_id"),
@@ -119,6 +120,9 @@ def athlete_bio(t: Tables) -> DataFrame:
         F.when(k % 5 == 0, null).when(k % 2 == 0, F.lit("Male")).otherwise(F.lit("Female")).alias("sex"),
         F.when(k % 11 == 0, null)
         .when(k % 13 == 0, F.lit("unknown"))
+        # blanks and a tab before the year: read; a tab right after the day: not
+        .when(k % 31 == 0, F.concat(F.date_format(born_day, "d MMMM  "), F.lit("\t"), F.date_format(born_day, "yyyy")))
+        .when(k % 37 == 0, F.concat(F.date_format(born_day, "d"), F.lit("\t"), F.date_format(born_day, "MMMM yyyy")))
         .otherwise(F.date_format(born_day, "d MMMM yyyy"))
         .alias("born"),
         F.when(k % 7 == 0, null).when(k % 19 == 0, F.lit("171.5")).otherwise(_s(150 + k % 60)).alias("height"),

@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.sinks.files import DEFAULT_CODEC
-from strata.sources.files import string_schema
+from strata.sources.files import read_csv_strings, string_schema
 
 # Files per micro-batch: bounds the size of one batch when a backlog is landed.
 MAX_FILES_PER_TRIGGER = 1000
@@ -26,14 +26,24 @@ def start_landing(
     source_dir: str,
     bronze_path: str,
     checkpoint: str,
-    columns: Sequence[str],
+    columns: Sequence[str] | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
 ) -> StreamingQuery:
-    """Start landing ``source_dir``'s CSV files (header, all-string ``columns``) as Parquet."""
+    """Start landing ``source_dir``'s CSV files (header, all strings) as Parquet.
+
+    The columns are those of the files' header, extra ones included; ``columns`` names the least that
+    must be there. A file whose header differs stops the stream with an error, as its columns would
+    be taken by position.
+    """
+    found = read_csv_strings(spark, source_dir).columns
+    missing = [c for c in columns or () if c not in found]
+    if missing:
+        raise ValueError(f"columns missing from {source_dir}: {missing}")
     stream = (
-        spark.readStream.schema(string_schema(columns))
+        spark.readStream.schema(string_schema(found))
         .option("header", True)
+        .option("enforceSchema", False)
         .option("maxFilesPerTrigger", MAX_FILES_PER_TRIGGER)
         .csv(source_dir)
     )
@@ -52,7 +62,7 @@ def start_landing(
 
 
 def land_available(
-    spark: SparkSession, source_dir: str, bronze_path: str, checkpoint: str, columns: Sequence[str]
+    spark: SparkSession, source_dir: str, bronze_path: str, checkpoint: str, columns: Sequence[str] | None = None
 ) -> str:
     """Land every file present now and return ``bronze_path`` (blocks until done)."""
     query = start_landing(spark, source_dir, bronze_path, checkpoint, columns, available_now=True)

@@ -88,13 +88,13 @@ def test_date_parsers_equal_spark_legacy_parser_on_random_text(spark):
                              "February", "Nov", "November", "Dec"])
     day = st.sampled_from(["1", "6", "06", "006", "0", "29", "30", "31", "32"])
     year = st.sampled_from(["1950", "1900", "2000", "50", "0001", "0", "1996"])
-    lead = st.sampled_from(["", " ", "  "])
+    lead = st.sampled_from(["", " ", "  ", "\t", " \t", "\n"])
     tail = st.sampled_from(["", " x", ",", "x", " 2021"])
-    sep = st.sampled_from([" ", "  "])
+    sep = st.sampled_from([" ", " ", " ", "  ", "\t", " \t", "\n"])
 
     @st.composite
     def text(draw):
-        return draw(lead) + draw(day) + draw(sep) + draw(month) + " " + draw(year) + draw(tail)
+        return draw(lead) + draw(day) + draw(sep) + draw(month) + draw(sep) + draw(year) + draw(tail)
 
     @st.composite
     def day_month(draw):
@@ -119,3 +119,13 @@ def test_date_parsers_equal_spark_legacy_parser_on_random_text(spark):
         assert mine_dm == legacy_dm, [(v, x, y) for v, x, y in zip(short, mine_dm, legacy_dm) if x != y][:5]
 
     check()
+
+
+def test_dates_with_stated_results(spark):
+    rows = [
+        ("12 July 1996", "1996-07-12"), ("12 July  1996", "1996-07-12"), ("12 July \t1996", "1996-07-12"),
+        ("\t12 July 1996", "1996-07-12"), ("\n12 July 1996", None), ("12  July 1996", None), ("12\tJuly 1996", None),
+        ("12 July\t1996", None), ("31 November 1996", None), ("7 jul 1996, x", "1996-07-07"), ("", None), (None, None),
+    ]
+    df = spark.createDataFrame(rows, "s string, want string")
+    assert [(r[0] and str(r[0]), r[1]) for r in df.select(X.parse_date("s"), "want").collect()] == [(w, w) for _, w in rows]

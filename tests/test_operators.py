@@ -4,13 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import (
-    bounded_broadcast,
     drop_null,
     duplicate_keys,
     fill_constant,
     fill_mean,
     filter_null,
-    join_on,
     keep_one,
     null_profile,
     row_counts,
@@ -84,23 +82,6 @@ def test_drop_null_reaches_parquet_scan(spark, sf_small):
     assert "IsNotNull(c_name)" in plan_text(df)
 
 
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10).withColumnRenamed("id", "k")
-    big = spark.range(100).withColumnRenamed("id", "k2")
-    facts = spark.range(1000).withColumnRenamed("id", "f")
-    hinted = facts.join(bounded_broadcast(small, max_rows=10), F.col("f") == F.col("k"))
-    assert "strategy=broadcast" in hinted._jdf.queryExecution().optimizedPlan().toString()
-    # over the bound: the frame comes back without a hint
-    assert bounded_broadcast(big, max_rows=10) is big
-
-
-def test_join_on_refuses_case_insensitive_clash(spark):
-    left = spark.createDataFrame([("A",)], "NOC string")
-    right = spark.createDataFrame([("A",)], "noc string")
-    with pytest.raises(ValueError):
-        join_on(left, right, ["NOC"], ["noc"])
-
-
 def test_unmatched_reports_dropped_rows(spark):
     left = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
     right = spark.createDataFrame([("a",)], "k string")
@@ -113,16 +94,6 @@ def test_schema_report(spark):
     assert rows == [(0, "a", "int", True), (1, "b", "string", True)]
 
 
-def test_bounded_broadcast_materializes_a_computed_side_once(spark):
-    side = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
-    small = bounded_broadcast(side, max_rows=10, materialize=True)
-    plan = small._jdf.queryExecution().optimizedPlan().toString()
-    assert "ExistingRDD" in plan or "LogicalRDD" in plan  # read back from the checkpoint, not recomputed
-    joined = spark.range(20).join(small, F.col("id") == F.col("k"))
-    assert "strategy=broadcast" in joined._jdf.queryExecution().optimizedPlan().toString()
-    assert sorted(r.k for r in joined.collect()) == list(range(7))
-
-
 def test_fill_mean_from_another_frame(spark):
     df = spark.createDataFrame([(1, None), (2, 10)], "id int, h int")
     ref = spark.createDataFrame([(7,), (8,)], "h int")

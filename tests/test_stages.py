@@ -9,7 +9,7 @@ from strata.config import DATASETS, GOLD, LakePaths, bronze_name
 from strata.plans import stages
 from strata.session import scratch_path
 from strata.sinks import external_table, list_tables, publish, read_back, save_csv
-from strata.sources import list_files, read_csv_strings, require_folder
+from strata.sources import list_entries, read_csv_by_name, read_csv_strings
 from strata.sources import roles
 from strata.streaming import land_available
 
@@ -29,7 +29,7 @@ def test_layer_naming_rule():
 
 def test_missing_input_folder_fails_fast(spark):
     with pytest.raises(FileNotFoundError):
-        require_folder(spark, scratch_path(spark, "absent"))
+        list_entries(spark, scratch_path(spark, "absent"))
 
 
 def test_csv_file_read_as_strings_with_defaults(spark):
@@ -41,7 +41,7 @@ def test_csv_file_read_as_strings_with_defaults(spark):
     assert [(f.name, f.dataType) for f in df.schema.fields] == [(c, StringType()) for c in ("noc", "country", "extra")]
     rows = [tuple(r) for r in df.collect()]
     assert rows == [("AFG", "Afghanistan", "1"), ("BAH", "Bahamas, The", None), ("ROC", " ROC team", "2")]
-    assert [os.path.basename(p) for p in list_files(spark, root)] == ["Olympics_Country.csv"]
+    assert list_entries(spark, root) == {"Olympics_Country.csv": False}
 
 
 def test_lake_end_to_end_and_catalog(spark, sf_small):
@@ -151,7 +151,7 @@ def test_external_table_from_ddl_text(spark):
 def test_fact_stream_appends_only_new_bronze_files(spark, sf_small):
     from strata.plans import silver
     from strata.sinks import save_parquet
-    from strata.streaming import update_fact
+    from strata.streaming import read_fact, update_fact
 
     root = scratch_path(spark, "fact-stream-test")
     t = roles.Tables(spark, sf_small)
@@ -159,13 +159,19 @@ def test_fact_stream_appends_only_new_bronze_files(spark, sf_small):
     early = events.filter("edition_id IN ('1', '2', '3')")
     late = events.filter("edition_id NOT IN ('1', '2', '3')")
     save_parquet(early, f"{root}/bronze")
-    fact = update_fact(spark, f"{root}/bronze", tally, f"{root}/fact", f"{root}/ckpt")
-    n_early = spark.read.parquet(fact).count()
-    assert n_early == silver.fact_table(early, tally).count() > 0
+    parts = (f"{root}/bronze", f"{root}/fact", f"{root}/ckpt")
+
+    def update(tally):
+        update_fact(spark, parts[0], lambda: tally, *parts[1:])
+        return read_fact(spark, *parts[1:])
+
+    assert update(tally).count() == silver.fact_table(early, tally).count() > 0
     save_parquet(late, f"{root}/bronze", mode="append")
-    update_fact(spark, f"{root}/bronze", tally, f"{root}/fact", f"{root}/ckpt")
-    update_fact(spark, f"{root}/bronze", tally, f"{root}/fact", f"{root}/ckpt")  # nothing new: no change
-    got = sorted(map(tuple, spark.read.parquet(fact).collect()), key=repr)
+    some = tally.filter("edition_id <= '4'")
+    assert update(some).count() < silver.fact_table(events, tally).count()  # the rest is parked
+    update(tally)  # no new events, but their tally came
+    fact = update(tally)  # nothing new: no change
+    got = sorted(map(tuple, fact.collect()), key=repr)
     want = sorted(map(tuple, silver.fact_table(events, tally).collect()), key=repr)
     assert got == want
 
@@ -222,17 +228,6 @@ def test_external_table_declared_narrower_than_the_files_fails(spark):
         t.collect()
 
 
-def test_dataset_entry_on_qualified_and_relative_roots():
-    e = stages.dataset_entry
-    assert e("hdfs://nn:8020/data/in/Olympics_Games.csv", "hdfs://nn:8020/data/in") == "Olympics_Games.csv"
-    assert e("hdfs://nn:8020/data/in/Olympic_Results.csv/part-00000-x.csv", "/data/in/") == "Olympic_Results.csv"
-    assert e("s3a://bucket/lake/csv/A.csv/part-1.csv", "s3a://bucket/lake/csv") == "A.csv"
-    assert e("file:/home/u/work/in/A.csv", "../work/in") == "A.csv"
-    assert e("file:/x/in/y/in/A.csv", "in") == "A.csv"  # the match closest to the file wins
-    assert e("file:/x/in/notes.csv.bak/part.csv", "/x/in") is None  # entry must be X.csv
-    assert e("file:/other/A.csv", "/x/in") is None
-
-
 def test_publish_managed_and_partitioned(spark):
     root = scratch_path(spark, "pub-part")
     spark.sql("CREATE DATABASE IF NOT EXISTS gold_test")
@@ -241,3 +236,85 @@ def test_publish_managed_and_partitioned(spark):
     t = spark.table("gold_test.managed_parts")
     assert sorted((r.EditionID, r.v) for r in t.collect()) == [(1, "a"), (2, "b"), (2, "c")]
     assert "EditionID" in [c.name for c in spark.catalog.listColumns("gold_test.managed_parts") if c.isPartition]
+
+
+def test_parts_under_any_name_and_headers_by_name(spark, tmp_path):
+    import gzip
+
+    root = tmp_path / "in"
+    (root / "G.csv").mkdir(parents=True)
+    (root / "Q.csv").mkdir()
+    (root / "P.csv" / "year=2020").mkdir(parents=True)
+    (root / "notes.txt").write_text("x")
+    with gzip.open(root / "G.csv" / "part-0.csv.gz", "wt") as f:
+        f.write("noc,country\nGRE,Greece\n")
+    (root / "Q.csv" / "part-0").write_text("noc,country\nFRA,France\n")
+    (root / "Q.csv" / "part-1").write_text("country,noc\nItaly,ITA\n")
+    (root / "Q.csv" / "part-2").write_text("noc,country,continent\nJPN,Japan,Asia\n")
+    (root / "P.csv" / "year=2020" / "part-0.csv").write_text("noc\nUSA\n")
+    paths = LakePaths.under(str(tmp_path / "lake"), str(root))
+    assert sorted(stages.csv_datasets(spark, paths.csv_root)) == ["G", "P", "Q"]
+    landed = stages.land_bronze(spark, paths)
+    rows = lambda k, *c: sorted(map(tuple, spark.read.parquet(landed[k]).select(*c).collect()), key=repr)
+    assert rows("G", "noc", "country") == [("GRE", "Greece")]
+    assert rows("P", "noc", "year") == [("USA", "2020")]
+    assert rows("Q", "noc", "country", "continent") == [
+        ("FRA", "France", None), ("ITA", "Italy", None), ("JPN", "Japan", "Asia")
+    ]
+    assert all(isinstance(f.dataType, StringType) for f in spark.read.parquet(landed["P"]).schema.fields)
+    assert read_csv_by_name(spark, f"{root}/Q.csv").count() == 3
+
+
+def test_stream_keeps_extra_columns_and_refuses_other_headers(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.csv").write_text("noc,country,continent\nJPN,Japan,Asia\n")
+    where = (str(source), str(tmp_path / "bronze"), str(tmp_path / "ckpt"))
+    landed = land_available(spark, *where, ["noc", "country"])
+    assert [tuple(r) for r in spark.read.parquet(landed).collect()] == [("JPN", "Japan", "Asia")]
+    with pytest.raises(ValueError, match="missing"):
+        land_available(spark, *where, ["noc", "city"])
+    (source / "b.csv").write_text("country,noc,continent\nItaly,ITA,Europe\n")
+    with pytest.raises(Exception):
+        land_available(spark, str(source), str(tmp_path / "bronze2"), str(tmp_path / "ckpt2"))
+
+
+def test_no_key_and_no_publication_drops_a_callers_table(spark, sf_small):
+    from strata.plans.queries import QUERIES
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS gold")
+    spark.sql("DROP TABLE IF EXISTS gold.Athlete_Dim")
+    spark.range(3).write.saveAsTable("gold.Athlete_Dim")
+    for key in ("publish_round_trip", "publish_managed", "external_typed_table", "list_gold_tables"):
+        assert QUERIES[key](spark, sf_small).count() > 0
+    assert spark.table("gold.Athlete_Dim").count() == 3
+    with pytest.raises(ValueError, match="managed"):
+        publish(spark, spark.range(5), "gold.Athlete_Dim", f"{scratch_path(spark, 'refused')}/x")
+    assert spark.table("gold.Athlete_Dim").count() == 3
+    # an external table is pointed at the new files
+    for n in (4, 6):
+        publish(spark, spark.range(n), "gold.moving", f"{scratch_path(spark, 'moving')}/x")
+        assert spark.table("gold.moving").count() == n
+
+
+def test_scratch_needs_a_shared_folder_outside_local_mode():
+    from strata import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return self
+
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext = Context()
+        conf = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_path(Session(), "x")
