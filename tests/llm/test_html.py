@@ -1,0 +1,86 @@
+import random
+import re
+
+import pytest
+
+from strata.llm import html_extract as hx
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p><p>no</p>";</script></head><body>
+<header class="site-header"><a href="/">Site name</a><p>Welcome to the site of all sites.</p></header>
+<nav><ul><li><a href="/a">Home page</a></li><li><a href="/b">News</a></li></ul></nav>
+<div class="cookie-notice"><p>We use cookies to make this site better for you. Accept all of them.</p></div>
+<!-- ad 1 --><div class="ad">Buy this thing now, it is the best thing.</div>
+<main><article><h1>A title &amp; more</h1><p>First  paragraph with <b>bold</b> text,
+and a <a href="/x">link</a> in it.<p>Second&nbsp;paragraph, unclosed<br>with a break.
+<ul><li>One point of the list.</li><li>Another point of it.</li></ul>
+<form><label>Your mail</label><input name="m"></form>
+<p>Last paragraph of the article &lt;here&gt;.</p></article></main>
+<aside class="sidebar"><h3>Related</h3><p>You may like these other stories from us.</p></aside>
+<section id="comments"><p>Ann: I liked this article very much, thank you for it.</p></section>
+<footer>&copy; site &middot; All about us.</footer></body></html>"""
+
+WANT = [
+    "A title & more", "First paragraph with bold text, and a link in it.", "Second paragraph, unclosed with a break.",
+    "One point of the list.", "Another point of it.", "Last paragraph of the article <here>.",
+]
+
+
+def test_the_article_alone_is_extracted():
+    assert hx.extract(PAGE) == "\n\n".join(WANT)
+
+
+def test_pages_without_article_tags():
+    page = PAGE.replace("<main><article>", '<div class="post-content">').replace("</article></main>", "</div>")
+    assert hx.extract(page) == "\n\n".join(WANT)
+
+
+@pytest.mark.parametrize("html", [None, "", "<", "<p", "plain", "<!-- open", "<script>x", "</p></div>", "<a href='x>y</a>", "&#xZZ; &amp", "<p>" * 3000])
+def test_broken_markup_does_not_fail(html):
+    assert isinstance(hx.extract(html), str)
+
+
+def cut_value(n, edges, side):
+    return sum(c for u, v, c, _ in edges if side[u] and not side[v]) + sum(b for u, v, _, b in edges if side[v] and not side[u])
+
+
+def test_the_cut_is_minimal():
+    r = random.Random(2)
+    for _ in range(200):
+        n = r.randint(1, 7)
+        s, t = n, n + 1
+        edges = [(s, i, r.randint(0, 9), 0) if r.random() < 0.5 else (i, t, r.randint(0, 9), 0) for i in range(n)]
+        edges += [(i, j, c, c) for i in range(n) for j in range(i) if r.random() < 0.4 for c in [r.randint(0, 5)]]
+        side = hx.max_flow_side(n + 2, edges, s, t)
+        best = min(
+            cut_value(n, edges, [bool(m >> i & 1) for i in range(n)] + [True, False]) for m in range(1 << n)
+        )
+        assert side[s] and not side[t] and cut_value(n, edges, side) == best
+
+
+def article_text(html):
+    """What stands in <article>, by its tags alone: right for the test pages."""
+    from html import unescape
+
+    m = re.search(r"<article>(.*?)(?:</article>|$)", html, re.S)
+    body = re.sub(r"<!--.*?-->", "", m.group(1) if m else "")
+    body = re.sub(r"</?(?:p|h1|h2|ul|li|div|blockquote|table|tr|td)\b[^>]*>", "\0", body)
+    body = re.sub(r"<[^>]*>", "", re.sub(r"<br[^>]*>", " ", body))
+    return "\n\n".join(x for x in (" ".join(unescape(p).split()) for p in body.split("\0")) if x)
+
+
+def test_the_test_pages_equal_brute_force(spark, sf_small):
+    pages = spark.read.parquet(f"{sf_small}/pages.parquet")
+    got = {r.page_id: r for r in hx.main_texts(pages).collect()}
+    for p in pages.collect():
+        assert got[p.page_id].text == article_text(p.html)
+        assert got[p.page_id].n_chars == len(got[p.page_id].text) and got[p.page_id].url == p.url
+
+
+def test_awkward_tables(spark):
+    rows = [(1, "u", None, "x"), (1, "u", None, "x"), (None, None, "<article><p>Text of it.</p></article>", "x"), (2, "v", "", "x")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
+    got = hx.main_texts(df).collect()
+    assert sorted((str(r.page_id), r.text, r.n_chars) for r in got) == [
+        ("1", "", 0), ("1", "", 0), ("2", "", 0), ("None", "Text of it.", 11)
+    ]
+    assert hx.main_texts(df.filter("false")).count() == 0
