@@ -24,7 +24,7 @@ def brute(rows, least=sb.MIN_WORDS):
             if unit and unit[2] in seen:
                 run.append((i, unit[0], unit[1], seen[unit[2]], unit[3]))
                 continue
-            if sum(u[4] for u in run) >= least:
+            if sum(u[4] for u in run if u[4] >= sb.UNIT_WORDS) >= least:
                 out += [u[:4] for u in run]
             run = []
             if unit:
