@@ -3,15 +3,16 @@
 1. Every text becomes its set of distinct 5-word shingles (64-bit hashes), the set's digest and its
    signature of ``N_HASHES`` min-hashes, in one pass. Documents with equal sets form one class; from
    here on a class is one node, whatever its number of copies.
-2. Signatures are cut into bands; classes that share a band are candidates. A bucket names one centre
-   (lowest random rank) and pairs each other class with it: n - 1 pairs, never all pairs.
-3. Sequential Bayesian verification: pairs of impossible set sizes go; then batches of the two
-   signatures are compared, and a pair is pruned as soon as the posterior of similarity >= the
-   threshold falls below ``MISS``. Survivors are verified on the full shingle sets.
+2. Signatures are cut into bands; classes that share a band are candidates. A bucket names one centre,
+   its class with the most company over all bands, and pairs each other class with it: n - 1 pairs.
+3. Sequential Bayesian verification: pairs of impossible set sizes go; then batches of two longer
+   signatures, a byte a hash, are compared, and a pair is pruned as soon as the posterior of similarity
+   >= the threshold falls below ``MISS``. Survivors are verified on the full shingle sets.
 4. Verified pairs are links; connected components by alternating star contraction on written tables.
 5. A bucket whose classes fell into one component is done: no further pair could change the result.
-   The others get further rounds with other centres while that is cheaper, and in the end every pair
-   of a bucket that still lies in two components is compared, so no candidate is dropped.
+   While that halves the open buckets, the others get further centres. In the end every pair of an open
+   bucket that lies in two components is compared, block against block in memory, and only pairs that
+   survive step 3's pruning leave the task: no candidate is dropped, no list of all pairs is made.
 
 Classes sharing a third of all rows thus cost one pair a bucket and row. Joins that meet a hot bucket or
 centre are plain equi-joins, which AQE splits when skewed.
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections import OrderedDict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -44,20 +46,21 @@ PERCENT = 75
 # At similarity 0.75 a pair misses all bands with probability (1 - 0.75 ** ROWS) ** BANDS = 1e-4.
 BANDS, ROWS = 34, 5
 N_HASHES = BANDS * ROWS
-# A pair is pruned when its posterior probability of being similar falls below this.
-MISS = 1e-6
 BATCH = 34
+# Hashes that candidates are compared by, a byte each; two different minima share it once in 256.
+N_COMPARED = 15 * BATCH
+# A pair is pruned when its posterior probability of being similar falls below this.
+MISS = 1e-4
 SEED = 20240229
-# Candidate pairs of the last step, for each bucket row, below which no further round of centres is run.
-PAIRS_A_ROW = 4
-MAX_ROUNDS = 8
-# A bucket with more pairs to compare than this is compared block by block.
-SMALL_BUCKET = 4096
-BLOCK = 1024
+MAX_ROUNDS = 4
+# Classes of a bucket that are compared at a time.
+BLOCK = 512
+# Shingles that a task keeps of the sets it used last.
+CACHED = 1 << 21
 
 _rng = np.random.default_rng(SEED)
-_MUL = (_rng.integers(0, 1 << 32, N_HASHES, dtype=np.uint64) | 1).astype(np.uint32)
-_XOR = _rng.integers(0, 1 << 32, N_HASHES, dtype=np.uint64).astype(np.uint32)
+_MUL = (_rng.integers(0, 1 << 32, N_COMPARED, dtype=np.uint64) | 1).astype(np.uint32)
+_XOR = _rng.integers(0, 1 << 32, N_COMPARED, dtype=np.uint64).astype(np.uint32)
 _WORD = _rng.integers(0, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -81,13 +84,13 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(total)
 
 
-def signature(s: np.ndarray) -> np.ndarray:
-    """``N_HASHES`` min-hashes of 32 bits."""
+def signature(s: np.ndarray, hashes: int = N_HASHES) -> np.ndarray:
+    """The first ``hashes`` min-hashes, of 32 bits."""
     x = (s >> np.uint64(32)).astype(np.uint32)
-    least = np.full(N_HASHES, 0xFFFFFFFF, dtype=np.uint32)
+    least = np.full(hashes, 0xFFFFFFFF, dtype=np.uint32)
     for i in range(0, len(x), 2048):
         part = x[i : i + 2048]
-        for k in range(0, N_HASHES, BATCH):
+        for k in range(0, hashes, BATCH):
             at = slice(k, k + BATCH)
             h = (part[None, :] ^ _XOR[at, None]) * _MUL[at, None]
             # the product's low bits hang on low bits alone; fold the high ones in before the minimum
@@ -119,10 +122,15 @@ def _sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["n", "digest", "bands"])
 
 
+def compared_bytes(s: np.ndarray) -> bytes:
+    """A byte of each of ``N_COMPARED`` min-hashes."""
+    return (signature(s, N_COMPARED) >> np.uint32(8)).astype(np.uint8).tobytes()
+
+
 def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """cid, text and the text's signature."""
     for b in batches:
-        yield b[["cid", "text"]].assign(sig=[signature(shingles(t)).tobytes() for t in b["text"]])
+        yield b[["cid", "text"]].assign(sig=[compared_bytes(shingles(t)) for t in b["text"]])
 
 
 @lru_cache(maxsize=None)
@@ -139,15 +147,18 @@ def least_matches(compared: int, percent: int = PERCENT, miss: float = MISS) ->
     return compared
 
 
+def _matrix(signatures: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(signatures), dtype=np.uint8).reshape(len(signatures), N_COMPARED)
+
+
 def _pruned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The pairs that survive every batch of hashes."""
     for b in batches:
         if len(b) == 0:
             continue
-        x = np.frombuffer(b"".join(b["sig_a"]), dtype=np.uint32).reshape(len(b), N_HASHES)
-        y = np.frombuffer(b"".join(b["sig_b"]), dtype=np.uint32).reshape(len(b), N_HASHES)
+        x, y = (_matrix(b[c]) for c in ("sig_a", "sig_b"))
         alive, matches = np.arange(len(b)), np.zeros(len(b), dtype=np.int64)
-        for end in range(BATCH, N_HASHES + 1, BATCH):
+        for end in range(BATCH, N_COMPARED + 1, BATCH):
             at = slice(end - BATCH, end)
             matches[alive] += (x[alive, at] == y[alive, at]).sum(axis=1)
             alive = alive[matches[alive] >= least_matches(end)]
@@ -161,27 +172,78 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
 
 def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The pairs that are similar on their full shingle sets."""
-    last: tuple[object, np.ndarray] = (None, np.empty(0))
+    known: OrderedDict[int, np.ndarray] = OrderedDict()
+    held = 0
+
+    def sets(cid: int, text: str) -> np.ndarray:
+        # pairs of one class come up again and again: keep the sets last used
+        nonlocal held
+        if cid in known:
+            known.move_to_end(cid)
+            return known[cid]
+        known[cid] = s = shingles(text)
+        held += len(s)
+        while held > CACHED and len(known) > 1:
+            held -= len(known.popitem(last=False)[1])
+        return s
+
+    for b in batches:
+        pairs = zip(b["a"], b["b"], b["text_a"], b["text_b"], strict=True)
+        keep = np.array([similar(sets(x, s), sets(y, t)) for x, y, s, t in pairs], dtype=bool)
+        yield b.loc[keep, ["a", "b"]]
+
+
+def _compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(a, b) of the blocks: rows come sorted by (key, i, j), the smaller side's first.
+
+    A block of a bucket's stray classes against a block of all its classes; only pairs in different
+    components that survive the pruning come out, each from the first bucket that it shares. (A bucket
+    that such a pair shares is open, so the first one is among those compared.)
+    """
+    rest: list[pd.DataFrame] = []
     for b in batches:
-        keep = []
-        for a, text_a, text_b in zip(b["a"], b["text_a"], b["text_b"], strict=True):
-            if last[0] != a:  # pairs of one centre often come together
-                last = (a, shingles(text_a))
-            keep.append(similar(last[1], shingles(text_b)))
-        yield b.loc[np.array(keep, dtype=bool), ["a", "b"]] if len(b) else b[["a", "b"]]
-
-
-def _blocks(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """The pairs of two blocks of a large bucket that lie in different components and may be similar."""
-    x, y = (np.stack([np.frombuffer(s, dtype=np.uint32) for s in f["sig"]]) for f in (left, right))
-    matches = np.zeros((len(x), len(y)), dtype=np.uint16)
-    for k in range(N_HASHES):
-        matches += x[:, k, None] == y[None, :, k]
+        if len(b) == 0:
+            continue
+        change = (b[["key", "i", "j"]].to_numpy()[1:] != b[["key", "i", "j"]].to_numpy()[:-1]).any(axis=1)
+        starts = np.concatenate([[0], np.flatnonzero(change) + 1])
+        if rest and tuple(rest[-1][["key", "i", "j"]].iloc[-1]) != tuple(b[["key", "i", "j"]].iloc[0]):
+            yield _block_pairs(pd.concat(rest))
+            rest = []
+        for s, e in zip(starts, [*starts[1:], len(b)], strict=True):
+            part = b.iloc[s:e]
+            if e == len(b):
+                rest.append(part)
+            else:
+                yield _block_pairs(pd.concat([*rest, part]) if rest else part)
+                rest = []
+    if rest:
+        yield _block_pairs(pd.concat(rest))
+
+
+def _block_pairs(block: pd.DataFrame) -> pd.DataFrame:
+    stray = block["side"].to_numpy() == 0
+    left, right = block[stray], block[~stray]
+    if len(left) == 0 or len(right) == 0:
+        return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
     n, m = left["n"].to_numpy()[:, None], right["n"].to_numpy()[None, :]
-    fit = 100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)
     apart = left["label"].to_numpy()[:, None] != right["label"].to_numpy()[None, :]
-    i, j = np.nonzero((matches >= least_matches(N_HASHES)) & fit & apart)
-    return pd.DataFrame({"a": left["cid"].to_numpy()[i], "b": right["cid"].to_numpy()[j]})
+    i, j = np.nonzero(apart & (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)))
+    x, y = _matrix(left["sig"]), _matrix(right["sig"])
+    matches = np.zeros(len(i), dtype=np.int64)
+    for end in range(BATCH, N_COMPARED + 1, BATCH):
+        at = slice(end - BATCH, end)
+        matches += (x[i, at] == y[j, at]).sum(axis=1)
+        alive = matches >= least_matches(end)
+        i, j, matches = i[alive], j[alive], matches[alive]
+        if end == BATCH and len(i):
+            p, q = np.stack(left["bands"]), np.stack(right["bands"])
+            first = np.ones(len(i), dtype=bool)
+            for band in range(BANDS):
+                shared = p[i, band] == q[j, band]
+                first &= ~(shared & (p[i, band] < block["key"].iloc[0]))
+            i, j, matches = i[first], j[first], matches[first]
+    a, b = left["cid"].to_numpy()[i], right["cid"].to_numpy()[j]
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
 
 def _sizes_fit(a: str, b: str) -> Column:
@@ -189,36 +251,31 @@ def _sizes_fit(a: str, b: str) -> Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
-def components(nodes_in_links: DataFrame) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(cid, label): the least cid reachable, for every class in a link (a, b).
 
-    Alternating large and small stars: each round is two grouped minima and a written table, so the
+    Alternating large and small stars: each round is two grouped minima and two written tables, and the
     number of rounds grows with the logarithm of the longest chain.
     """
-    edges = written(
-        nodes_in_links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"
-    )
+    u, v, m = F.col("u"), F.col("v"), F.col("m")
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     while True:
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.union(edges.select(v.alias("u"), u.alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # large star: greater neighbours move to the least one around
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = written(large.filter("u <> v"), "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = both.join(least, "u").filter(v > u).select(v.alias("u"), m.alias("v"))
+        large = written(large, "large-star")
         # small star: the node and its smaller neighbours move to the least of them
-        small = large.join(least, "u")
-        small = small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
-            least.select("u", F.col("m").alias("v"))
-        )
-        new = written(small.distinct(), "small-star")
-        # done when every node has one edge and none of the targets has an edge of its own
-        single = new.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1")
-        inner = new.select(F.col("v").alias("u")).distinct().join(new.select("u").distinct(), "u", "left_semi")
-        if single.isEmpty() and inner.isEmpty():
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        moved = large.join(least, "u").filter(v != m).select(v.alias("u"), m.alias("v"))
+        edges = written(moved.union(least.select("u", m.alias("v"))).distinct(), "small-star")
+        # done when every node has one edge, and none of those it points to has an edge of its own
+        ends = edges.select(u.alias("k"), F.lit(1).alias("out")).union(edges.select(v.alias("k"), F.lit(0).alias("out")))
+        ends = ends.groupBy("k").agg(F.sum("out").alias("n_out"), F.count("*").alias("n"))
+        if ends.filter((F.col("n_out") > 1) | ((F.col("n_out") == 1) & (F.col("n") > 1))).isEmpty():
             break
-        edges = new
-    roots = new.select("v").distinct().select(F.col("v").alias("cid"), F.col("v").alias("label"))
-    return new.select(F.col("u").alias("cid"), F.col("v").alias("label")).union(roots)
+    roots = edges.select(v).distinct().select(v.alias("cid"), v.alias("label"))
+    return edges.select(u.alias("cid"), v.alias("label")).union(roots)
 
 
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -242,27 +299,31 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _candidate_nodes(docs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
-    """(cid, n, text, sig) of every class that shares a bucket."""
+    """(cid, n, text, sig, bands) of every class that shares a bucket."""
     need = rows.select("cid").distinct().join(classes.select("cid", "doc_id", "text_hash"), "cid")
     need = written(need, "need").withColumnRenamed("doc_id", "_doc")  # written: its size decides how it is joined
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"))
     texts = texts.join(need, F.col("_doc").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash")))
     signed = texts.select("cid", "text").mapInPandas(_signed, "cid bigint, text string, sig binary")
-    return written(signed.dropDuplicates(["cid"]).join(classes.select("cid", "n"), "cid"), "nodes")
+    return written(signed.dropDuplicates(["cid"]).join(classes.select("cid", "n", "bands"), "cid"), "nodes")
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, signatures: bool = True) -> DataFrame:
+def _verify(alive: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Of the pairs (a, b) left by the pruning, those that are similar on their full sets."""
+    alive = written(alive, "alive")
+    side = lambda x: nodes.select(F.col("cid").alias(x), F.col("text").alias(f"text_{x}"))
+    full = alive.join(side("a"), "a").join(side("b"), "b")
+    return written(full.mapInPandas(_verified, "a bigint, b bigint"), "verified")
+
+
+def _links(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) that are similar: pruned by signatures, then verified on full sets."""
     pairs = pairs.filter("a <> b").distinct()
-    side = lambda c, x: nodes.select(F.col("cid").alias(x), F.col(c).alias(f"{c}_{x}"))
-    if signatures:
-        n = nodes.select("cid", "n", "sig")
-        pairs = pairs.join(n.select(F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), "a")
-        pairs = pairs.join(n.select(F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b")), "b")
-        pairs = pairs.filter(_sizes_fit("n_a", "n_b")).mapInPandas(_pruned, "a bigint, b bigint")
-    alive = written(pairs, "alive")
-    full = alive.join(side("text", "a"), "a").join(side("text", "b"), "b")
-    return written(full.mapInPandas(_verified, "a bigint, b bigint"), "verified")
+    for x in ("a", "b"):
+        pairs = pairs.join(
+            nodes.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}")), x
+        )
+    return _verify(pairs.filter(_sizes_fit("n_a", "n_b")).mapInPandas(_pruned, "a bigint, b bigint"), nodes)
 
 
 def _open_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -286,33 +347,23 @@ def _open_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
 def _rest(found: DataFrame, nodes: DataFrame) -> DataFrame:
     """Links among all pairs of the open buckets that lie in different components.
 
-    Small buckets pair by a join. Large ones are cut into blocks that are compared in memory, a block
-    against a block, and only likely pairs leave the task.
+    Buckets are cut into blocks: each block of strays meets each block of all classes, so a row is sent
+    once for each opposite block.
     """
-    small = F.col("n_apart") * F.col("n_rows") <= SMALL_BUCKET
-    few = found.filter(small)
-    left = few.filter("apart").select("key", F.col("cid").alias("a"), F.col("label").alias("_la"))
-    right = few.select("key", F.col("cid").alias("b"), F.col("label").alias("_lb"))
-    pairs = left.join(right, "key").filter("_la <> _lb")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-
     n_left = F.ceil(F.col("n_apart") / BLOCK).cast("int")
     n_right = F.ceil(F.col("n_rows") / BLOCK).cast("int")
-    many = found.filter(~small).join(nodes.select("cid", "n", "sig"), "cid")
+    many = found.join(nodes.select("cid", "n", "sig", "bands"), "cid")
     number = lambda n: F.pmod(F.xxhash64("cid"), n).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    cols = [F.col(c).alias(c) for c in ("key", "cid", "label", "n", "sig")]  # fresh for each side
-    x = many.filter("apart").select(*cols, number(n_left).alias("i"), every(n_right).alias("j"))
-    y = many.select(*cols, number(n_right).alias("j"), every(n_left).alias("i"))
-    keys = ["key", "i", "j"]
-    likely = x.groupBy(*keys).cogroup(y.groupBy(*keys)).applyInPandas(_some_blocks, "a bigint, b bigint")
-    return _links(pairs, nodes).union(_links(likely, nodes, signatures=False))
-
-
-def _some_blocks(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    if len(left) == 0 or len(right) == 0:
-        return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
-    return _blocks(left, right)
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    stray = F.when(
+        F.col("apart"), F.transform(every(n_right), lambda j: F.struct(F.lit(0).alias("side"), number(n_left).alias("i"), j.alias("j")))
+    ).otherwise(F.array().cast("array<struct<side:int,i:int,j:int>>"))
+    whole = F.transform(every(n_left), lambda i: F.struct(F.lit(1).alias("side"), i.alias("i"), number(n_right).alias("j")))
+    sent = many.withColumn("p", F.explode(F.concat(stray, whole)))
+    sent = sent.select("key", "p.i", "p.j", "p.side", "cid", "label", "n", "sig", "bands")
+    sent = sent.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
+    likely = sent.mapInPandas(_compared, "a bigint, b bigint")
+    return _verify(likely.distinct(), nodes)
 
 
 def class_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -321,21 +372,25 @@ def class_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     docs = docs.select("doc_id", "text")
     sketch, classes = _classes(docs)
     bands = classes.select("cid", F.explode("bands").alias("key"))
-    # cid follows a hash of the set, so the least one is a random centre
-    ends = bands.groupBy("key").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).filter("lo < hi")
-    rows = written(bands.join(ends.select("key", "lo"), "key"), "buckets")
+    shared = bands.groupBy("key").agg(F.count("*").alias("company")).filter("company > 1")
+    shared = written(shared, "shared")  # a table of its own: the join can then split a hot bucket
+    rows = written(bands.join(shared, "key"), "buckets")
+    # the centre of a family of copies is the one that most bands agree with
+    popular = rows.groupBy("cid").agg(F.sum("company").alias("score"))
+    first = F.max(F.struct("score", F.col("cid"))).alias("_c")
+    centres = rows.join(popular, "cid").groupBy("key").agg(first).select("key", F.col("_c.cid").alias("a"))
     nodes = _candidate_nodes(docs, classes, rows)
-    links = _links(rows.select(F.col("lo").alias("a"), F.col("cid").alias("b")), nodes)
-    labels = components(links)
-    all_rows = rows.count()
+    links = _links(rows.join(centres, "key").select("a", F.col("cid").alias("b")), nodes)
+    labels, before = components(links), rows.count()
     for turn in range(MAX_ROUNDS + 1):
         found = _open_rows(rows, labels)
-        left, cost = found.agg(F.count("*"), F.sum(F.when(F.col("apart"), F.col("n_rows")))).first()
+        left = found.count()
         if not left:
             break
-        if turn == MAX_ROUNDS or (cost or 0) <= PAIRS_A_ROW * all_rows:
+        if turn == MAX_ROUNDS or 2 * left > before:
             labels = components(links.union(_rest(found, nodes)))
             break
+        before = left
         centre = F.min(F.struct(F.xxhash64("cid", F.lit(turn)).alias("o"), F.col("cid"), F.col("label"))).alias("_c")
         centres = found.filter("apart").groupBy("key").agg(centre)
         centres = centres.select("key", F.col("_c.cid").alias("a"), F.col("_c.label").alias("_la"))
