@@ -53,6 +53,8 @@ N_COMPARED = 15 * BATCH
 MISS = 1e-4
 SEED = 20240229
 MAX_ROUNDS = 4
+# Three longs a row: at most some 50 MB.
+MAX_BROADCAST_ROWS = 1 << 20
 # Classes of a bucket that are compared at a time.
 BLOCK = 512
 # Shingles that a task keeps of the sets it used last.
@@ -301,7 +303,10 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _candidate_nodes(docs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
     """(cid, n, text, sig, bands) of every class that shares a bucket."""
     need = rows.select("cid").distinct().join(classes.select("cid", "doc_id", "text_hash"), "cid")
-    need = written(need, "need").withColumnRenamed("doc_id", "_doc")  # written: its size decides how it is joined
+    need = written(need, "need").withColumnRenamed("doc_id", "_doc")
+    # narrow rows: while their checked number allows, they go to the texts; beyond, both sides are shuffled
+    if need.count() <= MAX_BROADCAST_ROWS:
+        need = F.broadcast(need)
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"))
     texts = texts.join(need, F.col("_doc").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash")))
     signed = texts.select("cid", "text").mapInPandas(_signed, "cid bigint, text string, sig binary")
