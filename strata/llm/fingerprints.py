@@ -44,7 +44,8 @@ SHORT = 64
 
 _SPACED = re.compile(r"\S+\s*|\s+")
 _SENTENCE = re.compile(r"[^.!?…]*[.!?…]+\s*|[^.!?…]+")
-_PART = re.compile(rf"(?:\S+\s*){{{PART_WORDS}}}")
+# white space after each word is required: otherwise a word could be split in many ways
+_PART = re.compile(rf"(?:\S++\s++){{{PART_WORDS}}}")
 
 
 class Leaf(NamedTuple):
