@@ -2,9 +2,9 @@
 
 A text is cut at line ends and after sentence ends; each unit is normalised (lower case, single spaces)
 and hashed. Digests are grouped over all documents: the occurrence that ranks first (least doc_id, then
-place) stays, the later ones go when they stand in a run of repeated units that holds ``MIN_WORDS`` words
-or more in units of at least ``UNIT_WORDS``. Shorter runs, such as a common heading, stay, and so do runs
-of short sentences, which repeat by chance in a large corpus. Every unit keeps its offsets in the text.
+place) stays, the later ones go when they stand in a run of repeated units with ``MIN_WORDS`` words or
+more, however short its units are. Shorter runs, such as a common heading, stay. Every unit keeps its
+offsets in the text. A passage that begins or ends inside a unit is found by the whole units it holds.
 
 Narrow tables only: a first pass counts digests, partial counts combining in each task, so a line that a
 third of all rows share moves as one row a task; only units whose digest repeats go on. Joins with hot
@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import free_name, ship, written
 
 MIN_WORDS = 25
-UNIT_WORDS = 6
+# Every unit that has a word counts towards its run.
+UNIT_WORDS = 1
 _CUT = re.compile(r"\n|(?<=[.!?…])[ \t]+")
 
 
@@ -83,8 +84,7 @@ def _repeats(table: DataFrame, min_words: int) -> DataFrame:
     # consecutive units of a text are a run; the window holds one text
     inside = Window.partitionBy("row").orderBy("unit")
     run = later.withColumn("_run", F.col("unit") - F.row_number().over(inside))
-    telling = F.when(F.col("words") >= UNIT_WORDS, F.col("words"))
-    run = run.withColumn("_words", F.sum(telling).over(Window.partitionBy("row", "_run")))
+    run = run.withColumn("_words", F.sum("words").over(Window.partitionBy("row", "_run")))
     return run.filter(F.col("_words") >= min_words).select(
         "row", "doc_id", "unit", "start", "length", "words",
         F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_start"),

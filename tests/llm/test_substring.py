@@ -83,3 +83,39 @@ def test_awkward_tables(spark):
     assert sb.without_repeats(nasty.empty(spark)).count() == 0
     out = sb.repeated_units(nasty.docs(spark)).collect()
     assert {r.doc_id for r in out} >= {3}
+
+
+def test_passages_of_short_units_go(spark):
+    lines = "\n".join(f"line {k} of list {k % 7}" for k in range(12))  # 60 words, five a line
+    said = " ".join(f"Number {k} it is." for k in range(8))  # 32 words, four a sentence
+    few = " ".join(f"Only {k} here." for k in range(8))  # 24 words
+    rows = [(1, lines), (2, f"{nasty.prose(1, 30)}\n{lines}"), (3, said), (4, f"{nasty.prose(2, 30)} end. {said}"), (5, few), (6, few)]
+    got = sb.repeated_units(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    words = {}
+    for r in got:
+        words[r.doc_id, r.first_doc_id] = words.get((r.doc_id, r.first_doc_id), 0) + r.words
+    assert words == {(2, 1): 60, (4, 3): 32}
+
+
+def test_every_whole_unit_passage_of_51_words_is_caught(spark, sf_small):
+    """Consecutive whole units, 51 words or more, that stand so in an earlier document: none may stay."""
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
+    caught = {(r.doc_id, r.start) for r in sb.repeated_units(docs).select("doc_id", "start").collect()}
+    seen, missed, n = {}, set(), 0
+    cut = re.compile(r"\n|(?<=[.!?…])[ \t]+")
+    for r in docs.orderBy("doc_id").collect():
+        ends = [*((m.start(), m.end()) for m in cut.finditer(r.text)), (len(r.text),) * 2]
+        starts = [0, *(after for _, after in ends)]
+        units = [(at, r.text[at:end].lower().split()) for at, (end, _) in zip(starts, ends)]
+        units = [u for u in units if u[1]]
+        for i in range(len(units)):
+            words, j = [], i
+            while j < len(units) and len(words) < 51:
+                words, j = words + units[j][1], j + 1
+            if len(words) < 51:
+                break
+            key = tuple(tuple(u) for _, u in units[i:j])
+            if seen.setdefault(key, r.doc_id) != r.doc_id:
+                n += 1
+                missed |= {(r.doc_id, at) for at, _ in units[i:j]} - caught
+    assert n and not missed
