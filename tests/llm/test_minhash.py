@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -109,6 +110,18 @@ def test_least_matches_prunes_at_the_chosen_miss_probability():
         assert mh.least_matches(n) > 0.4 * n
 
 
+def test_all_looks_together_prune_less_than_the_bands_miss():
+    step = np.array([math.comb(mh.BATCH, k) * 0.75**k * 0.25 ** (mh.BATCH - k) for k in range(mh.BATCH + 1)])
+    alive, pruned = np.ones(1), 0.0
+    for end in range(mh.BATCH, mh.N_COMPARED + 1, mh.BATCH):
+        alive = np.convolve(alive, step)
+        least = mh.least_matches(end)
+        pruned += alive[:least].sum()
+        alive[:least] = 0
+    bands = (1 - 0.75**mh.ROWS) ** mh.BANDS
+    assert pruned < bands < 1e-4 and bands + pruned < 1.3e-4
+
+
 def test_signatures_estimate_similarity():
     a = nasty.prose(11, 400)
     for n in (5, 20, 60):
