@@ -1,10 +1,11 @@
 """Licence scans: a positional index of rare words over licence templates.
 
-Words are runs of digits, a-z and characters beyond ASCII, after lower-casing A-Z. The index holds the
-template positions of every template word that is not a function word. For each text the licence words
-it contains are ranked by IDF over all texts, the ``RARE_WORDS`` highest are looked up, and each place
-and posting proposes a template at a relative position. A proposal counts when enough of the template's
-words stand at their places there, and its mandatory key phrase stands in that stretch of the text.
+Words are runs of digits, a-z and characters beyond ASCII, after lower-casing A-Z. The index holds template
+positions of words that are not function words, ranked by IDF over all texts: of each template its rarest,
+one more than may differ in a proposal that counts. So one of them stands at its place wherever the template
+does, at any text length. Each place and posting proposes a template at a relative position. A proposal
+counts when enough of the template's words stand at their places there, and its mandatory key phrase stands
+in that stretch of the text.
 
 Built-in expressions only, one row a text, no shuffle of texts; the one aggregate is the document count
 of each licence word, bounded by the index vocabulary, which is why it may become a literal.
@@ -33,7 +34,6 @@ BASE = (
     ("cc by", "cc-by"),
     ("mit license", "mit"),
 )
-RARE_WORDS = 8
 MIN_OVERLAP = 0.7
 # The score of a text with a base phrase that no template explains.
 BASE_SCORE = 0.5
@@ -77,12 +77,30 @@ def template_words(text: str) -> list[str]:
     return re.findall("[0-9a-z]+", text.lower())
 
 
+def may_differ(n: int) -> int:
+    """How many words of a template of ``n`` may differ in a proposal that counts."""
+    return max(k for k in range(n + 1) if (n - k) / n >= MIN_OVERLAP)
+
+
 def index(templates=TEMPLATES) -> dict[str, list[tuple[int, int]]]:
-    """word -> (template, position), for words that are not function words."""
+    """word -> (template, position), for words that are not function words; all words, where those are too few."""
     skip, out = set(FUNCTION_WORDS.split()), {}
     for t, template in enumerate(templates):
-        for p, w in enumerate(template_words(template.text)):
-            if w not in skip:
+        words = template_words(template.text)
+        telling = [(p, w) for p, w in enumerate(words) if w not in skip]
+        for p, w in telling if len(telling) > may_differ(len(words)) else enumerate(words):
+            out.setdefault(w, []).append((t, p))
+    return out
+
+
+def rarest(postings: dict[str, list[tuple[int, int]]], order: list[str], templates=TEMPLATES) -> dict[str, list[tuple[int, int]]]:
+    """The postings of each template's first words in ``order``: one more than may differ."""
+    left = [may_differ(len(template_words(t.text))) + 1 for t in templates]
+    out = {}
+    for w in order:
+        for t, p in postings[w]:
+            if left[t]:
+                left[t] -= 1
                 out.setdefault(w, []).append((t, p))
     return out
 
@@ -129,9 +147,9 @@ def _places(phrase: str) -> Column:
 _SHIFT, _LOW = 40, 1 << 20
 
 
-def _proposals(order: list[str], postings: dict[str, list[tuple[int, int]]]) -> tuple[Column, Column]:
+def _proposals(postings: dict[str, list[tuple[int, int]]]) -> tuple[Column, Column]:
     """The words to look up, and the templates at relative positions, that their places propose."""
-    rare = F.slice(F.array_intersect(_strings(order), F.col("_present")), 1, RARE_WORDS)
+    rare = F.array_intersect(F.col("_present"), _strings(list(postings)))
     places = F.filter(
         F.transform("_words", lambda w, i: F.when(F.array_contains("_rare", w), F.struct(w.alias("w"), i.alias("i")))),
         lambda x: x.isNotNull(),
@@ -151,7 +169,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> DataFr
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, matches."""
     postings, weights = index(templates), idf(docs, templates)
     order = sorted(postings, key=lambda w: (-weights[w], w))
-    rare, proposals = _proposals(order, postings)
+    rare, proposals = _proposals(rarest(postings, order, templates))
     bodies = F.array(*[_strings(template_words(t.text)) for t in templates])
     keys = _strings([f" {t.key} " for t in templates])
     labels = _strings([t.label for t in templates])

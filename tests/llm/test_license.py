@@ -42,6 +42,34 @@ def test_templates_are_found_at_their_place_with_their_key_phrase(spark):
     assert got[10].labels == "" and got[5].labels == "" and got[5].score == 0.0
 
 
+def brute_templates(text):
+    """Label and start of every place where enough of a template's words stand, and its key phrase."""
+    w, out = re.findall("[0-9a-z]+", text.lower()), set()
+    for t, template in enumerate(ls.TEMPLATES):
+        body = ls.template_words(template.text)
+        for start in range(-len(body), len(w)):
+            there = [w[start + p] if 0 <= start + p < len(w) else None for p in range(len(body))]
+            stretch = " ".join(["", *filter(None, there), ""])
+            if sum(map(str.__eq__, body, map(str, there))) / len(body) >= ls.MIN_OVERLAP and f" {template.key} " in stretch:
+                out.add((t, template.label, start))
+    return out
+
+
+def test_texts_with_many_licences_keep_every_template(spark):
+    every = [t.text for t in ls.TEMPLATES]
+    common = " all use software free public version 2 3 4 0 by universal terms person copy form source "
+    texts = [". Other words. ".join(every), common * 50 + " -- ".join(reversed(every)) + common * 50, " ".join(TEXTS)]
+    texts += [f"{common} {t} {common}" for t in every]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: r for r in ls.scan(df).collect()}
+    for k, text in enumerate(texts):
+        want = brute_templates(text)
+        assert got[k].matches == len(want)
+        labels = {label for _, label, _ in want} | set(filter(None, got[k].base_labels.split(",")))
+        assert got[k].labels == ",".join(sorted(labels))
+    assert set(got[0].labels.split(",")) >= {t.label for t in ls.TEMPLATES}
+
+
 def test_empty_table_and_extra_columns(spark):
     assert ls.scan(nasty.empty(spark)).count() == 0
     assert ls.scan(nasty.docs(spark)).count() == len(nasty.rows())
