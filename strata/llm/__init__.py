@@ -1,4 +1,4 @@
-"""Operators for preparing training data: ten DataFrame operators, their queries and SQL twins.
+"""Operators for preparing training data: thirteen DataFrame operators, their queries and SQL twins.
 
 Nothing else in the library imports this subpackage.
 """

@@ -112,8 +112,97 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
+# A checksum of the decimal doc_id: CRC-32 bit by bit, -1 standing for one shift.
+_CRC = (
+    "xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), "
+    "lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])), "
+    "lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"
+)
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(_field(c) for c in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+OP12 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS key, {_leaf("n_chars")} AS leaf,
+         CASE WHEN {_CRC} % 7 = 0 THEN {_leaf("n_chars + 1")} ELSE {_leaf("n_chars")} END AS tampered
+  FROM documents
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY key) AS n
+  FROM d
+), lv AS (
+  SELECT key, 0 AS level, pos, n, leaf AS h FROM p
+  UNION ALL
+  SELECT key, level + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM lv WHERE n > 1 GROUP BY key, level, pos // 2
+), s AS (
+  SELECT key, h AS subroot, row_number() OVER (ORDER BY key) - 1 AS pos, count(*) OVER () AS n FROM lv WHERE n = 1
+), tv AS (
+  SELECT 0 AS level, pos, n, subroot AS h FROM s
+  UNION ALL
+  SELECT level + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM tv WHERE n > 1 GROUP BY level, pos // 2
+), low AS (
+  SELECT p.key, p.pos AS id, 0 AS level, p.pos, p.n, p.tampered AS folded, '' AS proof FROM p
+  UNION ALL
+  SELECT c.key, c.id, c.level + 1, c.pos // 2, (c.n + 1) // 2,
+         sha256(CASE WHEN c.pos % 2 = 1 THEN coalesce(o.h, '') || c.folded ELSE c.folded || coalesce(o.h, '') END),
+         c.proof || coalesce(o.h, '')
+  FROM low c LEFT JOIN lv o ON o.key = c.key AND o.level = c.level AND o.pos = xor(c.pos, 1)
+  WHERE c.n > 1
+), high AS (
+  SELECT c.key, c.id, 0 AS level, s.pos, s.n, c.folded, c.proof FROM low c JOIN s ON s.key = c.key WHERE c.n = 1
+  UNION ALL
+  SELECT c.key, c.id, c.level + 1, c.pos // 2, (c.n + 1) // 2,
+         sha256(CASE WHEN c.pos % 2 = 1 THEN coalesce(o.h, '') || c.folded ELSE c.folded || coalesce(o.h, '') END),
+         c.proof || coalesce(o.h, '')
+  FROM high c LEFT JOIN tv o ON o.level = c.level AND o.pos = xor(c.pos, 1)
+  WHERE c.n > 1
+)
+SELECT p.doc_id, p.leaf, s.subroot, r.h AS root, sha256(c.proof) AS proof_sha256, c.folded AS folded_root,
+       c.folded = r.h AS verified
+FROM p JOIN s ON s.key = p.key JOIN high c ON c.key = p.key AND c.id = p.pos AND c.n = 1 JOIN tv r ON r.n = 1
+"""
+
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+OP13 = rf"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS id, {_WORDS} AS w FROM documents
+), b AS (
+  SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item, least(len(w), 10) AS k, array_to_string(w[i:i + 9], ' ') AS win
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT id, i, k, array_to_string(w[i:i + k - 1], ' ') AS win
+  FROM (SELECT id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM win))
+), hits AS (
+  SELECT dw.id, dw.i, dw.k, win.item FROM dw JOIN win ON dw.k = win.k AND dw.win = win.win
+), n AS (
+  SELECT id, count(DISTINCT place) AS n_hit FROM (SELECT id, unnest(range(i, i + k)) AS place FROM hits) GROUP BY id
+), items AS (
+  SELECT id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n.n_hit, 0)::BIGINT AS n_hit,
+       coalesce(items.n_items, 0)::BIGINT AS n_items, sha256(coalesce(items.items, '')) AS items_sha256,
+       coalesce(n.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n ON n.id = d.id LEFT JOIN items ON items.id = d.id
+"""
+
 ORACLE: dict[str, str] = {
     "op5_quality_rules": OP5,
     "op8_minhash_near_dedup": OP8,
     "op9_mixing": OP9,
+    "op12_merkle_manifest": OP12,
+    "op13_decontamination": OP13,
 }

@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from strata.llm import license_scan
 from strata.llm.common import table
+from strata.llm.decontaminate import contaminated
 from strata.llm.fingerprints import fingerprints
 from strata.llm.html_extract import main_texts
 from strata.llm.langid import held_out, language_id
+from strata.llm.manifest import manifest_digests
 from strata.llm.minhash import near_duplicates
 from strata.llm.mixing import document_sizes, mix
 from strata.llm.packing import pack_documents
+from strata.llm.periodic_runs import run_digests
 from strata.llm.quality import quality_rules
 from strata.llm.secret_scan import scan
 from strata.llm.substring import repeated_units
@@ -64,6 +67,18 @@ def op10_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     return repeated_units(table(spark, d, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    return run_digests(table(spark, d, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    return manifest_digests(table(spark, d, "documents"))
+
+
+def op13_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_fingerprints": op2_fingerprints,
@@ -75,4 +90,7 @@ QUERIES: dict[str, Query] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_mixing": op9_mixing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_decontamination": op13_decontamination,
 }

@@ -1,0 +1,119 @@
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from strata.llm import periodic_runs as P
+from tests.llm import nasty
+
+
+def brute(w):
+    """Every run by trying each period: (start, length, smallest period), by start, then period."""
+    n, ends = len(w), {}
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            if j > i and j + q - i >= max(6, 4 * q):
+                ends.setdefault((i, j + q), q)  # a smaller period came first
+            i = max(j, i + 1)
+    return sorted(((s, e - s, q) for (s, e), q in ends.items()), key=lambda r: (r[0], r[2]))
+
+
+def tail_repeated(doc_id, words):
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+def digests(doc_id, text):
+    w = tail_repeated(doc_id, re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+    runs = brute(w)
+    best = None
+    for s, n, q in runs:
+        if best is None or n * best[2] > best[1] * q:
+            best = (s, n, q)
+    gone = {k for s, n, q in runs for k in range(s + q, s + n)}
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    return (
+        doc_id, len(runs), *(best or (None,) * 3), best and 1000 * best[1] // best[2],
+        sha("".join(f"{s},{n},{q}\n" for s, n, q in runs)), sha(" ".join(x for k, x in enumerate(w) if k not in gone)),
+    )
+
+
+def found(documents):
+    return [[tuple(map(int, r)) for r in zip(*g, strict=True)] for g in P.runs_of(documents)]
+
+
+@pytest.mark.parametrize("letters", [1, 2, 3, 6])
+def test_runs_equal_brute_force(letters):
+    r = random.Random(letters)
+    documents = []
+    for _ in range(600):
+        n = r.randrange(0, 100)
+        w = [str(r.randrange(letters)) for _ in range(n)]
+        if n and r.random() < 0.6:
+            a, p = r.randrange(n), 1 + r.randrange(max(1, n // 4))
+            w = [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+        documents.append(w)
+    assert found(documents) == [brute(w) for w in documents]
+
+
+def test_nested_and_touching_runs():
+    inner = ["a"] * 7 + ["b"]
+    w = inner * 5 + ["c", "d"] * 4 + ["d"] * 6
+    assert found([w, [], ["x"], w])[0] == brute(w) and len(brute(w)) >= 7
+
+
+def test_long_runs_and_small_steps(monkeypatch):
+    monkeypatch.setattr(P, "SLICE", 4)
+    w = [str(k) for k in range(300)] * 9 + ["end"] + ["z"] * 2000
+    assert found([w]) == [[(0, 2700, 300), (2701, 2000, 1)]]
+
+
+def test_wavelet_tree_equals_sorted_intervals():
+    r = np.random.default_rng(3)
+    values = r.permutation(500)
+    tree = P.WaveletTree(values, 9)
+    lo = r.integers(0, 500, 200)
+    hi = np.minimum(500, lo + 1 + r.integers(0, 90, 200))
+    x = r.integers(0, 500, 200)
+    k = r.integers(0, hi - lo)
+    assert list(tree.count_less(lo, hi, x)) == [int((values[a:z] < v).sum()) for a, z, v in zip(lo, hi, x)]
+    assert list(tree.kth(lo, hi, k)) == [int(np.sort(values[a:z])[i]) for a, z, i in zip(lo, hi, k)]
+
+
+def test_query_equals_brute_force(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    want = [digests(r.doc_id, r.text) for r in docs.collect()]
+    got = [tuple(r) for r in P.run_digests(docs).collect()]
+    assert sorted(got) == sorted(want)
+    assert any(r[1] for r in got)
+
+
+def test_awkward_rows(spark, monkeypatch):
+    docs = nasty.docs(spark)
+    want = sorted((digests(r.doc_id, r.text) for r in docs.filter("length(text) < 6000 or text is null").collect()), key=str)
+    got = [tuple(r) for r in P.run_digests(docs).collect()]
+    assert len(got) == docs.count()
+    assert sorted((r for r in got if r[0] != 10), key=str) == want
+    assert P.run_digests(nasty.empty(spark)).count() == 0
+    monkeypatch.setattr(P, "BATCH_WORDS", 50)  # many suffix arrays instead of one
+    assert sorted(map(tuple, P.run_digests(docs).collect()), key=str) == sorted(got, key=str)
+
+
+def test_spans_are_places_of_the_text(spark):
+    text = "begin\n\n  ha ha \t ha ha ha  ha ha end é é é é é é!"
+    [row] = P.periodic_runs(spark.createDataFrame([(text, 1)], "text string, _RUN int")).collect()
+    assert row._RUN == 1
+    assert [text[r.begin : r.end] for r in row._runs.runs] == ["ha ha \t ha ha ha  ha ha"]
+    assert row._runs.collapsed == "begin ha end é é é é é é!"

@@ -14,4 +14,4 @@ def test_query_matches_sql(spark, sf_small, key):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
