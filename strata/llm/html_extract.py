@@ -6,19 +6,27 @@ capacities. Neighbouring blocks, and blocks of like place in the tree, are tied
 capacity falls with their distance in the DOM. The minimum cut, found by max-flow, separates content from
 boilerplate. Blocks of one parent, tag and landmark are one node, so graphs stay small.
 
-Pages are independent: one pass, no shuffle.
+A class, id or role speaks against an element only if a whole name says what the element is: ``sidebar``
+does, ``has-sidebar``, ``footer-fixed`` and ``search-open`` describe something else. Names of page parts (not those
+of comments, adverts and the like) are lifted from an element that holds much of the text and all that
+is marked as content, so a wrapper around everything never takes the article away; a ``form`` around
+the whole page likewise. Title blocks (``entry-header``) are no page headers.
+
+Pages are independent: one pass, no shuffle. Reading a page takes time in proportion to its length,
+also where tags, quotes, comments or scripts are never closed.
 
 Defined cases: NULL or empty html, and pages without content, give an empty text. Broken markup is read as
 far as it goes: unclosed elements end with the page, stray end tags are ignored, an unclosed comment or
-script runs to the end. ``<br>`` is white space. Repeated rows each get their row. Extra columns are
-ignored. An empty table gives no rows.
+script runs to the end, a quote that is never closed is no quote, and so are those after it; ``<`` without
+a later ``>`` is text. ``<br>`` is white space. A button inside running text is text. Repeated rows each get their
+row. Extra columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from html import unescape
 from typing import NamedTuple
@@ -36,27 +44,35 @@ _BLOCKS = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Raw content that is never text of the page.
-_SKIPPED = "script|style|noscript|template|title|textarea|svg|iframe|select|button|object|canvas"
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{_SKIPPED})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)>"
-    r"|<[!?][^>]*>",
-    re.S | re.I,
-)
-_NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_RAW = frozenset("script style noscript template title textarea svg iframe select object canvas".split())
+# A button in one of these is part of the running text.
+_TEXT_TAGS = frozenset("p li td th dd dt h1 h2 h3 h4 h5 h6 blockquote pre figcaption caption".split())
+_TAG = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+# The rest of a tag; quotes count only where a value begins. Possessive: nothing is tried twice.
+_REST = re.compile(r"""(?:[^>=]++|=(?!\s*["'])|=\s*+(?:"[^"]*+"|'[^']*+'))*+>""")
+_ATTR = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?+""")
 # An element that opens closes these, as browsers do.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 
-_PLAIN = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|alert|popup|modal|newsletter|"
-    r"subscri\w*|signup|login|side-?bar|widget|menu|nav\w*|bread-?crumbs?|pager|pagination|footer|header|masthead|"
-    r"comments?|comment-?list|respond|replies|disqus|share|sharing|social|related|recommend\w*|tags?|toolbar|"
-    r"copyright|legal|search|form|navigation|complementary|contentinfo|dialog)(?=$|[\s_-])",
-    re.I,
+# Names of parts that never hold the article, and of parts of the page's frame.
+_APART = re.compile(
+    r"ads?|advert\w*|sponsor\w*|promo\w*|cookies?|consent|gdpr|newsletters?|subscri\w*|signup|comments?|commentlist|"
+    r"respond|replies|disqus|shar(?:e|ing)|social|related|recommend\w*|breadcrumbs?|pager|pagination|popup|modal"
+)
+_FRAME = re.compile(
+    r"banner|notices?|alert|login|sidebar|widgets?|menu|nav\w*|footer|header|masthead|tags|toolbar|copyright|legal|"
+    r"search|form|complementary|contentinfo|dialog"
 )
-_RICH = re.compile(r"(?:^|[\s_-])(?:article\w*|content|main|post|entry|story|body|text)(?=$|[\s_-])", re.I)
-_BOILER_TAGS = frozenset("nav footer aside form menu dialog".split())
+_RICH = re.compile(r"article\w*|content|main|post|entry|story|body|text")
+# What follows one of the first, or ends in one of the second, describes a state or another element.
+_BEFORE = frozenset("no not non has have had with without is hide hides hidden show shows toggle js can supports".split())
+_AFTER = frozenset(
+    "open opened closed fixed sticky enabled disabled active inactive visible hidden on off collapsed expanded loaded "
+    "ready shown empty none allowed".split()
+)
+_PARTS = re.compile(r"[-_]+|(?<=[a-z0-9])(?=[A-Z])")
+_JOINED = re.compile(r"\b(side|bread|mast|sign)[-_](bar|crumbs?|head|up)\b", re.I)
+_BOILER_TAGS = frozenset("nav footer aside menu dialog button".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 # Weights of the linear classifier: positive means content.
@@ -67,10 +83,15 @@ WEIGHTS = {
 ADJACENT, ALIKE = 1.2, 0.6
 # A block's cost counts up to this, so that no single block drags its neighbours along.
 MOST_COST = 6.0
+# An element with this share of the page's text and every mark of content is a wrapper.
+WRAPPER_SHARE = 0.4
 
 
 class Place(NamedTuple):
-    """An open element: its tag, number, parent's number, depth, and what its ancestors and it say."""
+    """An element: its tag, parent's number, depth, and what its ancestors and it say.
+
+    ``sure`` are its own weights against content, ``frame`` those that a wrapper is spared.
+    """
 
     tag: str
     number: int
@@ -78,7 +99,8 @@ class Place(NamedTuple):
     depth: int
     article: bool
     rich: bool
-    boiler: float
+    sure: float
+    frame: float
 
 
 class Block(NamedTuple):
@@ -87,25 +109,83 @@ class Block(NamedTuple):
     linked: int
 
 
+def named(names: str) -> tuple[bool, bool, bool]:
+    """Whether the names say the element stands apart, is part of the frame, is content."""
+    apart = frame = rich = False
+    for name in _JOINED.sub(r"\1\2", names).split():
+        parts = [p.lower() for p in _PARTS.split(name.split("--")[0]) if p]
+        until = next((k for k, p in enumerate(parts) if p in _BEFORE), len(parts))
+        parts = parts[:until]
+        if not parts or parts[-1] in _AFTER:
+            continue
+        good = any(_RICH.fullmatch(p) for p in parts)
+        frames = [p for p in parts if _FRAME.fullmatch(p)]
+        if any(_APART.fullmatch(p) for p in parts):
+            apart = True
+        elif frames and not (good and frames == ["header"] and "main" not in parts):
+            frame = True
+        elif good:
+            rich = True
+    return apart, frame, rich
+
+
 def _opened(tag: str, attrs: str, above: Place, number: int) -> Place:
-    names = " ".join(a or b or c for a, b, c in _NAMES.findall(attrs)) if "=" in attrs else ""
     article = above.article or tag in ("article", "main")
-    boiler = above.boiler
-    if tag in _BOILER_TAGS:
-        boiler += WEIGHTS["boiler_tag"]
-    elif tag == "header" and not article:
-        boiler += WEIGHTS["page_header"]
-    if names and tag not in ("html", "body", "article", "main") and _PLAIN.search(names):
-        boiler += WEIGHTS["boiler_name"]
-    rich = above.rich or tag == "main" or bool(names and _RICH.search(names))
-    return Place(tag, number, above.number, above.depth + 1, article, rich, boiler)
-
-
-def blocks(html: str) -> tuple[list[Block], dict[int, Place]]:
+    sure = WEIGHTS["boiler_tag"] if tag in _BOILER_TAGS else 0.0
+    frame = WEIGHTS["boiler_tag"] if tag == "form" else 0.0
+    if tag == "header" and not article:
+        sure += WEIGHTS["page_header"]
+    rich = above.rich or tag == "main"
+    if "=" in attrs:
+        found = (m.groups() for m in _ATTR.finditer(attrs))
+        names = " ".join(a or b or c or "" for key, a, b, c in found if key.lower() in ("class", "id", "role"))
+        apart, framed, good = named(names)
+        rich = rich or good
+        if tag not in ("html", "body", "article", "main"):
+            sure += WEIGHTS["boiler_name"] * apart
+            frame += WEIGHTS["boiler_name"] * framed
+    return Place(tag, number, above.number, above.depth + 1, article, rich, sure, frame)
+
+
+def tags(html: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, tag, is an end tag, attributes) of each piece of markup; the tag is empty for comments.
+
+    Raw elements come as one piece with their content. Every part of the page is looked at once.
+    """
+    at, quotes = 0, True
+    while (start := html.find("<", at)) >= 0:
+        m = _TAG.match(html, start + 1)
+        if html.startswith("<!--", start):
+            end = html.find("-->", start + 2)
+            at = len(html) if end < 0 else end + 3
+            yield start, at, "", False, ""
+            continue
+        if m is None and html[start + 1 : start + 2] not in ("!", "?"):
+            at = start + 1
+            continue
+        rest = _REST.match(html, m.end()) if m and quotes else None
+        if rest:
+            at = rest.end()
+        else:
+            quotes = quotes and m is None
+            at = html.find(">", start) + 1
+            if not at:
+                return
+        tag = m[2].lower() if m else ""
+        attrs = html[m.end() : at - 1] if m else ""
+        if tag in _RAW and not m[1] and not (tag == "svg" and attrs.endswith("/")):
+            close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
+            end = html.find(">", close.end()) + 1 if close else 0
+            at, tag = end or len(html), ""
+        yield start, at, tag, bool(m and m[1]), attrs
+
+
+def blocks(html: str) -> tuple[list[Block], list[Place]]:
     """The text blocks in page order, and every block element by number."""
-    root = Place("", 0, -1, 0, False, False, 0.0)
-    stack, found, places = [root], [], {0: root}
-    run, linked, links, skipped_head, at, number = [], 0, 0, 0, 0, 0
+    root = Place("", 0, -1, 0, False, False, 0.0, 0.0)
+    stack, found, places = [root], [], [root]
+    open_tags: Counter[str] = Counter()
+    run, linked, links, skipped_head, at = [], 0, 0, 0, 0
 
     def flush() -> None:
         nonlocal run, linked
@@ -122,49 +202,69 @@ def blocks(html: str) -> tuple[list[Block], dict[int, Place]]:
             if links:
                 linked += len(piece.strip())
 
-    for m in _TOKEN.finditer(html):
-        add(html[at : m.start()])
-        at = m.end()
-        tag = m["tag"]
-        if not tag:
-            continue
-        tag = tag.lower()
+    def close(k: int) -> None:
+        open_tags.subtract(p.tag for p in stack[k:])
+        del stack[k:]
+
+    for start, end, tag, ends, attrs in tags(html):
+        add(html[at:start])
+        at = end
         if tag == "head":
-            skipped_head = 0 if m["end"] else 1
+            skipped_head = 0 if ends else 1
         elif tag == "body":
             skipped_head = 0
-        if tag == "br":
+        elif tag == "br":
             add(" ")
         elif tag == "a":
-            links = 0 if m["end"] else 1
-        if tag not in _BLOCKS:
+            links = 0 if ends else 1
+        button = tag == "button" and (open_tags[tag] > 0 if ends else stack[-1].tag not in _TEXT_TAGS)
+        if tag not in _BLOCKS and not button:
             continue
         flush()
         links = 0 if tag not in ("li", "p") else links
-        if m["end"]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+        if ends:
+            if open_tags[tag] > 0:
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
             continue
         closes = _CLOSES.get(tag, ())
         while len(stack) > 1 and (stack[-1].tag == "p" or stack[-1].tag in closes):
-            stack.pop()
+            close(len(stack) - 1)
         if tag in _VOID:
             continue
-        number += 1
-        stack.append(_opened(tag, m["attrs"], stack[-1], number))
-        places[number] = stack[-1]
+        places.append(_opened(tag, attrs, stack[-1], len(places)))
+        stack.append(places[-1])
+        open_tags[tag] += 1
     add(html[at:])
     flush()
     return found, places
 
 
-def cost(b: Block) -> float:
+def against(found: list[Block], places: list[Place]) -> list[float]:
+    """Each element's weights against content, its ancestors' included; wrappers are spared those of the frame."""
+    n = len(places)
+    strong = any(p.tag in ("article", "main") for p in places)
+
+    def marked(p: Place) -> bool:
+        return p.tag in ("article", "main") if strong else p.rich and not places[p.parent].rich
+
+    size, marks = [0] * n, [int(marked(p)) for p in places]
+    for b in found:
+        size[b.place.number] += len(b.text)
+    for p in reversed(places[1:]):  # children come after their parent
+        size[p.parent] += size[p.number]
+        marks[p.parent] += marks[p.number]
+    out = [0.0] * n
+    for p in places[1:]:
+        wrapper = size[p.number] >= WRAPPER_SHARE * size[0] and marks[p.number] == marks[0]
+        out[p.number] = out[p.parent] + p.sure + (0.0 if wrapper else p.frame)
+    return out
+
+
+def cost(b: Block, boiler: float) -> float:
     """The classifier's log odds that the block is content."""
     p, w = b.place, WEIGHTS
     words = b.text.count(" ") + 1
-    z = w["bias"] + p.boiler + w["words"] * min(math.log(words), 3.0)
+    z = w["bias"] + boiler + w["words"] * min(math.log(words), 3.0)
     z += w["article"] * p.article + w["rich_name"] * p.rich
     z += w["link_share"] * min(1.0, b.linked / len(b.text))
     z += w["sentence"] * (b.text[-1] in ".!?…\"”»:") + w["paragraph"] * (p.tag in ("p", "blockquote", "pre"))
@@ -222,7 +322,7 @@ def max_flow_side(n: int, edges: list[tuple[int, int, float, float]], source: in
                 at[u] += 1
 
 
-def _distance(a: Place, b: Place, places: dict[int, Place]) -> int:
+def _distance(a: Place, b: Place, places: list[Place]) -> int:
     """Steps between two elements in the tree."""
     n = 0
     while a.number != b.number:
@@ -234,18 +334,19 @@ def _distance(a: Place, b: Place, places: dict[int, Place]) -> int:
     return n
 
 
-def content(found: list[Block], places: dict[int, Place]) -> list[bool]:
+def content(found: list[Block], places: list[Place]) -> list[bool]:
     """Which blocks are content, by minimum cut."""
+    boiler = against(found, places)
     nodes: list[tuple[Place, float]] = []
     of: list[int] = []
     last = None
     for b in found:
-        key = (b.place.parent, b.place.tag, b.place.boiler)
+        z = cost(b, boiler[b.place.number])
+        key = (b.place.parent, b.place.tag, boiler[b.place.number])
         if key == last:
-            p, z = nodes[-1]
-            nodes[-1] = (p, z + cost(b))
+            nodes[-1] = (nodes[-1][0], nodes[-1][1] + z)
         else:
-            nodes.append((b.place, cost(b)))
+            nodes.append((b.place, z))
         last = key
         of.append(len(nodes) - 1)
     n = len(nodes)

@@ -84,3 +84,106 @@ def test_awkward_tables(spark):
         ("1", "", 0), ("1", "", 0), ("2", "", 0), ("None", "Text of it.", 11)
     ]
     assert hx.main_texts(df.filter("false")).count() == 0
+
+
+WRAPPERS = [
+    "content has-sidebar", "post-content with-share-buttons", "page-content footer-fixed", "layout no-sidebar",
+    "container search-open", "page sidebar-right", "site header-fixed nav-open comments-closed", "hideSidebar",
+]
+
+
+@pytest.mark.parametrize("inner", ["{}", "<article>{}</article>", "<div><section>{}</section></div>"])
+@pytest.mark.parametrize("name", WRAPPERS)
+def test_names_of_something_else_take_nothing_away(name, inner):
+    article = [f"This is paragraph {i} of the article, which says quite a lot of things." for i in range(3)]
+    body = inner.format("".join(f"<p>{p}</p>" for p in article))
+    page = (
+        f'<body class="{name}"><nav><a href="/">Home</a></nav><div class="{name}">{body}</div>'
+        '<div class="sidebar"><p>You may like these other stories from us too.</p></div>'
+        "<footer><p>All about us and our site.</p></footer></body>"
+    )
+    assert hx.extract(page) == "\n\n".join(article)
+
+
+def test_wrapping_forms_and_buttons():
+    p = "A sentence of the article that is long enough to be one of its paragraphs."
+    page = f'<form id="aspnetForm"><div class="menu"><a href="x">Go</a></div><p>{p}</p><p>Press <button>OK</button> now.</p><div><button>Send it</button></div></form>'
+    assert hx.extract(page) == f"{p}\n\nPress OK now."
+
+
+def test_comments_in_article_tags_stay_out():
+    p = "A sentence of the article that is long enough to be one of its paragraphs."
+    talk = "".join(f'<article class="comment"><p>Reader {k}: I liked it very much, thank you all for it.</p></article>' for k in range(9))
+    page = f'<main><h1>Title of it</h1><p>{p}</p></main><section id="comments">{talk}</section>'
+    assert hx.extract(page) == f"Title of it\n\n{p}"
+
+
+SLOW = {
+    "tags": "<a " * 350_000, "quotes": '<a x=">" ' * 110_000, "other quotes": "<a x='>" * 140_000, "angles": "<" * 1_000_000,
+    "ends": "<script>" + "</script" * 120_000, "stray ends": "<div>" * 20_000 + "x</li>" * 150_000, "comments": "<!--" * 250_000,
+    "attributes": "<div " + "class = " * 125_000 + ">",
+}
+
+
+@pytest.mark.parametrize("name", SLOW)
+def test_unclosed_markup_takes_time_in_proportion_to_its_length(name):
+    from time import process_time
+
+    def seconds(html):
+        start = process_time()
+        hx.extract(html)
+        return process_time() - start
+
+    whole, half = SLOW[name], SLOW[name][: len(SLOW[name]) // 2]
+    # 1 MB; a quadratic scan took more than an hour
+    assert seconds(whole) < max(1.5, 4 * seconds(half))
+
+
+def site(r):
+    """A page of a made-up theme, and its article's blocks."""
+    words = "river stone garden letter window market winter question answer music paper machine village story".split()
+    sentence = lambda n: " ".join(r.choice(words) for _ in range(n)).capitalize() + r.choice([".", ".", ".", "!", "?"])
+    block, art = r.choice([("div", "post-body"), ("div", "entry-content"), ("section", "story"), ("div", "c1"), ("article", "")]), []
+    inner = ""
+    for k in range(r.randint(3, 12)):
+        kind = r.random()
+        if k == 0 or kind < 0.1:
+            art.append(" ".join(r.choice(words) for _ in range(r.randint(3, 7))).capitalize())
+            inner += f"<h2>{art[-1]}</h2>" if k else f'<div class="entry-header"><h1>{art[-1]}</h1></div>'
+        elif kind < 0.2:
+            items = [sentence(r.randint(5, 10)) for _ in range(3)]
+            art += items
+            inner += "<ul>" + "".join(f"<li>{i}</li>" for i in items) + "</ul>"
+        else:
+            art.append(" ".join(sentence(r.randint(6, 14)) for _ in range(r.randint(1, 4))))
+            inner += f"<p>{art[-1]}</p>"
+    links = lambda n: "".join(f'<li><a href="/{k}">{r.choice(words)} {r.choice(words)}</a></li>' for k in range(n))
+    top = r.choice(['<header class="site-header">{}</header>', '<div id="masthead">{}</div>', '<div class="top-bar navbar">{}</div>'])
+    menu = r.choice(["<nav><ul>{}</ul></nav>", '<div class="main-menu"><ul>{}</ul></div>', '<ul role="navigation">{}</ul>'])
+    side = r.choice(['<aside><h3>More</h3>{}</aside>', '<div class="sidebar widget-area">{}</div>', '<div id="rightSidebar">{}</div>'])
+    talk = r.choice(['<section class="comments">{}</section>', '<div id="disqus_thread">{}</div>', '<ol class="comment-list">{}</ol>'])
+    foot = r.choice(["<footer>{}</footer>", '<div class="site-footer">{}</div>', '<div role="contentinfo">{}</div>'])
+    note = r.choice(['<div class="cookie-notice"><p>{}</p></div>', '<div class="newsletter-signup"><p>{}</p></div>', ""])
+    wrap = r.choice([*WRAPPERS, "wrapper", "container"])
+    quote = lambda n: f"<p>{sentence(n)}</p>"
+    html = (
+        "<html><body>" + top.format(sentence(6)) + menu.format(links(5)) + note.format(sentence(9))
+        + f'<div class="{wrap}"><{block[0]} class="{block[1]}">{inner}</{block[0]}>'
+        + side.format(quote(8) + f"<ul>{links(6)}</ul>") + "</div>"
+        + talk.format("".join(f"<li>{sentence(9)}</li>" for _ in range(r.randint(1, 6)))) + foot.format(quote(5)) + "</body></html>"
+    )
+    return html, art
+
+
+def test_varied_layouts():
+    from collections import Counter
+
+    r = random.Random(17)
+    hit = said = there = 0
+    for _ in range(300):
+        html, art = site(r)
+        got, want = Counter(hx.extract(html).split()), Counter(" ".join(art).split())
+        hit, said, there = hit + (got & want).total(), said + got.total(), there + want.total()
+    f1 = 2 * hit / (said + there)
+    print(f"word-level precision {hit / said:.4f}, recall {hit / there:.4f}, F1 {f1:.4f}")
+    assert f1 > 0.98
