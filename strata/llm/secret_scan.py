@@ -1,17 +1,19 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-Candidates are assignments to a credential word, and long runs of key characters with a digit in them.
+Candidates are assignments to a credential word, user and password in an address, bodies of private key
+blocks, keys of known prefixes, and runs of 16 or more key characters with a digit anywhere in them.
 A random forest judges each by its length, character transitions, dictionary coverage, the document's
-path and the neighbouring words. It learns from labelled findings: the caller's, or else findings that
-``weak_label`` is sure about (assignments of opaque values; plain numbers, placeholders, addresses and
-dictionary words). Training takes at most ``MAX_TRAINING`` findings of each label, those with the
-smallest hashes; every candidate of every whole text is scored.
+path and the neighbouring words. It learns from labelled findings: the caller's, or else the ones with
+known truth of ``secret_findings``, which are made independently of any rule here. Training takes at most
+``MAX_TRAINING`` findings of each label, those with the smallest hashes; every candidate of every whole text
+is scored.
 
 Built-in expressions and Spark ML only. A text's offsets come from splitting it at its candidates.
 
-Defined cases: NULL or empty text has no candidate. Repeated rows give repeated findings. With labels of
-one kind only (small or empty tables) there is no forest, and the label itself decides, unlabelled
-findings counting as secret when a credential word is assigned. NULL path counts as no path. Extra
+Defined cases: NULL or empty text has no candidate. Assigned values and passwords in addresses count from six
+characters on; bare ones without a digit, without a known prefix and shorter than 16 characters are no candidates,
+as they can't be told from words. Repeated rows give repeated findings. With a caller's labels of one kind
+only there is no forest, and every finding is what that label says. NULL path counts as no path. Extra
 columns are dropped by ``scan`` and kept by ``redacted``.
 """
 
@@ -22,10 +24,11 @@ from collections.abc import Sequence
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import documents_like, free_name, written
+from strata.llm.secret_findings import labelled_texts
 
 CREDENTIAL_WORDS = "password passwd pwd secret token apikey api_key api-key access_key access-key auth_key credential"
 PLACEHOLDERS = "example sample dummy fake test your changeme placeholder xxxx todo redacted null none"
@@ -36,29 +39,44 @@ DICTIONARY = (
     "der die das und ist mit von den les des une est pour dans que los las por con una para "
     "tion ment ing ung able heit keit eaux cion ando"
 )
+# Pairs of letters that make up most of running text; keys hold few of them.
+COMMON_PAIRS = (
+    "th he in er an re nd at on nt ha es st en ed to it ou ea hi is or ti as te et ng of al de se le sa si ar ve ra ld ur "
+    "ro ri io ne me li ll ce co la ma el ic om pe di ec om us ow un ta na ho so wo ot ee ss pl lo mo ch ie ei no wi"
+)
 TEST_PATHS = "test example sample mock fixture demo doc"
 
 _KEY = r"A-Za-z0-9+/_=.\-"
 _WORDS = "|".join(CREDENTIAL_WORDS.split())
-_ASSIGNED = rf"(?i:{_WORDS})[\"']?[ \t]{{0,3}}[:=]{{1,2}}[ \t]{{0,3}}[\"']?"
-_OPAQUE = rf"(?<![{_KEY}])(?=[A-Za-z+/_=.\-]{{0,200}}[0-9])[{_KEY}]{{16,}}+"
-CANDIDATE = rf"{_ASSIGNED}[^\s\"']{{6,}}+|{_OPAQUE}"
+_NAME = r"A-Za-z0-9_.\-"
+# from a name's beginning on, so that access_token = ... is an assignment as a whole
+_ASSIGNED = rf"(?<![{_NAME}])[{_NAME}]*?(?i:{_WORDS})(?i:[_\-]?(?:key|value))?[\"']?[ \t]{{0,3}}[:=]{{1,2}}[ \t]{{0,3}}[\"']?"
+_HEAD = r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----[\s\\]*"
+_BLOCK = rf"{_HEAD}[A-Za-z0-9+/=\s\\]++(?=-----END)"
+_USER = r"[^\s:/?#@\"']*+:"
+_ADDRESS = rf"(?<=://){_USER}[^\s@/\"']{{6,}}+(?=@)"
+_PREFIX = r"(?:gh[pousr]_|sk_live_|rk_live_|xox[abpr]-|glpat-|AKIA|ASIA)"
+_PREFIXED = rf"(?<![{_KEY}]){_PREFIX}[A-Za-z0-9_\-]{{16,}}+"
+# looks as far as the run goes; a run is looked at from its beginning only
+_OPAQUE = rf"(?<![{_KEY}])(?=[A-Za-z+/_=.\-]*+[0-9])[{_KEY}]{{16,}}+"
+CANDIDATE = rf"{_BLOCK}|{_ADDRESS}|{_ASSIGNED}[^\s\"']{{6,}}+|{_PREFIXED}|{_OPAQUE}"
 CONTEXT = 60
 
 MAX_TRAINING = 10_000
-TREES, DEPTH, SEED = 24, 6, 7
+TREES, DEPTH, SEED = 32, 10, 7
 THRESHOLD = 0.5
 MARK = "[SECRET]"
 
 FEATURES: tuple[str, ...] = (
     "length", "digit_share", "upper_share", "other_share", "kind_changes", "case_changes", "vowel_changes",
-    "distinct_share", "dictionary_share", "test_path", "credential_near", "placeholder_near", "digest_near",
-    "assigned", "quoted",
+    "distinct_share", "dictionary_share", "common_pairs", "test_path", "credential_near", "placeholder", "placeholder_near",
+    "digest_near", "assigned", "quoted", "prefixed", "address", "block", "code_signs", "parts", "extension", "starred",
 )
 
 
 def _any(words: str) -> str:
-    return "(?i)(?:" + "|".join(words.split()) + ")"
+    """Any of the words as a whole one: ``test`` is not in ``latest``, but in ``test_key`` and ``testKey``."""
+    return "(?<![A-Za-z])(?i:" + "|".join(words.split()) + ")(?![a-z])"
 
 
 def candidates(docs: DataFrame, path: str = "source", keep: Sequence[str] = ()) -> DataFrame:
@@ -73,11 +91,12 @@ def candidates(docs: DataFrame, path: str = "source", keep: Sequence[str] = ())
     starts = F.aggregate(step, F.array().cast("array<int>"), lambda a, x: F.array_append(a, x + F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0))))
     df = df.withColumn("_at", starts)
     df = df.select("doc_id", "path", *keep, "_s", "_at", F.posexplode("_m").alias("finding", "_match"))
-    assigned = F.regexp_extract("_match", f"^{_ASSIGNED}", 0)
+    # no other candidate holds a colon before its value
+    lead = F.regexp_extract("_match", f"^(?:{_HEAD}|{_ASSIGNED}|{_USER})", 0)
     value = F.substring("_match", F.char_length("_prefix") + 1, F.char_length("_match"))
     return (
-        df.withColumn("_prefix", assigned)
-        .withColumn("value", F.regexp_replace(value, r"[,;)\]}>]+$", ""))
+        df.withColumn("_prefix", lead)
+        .withColumn("value", F.regexp_replace(value, r"[,;)\]}>\s]+$", ""))
         .select(
             "doc_id", "path", *keep, "finding",
             (F.get("_at", "finding") + F.char_length("_prefix")).cast("bigint").alias("start"),
@@ -96,7 +115,8 @@ def _share(pattern: str) -> Column:
 def with_features(found: DataFrame) -> DataFrame:
     """The columns ``FEATURES``, all doubles."""
     near = F.concat(F.regexp_extract("before", r"(?:\S+\s+){0,3}\S*$", 0), F.lit(" "), F.regexp_extract("after", r"^\S*(?:\s+\S+){0,2}", 0))
-    left = F.char_length("value") - F.char_length(F.regexp_replace("value", _any(DICTIONARY), ""))
+    left = F.char_length("value") - F.char_length(F.regexp_replace("value", "(?i)" + "|".join(DICTIONARY.split()), ""))
+    pairs = "(?i)(?=" + "|".join(COMMON_PAIRS.split()) + ")"
     values = {
         "length": F.char_length("value"),
         "digit_share": _share("[0-9]"),
@@ -107,24 +127,34 @@ def with_features(found: DataFrame) -> DataFrame:
         "vowel_changes": _share("(?i)[aeiou](?=[b-df-hj-np-tv-z])|[b-df-hj-np-tv-z](?=[aeiou])"),
         "distinct_share": F.size(F.array_distinct(F.split("value", ""))) / F.char_length("value"),
         "dictionary_share": left / F.char_length("value"),
+        "common_pairs": _share(pairs),
         "test_path": F.coalesce(F.col("path"), F.lit("")).rlike(_any(TEST_PATHS)),
-        "credential_near": near.rlike(_any(CREDENTIAL_WORDS)),
-        "placeholder_near": F.concat(near, F.lit(" "), F.col("value")).rlike(_any(PLACEHOLDERS)),
+        "credential_near": near.rlike(f"(?i:{_WORDS})"),
+        "placeholder": F.col("value").rlike(_any(PLACEHOLDERS)),
+        "placeholder_near": near.rlike(_any(PLACEHOLDERS)),
         "digest_near": near.rlike(_any(DIGEST_WORDS)),
-        "assigned": F.col("before").rlike(r"[:=][ \t]*[\"']?$"),
+        "assigned": F.col("before").rlike(rf"(?i:{_WORDS})[^\s:=]*[ \t]*[:=]+[ \t]*[\"']?$"),
         "quoted": F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']"),
+        "prefixed": F.col("value").rlike(f"^{_PREFIX}"),
+        "address": F.col("before").rlike(r"://[^\s/]*:$") & F.col("after").rlike("^@"),
+        "block": F.col("before").rlike(r"PRIVATE KEY-----[\s\\]*$"),
+        "code_signs": _share(r"[(){}\[\]<>$%.,;']"),
+        "parts": F.size(F.split("value", r"[-_./]+")),
+        "extension": F.col("value").rlike(r"(?i)\.[a-z]{2,5}[0-9]?$"),
+        "starred": _share(r"(.)(?=\1\1)"),
     }
     return found.withColumns({k: v.cast("double") for k, v in values.items()})
 
 
-def weak_label() -> Column:
-    """1 or 0 for findings that need no model, else NULL."""
-    c = F.col
-    plain = (c("digit_share") + c("other_share") >= 0.95) | (c("digit_share") == 0) | (c("dictionary_share") >= 0.5)
-    address = c("value").rlike(r"(?i)^[a-z0-9.\-]+\.[a-z]{2,6}$")
-    opaque = (c("length") >= 16) & (c("digit_share") >= 0.1) & (c("kind_changes") >= 0.1)
-    sure = (c("credential_near") == 1) & (c("assigned") == 1) & opaque
-    return F.when((c("placeholder_near") == 1) | plain | address, F.lit(0.0)).when(sure, F.lit(1.0))
+def labelled_findings(spark: SparkSession) -> DataFrame:
+    """The candidates of ``secret_findings`` with their features, ``kind`` and ``label`` (1.0 secret, 0.0 not).
+
+    A candidate is secret if it lies in the secret that its text holds; anything else around is none.
+    """
+    texts = written(labelled_texts(spark).withColumnRenamed("value", "_value"), "labelled")
+    found = candidates(texts, keep=("kind", "_value", "secret"))
+    inside = F.col("secret") & F.contains(F.col("_value"), F.col("value"))
+    return with_features(found).withColumn("label", inside.cast("double")).drop("_value", "secret")
 
 
 def _training(labelled: DataFrame, most: int) -> DataFrame:
@@ -143,12 +173,12 @@ def judged(found: DataFrame, labelled: DataFrame | None = None, most: int = MAX_
     ``labelled`` has the same columns and ``label`` (1.0 secret, 0.0 not).
     """
     if labelled is None:
-        labelled = found.withColumn("label", weak_label()).filter("label is not null")
+        labelled = labelled_findings(found.sparkSession)
     train = _training(labelled, most)
     kinds = train.agg(F.count_if(F.col("label") == 0), F.count_if(F.col("label") == 1)).first()
     if not all(kinds):
-        by_rule = F.coalesce(weak_label(), F.col("credential_near") * F.col("assigned"))
-        return found.withColumn("score", by_rule).withColumn("is_secret", F.col("score") >= THRESHOLD)
+        only = F.lit(1.0 if kinds[1] else 0.0)
+        return found.withColumn("score", only).withColumn("is_secret", F.col("score") >= THRESHOLD)
     vector = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
     forest = RandomForestClassifier(
         featuresCol="_features", labelCol="label", probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_y",
