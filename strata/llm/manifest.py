@@ -33,8 +33,11 @@ from pyspark.sql import functions as F
 from strata.llm.common import prefix_sums, written
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
-# Levels of a tier: a chunk has up to 256 leaves.
-HEIGHT = 8
+# Levels of a tier: a chunk has up to 16 leaves. Each level of a tier deals its leaves and nodes out once
+# more, while a further tier has a sixteenth of the rows, so short tiers move the least.
+HEIGHT = 4
+# A step of a proof while it climbs: a byte for the side of the sibling, and its hash.
+STEP_BYTES, ALONE, LEFT, RIGHT = 33, "X'00'", "X'01'", "X'02'"
 # Rows in a range of leaves, which one task numbers.
 RANGE_ROWS = 250_000
 ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
@@ -100,10 +103,10 @@ def _next_level(level: Column) -> Column:
 
 
 def nodes(tier: DataFrame) -> DataFrame:
-    """The rows of all chunks' levels: (key, chunk, node, parent, hash, left, sibling).
+    """The rows of all chunks' levels: (key, chunk, node, parent, hash, sibling).
 
     Nodes are numbered as in a heap: the chunk's root is 1 and has no parent, a node's parent is half its
-    number. ``sibling`` is NULL where there is none; ``left`` says on which side it stands.
+    number, and an odd one stands to the right of its sibling. ``sibling`` is NULL where there is none.
     """
     chunks = (
         tier.groupBy("key", F.expr(f"shiftright(pos, {HEIGHT})").alias("chunk"))
@@ -124,7 +127,6 @@ def nodes(tier: DataFrame) -> DataFrame:
         "key", "chunk", node.alias("node"),
         F.when(F.col("level") < F.col("height"), F.shiftright(node, 1)).alias("parent"),
         "hash",
-        (F.col("at") % 2 == 1).alias("left"),
         F.when(F.col("level") < F.col("height"), F.get("hashes", F.col("at").bitwiseXOR(F.lit(1)))).alias("sibling"),
     )
 
@@ -158,59 +160,78 @@ def _any_number_of_rows(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(ROW_LIMIT, before)
 
 
-STEP = "array(named_struct('left', n.left, 'hash', n.sibling))"
+STEP = f"""concat(CASE WHEN n.sibling IS NULL THEN {ALONE} WHEN c.node % 2 = 1 THEN {LEFT} ELSE {RIGHT} END,
+                  coalesce(n.sibling, unhex(repeat('00', {STEP_BYTES - 1}))))"""
 FOLD = """unhex(sha2(CASE WHEN n.sibling IS NULL THEN lower(hex(c.folded))
-                          WHEN n.left THEN concat(lower(hex(n.sibling)), lower(hex(c.folded)))
+                          WHEN c.node % 2 = 1 THEN concat(lower(hex(n.sibling)), lower(hex(c.folded)))
                           ELSE concat(lower(hex(c.folded)), lower(hex(n.sibling))) END, 256))"""
+# {carry} and {carried} are the leaf's own columns, {start} and {stored} the frames
 CLIMB = f"""
-WITH RECURSIVE climb(key, chunk, node, pos, folded, proof) AS (
-  SELECT key, chunk, node, pos, folded, CAST(array() AS array<struct<left: boolean, hash: binary>>) FROM {{start}}
+WITH RECURSIVE climb(key, chunk, node, folded, proof, {{carry}}) AS (
+  SELECT key, chunk, node, folded, CAST('' AS BINARY), {{carry}} FROM {{{{start}}}}
   UNION ALL
-  SELECT c.key, c.chunk, n.parent, c.pos, {FOLD}, concat(c.proof, {STEP})
-  FROM climb c JOIN {{stored}} n ON c.key = n.key AND c.chunk = n.chunk AND c.node = n.node
+  SELECT c.key, c.chunk, n.parent, {FOLD}, concat(c.proof, {STEP}), {{carried}}
+  FROM climb c JOIN {{{{stored}}}} n ON c.key = n.key AND c.chunk = n.chunk AND c.node = n.node
   WHERE c.node > 1
 )
-SELECT key, chunk, pos, folded, proof FROM climb WHERE node = 1
+SELECT key, chunk, folded, proof, {{carry}} FROM climb WHERE node = 1
 """
 
 
+def steps(proof: Column) -> Column:
+    """A proof's steps as an array, from the leaf up."""
+    last = F.length(proof) / STEP_BYTES - 1
+    each = F.transform(
+        F.sequence(F.lit(0), last.cast("int")), lambda i: F.substr(proof, i * STEP_BYTES + 1, F.lit(STEP_BYTES))
+    )
+    # a sequence from 0 to -1 would count down
+    return F.when(F.length(proof) > 0, each).otherwise(F.array().cast("array<binary>"))
+
+
+def _side(step: Column, side: str) -> Column:
+    return F.substr(step, F.lit(1), F.lit(1)) == F.expr(side)
+
+
+def _sibling(step: Column) -> Column:
+    return F.substr(step, F.lit(2), F.lit(STEP_BYTES - 1))
+
+
 def _fold(start: Column, proof: Column) -> Column:
     """``start`` hashed with each step's sibling on its side."""
 
-    def step(own: Column, s: Column) -> Column:
-        other = F.coalesce(as_hex(s["hash"]), F.lit(""))
-        return digest(F.when(s["left"], F.concat(other, as_hex(own))).otherwise(F.concat(as_hex(own), other)))
+    def up(own: Column, step: Column) -> Column:
+        mine, other = as_hex(own), as_hex(_sibling(step))
+        both = F.when(_side(step, LEFT), F.concat(other, mine)).when(_side(step, RIGHT), F.concat(mine, other))
+        return digest(both.otherwise(mine))
 
-    return F.aggregate(proof, start, step)
+    return F.aggregate(steps(proof), start, up)
 
 
-def climb(tier: DataFrame, stored: DataFrame, above: DataFrame, folded: Column) -> DataFrame:
-    """(key, pos, proof, folded, subroot, root) of every leaf of a tier, by the recursive query.
+def climb(tier: DataFrame, stored: DataFrame, above: DataFrame, folded: Column, carry: tuple[str, ...]) -> DataFrame:
+    """(key, proof, folded, subroot, root) and ``carry`` of every leaf of a tier, by the recursive query.
 
     ``above`` has (key, chunk, proof, subroot, root): the way on from each chunk's root.
     """
-    spark = tier.sparkSession
     node = F.expr("shiftleft(1, _height)") + (F.col("pos") % (1 << HEIGHT)).cast("int")
     start = tier.withColumn("_height", _height(F.col("n"))).select(
-        "key", F.expr(f"shiftright(pos, {HEIGHT})").alias("chunk"), node.alias("node"), "pos", folded.alias("folded"),
-    )
-    inside = stored.filter("parent IS NOT NULL").select("key", "chunk", "node", "parent", "left", "sibling")
-    climbed = spark.sql(CLIMB, start=start, stored=inside)
-    on = above.withColumnRenamed("proof", "_proof")
-    joined = climbed.join(on, ["key", "chunk"])
+        "key", F.expr(f"shiftright(pos, {HEIGHT})").alias("chunk"), node.alias("node"), folded.alias("folded"), *carry
+    )
+    inside = stored.filter("parent IS NOT NULL").select("key", "chunk", "node", "parent", "sibling")
+    query = CLIMB.format(carry=", ".join(carry), carried=", ".join(f"c.{c}" for c in carry))
+    climbed = tier.sparkSession.sql(query, start=start, stored=inside)
+    joined = climbed.join(above.withColumnRenamed("proof", "_proof"), ["key", "chunk"])
     return joined.select(
-        "key", "pos", F.concat("proof", "_proof").alias("proof"),
+        "key", *carry, F.concat("proof", "_proof").alias("proof"),
         _fold(F.col("folded"), F.col("_proof")).alias("folded"), "subroot", "root",
     )
 
 
-def _paths(tiers: list[tuple[DataFrame, DataFrame]], above: DataFrame, folded: Column) -> DataFrame:
-    """The way from every leaf of the lowest tier to the root, from the last tier down."""
-    for k in range(len(tiers) - 1, -1, -1):
-        rows, stored = tiers[k]
-        found = written(climb(rows, stored, above, F.col("hash") if k else folded), "paths")
+def _ways(tiers: list[tuple[DataFrame, DataFrame]], above: DataFrame) -> DataFrame:
+    """(key, pos, proof, subroot, root) of the leaves of ``tiers[0]``, from the last tier down."""
+    for rows, stored in reversed(tiers):
+        found = written(climb(rows, stored, above, F.col("hash"), ("pos",)), "ways")
         above = found.select("key", F.col("pos").alias("chunk"), "proof", "subroot", "root")
-    return found
+    return above.withColumnRenamed("chunk", "pos")
 
 
 def _roots(tiers: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
@@ -218,7 +239,24 @@ def _roots(tiers: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
     return tiers[-1][1].filter("node = 1").select("key", "hash")
 
 
-NO_STEPS = "array<struct<left: boolean, hash: binary>>"
+def _climbed(docs: DataFrame) -> DataFrame:
+    """doc_id, leaf, subroot, root, folded and proof of every row; runs under ``_any_number_of_rows``."""
+    one_chunk = F.lit(0).cast("bigint").alias("chunk")
+    tier = numbered(written(leaves(docs), "leaves"), "doc_id", "leaf")
+    rows = written(tier.withColumnRenamed("leaf", "hash"), "tier")
+    trees = build(rows)
+    # the languages' roots are leaves of a tree under one key, in the order of their own keys
+    named = _roots(trees).select(F.lit("").alias("key"), F.col("key").alias("name"), "hash")
+    langs = written(numbered(written(named, "subroots"), "name"), "tier")
+    top = build(langs.select("key", "pos", "n", "hash"))
+    root = _roots(top).select("key", one_chunk, F.lit(b"").alias("proof"), F.col("hash").alias("root"))
+    ways = _ways(top, root.withColumn("subroot", F.col("root"))).drop("key", "subroot")
+    own = langs.select("pos", F.col("name").alias("key"), F.col("hash").alias("subroot"))
+    above = ways.join(own, "pos").select("key", one_chunk, "proof", "subroot", "root")
+    if trees[1:]:
+        above = _ways(trees[1:], above).withColumnRenamed("pos", "chunk")
+    found = climb(*trees[0], above, F.coalesce("tampered", "hash"), ("doc_id", "hash"))
+    return found.drop("key").withColumnRenamed("hash", "leaf")
 
 
 def manifest(docs: DataFrame) -> DataFrame:
@@ -227,32 +265,30 @@ def manifest(docs: DataFrame) -> DataFrame:
     Columns: doc_id, and as bytes leaf, subroot, root, folded; proof is an array of (left, hash), a step for
     each level, whose hash is NULL where a node has no neighbour.
     """
-    none = F.array().cast(NO_STEPS)
+
+    def step(s: Column) -> Column:
+        return F.struct(
+            _side(s, LEFT).alias("left"), F.when(~_side(s, ALONE), _sibling(s)).alias("hash")
+        )
+
     with _any_number_of_rows(docs.sparkSession):
-        rows = written(numbered(written(leaves(docs), "leaves"), "doc_id", "leaf").withColumn("hash", F.col("leaf")), "tier")
-        trees = build(rows)
-        # the languages' roots are leaves of a tree under one key; their own key is their place
-        named = _roots(trees).select(F.lit("").alias("key"), F.col("key").alias("name"), "hash")
-        langs = written(numbered(written(named, "subroots"), "name"), "tier")
-        top = build(langs.select("key", "pos", "n", "hash"))
-        root = _roots(top).select("key", F.lit(0).cast("bigint").alias("chunk"), none.alias("proof"), F.col("hash").alias("root"))
-        ways = _paths(top, root.withColumn("subroot", F.col("root")), F.col("hash"))
-        own = langs.select("pos", F.col("name").alias("key"), F.col("hash").alias("subroot"))
-        above = ways.drop("key", "subroot").join(own, "pos").select(
-            "key", F.lit(0).cast("bigint").alias("chunk"), "proof", "subroot", "root"
-        )
-        paths = _paths(trees, above, F.coalesce("tampered", "hash"))
-    return rows.select("key", "pos", "doc_id", "leaf").join(paths, ["key", "pos"]).drop("key", "pos")
+        stored = written(_climbed(docs), "manifest")
+    return stored.withColumn("proof", F.transform(steps(F.col("proof")), step))
 
 
 def manifest_digests(docs: DataFrame) -> DataFrame:
     """The manifest in hexadecimal text, its proofs hashed, and whether the fold still gives the root."""
-    siblings = F.filter(F.col("proof"), lambda s: s["hash"].isNotNull())
-    proof = F.array_join(F.transform(siblings, lambda s: as_hex(s["hash"])), "")
-    return manifest(docs).select(
+    siblings = F.transform(
+        steps(F.col("proof")), lambda s: F.when(_side(s, ALONE), F.lit("")).otherwise(as_hex(_sibling(s)))
+    )
+    with _any_number_of_rows(docs.sparkSession):
+        # the hash is stored, not the proof
+        hashed = _climbed(docs).withColumn("proof", digest(F.array_join(siblings, "")))
+        stored = written(hashed, "manifest")
+    return stored.select(
         "doc_id",
         *[as_hex(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")],
-        F.sha2(proof, 256).alias("proof_sha256"),
+        as_hex(F.col("proof")).alias("proof_sha256"),
         as_hex(F.col("folded")).alias("folded_root"),
         (F.col("folded") == F.col("root")).alias("verified"),
     )
