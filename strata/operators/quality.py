@@ -19,6 +19,26 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") > 1)
 
 
+def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df``, whose plan fails as soon as a key that isn't NULL occurs twice, naming the key.
+
+    One hash aggregation by the keys. A join on the same keys that follows takes over its partitioning, so
+    there the check moves no row more. Copies of a row are a repeated key too.
+    """
+    others = [c for c in df.columns if c not in keys]
+    named = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.col(f"`{k}`").cast("string")) for k in keys])
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(f"`{k}`").isNotNull()
+    null, known = df.filter(~whole), df.filter(whole)
+    once = known.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n"), *[F.any_value(F.col(f"`{c}`")).alias(c) for c in others]
+    )
+    failed = F.raise_error(F.concat(F.lit("repeated key: "), named))
+    checked = once.withColumn(keys[0], F.when(F.col("__n") == 1, F.col(f"`{keys[0]}`")).otherwise(failed))
+    return checked.select(*df.columns).unionByName(null)
+
+
 def row_count(df: DataFrame, name: str | None = None) -> DataFrame:
     """Row count as a one-row frame (lazy, composable) instead of an action."""
     out = df.agg(F.count(F.lit(1)).alias("rows"))

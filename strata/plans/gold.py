@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import total_of
 from strata.operators.dedupe import keep_one
+from strata.operators.quality import require_unique
 
 # --- Fixed values: published mart columns, in order ----------------------------
 MART_COLUMNS = (
@@ -135,12 +136,18 @@ def participation_mart(
     games: DataFrame,
     date: DataFrame,
     dedupe_country: bool = False,
+    check_keys: bool = False,
 ) -> DataFrame:
     """BusinessLogic: one row per (country row, edition) with participation and medals.
 
     Inner joins drop keys missing from country, games or dates. A country code
     listed twice yields two rows (one per country name) unless ``dedupe_country``.
+    An athlete or date listed twice would multiply rows silently; with ``check_keys``
+    the plan fails instead, naming the key. (An edition may stand twice, once for each
+    name of its host's code.)
     """
+    if check_keys:
+        athlete, date = require_unique(athlete, ["AthleteID"]), require_unique(date, ["Date_id"])
     stats = participation_stats(fact, athlete)
     countries = country.select(F.col("noc").alias("__country_code"), F.col("country").alias("ParticipateCountry"))
     if dedupe_country:
@@ -155,3 +162,24 @@ def participation_mart(
         .join(years, F.col("EditionID") == F.col("__date_id"), "inner")
     )
     return out.select(*MART_COLUMNS)
+
+
+def dropped_keys(stats: DataFrame, country: DataFrame, games: DataFrame, date: DataFrame) -> DataFrame:
+    """(join, dropped_rows): what each inner join of the mart drops of the (country, edition) rows, in one pass.
+
+    The joins come in the mart's order, so a row counts at the first one that has no partner for it. The
+    dimensions' distinct keys are joined once each; nothing is recomputed for the next count.
+    """
+    sides = [
+        ("mart_without_country", "CountryNOC", country, "noc"),
+        ("mart_without_edition", "EditionID", games, "EditionID"),
+        ("mart_without_date", "EditionID", date, "Date_id"),
+    ]
+    out, kept, counts = stats.select("CountryNOC", "EditionID"), F.lit(True), []
+    for k, (name, key, side, other) in enumerate(sides):
+        known = side.select(F.col(other).alias(f"__k{k}")).distinct()
+        out = out.join(known, F.col(key) == F.col(f"__k{k}"), "left")
+        found = F.col(f"__k{k}").isNotNull()
+        counts.append(F.struct(F.lit(name).alias("join"), F.count_if(kept & ~found).alias("dropped_rows")))
+        kept = kept & found
+    return out.agg(F.array(*counts).alias("__c")).select(F.inline("__c"))

@@ -489,17 +489,20 @@ oracle(
     FROM r_events e WHERE NOT EXISTS (
         SELECT 1 FROM r_tally t WHERE t.country_noc = e.country_noc AND t.edition_id = e.edition_id)
     UNION ALL
-    SELECT 'mart_without_country', count(*)
-    FROM (SELECT DISTINCT CountryNOC, EditionID FROM s_fact
-          WHERE CountryNOC IS NOT NULL AND EditionID IS NOT NULL) s
-    WHERE NOT EXISTS (SELECT 1 FROM r_country c WHERE c.noc = s.CountryNOC)""",
+    SELECT unnest(['mart_without_country', 'mart_without_edition', 'mart_without_date']),
+        unnest([count(*) FILTER (NOT has_country), count(*) FILTER (has_country AND NOT has_edition),
+                count(*) FILTER (has_country AND has_edition AND NOT has_date)])
+    FROM (SELECT DISTINCT CountryNOC, EditionID, CountryNOC IN (SELECT noc FROM r_country) AS has_country,
+            EditionID IN (SELECT EditionID FROM s_games) AS has_edition, EditionID IN (SELECT Date_id FROM s_date) AS has_date
+        FROM s_fact WHERE CountryNOC IS NOT NULL AND EditionID IS NOT NULL) s""",
     "r_events",
     "r_tally",
     "s_fact",
     "r_country",
+    "s_games",
+    "s_date",
 )
 
-# --- sources, sinks and the whole lake --------------------------------------------
 oracle("bronze_round_trip", "SELECT * FROM r_results", "r_results")
 oracle("stream_bronze_landing", "SELECT * FROM r_events", "r_events")
 oracle("stream_silver_fact", "SELECT * FROM s_fact", "s_fact")
@@ -512,9 +515,12 @@ oracle(
 )
 for _key in ("publish_managed", "external_typed_table", "read_back_check"):
     oracle(_key, "SELECT * FROM s_athlete", "s_athlete")
+oracle("publish_versions", "SELECT * FROM s_fact", "s_fact")
+oracle("publish_append", "SELECT *, coalesce(EditionID % 3 = 0, false) AS rewritten FROM s_fact", "s_fact")
 oracle(
     "list_gold_tables",
-    "SELECT unnest(['athlete_dim', 'athlete_dim_typed']) AS table_name, false AS isTemporary",
+    """SELECT 'gold_list' AS database_name, unnest(['athlete_dim', 'athlete_dim_typed']) AS table_name,
+        'EXTERNAL' AS table_type, 'parquet' AS provider, 'Athlete_parquet' AS folder""",
 )
 oracle(
     "schema_of_results",

@@ -20,7 +20,7 @@ from strata.operators import dedupe, impute, quality
 from strata.plans import gold, silver, stages
 from strata.session import scratch_path
 from strata.sources import roles
-from strata.sources.files import load_parquet
+from strata.sources.files import list_entries, load_parquet, rename
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -282,15 +282,16 @@ def results_event_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def unmatched_keys(spark: SparkSession, d: str) -> DataFrame:
-    """Rows each inner join of the pipeline drops, as (join, dropped_rows)."""
+    """Rows each inner join of the pipeline drops, as (join, dropped_rows); the mart's three in one pass."""
     t = _tables(spark, d)
     events, tally = roles.event_results(t), roles.medal_tally(t)
+    games, country = roles.games(t), roles.country(t)
     no_tally = quality.unmatched(events, tally, ["country_noc", "edition_id"], ["country_noc", "edition_id"])
     stats = gold.participation_stats(fact_of(t), athlete_dim_of(t))
-    no_country = quality.unmatched(stats, roles.country(t), ["CountryNOC"], ["noc"])
-    return quality.row_count(no_tally, "fact_without_tally").unionByName(
-        quality.row_count(no_country, "mart_without_country")
-    ).withColumnRenamed("dataset", "join").withColumnRenamed("rows", "dropped_rows")
+    dims = (silver.country_dim(country), silver.games_dim(games, country), silver.date_dim(games))
+    return quality.row_count(no_tally, "fact_without_tally").select(
+        F.col("dataset").alias("join"), F.col("rows").alias("dropped_rows")
+    ).unionByName(gold.dropped_keys(stats, *dims))
 
 
 # --- sources, sinks and the whole lake (they write to a fresh scratch folder) -------
@@ -342,7 +343,8 @@ def stream_silver_fact(spark: SparkSession, d: str) -> DataFrame:
 
 
 def bronze_part_folders(spark: SparkSession, d: str) -> DataFrame:
-    """A dataset in ``key=value`` folders: gzip parts, other suffixes, a swapped header, a column more."""
+    """A dataset in ``key=value`` folders: gzip parts, other suffixes, a swapped header, a column more,
+    and a part with a blank and other signs in its name."""
     paths = LakePaths.under(scratch_path(spark, "parts"))
     res = roles.results(_tables(spark, d)).select("result_id", "sport", "result_date")
     part = F.ascii(F.right("result_id", F.lit(1))) % 4
@@ -353,6 +355,9 @@ def bronze_part_folders(spark: SparkSession, d: str) -> DataFrame:
     writer(plain(1).select("sport", "result_id", "result_date")).csv(f"{folder}/year=2021")
     writer(plain(2)).option("extension", "dat").csv(f"{folder}/year=2022")
     writer(plain(3).withColumn("venue", F.lit("extra"))).csv(f"{folder}/year=2023")
+    swapped = f"{folder}/year=2021"
+    part_file = next(n for n in sorted(list_entries(spark, swapped)) if n.startswith("part-"))
+    rename(spark, f"{swapped}/{part_file}", f"{swapped}/a b+é%20.csv")
     landed = stages.land_bronze(spark, paths)
     return load_parquet(spark, landed["Parts"]).select("result_id", "sport", "result_date", "year", "venue")
 
@@ -388,16 +393,48 @@ def external_typed_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 def read_back_check(spark: SparkSession, d: str) -> DataFrame:
-    """K8: the published files opened again, their schema checked against the frame's."""
-    expected = athlete_dim_of(_tables(spark, d)).schema
-    return sinks.read_back(spark, _published(spark, d, "check")[1], expected)
+    """K8: written files opened again, their schema checked against the frame's, their rows against the write's count."""
+    dim = athlete_dim_of(_tables(spark, d))
+    path = scratch_path(spark, "check")
+    return sinks.read_back(spark, path, dim.schema, sinks.save_counted(dim, path))
 
 
 def list_gold_tables(spark: SparkSession, d: str) -> DataFrame:
-    """The tables of a database, after publishing into it."""
+    """A database and its tables from the catalog, after publishing into it."""
     table, path = _published(spark, d, "list")
     sinks.external_table(spark, f"{table}_typed", path, spark.read.parquet(path).schema)
-    return sinks.list_tables(spark, table.split(".")[0]).select(F.lower("tableName").alias("table_name"), "isTemporary")
+    found = sinks.list_catalog(spark, table.split(".")[0])
+    return found.select(
+        F.regexp_replace("database_name", "_[0-9a-f]{12}$", "").alias("database_name"),
+        F.lower("table_name").alias("table_name"),
+        "table_type",
+        F.lower("provider").alias("provider"),
+        F.regexp_extract("location", "[^/]+$", 0).alias("folder"),
+    )
+
+
+def publish_versions(spark: SparkSession, d: str) -> DataFrame:
+    """K5/K6: the fact published twice as versions, first a part of it; read via the catalog after the switch."""
+    fact = fact_of(_tables(spark, d))
+    database = sinks.ensure_database(spark, _own_database("versions"))
+    table, root = f"{database}.{GOLD['fact'][0]}", scratch_path(spark, "versions")
+    sinks.publish_version(spark, fact.filter("EditionID % 2 = 0"), table, root)
+    sinks.publish_version(spark, fact, table, root)
+    return spark.table(table)
+
+
+def publish_append(spark: SparkSession, d: str) -> DataFrame:
+    """K2: the fact appended by two runs, one of them twice, then one edition in three rewritten."""
+    fact = fact_of(_tables(spark, d))
+    path, by_edition = scratch_path(spark, "append"), scratch_path(spark, "editions")
+    odd, even = fact.filter("EditionID % 2 = 1"), fact.filter("EditionID % 2 = 0 OR EditionID IS NULL")
+    for run, rows in (("odd", odd), ("even", even), ("odd", odd)):
+        sinks.append_run(rows, path, run)
+    appended = load_parquet(spark, path).drop("run_id")
+    sinks.rewrite_partitions(appended.withColumn("rewritten", F.lit(False)), by_edition, ["EditionID"])
+    third = load_parquet(spark, path).filter("EditionID % 3 = 0").drop("run_id")
+    sinks.rewrite_partitions(third.withColumn("rewritten", F.lit(True)), by_edition, ["EditionID"])
+    return load_parquet(spark, by_edition)
 
 
 def schema_of_results(spark: SparkSession, d: str) -> DataFrame:
@@ -481,6 +518,8 @@ QUERIES: dict[str, Query] = {
     "publish_round_trip": publish_round_trip,
     "bronze_part_folders": bronze_part_folders,
     "publish_managed": publish_managed,
+    "publish_versions": publish_versions,
+    "publish_append": publish_append,
     "external_typed_table": external_typed_table,
     "read_back_check": read_back_check,
     "list_gold_tables": list_gold_tables,

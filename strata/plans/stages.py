@@ -100,6 +100,7 @@ def build_gold(
     managed: bool = False,
     fact_partition_by: tuple[str, ...] | None = None,
     dedupe_country: bool = False,
+    check_keys: bool = False,
 ) -> DataFrame:
     """Gold: publish the dimensions, the dated fact and the mart (table + Parquet each).
 
@@ -124,7 +125,7 @@ def build_gold(
     jobs["fact"] = lambda: pub("fact", gold.fact_with_date(s("fact"), s("date")), fact_partition_by)
     jobs["mart"] = lambda: pub(
         "mart",
-        gold.participation_mart(s("fact"), s("athlete"), s("country"), s("games"), s("date"), dedupe_country),
+        gold.participation_mart(s("fact"), s("athlete"), s("country"), s("games"), s("date"), dedupe_country, check_keys),
     )
     return run_together(jobs)["mart"]
 
@@ -136,11 +137,12 @@ def run_stages(
     managed: bool = False,
     fact_partition_by: tuple[str, ...] | None = None,
     dedupe_country: bool = False,
+    check_keys: bool = False,
 ) -> DataFrame:
     """Bronze, then silver, then gold; returns the published mart."""
     land_bronze(spark, paths)
     build_silver(spark, paths)
-    return build_gold(spark, paths, database, managed, fact_partition_by, dedupe_country)
+    return build_gold(spark, paths, database, managed, fact_partition_by, dedupe_country, check_keys)
 
 
 def layer_counts(spark: SparkSession, paths: LakePaths) -> DataFrame:

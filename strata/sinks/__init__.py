@@ -1,13 +1,29 @@
-from strata.sinks.catalog import ensure_database, external_table, list_tables, publish, read_back, save_table
-from strata.sinks.files import save_csv, save_parquet
+from strata.sinks.catalog import (
+    ensure_database,
+    external_table,
+    list_catalog,
+    list_tables,
+    publish,
+    publish_version,
+    read_back,
+    save_table,
+    versions,
+)
+from strata.sinks.files import append_run, rewrite_partitions, save_counted, save_csv, save_parquet
 
 __all__ = [
+    "append_run",
     "ensure_database",
     "external_table",
+    "list_catalog",
     "list_tables",
     "publish",
+    "publish_version",
     "read_back",
+    "rewrite_partitions",
+    "save_counted",
     "save_csv",
     "save_parquet",
     "save_table",
+    "versions",
 ]

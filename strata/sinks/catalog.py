@@ -6,12 +6,15 @@ native ``parquet`` provider, never ``format("hive")``.
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from strata.sinks.files import save_parquet
+from strata.sinks.files import save_counted, save_parquet
+from strata.sources.files import delete_folder, list_entries
 
 
 def _q(name: str) -> str:
@@ -92,6 +95,40 @@ def publish(
     return written
 
 
+def publish_version(spark: SparkSession, df: DataFrame, table: str, root: str, keep: int = 2) -> str:
+    """Publish ``df`` as a new version of an external table; returns the version's folder.
+
+    Every version is a fresh folder below ``root``. It is written and its rows counted against what the
+    write saw before the catalog is told: one change of the table's location, after which new readers see the
+    new version whole. Until then, and if anything fails, the table and its files are as they were, and
+    queries already running go on reading the version they began with. The ``keep`` latest versions
+    stay; a failed one is removed with the next that succeeds. With other columns than before the
+    entry is made anew (the old files stay).
+    """
+    if _table_type(spark, table) == "MANAGED":
+        raise ValueError(f"{table} is a managed table: drop it first")
+    path = f"{root.rstrip('/')}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    rows = save_counted(df, path, mode="error")
+    written = read_back(spark, path, df.schema, rows)
+    if spark.catalog.tableExists(table):
+        if _same_columns(spark, table, written):
+            spark.sql(f"ALTER TABLE {_q(table)} SET LOCATION {_path_literal(path)}")
+        else:
+            spark.sql(f"DROP TABLE {_q(table)}")
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"CREATE TABLE {_q(table)} USING PARQUET LOCATION {_path_literal(path)}")
+    spark.sql(f"REFRESH TABLE {_q(table)}")
+    for old in versions(spark, root)[: -max(1, keep)]:
+        delete_folder(spark, old)
+    return path
+
+
+def versions(spark: SparkSession, root: str) -> list[str]:
+    """Folders of the versions below ``root``, the oldest first."""
+    names = (n for n, folder in list_entries(spark, root).items() if folder and n.startswith("v"))
+    return [f"{root.rstrip('/')}/{n}" for n in sorted(names)]
+
+
 def external_table(spark: SparkSession, table: str, path: str, schema: StructType | str) -> DataFrame:
     """``CREATE TABLE IF NOT EXISTS … USING PARQUET LOCATION`` with a typed column list.
 
@@ -103,17 +140,39 @@ def external_table(spark: SparkSession, table: str, path: str, schema: StructTyp
     return spark.table(table)
 
 
-def read_back(spark: SparkSession, path: str, expected: StructType | None = None) -> DataFrame:
-    """Re-open a written sink; raise if its schema differs from ``expected`` (names and types)."""
+def read_back(spark: SparkSession, path: str, expected: StructType | None = None, rows: int | None = None) -> DataFrame:
+    """Re-open a written sink; raise if its columns differ from ``expected`` (names and types, in any nullability)
+    or its rows from ``rows``, the count the write itself saw (Parquet footers answer that, no data is read)."""
     df = spark.read.parquet(path)
     if expected is not None:
         got = [(f.name, f.dataType) for f in df.schema.fields]
         want = [(f.name, f.dataType) for f in expected.fields]
         if got != want:
             raise ValueError(f"schema of {path} differs: {got} != {want}")
+    if rows is not None and (found := df.count()) != rows:
+        raise ValueError(f"{path} holds {found} rows, {rows} were written")
     return df
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
     """``SHOW TABLES IN db`` as a frame."""
     return spark.sql(f"SHOW TABLES IN {_q(database)}")
+
+
+def list_catalog(spark: SparkSession, pattern: str = "*") -> DataFrame:
+    """The databases that match ``pattern`` and their tables: (database_name, table_name, table_type, provider, location).
+
+    A database without tables has one row whose table columns are NULL. Only catalog entries pass through the driver.
+    """
+    rows = []
+    for db in spark.catalog.listDatabases(pattern):
+        tables = [t for t in spark.catalog.listTables(db.name) if not t.isTemporary]
+        if not tables:
+            rows.append((db.name, None, None, None, None))
+        for t in tables:
+            about = spark.sql(f"DESCRIBE TABLE EXTENDED {_q(f'{db.name}.{t.name}')}").collect()
+            detail = {r["col_name"]: r["data_type"] for r in about}
+            rows.append((db.name, t.name, t.tableType, detail.get("Provider"), detail.get("Location")))
+    return spark.createDataFrame(
+        rows, "database_name string, table_name string, table_type string, provider string, location string"
+    )

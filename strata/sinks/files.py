@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 DEFAULT_CODEC = "snappy"
 
@@ -30,6 +31,38 @@ def save_parquet(
     return path
 
 
+def save_counted(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None) -> int:
+    """Write ``df`` as Parquet and return how many rows the write itself saw: no second run, no extra pass."""
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    save_parquet(counted, path, mode=mode, partition_by=partition_by)
+    return int(seen.get["rows"])
+
+
+def rewrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
+    """Replace only the partitions that ``df`` has rows for; all others stay as they are."""
+    (
+        df.hint("rebalance", *partition_by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", DEFAULT_CODEC)
+        .partitionBy(*partition_by)
+        .parquet(path)
+    )
+    return path
+
+
+def append_run(df: DataFrame, path: str, run: str, run_column: str = "run_id") -> str:
+    """Append the rows of one named run; the same run written again replaces its own rows and adds none.
+
+    Each run is a partition of the sink, so a repeat after a failure needs no look at the rows there. An
+    empty frame leaves an earlier result of that run as it is.
+    """
+    if run_column.lower() in (c.lower() for c in df.columns):
+        raise ValueError(f"{run_column} is a column of the rows")
+    return rewrite_partitions(df.withColumn(run_column, F.lit(run)), path, [run_column])
+
+
 def save_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Header CSV, values kept verbatim.
 

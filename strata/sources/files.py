@@ -46,26 +46,52 @@ def _folder_columns(spark: SparkSession, path: str) -> list[str]:
     return [c for c in spark.read.text(path).columns if c != "value"]
 
 
-def read_csv_by_name(spark: SparkSession, path: str) -> DataFrame:
-    """The part files of one dataset, their columns matched by header name; missing ones are NULL.
-
-    One pass over the files' first blocks finds each file's header; files of one header are read
-    together, and the few different headers are united by name. Columns stand in the order of the
-    header that most files have, others after them.
-    """
-    lines = spark.read.text(path).select(
+def _headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header, names) of every part file: its first line that isn't blank, and the column names in it."""
+    lines = spark.read.text(path).filter(F.trim("value") != "").select(
         "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"),
         F.col("_metadata.file_block_start").alias("block"),
     )
+    # a file's first block is read by one task, so the order of its lines is known there
     headers = lines.filter("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    groups = headers.groupBy("header").agg(F.count("*").alias("n"), F.collect_list("file").alias("files"))
-    out = None
-    # a reader is given its files by the driver in any case
-    for row in groups.orderBy(F.desc("n"), "header").collect():
-        one = _csv_reader(spark).option("basePath", path).csv(sorted(row["files"]))
-        part = _all_strings(one)
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return _csv_reader(spark).csv(path) if out is None else out
+    return headers.withColumn("width", F.size(F.split(F.regexp_replace("header", '"[^"]*"', ""), ",")))
+
+
+def read_csv_by_name(spark: SparkSession, path: str) -> DataFrame:
+    """The part files of one dataset, their columns matched by header name; missing ones are NULL.
+
+    One pass over the files' first lines finds each file's header. All files are then read together by
+    position, and a table from file to positions, joined by the file each row says it came from, puts
+    the values under their names; Spark broadcasts that table while it is small. No list of files and no
+    file name goes through the driver, only the different column names. Columns stand in the order of the
+    header that most files have, others after them; an unnamed column is ``_c`` and its number.
+    """
+    headers = _headers(spark, path)
+    width = headers.agg(F.max("width")).first()[0]
+    if width is None:
+        return _csv_reader(spark).csv(path)
+    cells = [f"__cell{k}" for k in range(width)]
+    parsed = F.from_csv("header", ", ".join(f"{c} string" for c in cells))
+    named = [
+        F.when(F.lit(k) < F.col("width"), F.coalesce(F.col(f"__h.{c}"), F.lit(f"_c{k}"))) for k, c in enumerate(cells)
+    ]
+    headers = headers.withColumn("__h", parsed).select("file", F.array_compact(F.array(*named)).alias("names"))
+    rows = headers.groupBy("names").agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.array_join("names", ",")).collect()
+    columns = list(dict.fromkeys(name for row in rows for name in row["names"]))
+    places = headers.select(
+        F.col("file").alias("__file"),
+        F.array(*[F.array_position("names", F.lit(c)).cast("int") for c in columns]).alias("__places"),
+    )
+    # every file's own header line is skipped, and its cells are taken by position
+    cellwise = spark.read.option("header", True).schema(string_schema(cells)).csv(path)
+    folders = [c for c in cellwise.columns if c not in cells]
+    joined = cellwise.withColumn("__from", F.col("_metadata.file_path")).join(
+        places, F.col("__from") == F.col("__file"), "left"
+    )
+    values = F.array(*cells)
+    # places count from 1, and 0 stands for a column the file doesn't have
+    by_name = [F.get(values, F.get("__places", F.lit(k)) - 1).alias(c) for k, c in enumerate(columns)]
+    return _all_strings(joined.select(*by_name, *[F.col(f"`{c}`") for c in folders]))
 
 
 def headers_differ(error: Exception) -> bool:
@@ -90,6 +116,13 @@ def list_entries(spark: SparkSession, folder: str) -> dict[str, bool]:
     return {s.getPath().getName(): bool(s.isDirectory()) for s in fs.listStatus(path)}
 
 
+def rename(spark: SparkSession, path: str, new: str) -> None:
+    """Rename a file or folder this library wrote, on any Hadoop file system."""
+    old, fs = _hadoop_path(spark, path)
+    if not fs.rename(old, _hadoop_path(spark, new)[0]):
+        raise OSError(f"cannot rename {path} to {new}")
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     """Remove a folder this library wrote (scratch output), on any Hadoop file system."""
     path, fs = _hadoop_path(spark, folder)
