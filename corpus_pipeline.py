@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import documents_like, free_name, table, written
-from strata.llm.langid import UNKNOWN, language_id
+from strata.llm.langid import UNKNOWN, held_out, language_id
 from strata.llm.minhash import one_of_each
 from strata.llm.mixing import mixed_documents
 from strata.llm.packing import pack_documents
@@ -24,9 +24,10 @@ MIN_LANGUAGE_SCORE = 0.5
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; texts without letters and undecided ones go.
 
-    Where no row is labelled nothing can be learned, and no document is rejected.
+    Where no row that teaches is labelled (held-out ones don't) nothing can be learned, and no document is
+    rejected.
     """
-    if docs.filter("lang is not null and text is not null").isEmpty():
+    if docs.filter("lang is not null and text is not null").filter(~held_out(F.col("doc_id"))).isEmpty():
         return docs
     out = free_name(docs.columns, "_language")
     judged = language_id(docs, out)
