@@ -1,5 +1,7 @@
 """The pipeline's stages on a small corpus, against a plain computation of each one's result."""
 
+import zlib
+
 import corpus_pipeline as cp
 from strata.llm import secret_scan
 from strata.llm.common import written
@@ -63,3 +65,11 @@ def test_awkward_and_empty_tables_pass_through_every_stage(spark, sf_small):
                 assert out.columns == docs.columns
             docs = out
         docs.count()
+
+
+def test_labels_of_held_out_documents_alone_reject_nothing(spark):
+    ids = [k for k in range(100) if zlib.crc32(str(k).encode()) % 5 == 0][:4]
+    rows = [(k, f"The words of text number {k} are plain English words.", "en", "s", 50) for k in ids] + [(999, "12345", None, "s", 5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = cp.known_language(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in rows)
