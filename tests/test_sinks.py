@@ -127,8 +127,9 @@ def test_a_repeated_key_fails_inside_the_plan(spark, sf_small):
     dims = (silver.country_dim(country), silver.games_dim(games, country), silver.date_dim(games))
     plain = sorted(map(str, gold.participation_mart(fact, athlete, *dims).collect()))
     assert sorted(map(str, gold.participation_mart(fact, athlete, *dims, check_keys=True).collect())) == plain
-    hot = athlete.orderBy("AthleteID").limit(1)
-    twice = athlete.unionByName(hot)
+    [seen] = fact.groupBy("AthleteID").count().orderBy(F.desc("count"), "AthleteID").limit(1).collect()
+    twice = athlete.unionByName(athlete.filter(F.col("AthleteID") == seen.AthleteID))
+    assert twice.count() == athlete.count() + 1
     assert sorted(map(str, gold.participation_mart(fact, twice, *dims).collect())) != plain  # silently wrong
     with pytest.raises(PySparkException, match="repeated key: AthleteID="):
         gold.participation_mart(fact, twice, *dims, check_keys=True).collect()
