@@ -13,7 +13,6 @@ def pieces_of(text):
     import public_tokenizers
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     ids = [*t.encode(text or "", add_special_tokens=False).ids, pk.END]
     out, start = [], 0
     first = len(ids) % 1024 or 1024
@@ -99,3 +98,20 @@ def test_exchange_saves_bins_and_certificates_hold(spark, rows):
     bins = len({x.sequence_id for x in out})
     first = pk._pack(df, 1500, 0, 1024, rows).select("sequence_id").distinct().count()
     assert pk.lower_bound(np.array([n for _, n in items])) <= bins <= first
+
+
+def test_added_tokens_have_the_contracts_ids():
+    import json
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    with open(path, "rb") as f:
+        added = [a["content"] for a in json.load(f)["added_tokens"]]
+    assert added
+    texts = [x for a in added for x in (a, f"a {a} b", f"{a}{a}", f"x{a}y", f" {a}\n{a} ", f"{a[:-1]} {a[1:]}", f"é{a}漢  {a}  end.")]
+    for x in texts:
+        assert list(pk.token_ids(x)) == [*t.encode(x, add_special_tokens=False).ids, pk.END], x
+    assert any(t.token_to_id(added[0]) in pk.token_ids(x) for x in texts)
