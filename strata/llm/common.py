@@ -18,6 +18,11 @@ from strata.sources.files import load_parquet
 # Whitespace that separates words in the contracts: blank and \t \n \v \f \r.
 SPACE = r"\x20\x09-\x0D"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# A key is hot when more than one row in so many has it: fewer keys than this can be.
+HOT = 1024
+# Bits of a set's bitmap for each member, and at most (32 MB): beyond, it lets more rows through.
+BITS_EACH, MAX_BITS = 16, 1 << 28
+_BLOCK_BITS = 1 << 15
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,3 +119,40 @@ def ranked(df: DataFrame, *order: Column) -> DataFrame:
     parts = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
     fixed = written(parts.withColumn("_one", F.lit(1).cast("bigint")), "ranked")
     return prefix_sums(fixed, [], "_part", list(order), "_one", "_rank").drop("_part", "_one")
+
+
+def look_up(rows: DataFrame, lookup: DataFrame, key: str, weight: str) -> DataFrame:
+    """``rows`` with the columns of ``lookup`` for their ``key``; rows whose key it lacks go.
+
+    ``lookup`` has one row a key, ``weight`` of which stand in ``rows``; both are read twice, so pass
+    written tables. Hot keys, fewer than ``HOT`` by their weights, are broadcast, so their rows stay
+    where they are; all others meet in an equi-join, in which no key has more than a ``HOT``-th of the rows.
+    """
+    total = lookup.agg(F.sum(weight)).first()[0] or 0
+    hot = F.col(weight) * HOT > total
+    often = F.broadcast(lookup.filter(hot).drop(weight))
+    rest = rows.join(F.broadcast(lookup.filter(hot).select(key)), key, "left_anti")
+    return rows.join(often, key).union(rest.join(lookup.filter(~hot).drop(weight), key))
+
+
+def marked(rows: DataFrame, by: Column, members: DataFrame, member: Column, out: str) -> DataFrame:
+    """``rows`` with a flag ``out``: false only where the 64-bit hash ``by`` is no ``member`` of ``members``.
+
+    The members' hashes set bits of a bitmap with ``BITS_EACH`` bits for each of them, ``MAX_BITS`` at
+    most, which is broadcast. A flag that is true may be wrong, about once in ``BITS_EACH`` rows and
+    more often where the bitmap has its greatest size: an exact join follows. It spares the rows that
+    need none their way through it.
+    """
+    bits = _BLOCK_BITS
+    while bits < min(MAX_BITS, BITS_EACH * members.count()):
+        bits *= 2
+    place, block, byte = (free_name(rows.columns, x) for x in ("_place", "_block", "_byte"))
+    set_bits = members.select(F.pmod(member, F.lit(bits)).alias(place)).distinct()
+    block_of = F.floor(F.col(place) / _BLOCK_BITS).cast("int")
+    inside = F.col(place).bitwiseAND(F.lit(_BLOCK_BITS - 1)).cast("int")
+    maps = set_bits.groupBy(block_of.alias(block)).agg(F.bitmap_construct_agg(inside.cast("bigint")).alias(byte))
+    placed = rows.withColumn(place, F.pmod(by, F.lit(bits))).withColumn(block, block_of)
+    found = placed.join(F.broadcast(maps), block, "left")
+    of_place = F.conv(F.hex(F.substring(byte, F.shiftright(inside, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(of_place, inside.bitwiseAND(F.lit(7))) == 1
+    return found.select(*[F.col(f"`{c}`") for c in rows.columns], F.coalesce(is_set, F.lit(False)).alias(out))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACE, n_words, prefix_sums, ranked, written
+from strata.llm.common import SPACE, look_up, n_words, prefix_sums, ranked, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -63,35 +63,55 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int
     return rows.select("_src", "source_size", F.least(most.cast("double"), F.lit(level) * F.col("_weight")).alias("target"))
 
 
-def mix(rows: DataFrame, seed: str = SEED, weights=WEIGHTS, share: float = SHARE, epochs: int = MAX_EPOCHS) -> DataFrame:
-    """``rows`` (doc_id, source, size, any others) with source_size, target and taken.
-
-    ``rows`` is read several times: pass a written table.
-    """
+def _placed(rows: DataFrame, seed: str, weights, share: float, epochs: int, ties: tuple[str, ...] = ()) -> DataFrame:
+    """``rows`` with source_size, target, ``_src``, ``_key``, ``_whole`` epochs and the words of the last, ``_part``."""
     keyed = rows.withColumns({"_src": _source_key(), "_key": random_key(seed)})
     keyed = keyed.withColumn("_bucket", F.shiftright("_key", KEY_BITS - (BUCKETS - 1).bit_length()))
     sizes = keyed.groupBy("_src").agg(F.sum("size").alias("source_size"))
     placed = prefix_sums(
-        keyed, ["_src"], "_bucket", ["_key", "doc_id", "size"], "size", "_start", targets(sizes, weights, share, epochs)
-    )
+        keyed, ["_src"], "_bucket", ["_key", "doc_id", "size", *ties], "size", "_start",
+        targets(sizes, weights, share, epochs),
+    )
     budget = F.floor("target")
     whole = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0)).cast("bigint")
     rest = budget - whole * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("_start")))
-    taken = (whole * F.col("size") + part).cast("bigint")
-    return placed.withColumn("taken", taken).drop("_src", "_key", "_bucket", "_start")
+    return placed.withColumns({"_whole": whole, "_part": part.cast("bigint")})
+
+
+def mix(rows: DataFrame, seed: str = SEED, weights=WEIGHTS, share: float = SHARE, epochs: int = MAX_EPOCHS) -> DataFrame:
+    """``rows`` (doc_id, source, size, any others) with source_size, target and taken.
+
+    ``rows`` is read several times: pass a written table.
+    """
+    placed = _placed(rows, seed, weights, share, epochs)
+    taken = (F.col("_whole") * F.col("size") + F.col("_part")).cast("bigint")
+    return placed.withColumn("taken", taken).drop("_src", "_key", "_bucket", "_start", "_whole", "_part")
 
 
 def mixed_documents(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """The mix as documents: a row for each epoch of a document, with the columns of ``docs``.
 
     The document at the cut keeps its first words, as many as the budget leaves, in their own spacing;
-    ``n_chars``, where there is one, follows the text.
+    ``n_chars``, where there is one, follows the text. Only ids and sizes are sorted: what a source's order
+    says is one place, its cut, and each text is held against it where it lies.
     """
-    rows = written(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "source", n_words(F.col("text")).alias("size")), "mix-rows")
-    planned = mix(rows, seed).filter("taken > 0")
+    fields = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = docs.select(
+        fields, "doc_id", "source", n_words(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("_number")
+    )
+    rows = written(rows.withColumns({"_src": _source_key(), "_key": random_key(seed)}), "mix-rows")
+    narrow = rows.select("doc_id", "source", "size", "_number")
+    place = F.struct("_key", "doc_id", "size", "_number")
+    planned = _placed(narrow, seed, WEIGHTS, SHARE, MAX_EPOCHS, ("_number",))
+    last = F.max(F.when(F.col("_part") > 0, F.struct(place.alias("place"), "_part"))).alias("_cut")
+    cuts = planned.groupBy("_src").agg(F.max("_whole").alias("_whole"), last, F.count("*").alias("_weight"))
+    found = look_up(rows, written(cuts, "mix-cuts"), "_src", "_weight")
+    part = F.when(place < F.col("_cut.place"), F.col("size")).when(place == F.col("_cut.place"), F.col("_cut._part"))
+    taken = F.col("_whole") * F.col("size") + F.coalesce(part, F.lit(0))
+    found = found.withColumn("taken", taken).filter("taken > 0")
     left = F.col("taken") - F.col("size") * F.col("_epoch")
-    copies = planned.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("size")).cast("int") - 1)))
+    copies = found.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("size")).cast("int") - 1)))
     words = F.regexp_extract_all(F.col("_row.text"), F.lit(f"[{SPACE}]*[^{SPACE}]+"), F.lit(0))
     text = F.when(left >= F.col("size"), F.col("_row.text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.greatest(left, F.lit(0)).cast("int")), ""))
     copies = copies.withColumn("_text", text)
