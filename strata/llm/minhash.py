@@ -14,8 +14,11 @@
    bucket that lies in two components is compared, block against block in memory, and only pairs that
    survive step 3's pruning leave the task: no candidate is dropped, no list of all pairs is made.
 
-Classes sharing a third of all rows thus cost one pair a bucket and row. Joins that meet a hot bucket or
-centre are plain equi-joins, which AQE splits when skewed.
+Classes sharing a third of all rows thus cost one pair a bucket and row. Hot buckets, centres, components
+and sets meet what is known of them by ``look_up``: their few keys are broadcast, their rows stay in place.
+
+One plan at every size: a bitmap of the candidates, of bounded size, keeps the other texts out of the
+exchange in which the candidates' texts meet their numbers, and rows without a copy out of the last join.
 
 Defined cases: a text without words, empty or NULL has no shingles, links with nothing, and is its own
 component. Fewer than five words: the whole sequence is the one shingle. Repeated rows are copies of one
@@ -38,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import SPACE, documents_like, free_name, lower_ascii, ship, written
+from strata.llm.common import SPACE, documents_like, free_name, look_up, lower_ascii, marked, ship, written
 
 SHINGLE = 5
 # Similar: PERCENT * union size <= 100 * intersection size.
@@ -54,8 +57,6 @@ N_COMPARED = 15 * BATCH
 MISS = 2.5e-6
 SEED = 20240229
 MAX_ROUNDS = 4
-# Three longs a row: at most some 50 MB.
-MAX_BROADCAST_ROWS = 1 << 20
 # Classes of a bucket that are compared at a time.
 BLOCK = 512
 # Shingles that a task keeps of the sets it used last.
@@ -125,15 +126,20 @@ def _sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["n", "digest", "bands"])
 
 
-def compared_bytes(s: np.ndarray) -> bytes:
+def compared_bytes(sig: np.ndarray) -> bytes:
     """A byte of each of ``N_COMPARED`` min-hashes."""
-    return (signature(s, N_COMPARED) >> np.uint32(8)).astype(np.uint8).tobytes()
+    return (sig >> np.uint32(8)).astype(np.uint8).tobytes()
 
 
 def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """cid, text and the text's signature."""
+    """cid, set size, text, the text's signature and its band keys."""
     for b in batches:
-        yield b[["cid", "text"]].assign(sig=[compared_bytes(shingles(t)) for t in b["text"]])
+        out = []
+        for cid, text in zip(b["cid"], b["text"], strict=True):
+            s = shingles(text)
+            sig = signature(s, N_COMPARED)
+            out.append((cid, len(s), text, compared_bytes(sig), band_keys(sig[:N_HASHES])))
+        yield pd.DataFrame(out, columns=["cid", "n", "text", "sig", "bands"])
 
 
 @lru_cache(maxsize=None)
@@ -261,16 +267,17 @@ def components(links: DataFrame) -> DataFrame:
     number of rounds grows with the logarithm of the longest chain.
     """
     u, v, m = F.col("u"), F.col("v"), F.col("m")
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "edges")
     while True:
         both = edges.union(edges.select(v.alias("u"), u.alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        least = written(least.select("u", F.least("u", "m").alias("m"), "n"), "least")
         # large star: greater neighbours move to the least one around
-        large = both.join(least, "u").filter(v > u).select(v.alias("u"), m.alias("v"))
+        large = look_up(both, least, "u", "n").filter(v > u).select(v.alias("u"), m.alias("v"))
         large = written(large, "large-star")
         # small star: the node and its smaller neighbours move to the least of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(least, "u").filter(v != m).select(v.alias("u"), m.alias("v"))
+        least = written(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "least")
+        moved = look_up(large, least, "u", "n").filter(v != m).select(v.alias("u"), m.alias("v"))
         edges = written(moved.union(least.select("u", m.alias("v"))).distinct(), "small-star")
         # done when every node has one edge, and none of those it points to has an edge of its own
         ends = edges.select(u.alias("k"), F.lit(1).alias("out")).union(edges.select(v.alias("k"), F.lit(0).alias("out")))
@@ -291,11 +298,12 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     sets = sketch.filter("digest is not null").groupBy("digest").agg(
         F.min("doc_id").alias("least_id"),
+        F.count("*").alias("copies"),
         F.first(F.struct("doc_id", "text_hash", "n_shingles", "bands")).alias("row"),
     )
     # the numbers are fixed by writing them
     classes = sets.select(
-        F.monotonically_increasing_id().alias("cid"), "digest", "least_id", "row.doc_id", "row.text_hash",
+        F.monotonically_increasing_id().alias("cid"), "digest", "least_id", "copies", "row.doc_id", "row.text_hash",
         F.col("row.n_shingles").alias("n"), "row.bands",
     )
     return sketch, written(classes, "classes")
@@ -303,15 +311,16 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _candidate_nodes(docs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
     """(cid, n, text, sig, bands) of every class that shares a bucket."""
+    # an id that joins when NULL, too
+    known = {"_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_null": F.col("doc_id").isNull()}
+    at = ["_id", "_null", "text_hash"]
     need = rows.select("cid").distinct().join(classes.select("cid", "doc_id", "text_hash"), "cid")
-    need = written(need, "need").withColumnRenamed("doc_id", "_doc")
-    # narrow rows: while their checked number allows, they go to the texts; beyond, both sides are shuffled
-    if need.count() <= MAX_BROADCAST_ROWS:
-        need = F.broadcast(need)
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"))
-    texts = texts.join(need, F.col("_doc").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash")))
-    signed = texts.select("cid", "text").mapInPandas(_signed, "cid bigint, text string, sig binary")
-    return written(signed.dropDuplicates(["cid"]).join(classes.select("cid", "n", "bands"), "cid"), "nodes")
+    need = written(need.withColumns(known).select("cid", *at), "need")
+    texts = docs.withColumn("text_hash", F.xxhash64("text")).withColumns(known).select(*at, "text")
+    texts = marked(texts, F.xxhash64(*at), need, F.xxhash64(*at), "_wanted").filter("_wanted").drop("_wanted")
+    # repeated rows collapse in each task; the join then finds the rows dealt by its keys
+    texts = texts.dropDuplicates(at).join(need, at).select("cid", "text")
+    return written(texts.mapInPandas(_signed, "cid bigint, n bigint, text string, sig binary, bands array<bigint>"), "nodes")
 
 
 def _verify(alive: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -338,7 +347,7 @@ def _open_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
     ``apart``: outside the component that most of the bucket's classes are in.
     """
     labelled = rows.select("key", "cid").join(labels, "cid", "left")
-    labelled = labelled.withColumn("label", F.coalesce("label", "cid"))
+    labelled = written(labelled.withColumn("label", F.coalesce("label", "cid")), "labelled")
     parts = labelled.groupBy("key", "label").agg(F.count("*").alias("m"))
     most = parts.groupBy("key").agg(
         F.max(F.struct("m", "label")).alias("_most"), F.sum("m").alias("n_rows"), F.count("*").alias("_parts")
@@ -346,7 +355,8 @@ def _open_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
     most = most.filter("_parts > 1").select(
         "key", F.col("_most.label").alias("_main"), "n_rows", (F.col("n_rows") - F.col("_most.m")).alias("n_apart")
     )
-    found = labelled.join(most, "key").withColumn("apart", F.col("label") != F.col("_main"))
+    most = written(most.withColumn("_weight", F.col("n_rows")), "most")
+    found = look_up(labelled, most, "key", "_weight").withColumn("apart", F.col("label") != F.col("_main"))
     return written(found.drop("_main"), "open")
 
 
@@ -380,13 +390,14 @@ def class_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     bands = classes.select("cid", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("company")).filter("company > 1")
     shared = written(shared, "shared")  # a table of its own: the join can then split a hot bucket
-    rows = written(bands.join(shared, "key"), "buckets")
+    rows = written(look_up(bands, shared.withColumn("_weight", F.col("company")), "key", "_weight"), "buckets")
     # the centre of a family of copies is the one that most bands agree with
     popular = rows.groupBy("cid").agg(F.sum("company").alias("score"))
     first = F.max(F.struct("score", F.col("cid"))).alias("_c")
-    centres = rows.join(popular, "cid").groupBy("key").agg(first).select("key", F.col("_c.cid").alias("a"))
+    centres = rows.join(popular, "cid").groupBy("key").agg(first, F.count("*").alias("_weight"))
+    centres = written(centres.select("key", F.col("_c.cid").alias("a"), "_weight"), "centres")
     nodes = _candidate_nodes(docs, classes, rows)
-    links = _links(rows.join(centres, "key").select("a", F.col("cid").alias("b")), nodes)
+    links = _links(look_up(rows, centres, "key", "_weight").select("a", F.col("cid").alias("b")), nodes)
     labels, before = components(links), rows.count()
     for turn in range(MAX_ROUNDS + 1):
         found = _open_rows(rows, labels)
@@ -398,9 +409,9 @@ def class_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             break
         before = left
         centre = F.min(F.struct(F.xxhash64("cid", F.lit(turn)).alias("o"), F.col("cid"), F.col("label"))).alias("_c")
-        centres = found.filter("apart").groupBy("key").agg(centre)
-        centres = centres.select("key", F.col("_c.cid").alias("a"), F.col("_c.label").alias("_la"))
-        pairs = found.join(centres, "key").filter("label <> _la").select("a", F.col("cid").alias("b"))
+        centres = found.filter("apart").groupBy("key").agg(centre, F.first("n_rows").alias("_weight"))
+        centres = written(centres.select("key", F.col("_c.cid").alias("a"), F.col("_c.label").alias("_la"), "_weight"), "centres")
+        pairs = look_up(found, centres, "key", "_weight").filter("label <> _la").select("a", F.col("cid").alias("b"))
         links = links.union(_links(pairs, nodes))
         labels = components(links)
     return sketch, classes, labels
@@ -409,13 +420,15 @@ def class_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of ``docs`` (doc_id, text)."""
     sketch, classes, labels = class_components(docs)
-    of_class = classes.select("digest", "cid", "least_id").join(labels, "cid", "left")
-    of_class = of_class.withColumn("label", F.coalesce("label", "cid"))
-    least = of_class.groupBy("label").agg(F.min("least_id").alias("_least"))
-    ids = of_class.join(least, "label").select("digest", "_least")
-    rows = sketch.select("doc_id", "n_shingles", "digest").join(ids, "digest", "left")
-    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("_least"))
-    return rows.select(
+    of_class = classes.select("digest", "cid", "least_id", "copies").join(labels, "cid", "left")
+    of_class = written(of_class.withColumn("label", F.coalesce("label", "cid")), "of-class")
+    least = of_class.groupBy("label").agg(F.min("least_id").alias("_least"), F.count("*").alias("_weight"))
+    ids = look_up(of_class, written(least, "least-ids"), "label", "_weight").select("digest", "_least", "copies")
+    rows = sketch.select("doc_id", "n_shingles", "digest")
+    alone = rows.filter("digest is null").withColumn("_least", F.col("doc_id"))
+    found = look_up(rows.filter("digest is not null"), written(ids, "ids"), "digest", "copies")
+    component = F.col("_least")
+    return found.select(*alone.columns).union(alone).select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
 
@@ -425,14 +438,19 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Of rows that repeat an id, each different text stays (in lower case, spaces made equal).
     """
-    key, empty, n = (free_name(docs.columns, x) for x in ("_id", "_empty", "_n"))
-    judged = near_duplicates(docs).filter("kept")
-    ids = judged.groupBy(F.col("doc_id").alias(key), (F.col("n_shingles") == 0).alias(empty)).agg(
+    key, empty, n, open_ = (free_name(docs.columns, x) for x in ("_id", "_empty", "_n", "_open"))
+    judged = written(near_duplicates(docs), "judged")
+    ids = judged.filter("kept").groupBy(F.col("doc_id").alias(key), (F.col("n_shingles") == 0).alias(empty)).agg(
         F.count("*").alias(n)
     )
+    # rows that are alone and stay need no join: all but those with an id that goes or comes twice
+    unsure = judged.groupBy("doc_id").agg(F.min("kept").alias("_all"), F.count("*").alias("_rows"))
+    unsure = written(unsure.filter("not _all or _rows > 1").select(F.xxhash64("doc_id").alias("_h")), "unsure")
+    split = marked(docs, F.xxhash64("doc_id"), unsure, F.col("_h"), open_)
     has_words = F.coalesce(F.col("text").rlike(f"[^{SPACE}]"), F.lit(False))
-    kept = docs.join(ids, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(empty) == ~has_words))
+    kept = split.filter(open_).join(ids, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(empty) == ~has_words))
     repeated = F.col(n) > 1
     spaces = F.regexp_replace(F.trim(lower_ascii(F.col("text")), F.lit(" \t\n\x0b\f\r")), f"[{SPACE}]+", " ")
     once = kept.filter(has_words & repeated).withColumn(empty, spaces).dropDuplicates([key, empty])
-    return documents_like(kept.filter(~has_words | ~repeated), docs).union(documents_like(once, docs))
+    rest = documents_like(kept.filter(~has_words | ~repeated), docs).union(documents_like(once, docs))
+    return documents_like(split.filter(~F.col(open_)), docs).union(rest)

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 
+from strata.llm import common
 from strata.llm import minhash as mh
 from tests.llm import nasty
 
@@ -77,7 +78,7 @@ def test_rounds_and_blocks_lose_no_link(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     want = brute(rows)
     monkeypatch.setattr(mh, "BLOCK", 7)  # every open bucket is cut into blocks
-    monkeypatch.setattr(mh, "MAX_BROADCAST_ROWS", 0)  # and the candidates' texts are found by a shuffle
+    monkeypatch.setattr(common, "HOT", 4)  # few keys are hot, the others meet in joins
     got = mh.near_duplicates(df).collect()
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == want
 
