@@ -7,8 +7,8 @@ more, however short its units are. Shorter runs, such as a common heading, stay.
 offsets in the text. A passage that begins or ends inside a unit is found by the whole units it holds.
 
 Narrow tables only: a first pass counts digests, partial counts combining in each task, so a line that a
-third of all rows share moves as one row a task; only units whose digest repeats go on. Joins with hot
-digests are plain equi-joins, which AQE splits.
+third of all rows share moves as one row a task; only units whose digest repeats go on. Units meet what is
+known of their digest by ``look_up``: hot digests are broadcast, so their units are not dealt out by them.
 
 Defined cases: NULL and empty texts have no units. Units without a word are skipped. Repeated rows repeat
 all units: all but the first copy go. A NULL doc_id ranks last. Repeats inside one text count like those
@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import free_name, ship, written
+from strata.llm.common import free_name, look_up, ship, written
 
 MIN_WORDS = 25
 # Every unit that has a word counts towards its run.
@@ -72,15 +72,14 @@ def _unit_table(docs: DataFrame) -> DataFrame:
 def _repeats(table: DataFrame, min_words: int) -> DataFrame:
     """(row, doc_id, unit, start, length, words, first_doc_id, first_start) of the units to remove."""
     digests = table.select(F.explode("digest").alias("digest"))
-    often = digests.groupBy("digest").agg(F.count("*").alias("_n")).filter("_n > 1").select("digest")
-    often = written(often, "often")  # a table of its own: the join below can then split a hot digest
+    often = written(digests.groupBy("digest").agg(F.count("*").alias("_n")).filter("_n > 1"), "often")
     each = table.select("row", "doc_id", F.posexplode("digest").alias("unit", "digest"), "start", "length", "words")
     at = lambda c: F.get(c, F.col("unit")).alias(c)
     each = each.select("row", "doc_id", "unit", "digest", at("start"), at("length"), at("words"))
-    found = written(each.join(often, "digest"), "repeated")
+    found = written(look_up(each, often, "digest", "_n"), "repeated")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "unit", "start")
-    first = found.groupBy("digest").agg(F.min(rank).alias("first"))
-    later = found.join(first, "digest").filter((F.col("row") != F.col("first.row")) | (F.col("unit") != F.col("first.unit")))
+    first = written(found.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("_n")), "first")
+    later = look_up(found, first, "digest", "_n").filter((F.col("row") != F.col("first.row")) | (F.col("unit") != F.col("first.unit")))
     # consecutive units of a text are a run; the window holds one text
     inside = Window.partitionBy("row").orderBy("unit")
     run = later.withColumn("_run", F.col("unit") - F.row_number().over(inside))
