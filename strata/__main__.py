@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 
 from strata.config import GOLD_DATABASE, LakePaths
 from strata.plans import stages
+from strata.plans.ledger import Ledger
 
 STAGES = ("bronze", "silver", "gold", "all")
 
@@ -38,13 +39,15 @@ def run(
     dedupe_country: bool = False,
     managed: bool = False,
     fact_partition_by: tuple[str, ...] | None = None,
+    run_name: str | None = None,
 ) -> None:
+    ledger = None if run_name is None else Ledger(spark, paths.runs_root, run_name)
     if stage in ("bronze", "all"):
-        stages.land_bronze(spark, paths)
+        stages.land_bronze(spark, paths, ledger)
     if stage in ("silver", "all"):
-        stages.build_silver(spark, paths)
+        stages.build_silver(spark, paths, ledger)
     if stage in ("gold", "all"):
-        stages.build_gold(spark, paths, database, managed, fact_partition_by, dedupe_country)
+        stages.build_gold(spark, paths, database, managed, fact_partition_by, dedupe_country, ledger=ledger)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -63,6 +66,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ap.add_argument(
         "--partition-fact", metavar="COLUMNS", help="comma-separated columns to lay the published fact out by"
     )
+    ap.add_argument("--run", metavar="NAME", help="a rerun of this name makes only the outputs that are missing")
     ap.add_argument("--hive", action="store_true", help="use the Hive metastore for the gold tables")
     ap.add_argument(
         "--shuffle-gb",
@@ -91,7 +95,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         spark = (builder.enableHiveSupport() if args.hive else builder).getOrCreate()
     try:
         by = tuple(args.partition_fact.split(",")) if args.partition_fact else None
-        run(spark, args.stage, paths, args.database, args.dedupe_country, args.managed, by)
+        run(spark, args.stage, paths, args.database, args.dedupe_country, args.managed, by, args.run)
         return 0
     except Exception as exc:  # report like a batch job: one line on stderr, non-zero exit
         print(f"strata {args.stage} failed: {type(exc).__name__}: {exc}", file=sys.stderr)

@@ -95,6 +95,11 @@ class LakePaths:
     def gold(self, builder: str) -> str:
         return _join(self.gold_root, GOLD[builder][1])
 
+    @property
+    def runs_root(self) -> str:
+        """Where named runs note what they have finished."""
+        return f"{self.gold_root.rstrip('/')}_runs"
+
 
 def bronze_name(file_name: str) -> str:
     """``Olympics_Games.csv`` (or ``Olympics_Games``) → ``Olympics_Games_parquet``."""

@@ -517,6 +517,12 @@ for _key in ("publish_managed", "external_typed_table", "read_back_check"):
     oracle(_key, "SELECT * FROM s_athlete", "s_athlete")
 oracle("publish_versions", "SELECT * FROM s_fact", "s_fact")
 oracle("publish_append", "SELECT *, coalesce(EditionID % 3 = 0, false) AS rewritten FROM s_fact", "s_fact")
+oracle(
+    "clustered_point_read",
+    """SELECT * FROM s_fact WHERE AthleteID = (SELECT AthleteID FROM s_fact WHERE AthleteID IS NOT NULL
+        GROUP BY AthleteID ORDER BY count(*) DESC, AthleteID LIMIT 1)""",
+    "s_fact",
+)
 oracle(
     "list_gold_tables",
     """SELECT 'gold_list' AS database_name, unnest(['athlete_dim', 'athlete_dim_typed']) AS table_name,

@@ -437,6 +437,17 @@ def publish_append(spark: SparkSession, d: str) -> DataFrame:
     return load_parquet(spark, by_edition)
 
 
+def clustered_point_read(spark: SparkSession, d: str) -> DataFrame:
+    """K1, F1: the fact laid out by result with Bloom filters on the athlete; the rows of who took part most often."""
+    path = sinks.save_clustered(
+        fact_of(_tables(spark, d)), scratch_path(spark, "clustered"), ["ResultID", "AthleteID"], ["AthleteID"]
+    )
+    fact = load_parquet(spark, path)
+    often = fact.filter("AthleteID IS NOT NULL").groupBy("AthleteID").agg(F.count("*").alias("n"))
+    athlete = often.orderBy(F.desc("n"), "AthleteID").first()  # one row: the id becomes a filter of the scan
+    return fact.filter(F.col("AthleteID") == (athlete.AthleteID if athlete else None))
+
+
 def schema_of_results(spark: SparkSession, d: str) -> DataFrame:
     """Column names and types of the results dimension, as data."""
     report = quality.schema_report(spark, silver_results_dim(spark, d))
@@ -520,6 +531,7 @@ QUERIES: dict[str, Query] = {
     "publish_managed": publish_managed,
     "publish_versions": publish_versions,
     "publish_append": publish_append,
+    "clustered_point_read": clustered_point_read,
     "external_typed_table": external_typed_table,
     "read_back_check": read_back_check,
     "list_gold_tables": list_gold_tables,

@@ -5,7 +5,8 @@ a lost executor recomputes at most one stage's tasks, never the whole chain.
 Within a stage the outputs are independent, so their jobs are submitted
 together and Spark runs them side by side (small dimension writes overlap the
 big fact write instead of queueing behind it). A stage raises if any of its
-jobs failed, so a failed stage stops the later ones.
+jobs failed, so a failed stage stops the later ones. Under a named run a rerun
+repeats only the outputs that are missing (``strata.plans.ledger``).
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from strata.config import DATASETS, GOLD, GOLD_DATABASE, SILVER, LakePaths
 from strata.operators.quality import row_count
 from strata.plans import gold, silver
+from strata.plans.ledger import Ledger
 from strata.sinks.catalog import ensure_database, publish
 from strata.sinks.files import save_parquet
 from strata.sources.files import headers_differ, list_entries, load_parquet, read_csv_by_name, read_csv_strings
@@ -29,7 +31,7 @@ MAX_CONCURRENT_JOBS = 8
 
 
 def run_together(jobs: dict[str, Callable[[], object]]) -> dict[str, object]:
-    """Run independent Spark actions concurrently; re-raise the first failure."""
+    """Run independent Spark actions concurrently; re-raise the first failure once all have ended."""
     if not jobs:
         return {}
     with ThreadPoolExecutor(max_workers=min(MAX_CONCURRENT_JOBS, len(jobs))) as pool:
@@ -61,17 +63,24 @@ def land_dataset(spark: SparkSession, location: str, target: str) -> str:
     return save_parquet(read_csv_by_name(spark, location), target)
 
 
-def land_bronze(spark: SparkSession, paths: LakePaths) -> dict[str, str]:
-    """Bronze: each CSV dataset → ``X_parquet``, every column a string. One map-only job each."""
+def _missing(ledger: Ledger | None, stage: str, jobs: dict[str, Callable[[], object]]) -> dict[str, Callable[[], object]]:
+    return jobs if ledger is None else ledger.missing(stage, jobs)
+
+
+def land_bronze(spark: SparkSession, paths: LakePaths, ledger: Ledger | None = None) -> dict[str, str]:
+    """Bronze: each CSV dataset → ``X_parquet``, every column a string. One map-only job each.
+
+    Returns what was written: with a ledger, the outputs that were missing.
+    """
     jobs = {
         name: (lambda name=name, location=location: land_dataset(spark, location, paths.bronze(name)))
         for name, location in sorted(csv_datasets(spark, paths.csv_root).items())
     }
-    return run_together(jobs)
+    return run_together(_missing(ledger, "bronze", jobs))
 
 
 def silver_frames(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
-    """The six silver builders over the landed bronze Parquet (lazy, except size checks)."""
+    """The six silver builders over the landed bronze Parquet (lazy)."""
 
     def bronze(name: str) -> DataFrame:
         return load_parquet(spark, paths.bronze(name))
@@ -88,9 +97,11 @@ def silver_frames(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]
     }
 
 
-def build_silver(spark: SparkSession, paths: LakePaths) -> dict[str, str]:
+def build_silver(spark: SparkSession, paths: LakePaths, ledger: Ledger | None = None) -> dict[str, str]:
+    """The six silver outputs; with a ledger, those that are missing."""
     frames = silver_frames(spark, paths)
-    return run_together({k: (lambda k=k, df=df: save_parquet(df, paths.silver(k))) for k, df in frames.items()})
+    jobs = {k: (lambda k=k, df=df: save_parquet(df, paths.silver(k))) for k, df in frames.items()}
+    return run_together(_missing(ledger, "silver", jobs))
 
 
 def build_gold(
@@ -101,6 +112,7 @@ def build_gold(
     fact_partition_by: tuple[str, ...] | None = None,
     dedupe_country: bool = False,
     check_keys: bool = False,
+    ledger: Ledger | None = None,
 ) -> DataFrame:
     """Gold: publish the dimensions, the dated fact and the mart (table + Parquet each).
 
@@ -127,7 +139,11 @@ def build_gold(
         "mart",
         gold.participation_mart(s("fact"), s("athlete"), s("country"), s("games"), s("date"), dedupe_country, check_keys),
     )
-    return run_together(jobs)["mart"]
+    missing = _missing(ledger, "gold", jobs)
+    # a catalog that lives in the session has lost the tables of an earlier one
+    lost = {k: job for k, job in jobs.items() if not spark.catalog.tableExists(f"{database}.{GOLD[k][0]}")}
+    run_together({**lost, **missing})
+    return load_parquet(spark, paths.gold("mart"))
 
 
 def run_stages(
@@ -138,11 +154,16 @@ def run_stages(
     fact_partition_by: tuple[str, ...] | None = None,
     dedupe_country: bool = False,
     check_keys: bool = False,
+    run: str | None = None,
 ) -> DataFrame:
-    """Bronze, then silver, then gold; returns the published mart."""
-    land_bronze(spark, paths)
-    build_silver(spark, paths)
-    return build_gold(spark, paths, database, managed, fact_partition_by, dedupe_country, check_keys)
+    """Bronze, then silver, then gold; returns the published mart.
+
+    With a name for the ``run``, outputs that a run of this name has finished are not made again.
+    """
+    ledger = None if run is None else Ledger(spark, paths.runs_root, run)
+    land_bronze(spark, paths, ledger)
+    build_silver(spark, paths, ledger)
+    return build_gold(spark, paths, database, managed, fact_partition_by, dedupe_country, check_keys, ledger)
 
 
 def layer_counts(spark: SparkSession, paths: LakePaths) -> DataFrame:

@@ -9,7 +9,7 @@ from strata.sinks.catalog import (
     save_table,
     versions,
 )
-from strata.sinks.files import append_run, rewrite_partitions, save_counted, save_csv, save_parquet
+from strata.sinks.files import append_run, rewrite_partitions, save_clustered, save_counted, save_csv, save_parquet
 
 __all__ = [
     "append_run",
@@ -21,6 +21,7 @@ __all__ = [
     "publish_version",
     "read_back",
     "rewrite_partitions",
+    "save_clustered",
     "save_counted",
     "save_csv",
     "save_parquet",
