@@ -1,8 +1,9 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-from strata.llm.quality import RULES, STOP_WORDS
+from strata.llm.quality import LANGUAGES, RULES, STOP_WORDS
 
 _STOPS = ", ".join(f"'{w}'" for w in sorted(set(STOP_WORDS.split())))
+_LANGUAGES = ", ".join(f"'{x}'" for x in LANGUAGES)
 _BROKEN = ", ".join(
     "CASE WHEN "
     + " OR ".join([f"{r.metric} < {r.low}"] * (r.low is not None) + [f"{r.metric} > {r.high}"] * (r.high is not None))
@@ -12,9 +13,10 @@ _BROKEN = ", ".join(
 
 OP5 = rf"""
 WITH t AS (
-  SELECT doc_id, coalesce(text, '') AS text FROM documents
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(lower(split_part(lang, '-', 1)) IN ({_LANGUAGES}), true) AS known
+  FROM documents
 ), split AS (
-  SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+  SELECT doc_id, text, known, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
          list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM t
 ), win AS (
@@ -29,7 +31,7 @@ WITH t AS (
          len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
          coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines,
-         len(list_intersect(list_distinct(words), [{_STOPS}]))::DOUBLE AS stop_words,
+         known, len(list_filter(words, lambda x: x IN ({_STOPS}))) AS n_stop_words,
          len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) AS n_bullet,
          len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_ellipsis
   FROM split s LEFT JOIN cov c ON s.doc_id = c.doc_id
@@ -37,6 +39,7 @@ WITH t AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
          CASE WHEN n_words > 0 THEN word_chars::DOUBLE / n_words::DOUBLE ELSE 0 END AS mean_word_chars,
          CASE WHEN n_words > 0 THEN n_symbols::DOUBLE / n_words::DOUBLE ELSE 0 END AS symbols_per_word,
+         CASE WHEN NOT known THEN NULL WHEN n_words > 0 THEN n_stop_words::DOUBLE / n_words::DOUBLE ELSE 0 END AS stop_word_share,
          CASE WHEN n_lines > 0 THEN n_dup_lines::DOUBLE / n_lines::DOUBLE ELSE 0 END AS dup_line_share,
          CASE WHEN n_lines > 0 THEN n_bullet::DOUBLE / n_lines::DOUBLE ELSE 0 END AS bullet_line_share,
          CASE WHEN n_lines > 0 THEN n_ellipsis::DOUBLE / n_lines::DOUBLE ELSE 0 END AS ellipsis_line_share

@@ -5,8 +5,9 @@ Every metric is a built-in expression over the whole text, and every rule is a r
 projection: no user function, no shuffle, one pass over the documents.
 
 Defined cases: NULL text counts as a text without words or lines (it fails ``min_words``); an empty
-text likewise. Repeated rows each get their own row. A ratio whose denominator is 0 is 0. Extra
-columns are dropped by ``quality_rules`` and kept by ``keep_good``. An empty table gives no rows.
+text likewise. Repeated rows each get their own row. A ratio whose denominator is 0 is 0. Stop words
+are known of ``LANGUAGES``: where ``lang`` names another language their ratio is NULL and its rule holds; where
+it is NULL, or there is no such column, any of the languages' words count. Extra columns are dropped by ``quality_rules`` and kept by ``keep_good``. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ MIN_WORDS = 50
 # Of 100 words, so many at most may stand in a 3-word window that the text repeats.
 MAX_REPEATED_PERCENT = 50
 
-# Function words of the languages served; a text in one of them uses a few of them.
+# Function words of the languages served: about a fifth of the words of a text in one of them.
+LANGUAGES = ("en", "de", "fr", "es")
 STOP_WORDS = (
     "the of and to in is that with for it as was on by are this or an at be "
     "der die das und zu von in den mit ist ein eine im nicht sich auf "
@@ -45,7 +47,7 @@ class Rule(NamedTuple):
 RULES: tuple[Rule, ...] = (
     Rule("word_length", "mean_word_chars", 2.0, 15.0),
     Rule("symbols", "symbols_per_word", None, 0.25),
-    Rule("stop_words", "stop_words", 2.0, None),  # different ones
+    Rule("stop_words", "stop_word_share", 0.05, None),
     Rule("duplicate_lines", "dup_line_share", None, 0.5),
     Rule("bullet_lines", "bullet_line_share", None, 0.9),
     Rule("ellipsis_lines", "ellipsis_line_share", None, 0.5),
@@ -60,27 +62,39 @@ def _ratio(a: Column, b: Column) -> Column:
 POSITION_BITS = 24
 
 
-def _repeated_positions(hashes: str, keys: str) -> Column:
-    """Start positions of the 3-word windows that occur twice or more, ascending.
+def _close(keys: str) -> Column:
+    """Positions (x, y) of neighbouring windows with one hash.
 
-    ``keys`` names the ascending array of (window hash, position) longs. Equal windows have equal
-    hashes and are neighbours there; neighbours that lie close are compared word by word, by the
-    words' 64-bit ``hashes``.
+    ``keys`` names the ascending array of (window hash, position) longs. Equal windows have equal hashes,
+    so they are neighbours there, unless another window with their hash stands between: then
+    some close neighbours are not equal, and ``_repeated_positions_long`` takes the text.
     """
-    w, s = F.col(hashes), F.col(keys)
+    s = F.col(keys)
     at = lambda x: x.bitwiseAND((1 << POSITION_BITS) - 1).cast("int")
     close = F.zip_with(
         s, F.slice(s, 2, F.size(s)),
         lambda x, y: F.when(y - x < 1 << POSITION_BITS, F.struct(at(x).alias("x"), at(y).alias("y"))),
     )
+    return F.filter(close, lambda v: v.isNotNull())
+
+
+def _equal(hashes: str, close: str) -> Column:
+    """Of close neighbours, those whose words have equal 64-bit ``hashes``."""
+    w = F.col(hashes)
     same = lambda k: lambda v: F.get(w, v["x"] + k) == F.get(w, v["y"] + k)
-    equal = F.filter(F.filter(close, lambda v: v.isNotNull()), lambda v: same(0)(v) & same(1)(v) & same(2)(v))
-    both = F.flatten(F.transform(equal, lambda v: F.array(v["x"], v["y"])))
+    return F.filter(close, lambda v: same(0)(v) & same(1)(v) & same(2)(v))
+
+
+def _positions(pairs: str) -> Column:
+    both = F.flatten(F.transform(pairs, lambda v: F.array(v["x"], v["y"])))
     return F.sort_array(F.array_distinct(both))
 
 
 def _repeated_positions_long(words: str) -> Column:
-    """The same for a text of 2**POSITION_BITS words or more: sorts (window, position) structs."""
+    """Start positions of the 3-word windows that occur twice or more, ascending, by the words themselves.
+
+    For texts of 2**POSITION_BITS words or more, and those in which two windows share a hash.
+    """
     w = F.col(words)
     windows = F.sort_array(
         F.transform(
@@ -122,19 +136,23 @@ def with_metrics(docs: DataFrame) -> DataFrame:
     longs, ints = F.array().cast("array<bigint>"), F.array().cast("array<int>")
     repeats = F.size(F.array_distinct(h)) < F.size(h)
     keys = F.sort_array(F.zip_with(h, F.sequence(F.lit(0), F.size(h) - 1), lambda x, i: x.bitwiseOR(i.cast("bigint"))))
-    stops = F.array(*[F.lit(x) for x in sorted(set(STOP_WORDS.split()))])
+    stops = sorted(set(STOP_WORDS.split()))
     count = lambda pattern: F.regexp_count(F.col("_t"), F.lit(pattern)).cast("bigint")
     line_count = lambda pattern: F.size(F.filter(ln, lambda x: x.rlike(pattern))).cast("bigint")
-    df = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("_t"))
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    df = docs.select(
+        "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("_t"),
+        F.coalesce(F.lower(F.substring_index(lang, "-", 1)).isin(*LANGUAGES), F.lit(True)).alias("_known"),
+    )
     df = df.withColumns({"_words": words, "_lines": lines})
     df = df.withColumn("_word_hashes", F.transform(w, lambda x: F.xxhash64(x)))
     df = df.withColumn("_hashes", F.when(F.size(w) >= 3, windows).otherwise(longs))
     df = df.withColumn("_keys", F.when(repeats, keys).otherwise(longs))
+    df = df.withColumn("_close", _close("_keys")).withColumn("_equal", _equal("_word_hashes", "_close"))
+    exact = (F.size(w) < 1 << POSITION_BITS) & (F.size("_equal") == F.size("_close"))
     df = df.withColumn(
         "_starts",
-        F.when(F.size("_keys") == 0, ints)
-        .when(F.size(w) < 1 << POSITION_BITS, _repeated_positions("_word_hashes", "_keys"))
-        .otherwise(_repeated_positions_long("_words")),
+        F.when(F.size("_keys") == 0, ints).when(exact, _positions("_equal")).otherwise(_repeated_positions_long("_words")),
     )
     df = df.select(
         "doc_id",
@@ -144,7 +162,7 @@ def with_metrics(docs: DataFrame) -> DataFrame:
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
         _covered("_starts").alias("n_repeat_words"),
         F.size("_lines").cast("bigint").alias("n_lines"),
-        F.size(F.array_intersect(w, stops)).cast("bigint").alias("n_stop_words"),
+        F.size(F.filter(w, lambda x: x.isin(*stops))).cast("bigint").alias("n_stop_words"), "_known",
         line_count(rf"^[{SPACE}]*[-*•]").alias("n_bullet_lines"),
         line_count(rf"(?:\.\.\.|…)[{SPACE}]*$").alias("n_ellipsis_lines"),
     )
@@ -152,7 +170,7 @@ def with_metrics(docs: DataFrame) -> DataFrame:
         {
             "mean_word_chars": _ratio(F.col("word_chars"), F.col("n_words")),
             "symbols_per_word": _ratio(F.col("n_symbols"), F.col("n_words")),
-            "stop_words": F.col("n_stop_words").cast("double"),
+            "stop_word_share": F.when(F.col("_known"), _ratio(F.col("n_stop_words"), F.col("n_words"))),
             "dup_line_share": _ratio(F.col("n_dup_lines"), F.col("n_lines")),
             "bullet_line_share": _ratio(F.col("n_bullet_lines"), F.col("n_lines")),
             "ellipsis_line_share": _ratio(F.col("n_ellipsis_lines"), F.col("n_lines")),
@@ -167,7 +185,7 @@ def _breaks(rule: Rule) -> Column:
         broken = broken | (m < rule.low)
     if rule.high is not None:
         broken = broken | (m > rule.high)
-    return broken
+    return F.coalesce(broken, F.lit(False))
 
 
 def compiled(rules: tuple[Rule, ...] = RULES) -> Column:
@@ -192,6 +210,7 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     no matter.
     """
     row = free_name(docs.columns, "_row")
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), F.col("text"))
-    scored = quality_rules(packed.select(F.col(row).alias("doc_id"), "text"), rules).filter("kept")
+    used = [c for c in ("text", "lang") if c in docs.columns]
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), *used)
+    scored = quality_rules(packed.select(F.col(row).alias("doc_id"), *used), rules).filter("kept")
     return documents_like(scored.select("doc_id.*"), docs)

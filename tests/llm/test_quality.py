@@ -40,6 +40,26 @@ def test_a_rule_of_the_table_decides(spark):
     assert got[1].kept and not got[2].kept and "symbols" in got[2].failed_rules
 
 
+def test_windows_that_share_a_hash_are_counted_by_their_words(spark, monkeypatch):
+    # five bits of hash remain, so that many different windows share one
+    monkeypatch.setattr(quality, "POSITION_BITS", 58)
+    texts = [" ".join(f"w{(k * s) % 23}" for k in range(60)) for s in range(1, 12)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    assert {r.doc_id: r.n_repeat_words for r in quality.quality_rules(df).collect()} == {k: brute(t)[4] for k, t in enumerate(texts)}
+
+
+def test_stop_words_are_a_share_and_judge_known_languages_only(spark):
+    prose = " ".join(f"ord{k}" for k in range(70))
+    stops = "the of and to " * 2 + prose
+    rows = [(1, prose, "en"), (2, prose, None), (3, prose, "sv"), (4, stops, "en"), (5, "the of " + prose, "EN-gb"), (6, prose, "EN-gb")]
+    df = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    got = {r.doc_id: r.failed_rules for r in quality.quality_rules(df).collect()}
+    # 8 of 78 words are enough, two different ones among 72 are not
+    assert got == {1: "stop_words", 2: "stop_words", 3: "", 4: "", 5: "stop_words", 6: "stop_words"}
+    assert {r.failed_rules for r in quality.quality_rules(df.drop("lang").filter("doc_id = 3")).collect()} == {"stop_words"}
+    assert sorted(r.doc_id for r in quality.keep_good(df).collect()) == [3, 4]
+
+
 def test_keep_good_keeps_rows_and_columns(spark):
     df = nasty.docs(spark)
     kept = quality.keep_good(df, rules=())
