@@ -11,7 +11,9 @@ Built-in expressions only, one row a text, no shuffle of texts; the one aggregat
 of each licence word, bounded by the index vocabulary, which is why it may become a literal.
 
 Defined cases: NULL or empty text has no words and no labels, score 0. Repeated rows each get their row.
-Licence words that every text has rank last and still count. Extra columns are ignored. An empty table
+Licence words that every text has rank last and still count: IDF decides
+what is looked up, and so the cost, never the result. "All rights reserved" is a statement of rights that the
+scan labels too. Extra columns are ignored. An empty table
 gives no rows.
 """
 
@@ -46,7 +48,8 @@ class Template(NamedTuple):
     key: str
 
 
-# Short notices and the opening sentences by which licences name themselves.
+# Fixed values, the licences' own words: short notices by which texts name a licence, and the clauses of
+# full licence texts. Variants differ by a clause of their own, or by what follows a clause they share.
 TEMPLATES: tuple[Template, ...] = (
     Template("gpl", "licensed under the GNU General Public License", "general public license"),
     Template("gpl", "under the terms of the GNU General Public License as published by the Free Software Foundation",
@@ -55,19 +58,60 @@ TEMPLATES: tuple[Template, ...] = (
     Template("agpl", "licensed under the GNU Affero General Public License", "affero general public license"),
     Template("apache", "licensed under the Apache License, Version 2.0", "apache license"),
     Template("apache-2.0", "Apache License, Version 2.0", "version 2 0"),
-    Template("gpl-3.0", "GNU General Public License, version 3", "license version 3"),
-    Template("gpl-2.0", "GNU General Public License, version 2", "license version 2"),
+    Template("gpl-3.0", "GNU General Public License, version 3", "gnu general public license version 3"),
+    Template("gpl-2.0", "GNU General Public License, version 2", "gnu general public license version 2"),
+    Template("lgpl-2.1", "GNU Lesser General Public License, version 2.1", "lesser general public license version 2 1"),
+    Template("lgpl-3.0", "GNU Lesser General Public License, version 3", "lesser general public license version 3"),
+    Template("agpl-3.0", "GNU Affero General Public License, version 3", "affero general public license version 3"),
+    Template("apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the "
+             "License at http www apache org licenses LICENSE 2.0", "licenses license 2 0"),
     Template("mit", "released under the MIT License", "mit license"),
     Template("mit", "permission is hereby granted, free of charge, to any person obtaining a copy of this software "
              "and associated documentation files", "permission is hereby granted"),
+    Template("mit", "to deal in the Software without restriction, including without limitation the rights to use, copy, "
+             "modify, merge, publish, distribute, sublicense, and or sell copies of the Software",
+             "without limitation the rights"),
+    Template("mit", "the above copyright notice and this permission notice shall be included in all copies or "
+             "substantial portions of the Software", "substantial portions"),
     Template("bsd", "redistribution and use in source and binary forms, with or without modification, are permitted",
              "source and binary forms"),
     Template("bsd", "licensed under the BSD License", "bsd license"),
+    Template("bsd", "redistributions of source code must retain the above copyright notice, this list of conditions and "
+             "the following disclaimer", "source code must retain"),
+    Template("bsd", "redistributions in binary form must reproduce the above copyright notice, this list of conditions "
+             "and the following disclaimer in the documentation and or other materials provided with the distribution",
+             "binary form must reproduce"),
+    # without a third clause, the disclaimer follows the second
+    Template("bsd-2-clause", "and or other materials provided with the distribution this software is provided by the "
+             "copyright holders and contributors as is", "distribution this software is provided"),
+    Template("bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to "
+             "endorse or promote products derived from this software without specific prior written permission",
+             "endorse or promote products"),
+    Template("bsd-4-clause", "all advertising materials mentioning features or use of this software must display the "
+             "following acknowledgement", "advertising materials mentioning features"),
+    Template("isc", "permission to use, copy, modify, and or distribute this software for any purpose with or without fee "
+             "is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+             "fee is hereby granted provided that"),
+    Template("0bsd", "distribute this software for any purpose with or without fee is hereby granted the software is "
+             "provided as is and the author disclaims all warranties", "granted the software is provided"),
+    Template("unlicense", "this is free and unencumbered software released into the public domain",
+             "free and unencumbered software"),
+    Template("zlib", "in no event will the authors be held liable for any damages arising from the use of this software",
+             "will the authors be held liable"),
+    Template("bsl-1.0", "Boost Software License Version 1.0", "boost software license"),
+    Template("epl", "made available under the terms of the Eclipse Public License", "eclipse public license"),
+    Template("epl-2.0", "Eclipse Public License v 2.0", "eclipse public license v 2 0"),
+    Template("mpl-2.0", "this Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+             "mozilla public license v 2 0"),
     Template("mpl", "subject to the terms of the Mozilla Public License", "mozilla public license"),
     Template("cc-by", "licensed under CC BY 4.0", "cc by 4 0"),
     Template("cc-by-nc", "licensed under CC BY-NC 4.0", "cc by nc"),
     Template("cc-by-sa", "licensed under CC BY-SA 4.0", "cc by sa"),
     Template("cc-by-nd", "licensed under CC BY-ND 4.0", "cc by nd"),
+    Template("cc-by-nc-sa", "licensed under CC BY-NC-SA 4.0", "cc by nc sa"),
+    Template("cc-by", "Creative Commons Attribution 4.0 International", "commons attribution 4 0"),
+    Template("cc-by-sa", "Creative Commons Attribution ShareAlike", "commons attribution sharealike"),
+    Template("cc-by-nc", "Creative Commons Attribution NonCommercial", "commons attribution noncommercial"),
     Template("cc0", "CC0 1.0 Universal public domain dedication", "cc0 1 0"),
     Template("all-rights-reserved", "all rights reserved", "all rights reserved"),
 )

@@ -42,6 +42,43 @@ def test_templates_are_found_at_their_place_with_their_key_phrase(spark):
     assert got[10].labels == "" and got[5].labels == "" and got[5].score == 0.0
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND."""
+BSD_2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list
+of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,
+this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+distribution. """
+BSD_3 = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission. """
+DISCLAIMER = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES'
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS
+PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES"""
+FULL = {
+    MIT: "mit", BSD_2 + DISCLAIMER: "bsd,bsd-2-clause", BSD_2 + BSD_3 + DISCLAIMER: "bsd,bsd-3-clause", ISC: "isc",
+    ISC.replace(", provided that the above copyright notice and this permission notice appear in all copies", ""): "0bsd",
+    "Licensed under the GNU Lesser General Public License, version 2.1": "lgpl,lgpl-2.1",
+    "the GNU Lesser General Public License, version 3": "lgpl,lgpl-3.0",
+    "the GNU Affero General Public License, version 3": "agpl,agpl-3.0",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "mpl,mpl-2.0",
+    "This is free and unencumbered software released into the public domain.": "unlicense",
+    "Creative Commons Attribution-ShareAlike 4.0": "cc-by-sa",
+    "Creative Commons Attribution 4.0 International": "cc-by",
+}
+
+
+def test_full_texts_and_variants_are_told_apart(spark):
+    around = nasty.prose(1, 40)
+    df = spark.createDataFrame([(k, f"{around}\n{t}\n{around}") for k, t in enumerate(FULL)], "doc_id int, text string")
+    got = {r.doc_id: r.labels for r in ls.scan(df).collect()}
+    assert got == dict(enumerate(FULL.values()))
+
+
 def brute_templates(text):
     """Label and start of every place where enough of a template's words stand, and its key phrase."""
     w, out = re.findall("[0-9a-z]+", text.lower()), set()
