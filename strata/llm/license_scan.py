@@ -160,7 +160,8 @@ def _strings(values) -> Column:
 def _with_words(docs: DataFrame, vocab: list[str]) -> DataFrame:
     words = F.regexp_extract_all(lower_ascii(F.coalesce(F.col("text"), F.lit(""))), F.lit(WORD), F.lit(0))
     df = docs.select("doc_id", words.alias("_words"))
-    return df.withColumn("_present", F.array_intersect(F.col("_words"), _strings(vocab)))
+    # one set of the vocabulary for all rows, where an array function would build it for each
+    return df.withColumn("_present", F.array_distinct(F.filter("_words", lambda w: w.isin(vocab))))
 
 
 def idf(docs: DataFrame, templates=TEMPLATES) -> dict[str, float]:
