@@ -40,6 +40,7 @@ def run(
     managed: bool = False,
     fact_partition_by: tuple[str, ...] | None = None,
     run_name: str | None = None,
+    statistics: bool = False,
 ) -> None:
     ledger = None if run_name is None else Ledger(spark, paths.runs_root, run_name)
     if stage in ("bronze", "all"):
@@ -47,7 +48,9 @@ def run(
     if stage in ("silver", "all"):
         stages.build_silver(spark, paths, ledger)
     if stage in ("gold", "all"):
-        stages.build_gold(spark, paths, database, managed, fact_partition_by, dedupe_country, ledger=ledger)
+        stages.build_gold(
+            spark, paths, database, managed, fact_partition_by, dedupe_country, statistics=statistics, ledger=ledger
+        )
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -62,6 +65,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         action="store_true",
         help="one mart row per country code even when the country list repeats a code",
     )
+    ap.add_argument("--statistics", action="store_true", help="column statistics of the published tables, for the planner")
     ap.add_argument("--managed", action="store_true", help="publish managed tables (a copy in the warehouse)")
     ap.add_argument(
         "--partition-fact", metavar="COLUMNS", help="comma-separated columns to lay the published fact out by"
@@ -95,7 +99,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         spark = (builder.enableHiveSupport() if args.hive else builder).getOrCreate()
     try:
         by = tuple(args.partition_fact.split(",")) if args.partition_fact else None
-        run(spark, args.stage, paths, args.database, args.dedupe_country, args.managed, by, args.run)
+        run(spark, args.stage, paths, args.database, args.dedupe_country, args.managed, by, args.run, args.statistics)
         return 0
     except Exception as exc:  # report like a batch job: one line on stderr, non-zero exit
         print(f"strata {args.stage} failed: {type(exc).__name__}: {exc}", file=sys.stderr)

@@ -515,6 +515,15 @@ oracle(
 )
 for _key in ("publish_managed", "external_typed_table", "read_back_check"):
     oracle(_key, "SELECT * FROM s_athlete", "s_athlete")
+oracle(
+    "column_statistics",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, {'NULL' if c == 'Name' else f'CAST(min({c}) AS VARCHAR)'} AS min_value,
+        {'NULL' if c == 'Name' else f'CAST(max({c}) AS VARCHAR)'} AS max_value, count(*) - count({c}) AS n_null FROM s_athlete"""
+        for c in ("AthleteID", "Name", "Born", "Height", "Weight")
+    ),
+    "s_athlete",
+)
 oracle("publish_versions", "SELECT * FROM s_fact", "s_fact")
 oracle("publish_append", "SELECT *, coalesce(EditionID % 3 = 0, false) AS rewritten FROM s_fact", "s_fact")
 oracle(

@@ -413,6 +413,13 @@ def list_gold_tables(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def column_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """The published athlete dimension's column statistics, as the planner reads them from the catalog."""
+    table = sinks.compute_statistics(spark, _published(spark, d, "statistics")[0])
+    found = sinks.list_statistics(spark, table).filter(F.col("column_name").isin("AthleteID", "Name", "Born", "Height", "Weight"))
+    return found.select("column_name", "min_value", "max_value", "n_null")
+
+
 def publish_versions(spark: SparkSession, d: str) -> DataFrame:
     """K5/K6: the fact published twice as versions, first a part of it; read via the catalog after the switch."""
     fact = fact_of(_tables(spark, d))
@@ -530,6 +537,7 @@ QUERIES: dict[str, Query] = {
     "bronze_part_folders": bronze_part_folders,
     "publish_managed": publish_managed,
     "publish_versions": publish_versions,
+    "column_statistics": column_statistics,
     "publish_append": publish_append,
     "clustered_point_read": clustered_point_read,
     "external_typed_table": external_typed_table,

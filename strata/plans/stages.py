@@ -21,7 +21,7 @@ from strata.config import DATASETS, GOLD, GOLD_DATABASE, SILVER, LakePaths
 from strata.operators.quality import row_count
 from strata.plans import gold, silver
 from strata.plans.ledger import Ledger
-from strata.sinks.catalog import ensure_database, publish
+from strata.sinks.catalog import compute_statistics, ensure_database, publish
 from strata.sinks.files import save_parquet
 from strata.sources.files import headers_differ, list_entries, load_parquet, read_csv_by_name, read_csv_strings
 
@@ -112,13 +112,15 @@ def build_gold(
     fact_partition_by: tuple[str, ...] | None = None,
     dedupe_country: bool = False,
     check_keys: bool = False,
+    statistics: bool = False,
     ledger: Ledger | None = None,
 ) -> DataFrame:
     """Gold: publish the dimensions, the dated fact and the mart (table + Parquet each).
 
     ``fact_partition_by=("EditionID",)`` lays the published fact out by edition
     (a few dozen folders) so per-edition readers prune partitions; off by default
-    to keep the published layout flat. Returns the published mart, read back
+    to keep the published layout flat. ``statistics`` adds column statistics of the
+    published tables to the catalog, one more scan of each. Returns the published mart, read back
     from its Parquet files.
     """
     ensure_database(spark, database)
@@ -143,6 +145,8 @@ def build_gold(
     # a catalog that lives in the session has lost the tables of an earlier one
     lost = {k: job for k, job in jobs.items() if not spark.catalog.tableExists(f"{database}.{GOLD[k][0]}")}
     run_together({**lost, **missing})
+    if statistics:
+        run_together({k: (lambda k=k: compute_statistics(spark, f"{database}.{GOLD[k][0]}")) for k in jobs})
     return load_parquet(spark, paths.gold("mart"))
 
 
@@ -154,6 +158,7 @@ def run_stages(
     fact_partition_by: tuple[str, ...] | None = None,
     dedupe_country: bool = False,
     check_keys: bool = False,
+    statistics: bool = False,
     run: str | None = None,
 ) -> DataFrame:
     """Bronze, then silver, then gold; returns the published mart.
@@ -163,7 +168,7 @@ def run_stages(
     ledger = None if run is None else Ledger(spark, paths.runs_root, run)
     land_bronze(spark, paths, ledger)
     build_silver(spark, paths, ledger)
-    return build_gold(spark, paths, database, managed, fact_partition_by, dedupe_country, check_keys, ledger)
+    return build_gold(spark, paths, database, managed, fact_partition_by, dedupe_country, check_keys, statistics, ledger)
 
 
 def layer_counts(spark: SparkSession, paths: LakePaths) -> DataFrame:

@@ -1,7 +1,9 @@
 from strata.sinks.catalog import (
+    compute_statistics,
     ensure_database,
     external_table,
     list_catalog,
+    list_statistics,
     list_tables,
     publish,
     publish_version,
@@ -13,9 +15,11 @@ from strata.sinks.files import append_run, rewrite_partitions, save_clustered, s
 
 __all__ = [
     "append_run",
+    "compute_statistics",
     "ensure_database",
     "external_table",
     "list_catalog",
+    "list_statistics",
     "list_tables",
     "publish",
     "publish_version",

@@ -154,6 +154,33 @@ def read_back(spark: SparkSession, path: str, expected: StructType | None = None
     return df
 
 
+def compute_statistics(spark: SparkSession, table: str, columns: Sequence[str] | None = None) -> str:
+    """Row count, size and column statistics of ``table`` in the catalog (all columns unless named), in one scan.
+
+    With ``spark.sql.cbo.enabled`` and ``spark.sql.cbo.joinReorder.enabled`` the planner orders star joins by them.
+    A publication that points the table at new files drops them, so that no plan rests on stale ones.
+    """
+    what = "FOR COLUMNS " + ", ".join(f"`{c}`" for c in columns) if columns else "FOR ALL COLUMNS"
+    spark.sql(f"ANALYZE TABLE {_q(table)} COMPUTE STATISTICS {what}")
+    return table
+
+
+def list_statistics(spark: SparkSession, table: str) -> DataFrame:
+    """(column_name, type, min_value, max_value, n_null) of every column, as the catalog holds them.
+
+    NULL where there are none: columns not analysed, extremes of strings. Only catalog entries pass through the driver.
+    """
+    rows = []
+    for name in spark.table(table).columns:
+        about = {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED {_q(table)} `{name}`").collect()}
+        known = {k: None if v in (None, "NULL") else v for k, v in about.items()}
+        n_null = known.get("num_nulls")
+        rows.append((name, known.get("data_type"), known.get("min"), known.get("max"), None if n_null is None else int(n_null)))
+    return spark.createDataFrame(
+        rows, "column_name string, type string, min_value string, max_value string, n_null bigint"
+    )
+
+
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
     """``SHOW TABLES IN db`` as a frame."""
     return spark.sql(f"SHOW TABLES IN {_q(database)}")

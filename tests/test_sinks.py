@@ -10,7 +10,7 @@ from strata.operators.quality import require_unique
 from strata.plans import gold, queries, silver
 from strata.session import scratch_path
 from strata.sinks import (
-    append_run, ensure_database, list_catalog, publish, publish_version, read_back, rewrite_partitions, save_counted,
+    append_run, compute_statistics, ensure_database, list_catalog, list_statistics, publish, publish_version, read_back, rewrite_partitions, save_counted,
     save_parquet, versions,
 )
 from strata.sources import roles
@@ -179,3 +179,56 @@ def test_headers_by_name_over_odd_file_names_and_headers(spark, tmp_path):
         ("FRA", "Fra,nce", None, None, "2020"), ("noc", "coun,try", None, None, "2020"),  # a data row like the header stays
         ("ITA", "Italy", None, None, "2020"), ("JPN", "Japan", "u", None, "2021"), ("USA", None, None, None, "2021"),
     ], key=str)
+
+
+def innermost(df):
+    """Tables of the join of two that the optimized plan does first."""
+    todo = [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        found = {t for t in ("star_fact", "star_wide", "star_small") if t in node.toString()}
+        if node.nodeName() == "Join" and len(found) == 2:
+            return found
+        todo += [node.children().apply(k) for k in range(node.children().size())]
+    return set()
+
+
+def test_statistics_let_the_planner_order_a_star_join(spark):
+    ensure_database(spark, "sinks_test")
+    n = 20_000
+    fact = spark.range(n).select((F.col("id") % 5000).alias("w"), (F.col("id") % 1000).alias("s"), "id")
+    frames = {
+        "star_fact": fact,
+        "star_wide": spark.range(5000).select(F.col("id").alias("wk"), F.lit("x").alias("name")),
+        "star_small": spark.range(1000).select(F.col("id").alias("sk"), (F.col("id") % 500).alias("kind")),
+    }
+    for name, df in frames.items():
+        publish(spark, df, f"sinks_test.{name}", scratch_path(spark, name))
+    query = """SELECT f.id, name FROM sinks_test.star_fact f JOIN sinks_test.star_wide ON w = wk
+        JOIN sinks_test.star_small ON s = sk WHERE kind = 7"""
+    conf = ("spark.sql.cbo.enabled", "spark.sql.cbo.joinReorder.enabled")
+    for c in conf:
+        spark.conf.set(c, "true")
+    try:
+        before = spark.sql(query)
+        assert innermost(before) == {"star_fact", "star_wide"}  # as written
+        rows = sorted(map(tuple, before.collect()))
+        for name in frames:
+            compute_statistics(spark, f"sinks_test.{name}")
+        after = spark.sql(query)
+        assert innermost(after) == {"star_fact", "star_small"}  # the filtered dimension first
+        assert sorted(map(tuple, after.collect())) == rows and len(rows) == n // 500
+    finally:
+        for c in conf:
+            spark.conf.unset(c)
+
+
+def test_a_new_publication_drops_old_statistics(spark):
+    ensure_database(spark, "sinks_test")
+    table, root = "sinks_test.stale", scratch_path(spark, "stale")
+    for first in (0, 100):
+        publish_version(spark, spark.range(first, first + 10).withColumnRenamed("id", "k"), table, root)
+        assert [tuple(r) for r in list_statistics(spark, table).collect()] == [("k", "bigint", None, None, None)]
+        compute_statistics(spark, table, ["k"])
+        want = ("k", "bigint", str(first), str(first + 9), 0)
+        assert [tuple(r) for r in list_statistics(spark, table).collect()] == [want]

@@ -8,7 +8,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from strata.config import DATASETS, GOLD, LakePaths, bronze_name
 from strata.plans import stages
 from strata.session import scratch_path
-from strata.sinks import external_table, list_tables, publish, read_back, save_csv
+from strata.sinks import external_table, list_statistics, list_tables, publish, read_back, save_csv
 from strata.sources import list_entries, read_csv_by_name, read_csv_strings
 from strata.sources import roles
 from strata.streaming import land_available
@@ -101,8 +101,10 @@ def test_rerun_is_idempotent_and_partitioned_fact_prunes(spark, sf_small):
     for name, build in roles.BUILDERS.items():
         save_csv(build(t), f"{paths.csv_root}/{name}.csv")
     first = sorted(map(tuple, stages.run_stages(spark, paths, database="gold_rerun").collect()))
-    again = stages.run_stages(spark, paths, database="gold_rerun", fact_partition_by=("EditionID",))
+    again = stages.run_stages(spark, paths, database="gold_rerun", fact_partition_by=("EditionID",), statistics=True)
     assert sorted(map(tuple, again.collect())) == first
+    known = {r.column_name: r.n_null for r in list_statistics(spark, "gold_rerun.Olympics_Fact").collect()}
+    assert known["EditionID"] == 0 and None not in known.values()
     fact = spark.table("gold_rerun.Olympics_Fact")
     one = fact.filter("EditionID = 3")
     plan = one._jdf.queryExecution().executedPlan().toString()
