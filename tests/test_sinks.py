@@ -97,6 +97,21 @@ def test_only_the_given_partitions_are_rewritten(spark):
     assert kept == {e: sorted(os.listdir(f"{local(path)}/edition={e}")) for e in (0, 1)}
 
 
+@pytest.mark.parametrize("write", [rewrite_partitions, lambda df, path, by: save_parquet(df, path, partition_by=by)])
+def test_rows_that_shrink_in_a_shuffle_still_go_to_several_tasks(spark, write):
+    path = scratch_path(spark, "folders")
+    # 600 MB in the sort of the write, a few in the shuffle: one key, equal rows, and a folder for NULL
+    df = spark.range(2_000_000).selectExpr("repeat('x', 250) AS v", "map('a', 1) AS m", "if(id < 10, NULL, 7) AS e")
+    write(df, path, ["e"])
+    files = {n: len([f for f in os.listdir(f"{local(path)}/{n}") if f.endswith(".parquet")]) for n in os.listdir(local(path)) if "=" in n}
+    assert files["e=7"] in (2, 3, 4) and files["e=__HIVE_DEFAULT_PARTITION__"] == 1
+    back = spark.read.parquet(path)
+    assert back.count() == 2_000_000 and back.filter("e IS NULL").count() == 10
+    assert back.select("v").distinct().count() == 1
+    write(df.limit(0), f"{path}-none", ["e"])
+    assert save_counted(df.limit(1000), f"{path}-counted", partition_by=["e"]) == 1000
+
+
 def test_rows_counted_by_the_write_reveal_a_lost_part(spark):
     path = scratch_path(spark, "counted")
     df = spark.range(1000).repartition(4)
