@@ -31,13 +31,16 @@ def keep_one(
     for the result (``min`` is unchanged by duplicate rows). ``dedupe_first``
     adds one for speed when rows repeat a lot (a value copied onto every row of
     its key): the hash ``distinct`` collapses the copies map-side and the
-    struct ``min`` — a sort-based aggregate — then sees only distinct rows.
+    struct ``min`` — a sort-based aggregate — then sees only distinct rows. An exchange
+    between the two gives each its own tasks: in one, the hash table would stand beside the
+    sort of the same rows.
     """
     keys = list(keys)
     if dedupe_first:
         # a plain distinct() below a min would be optimised away as redundant; the filter keeps it
         counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(_COPIES))
-        df = counted.filter(F.col(_COPIES) > 0).drop(_COPIES)
+        # dealt by whole rows, not by key, so that the rows of a hot key stay spread until the partial min
+        df = counted.filter(F.col(_COPIES) > 0).drop(_COPIES).hint("rebalance", *df.columns)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()

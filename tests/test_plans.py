@@ -82,6 +82,13 @@ def test_keep_one_is_one_aggregation_per_key(spark, sf_small):
     assert plan[first - 4 : first] == "Hash"
 
 
+def test_no_task_holds_the_distinct_and_the_sort_of_the_pick(spark, sf_small):
+    lines = executed(QUERIES["keep_one_per_key"](spark, sf_small)).splitlines()
+    pick = next(k for k, line in enumerate(lines) if "partial_min" in line)
+    distinct = next(k for k, line in enumerate(lines) if k > pick and "HashAggregate(" in line)
+    assert any("Exchange" in line for line in lines[pick:distinct]), lines[pick : distinct + 1]
+
+
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "GlobalLimit", "CollectLimit", "LocalLimit", "Sample")
 
